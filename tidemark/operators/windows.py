@@ -1,0 +1,74 @@
+"""Ordered-window building blocks used by the profile selection and exposed
+on their own.
+
+All functions take a ``WindowSpec`` already partitioned by the record keys and
+ordered, so every call on the same spec shares one exchange and one sort.
+
+Look-ahead over "all later rows" is not written with a
+``ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING`` frame: Spark evaluates
+that frame by re-aggregating the tail for every row (quadratic in the group
+size). ``later_last`` gets the same value from two linear frames - a running
+count and a whole-group aggregate.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import functions as F
+
+
+def ordered(keys: list[str], order: list[str | Column]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(*order)
+
+
+def row_number(w: WindowSpec) -> Column:
+    """E2: 1, 2, ... in window order."""
+    return F.row_number().over(w)
+
+
+def running_first_nonnull(c: Column, w: WindowSpec) -> Column:
+    """E4: first non-null value so far (default RANGE frame: peers included)."""
+    return F.first(c, ignorenulls=True).over(w)
+
+
+def last_nonnull_through_current(c: Column, w: WindowSpec) -> Column:
+    """E6: last non-null value among the rows up to and including this one."""
+    return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def last_nonnull_before(c: Column, w: WindowSpec) -> Column:
+    """E7: last non-null value among the rows strictly before this one."""
+    return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+
+def next_value(c: Column, w: WindowSpec, n: int = 1) -> Column:
+    """E8: value n rows ahead (NULL past the end)."""
+    return F.lead(c, n).over(w)
+
+
+def prev_value(c: Column, w: WindowSpec, n: int = 1) -> Column:
+    """E10: value n rows back, NULLs not skipped."""
+    return F.lag(c, n).over(w)
+
+
+def later_last(c: Column, w: WindowSpec, keys: list[str]) -> Column:
+    """E5: last non-null value among the rows strictly after this one, else NULL.
+
+    Equal to ``last(c, ignorenulls).over(w.rowsBetween(1, unboundedFollowing))``
+    in linear time: a non-null exists later iff the group's non-null count
+    exceeds the running count; it is then the group's last non-null value.
+    """
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    later = F.count(c).over(whole) - F.count(c).over(upto)
+    return F.when(later > 0, F.last(c, ignorenulls=True).over(whole))
+
+
+def any_later(pred: Column, w: WindowSpec, keys: list[str]) -> Column:
+    """E5 with a predicate: TRUE if a later row satisfies ``pred``, else NULL."""
+    return later_last(F.when(pred, F.lit(True)), w, keys)
+
+
+def next_two_valid(flag: Column, w: WindowSpec) -> Column:
+    """E9: TRUE if the next or the next-but-one row has ``flag == 1``, else NULL."""
+    return F.when((F.lead(flag, 1).over(w) == 1) | (F.lead(flag, 2).over(w) == 1), F.lit(True))
