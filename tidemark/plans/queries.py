@@ -388,7 +388,7 @@ def _win(spark, sf, expr_fn) -> DataFrame:
 
 
 def q_win_row_number(spark, sf):
-    return _win(spark, sf, lambda w, k: W.row_number(w))
+    return _win(spark, sf, lambda w, k: W.row_number(w).cast("bigint"))
 
 
 def q_win_first_nonnull(spark, sf):
