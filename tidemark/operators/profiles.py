@@ -16,7 +16,10 @@ Two look-back modes that give different winners:
 Plan: every window is on the same (record keys, effective date, profile id)
 spec, so the chain is one hash exchange on the record keys and one sort; the
 final pick is a ``max_by`` aggregate on that same partitioning (no second
-sort, no second exchange). Order ties are broken by ``{P}ID``.
+sort, no second exchange). Order ties are broken by ``{P}ID``. A record with
+more than ``policy.hot_rows`` candidates is cut into ordered chunks that run
+in parallel, each window completed by a carry from the other chunks
+(``split_window``); the pick then pre-aggregates per chunk.
 """
 
 from __future__ import annotations
@@ -26,9 +29,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import (
-    any_later, last_nonnull_before, last_nonnull_through_current, next_value,
-    prev_value, running_first_nonnull,
+from .split_window import (
+    CHUNK, DEFAULT_POLICY, FirstNonNull, Lag, LastNonNullBefore, LastNonNullUpTo, Lead,
+    LaterNonNull, RowNumber, SplitPolicy, SplitWindow,
 )
 
 SOLD_ON_OR_AFTER = "SOLDONORAFTER"
@@ -46,13 +49,12 @@ class _Names:
         self.valid = f"{prefix}_ValidProfile"
 
 
-def _spec(keys: list[str], n: _Names):
-    return Window.partitionBy(*keys).orderBy(F.col(n.eff), F.col(n.pid), F.col(n.id))
+def _order(n: _Names) -> list[str]:
+    return [n.eff, n.pid, n.id]
 
 
-def profile_round1(df: DataFrame, keys: list[str], n: _Names, lookback: str) -> DataFrame:
+def profile_round1(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) -> DataFrame:
     """F2-F4: eDateToUse, round-1 flag, demotion by later valid rows."""
-    w = _spec(keys, n)
     eff = F.col(n.eff)
     flag = F.when(
         F.col(n.typ) == SOLD_ON_OR_AFTER,
@@ -62,33 +64,27 @@ def profile_round1(df: DataFrame, keys: list[str], n: _Names, lookback: str) ->
             F.lit(1),
         ).otherwise(F.lit(0)),
     )
-    out = df.select(
-        "*",
-        running_first_nonnull(F.col(n.esc), w).alias("eDateToUse"),
-        flag.alias(n.r1),
-    )
-    r1 = F.col(n.r1)
-    if lookback == "running":
-        demote = any_later(r1 == 1, w, keys).isNotNull()
-    else:
-        demote = next_value(F.when(r1 == 1, r1), w).isNotNull()
-    return out.withColumn(n.r1, F.when(demote, F.lit(0)).otherwise(r1))
+    out = df.withColumn("__tm_r1", flag)
+    valid_mark = F.when(F.col("__tm_r1") == 1, F.lit(1))
+    demote_op = LaterNonNull(valid_mark) if lookback == "running" else Lead(valid_mark, 1)
+    out = sw.add(out, eDateToUse=FirstNonNull(F.col(n.esc)), __tm_demote=demote_op)
+    r1 = F.when(F.col("__tm_demote").isNotNull(), F.lit(0)).otherwise(F.col("__tm_r1"))
+    cols = [c for c in out.columns if c not in ("__tm_r1", "__tm_demote", "eDateToUse")]
+    return out.select(*cols, "eDateToUse", r1.alias(n.r1))
 
 
-def profile_round2(df: DataFrame, keys: list[str], n: _Names, lookback: str) -> DataFrame:
+def profile_round2(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) -> DataFrame:
     """F5-F7: drop demoted rows, number the rest, round-2 flag, invalidation."""
-    w = _spec(keys, n)
     r1, eff, esc = F.col(n.r1), F.col(n.eff), F.col(n.esc)
-    kept = (
-        df.where(r1.isNull() | (r1 == 1))
-        .select("*", F.row_number().over(w).alias("RN"))
-        .where((r1 == 1) | (F.col("RN") == 1) | esc.isNull() | (eff <= esc))
-    )
+    kept = sw.add(df.where(r1.isNull() | (r1 == 1)), RN=RowNumber())
+    kept = kept.where((r1 == 1) | (F.col("RN") == 1) | esc.isNull() | (eff <= esc))
     if lookback == "running":
-        prev_upto = last_nonnull_through_current(esc, w)
-        prev_before = last_nonnull_before(esc, w)
+        prev = dict(__tm_upto=LastNonNullUpTo(esc), __tm_before=LastNonNullBefore(esc))
     else:
-        prev_upto = prev_before = prev_value(esc, w)
+        prev = dict(__tm_upto=Lag(esc, 1))
+    kept = sw.add(kept, **prev)
+    prev_upto = F.col("__tm_upto")
+    prev_before = F.col("__tm_before") if lookback == "running" else prev_upto
     flag = (
         F.when(r1.isNotNull(), r1)
         .when(F.col("RN") == 1, F.lit(1))
@@ -96,21 +92,19 @@ def profile_round2(df: DataFrame, keys: list[str], n: _Names, lookback: str) ->
         .when(eff <= F.coalesce(prev_before, esc, F.col("eDateToUse")), F.lit(1))
         .otherwise(F.lit(0))
     )
-    flagged = kept.select("*", flag.alias(n.valid))
-    valid = F.col(n.valid)
-    if lookback == "running":
-        earlier_invalid = last_nonnull_before(F.when(valid == 0, F.lit(True)), w)
-    else:
-        earlier_invalid = prev_value(F.when(valid == 0, F.lit(True)), w)
-    return flagged.withColumn(
-        n.valid, F.when(earlier_invalid.isNotNull(), F.lit(0)).otherwise(valid)
-    )
+    flagged = kept.select("*", flag.alias("__tm_valid0")).drop("__tm_upto", "__tm_before")
+    invalid = F.when(F.col("__tm_valid0") == 0, F.lit(True))
+    inv_op = LastNonNullBefore(invalid) if lookback == "running" else Lag(invalid, 1)
+    flagged = sw.add(flagged, __tm_inv=inv_op)
+    valid = F.when(F.col("__tm_inv").isNotNull(), F.lit(0)).otherwise(F.col("__tm_valid0"))
+    return flagged.select(
+        *[c for c in flagged.columns if c not in ("__tm_valid0", "__tm_inv")], valid.alias(n.valid))
 
 
 def pick_profile(df: DataFrame, keys: list[str], n: _Names, state_profile: str,
                  method: str = "max_by") -> DataFrame:
     """F8: one row per record - flag DESC (NULLs last), date DESC, id DESC."""
-    drop = {"RN", "eDateToUse", n.r1, n.pid}
+    drop = {"RN", "eDateToUse", n.r1, n.pid, CHUNK}
     cols = [c for c in df.columns if c not in drop]
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(
@@ -147,6 +141,7 @@ def set_state_profile(
     get_escheat_due_date: Callable[[DataFrame], DataFrame] | None = None,
     lookback: str = "running",
     pick: str = "max_by",
+    policy: SplitPolicy | None = DEFAULT_POLICY,
 ) -> DataFrame:
     """Pick the applicable state profile per record.
 
@@ -167,15 +162,19 @@ def set_state_profile(
             raise ValueError(f"column {needed!r} missing; pass set_escheat_date")
     names = _Names(prefix, state_profiles_prefix, escheat_date_field_name)
     keys = list(unique_fields)
-    r1 = profile_round1(df, keys, names, lookback)
-    r2 = profile_round2(r1, keys, names, lookback)
+    sw = SplitWindow(df, keys, _order(names), policy)
+    r1 = profile_round1(sw.prepare(df), sw, names, lookback)
+    r2 = profile_round2(r1, sw, names, lookback)
     return pick_profile(r2, keys, names, state_profile, pick)
 
 
 def profile_stages(prefix: str, df: DataFrame, unique_fields: list[str],
                    escheat_date_field_name: str, state_profiles_prefix: str,
-                   lookback: str = "running") -> tuple[DataFrame, DataFrame]:
+                   lookback: str = "running",
+                   policy: SplitPolicy | None = DEFAULT_POLICY) -> tuple[DataFrame, DataFrame]:
     """The round-1 and round-2 frames (for inspection and tests)."""
     names = _Names(prefix, state_profiles_prefix, escheat_date_field_name)
-    r1 = profile_round1(df, list(unique_fields), names, lookback)
-    return r1, profile_round2(r1, list(unique_fields), names, lookback)
+    sw = SplitWindow(df, list(unique_fields), _order(names), policy)
+    r1 = profile_round1(sw.prepare(df), sw, names, lookback)
+    r2 = profile_round2(r1, sw, names, lookback)
+    return sw.finish(r1), sw.finish(r2)

@@ -177,7 +177,7 @@ def _win(expr: str) -> str:
     return f"WITH {_EVENTS_V} SELECT event_id, {expr} AS result FROM ev"
 
 
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = {  # *_hot keys are added below: same SQL, split plan
     "rules_lookup": f"""WITH {_CATALOGUE}
 SELECT lower(table_name) AS table_name, field_name, expectation, expectation_action
 FROM cat
@@ -413,3 +413,8 @@ SELECT AccountId, SP_ID, CAST(RN AS BIGINT) AS RN, vp AS Acct_ValidProfile FROM
     "profile_select_running": _profile_select("running"),
     "profile_select_adjacent": _profile_select("adjacent"),
 }
+
+
+for _name in [k for k in ORACLE_SQL if k.startswith("win_")] + [
+        "profile_round2", "profile_select_running", "profile_select_adjacent"]:
+    ORACLE_SQL[f"{_name}_hot"] = ORACLE_SQL[_name]

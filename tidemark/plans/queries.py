@@ -14,8 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import windows as W
 from ..operators.profiles import profile_stages, set_state_profile
+from ..operators.split_window import (
+    DEFAULT_POLICY, FirstNonNull, Lag, LastNonNullBefore, LastNonNullUpTo, Lead, LaterNonNull,
+    Op, RowNumber, SplitPolicy, SplitWindow,
+)
 from ..operators.row_index import with_row_index
 from ..operators.validate import (
     check_data_quality, component_summary, failing_rows, quality_report, row_report,
@@ -83,11 +86,6 @@ def rule_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _events_w() -> tuple[list[str], object]:
-    keys = ["user_id"]
-    return keys, W.ordered(keys, ["ts", "event_id"])
-
-
 def _events_value(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
     return e.select(
@@ -381,43 +379,40 @@ def q_dq_row_report_sample(spark, sf):
 # ---------------------------------------------------------------- windows
 
 
-def _win(spark, sf, expr_fn) -> DataFrame:
-    e = _events_value(spark, sf)
-    keys, w = _events_w()
-    return e.select("event_id", expr_fn(w, keys).alias("result"))
-
-
-def q_win_row_number(spark, sf):
-    return _win(spark, sf, lambda w, k: W.row_number(w).cast("bigint"))
-
-
-def q_win_first_nonnull(spark, sf):
-    return _win(spark, sf, lambda w, k: W.running_first_nonnull(F.col("v"), w))
-
-
-def q_win_last_nonnull(spark, sf):
-    return _win(spark, sf, lambda w, k: W.last_nonnull_through_current(F.col("v"), w))
-
-
-def q_win_prev_nonnull(spark, sf):
-    return _win(spark, sf, lambda w, k: W.last_nonnull_before(F.col("v"), w))
-
+# Tiny thresholds that force the hot-key split path at test scale (events
+# have ~67 rows per user, orders ~10 per customer): same results, other plan.
+HOT = SplitPolicy(hot_rows=8, chunk_rows=5)
 
-def q_win_lead(spark, sf):
-    return _win(spark, sf, lambda w, k: W.next_value(F.col("v"), w))
 
-
-def q_win_lag(spark, sf):
-    return _win(spark, sf, lambda w, k: W.prev_value(F.col("v"), w))
+def _win(spark, sf, op_fn, policy=DEFAULT_POLICY) -> DataFrame:
+    e = _events_value(spark, sf)
+    sw = SplitWindow(e, ["user_id"], ["ts", "event_id"], policy)
+    out = sw.add(sw.prepare(e), result=op_fn())
+    return sw.finish(out).select("event_id", "result")
+
+
+WINDOW_OPS: dict[str, Callable[[], Op]] = {
+    "win_row_number": lambda: RowNumber(),
+    "win_first_nonnull": lambda: FirstNonNull(F.col("v")),
+    "win_last_nonnull": lambda: LastNonNullUpTo(F.col("v")),
+    "win_prev_nonnull": lambda: LastNonNullBefore(F.col("v")),
+    "win_lead": lambda: Lead(F.col("v"), 1),
+    "win_lag": lambda: Lag(F.col("v"), 1),
+    "win_future_any": lambda: LaterNonNull(F.when(F.col("event_type") == "purchase", F.lit(True))),
+}
 
 
-def q_win_future_any(spark, sf):
-    return _win(spark, sf, lambda w, k: W.any_later(F.col("event_type") == "purchase", w, k))
+def q_win_future_two(spark, sf, policy=DEFAULT_POLICY):
+    e = _events_value(spark, sf).withColumn(
+        "flag", (F.col("event_type") == "purchase").cast("int"))
+    sw = SplitWindow(e, ["user_id"], ["ts", "event_id"], policy)
+    out = sw.add(sw.prepare(e), __n1=Lead(F.col("flag"), 1), __n2=Lead(F.col("flag"), 2))
+    result = F.when((F.col("__n1") == 1) | (F.col("__n2") == 1), F.lit(True))
+    return sw.finish(out).select("event_id", result.alias("result"))
 
 
-def q_win_future_two(spark, sf):
-    flag = (F.col("event_type") == "purchase").cast("int")
-    return _win(spark, sf, lambda w, k: W.next_two_valid(flag, w))
+def _win_query(name: str, policy=DEFAULT_POLICY) -> Query:
+    return lambda spark, sf: _win(spark, sf, WINDOW_OPS[name], policy)
 
 
 # ---------------------------------------------------------------- profiles
@@ -445,10 +440,10 @@ def q_profile_round2(spark, sf):
                      "Acct_ValidProfile")
 
 
-def _profile_select(spark, sf, lookback):
+def _profile_select(spark, sf, lookback, policy=DEFAULT_POLICY):
     out = set_state_profile(df=profile_candidates(spark, sf), set_escheat_date=set_escheat_date,
                             get_escheat_due_date=get_escheat_due_date, lookback=lookback,
-                            **PROFILE_ARGS)
+                            policy=policy, **PROFILE_ARGS)
     return out.select("AccountId", "StateProfileId", "Acct_ValidProfile",
                       _days("EscheatDate").alias("escheat_day"),
                       _days("SP_EffectiveDate").alias("effective_day"))
@@ -462,6 +457,21 @@ def q_profile_select_adjacent(spark, sf):
     return _profile_select(spark, sf, "adjacent")
 
 
+def q_profile_select_running_hot(spark, sf):
+    return _profile_select(spark, sf, "running", HOT)
+
+
+def q_profile_select_adjacent_hot(spark, sf):
+    return _profile_select(spark, sf, "adjacent", HOT)
+
+
+def q_profile_round2_hot(spark, sf):
+    _, r2 = profile_stages("Acct", _profile_input(spark, sf), ["AccountId"], "EscheatDate", "SP_",
+                           lookback="running", policy=HOT)
+    return r2.select("AccountId", "SP_ID", F.col("RN").cast("bigint").alias("RN"),
+                     "Acct_ValidProfile")
+
+
 QUERIES: dict[str, Query] = {
     "rules_lookup": q_rules_lookup,
     "rules_expand": q_rules_expand,
@@ -488,16 +498,15 @@ QUERIES: dict[str, Query] = {
     "dq_report": q_dq_report,
     "dq_row_report": q_dq_row_report,
     "dq_row_report_sample": q_dq_row_report_sample,
-    "win_row_number": q_win_row_number,
-    "win_first_nonnull": q_win_first_nonnull,
-    "win_last_nonnull": q_win_last_nonnull,
-    "win_prev_nonnull": q_win_prev_nonnull,
-    "win_lead": q_win_lead,
-    "win_lag": q_win_lag,
-    "win_future_any": q_win_future_any,
+    **{name: _win_query(name) for name in WINDOW_OPS},
     "win_future_two": q_win_future_two,
+    **{f"{name}_hot": _win_query(name, HOT) for name in WINDOW_OPS},
+    "win_future_two_hot": lambda spark, sf: q_win_future_two(spark, sf, HOT),
     "profile_round1": q_profile_round1,
     "profile_round2": q_profile_round2,
     "profile_select_running": q_profile_select_running,
     "profile_select_adjacent": q_profile_select_adjacent,
+    "profile_round2_hot": q_profile_round2_hot,
+    "profile_select_running_hot": q_profile_select_running_hot,
+    "profile_select_adjacent_hot": q_profile_select_adjacent_hot,
 }
