@@ -35,15 +35,24 @@ def with_row_index(
 
     * ``order_by=None``: numbers follow the physical row order (partition by
       partition, as ``monotonically_increasing_id``).
-    * ``order_by=[...]``: numbers follow that order (range-partitioned sort,
-      then checkpoint). Ties get consecutive numbers in arbitrary order.
+    * ``order_by=[...]``: numbers follow that order (range-partitioned sort
+      with a per-row tie-breaker, so a heavily repeated value is still spread
+      over partitions; then checkpoint). Ties get consecutive numbers in
+      arbitrary order.
     * ``materialize``: checkpoint before numbering; defaults to True when an
       order is requested.
     """
     if order_by:
         spark = df.sparkSession
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        # A per-row tie-breaker lets the range partitioner split a value that
+        # many rows share (ties are numbered in arbitrary order anyway).
+        df = (
+            df.withColumn("__tm_tie", F.monotonically_increasing_id())
+            .repartitionByRange(n, *order_by, "__tm_tie")
+            .sortWithinPartitions(*order_by, "__tm_tie")
+            .drop("__tm_tie")
+        )
         if materialize is None:
             materialize = True
     if materialize:
