@@ -289,7 +289,8 @@ def check_data_quality(
     Rules: ``rules`` (list of dicts or DataFrame) or, when empty, the active
     rules of ``table_name`` / ``system_id`` in ``rules_table``. Data: ``df``
     or the batch ``batch_id`` of ``{catalog}.{schema}.{system}_{table}``.
-    A missing ``index_col`` is added as 1..n in physical order.
+    A missing ``index_col`` is added as 1..n in physical order (a caller's
+    frame is checkpointed first, a batch scan is numbered directly).
 
     Returns (frame with index column, quality report) - both lazy.
     """
@@ -306,7 +307,9 @@ def check_data_quality(
         qualified = ".".join(p for p in (catalog, schema, full_name) if p)
         df = read_batch(spark, qualified, batch_id, index_col=index_col)
     elif index_col not in df.columns:
-        df = with_row_index(df, index_col)
+        # a caller's frame may hold shuffles whose partitions are not stable
+        # between two reads: number a checkpointed copy
+        df = with_row_index(df, index_col, materialize=True)
     suite = compile_rules(spark, rules, df.schema, as_of=as_of)
     report = quality_report(df, suite, table_name=table_name, batch_id=batch_id,
                             processed_at=processed_at)

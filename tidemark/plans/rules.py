@@ -123,6 +123,27 @@ def expand_rules(rules: DataFrame, expand_required: bool = True) -> DataFrame:
     )
 
 
+def _rule_key(rules: list[dict]) -> tuple:
+    return tuple((r.get("field_name"), r.get("expectation"), r.get("expectation_action"))
+                 for r in rules)
+
+
+_EXPANDED: dict[tuple, list] = {}
+
+
+def _expanded_list(spark: SparkSession, key: tuple, expand_required: bool) -> list:
+    """Component rows of rules given in code. The expansion depends only on
+    the rule texts, so a rule list checked batch after batch is expanded once
+    per session."""
+    memo = (id(spark), key, expand_required)
+    if memo not in _EXPANDED:
+        if len(_EXPANDED) >= 256:
+            _EXPANDED.clear()
+        frame = rules_frame(spark, [dict(zip(RULE_COLUMNS, k)) for k in key])
+        _EXPANDED[memo] = expand_rules(frame, expand_required).collect()
+    return _EXPANDED[memo]
+
+
 @dataclass(frozen=True)
 class Component:
     no: int
@@ -188,9 +209,10 @@ def compile_rules(
     """
     if as_of is None:
         as_of = _dt.datetime.now()
-    frame = rules if isinstance(rules, DataFrame) else rules_frame(spark, rules)
-    frame = frame.select(*RULE_COLUMNS)
-    rows = expand_rules(frame, expand_required).collect()
+    if isinstance(rules, DataFrame):
+        rows = expand_rules(rules.select(*RULE_COLUMNS), expand_required).collect()
+    else:
+        rows = _expanded_list(spark, _rule_key(rules), expand_required)
 
     by_rule: dict[tuple, dict[int, object]] = {}
     for row in rows:
