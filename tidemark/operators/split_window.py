@@ -20,9 +20,14 @@ later non-null        latest non-null value           last of later chunks
 
 Summaries and carries have one row per (hot key, chunk), so they are small
 (at most ``max_chunks`` per hot key, and hot keys are at most
-rows / ``hot_rows``); Spark picks broadcast or shuffle for them from their
-measured size. Keys below the threshold keep the plain plan: one hash
-exchange on the keys, one sort, the window chain.
+rows / ``hot_rows``); they are broadcast when the counted size allows,
+otherwise joined by shuffle. Each round's carry table is checkpointed to the
+shared ``spark.checkpoint.dir``: later rounds and the final plan read it as a
+small table, so a chain of rounds does not nest summary branches. The
+summary of a round reads only hot rows (the chunk filter reaches the join
+below the exchange), narrowed to the columns it needs. Keys below the
+threshold keep the plain plan: one hash exchange on the keys, one sort, the
+window chain.
 
 Hot keys are detected with one partially aggregated count per key (the only
 eager step, returning two numbers); ``policy=None`` skips detection.
@@ -36,6 +41,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 from pyspark.sql import types as T
 
 CHUNK = "__tm_chunk"
@@ -262,7 +269,9 @@ class SplitWindow:
             .agg(F.array_distinct(
                 F.percentile_approx(F.col(first), fractions, p.accuracy)).alias(SPLITS))
         )
-        self.splits = splits
+        # written once: every round and the final plan read the bounds back
+        checkpoint_dir(df.sparkSession)
+        self.splits = splits.checkpoint(eager=True)
         self.broadcast_splits = row["keys"] * chunks <= p.broadcast_limit
 
     def spec(self) -> WindowSpec:
@@ -299,6 +308,14 @@ class SplitWindow:
             for name, op in ops.items():
                 carry_cols.update(_carry(name, op, cw))
             carry = summ.select(*self.keys, CHUNK, *[c.alias(k) for k, c in carry_cols.items()])
+            # Cut the lineage here: the carry table (one row per hot key and
+            # chunk) is written once to the shared checkpoint folder, so the
+            # next round plans against a small scan instead of re-deriving
+            # every earlier round inside its own summary branch.
+            checkpoint_dir(df.sparkSession)
+            carry = carry.checkpoint(eager=True)
+            if self.broadcast_splits:  # rows <= hot keys x chunks, checked in _detect
+                carry = F.broadcast(carry)
             local = local.join(carry, self.keys + [CHUNK], "left")
         finals = [_final(name, op, self.split).alias(name) for name, op in ops.items()]
         return local.select(*[F.col(c) for c in base_cols], *finals)
