@@ -235,6 +235,9 @@ def row_report(
         "unexpected_count",
         F.col("conforming_count").isNotNull().alias("schema_only"),
     )
+    # The verdicts (one row per rule component) feed both halves of the
+    # report; taking them once keeps the data to two scans (counts, details).
+    head = df.sparkSession.createDataFrame(head.collect(), head.schema)
     id_type = df.schema[id_col].dataType
     quiet = head.where(F.col("status") | F.col("schema_only")).select(
         "expectation_type", "column", "status",
