@@ -29,8 +29,10 @@ below the exchange), narrowed to the columns it needs. Keys below the
 threshold keep the plain plan: one hash exchange on the keys, one sort, the
 window chain.
 
-Hot keys are detected with one partially aggregated count per key (the only
-eager step, returning two numbers); ``policy=None`` skips detection.
+Hot keys are detected on a seeded Bernoulli sample (about
+``sample_per_chunk`` rows expected per chunk, the whole input when it is
+small) with one partially aggregated count per key - the only eager step
+returning to the driver, two numbers; ``policy=None`` skips detection.
 """
 
 from __future__ import annotations
@@ -60,7 +62,10 @@ class SplitPolicy:
     hot_rows:   a key with more rows than this is split;
     chunk_rows: target rows per chunk of a split key;
     max_chunks: upper bound on chunks per key;
-    accuracy:   ``percentile_approx`` accuracy for the chunk bounds.
+    accuracy:   ``percentile_approx`` accuracy for the chunk bounds;
+    broadcast_limit: most (hot key, chunk) rows that are broadcast;
+    sample_per_chunk: expected sampled rows per chunk when detecting
+                hot keys (the sample fraction is sample_per_chunk/chunk_rows).
     """
 
     hot_rows: int = 2_000_000
@@ -68,6 +73,8 @@ class SplitPolicy:
     max_chunks: int = 1024
     accuracy: int = 10_000
     broadcast_limit: int = 1_000_000
+    sample_per_chunk: int = 200
+    seed: int = 17
 
 
 DEFAULT_POLICY = SplitPolicy()
@@ -249,7 +256,16 @@ class SplitWindow:
     def _detect(self, df: DataFrame, p: SplitPolicy) -> None:
         if not isinstance(df.schema[self.order[0]].dataType, _SPLITTABLE):
             return  # chunk bounds need a numeric or date/time first order column
-        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__tm_n"))
+        first = self.order[0]
+        # A seeded Bernoulli sample with ~sample_per_chunk rows expected per
+        # chunk finds keys over the threshold and places chunk bounds; bounds
+        # only steer balance, never results. Small inputs are read whole.
+        fraction = min(1.0, p.sample_per_chunk / p.chunk_rows)
+        probe = df.select(*self.keys, first)
+        if fraction < 1.0:
+            probe = probe.sample(withReplacement=False, fraction=fraction, seed=p.seed)
+        counts = probe.groupBy(*self.keys).agg(
+            (F.count(F.lit(1)) / F.lit(fraction)).alias("__tm_n"))
         hot = counts.where(F.col("__tm_n") > p.hot_rows)
         row = hot.agg(
             F.count(F.lit(1)).alias("keys"),
@@ -259,12 +275,11 @@ class SplitWindow:
             return
         chunks = max(2, min(p.max_chunks, math.ceil(row["largest"] / p.chunk_rows)))
         fractions = [i / chunks for i in range(1, chunks)]
-        first = self.order[0]
         hot_keys = hot.select(*self.keys)
         if row["keys"] <= p.broadcast_limit:  # counted just above
             hot_keys = F.broadcast(hot_keys)
         splits = (
-            df.join(hot_keys, self.keys, "left_semi")
+            probe.join(hot_keys, self.keys, "left_semi")
             .groupBy(*self.keys)
             .agg(F.array_distinct(
                 F.percentile_approx(F.col(first), fractions, p.accuracy)).alias(SPLITS))
