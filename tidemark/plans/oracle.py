@@ -415,6 +415,15 @@ SELECT AccountId, SP_ID, CAST(RN AS BIGINT) AS RN, vp AS Acct_ValidProfile FROM
 }
 
 
+ORACLE_SQL["dq_index_list"] = f"""
+SELECT column_name, expectation, FALSE AS success, CAST(n AS BIGINT) AS unexpected_count,
+  doc_id, value
+FROM (SELECT *,
+        row_number() OVER (PARTITION BY column_name, expectation ORDER BY doc_id) AS rn,
+        count(*) OVER (PARTITION BY column_name, expectation) AS n
+      FROM ({ORACLE_SQL["dq_failing_rows"]}) fr)
+WHERE rn <= 20"""
+
 for _name in [k for k in ORACLE_SQL if k.startswith("win_")] + [
         "profile_round2", "profile_select_running", "profile_select_adjacent"]:
     ORACLE_SQL[f"{_name}_hot"] = ORACLE_SQL[_name]

@@ -22,7 +22,7 @@ from ..operators.split_window import (
 from ..operators.row_index import with_row_index
 from ..operators.validate import (
     check_data_quality, component_summary, failing_rows, quality_report, row_report,
-    rule_summary,
+    rule_summary, with_index_lists,
 )
 from ..sources.tables import batch_of, read_table
 from .rules import compile_rules, expand_rules, lookup_rules
@@ -317,14 +317,30 @@ def q_dq_and_or_precedence(spark, sf):
     return _verdicts(e, rules, spark)
 
 
-def q_dq_failing_rows(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    rules = [
+def _document_rules() -> list[dict]:
+    return [
         _rule("text", "min_length(50) or max_length(5000)"),
         _rule("lang", "choice('en','de')"),
         _rule("source", "string_format(^src[0-9]$) and max_length(5)"),
     ]
-    return _failing(d, rules, "doc_id", spark)
+
+
+def q_dq_failing_rows(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return _failing(d, _document_rules(), "doc_id", spark)
+
+
+def q_dq_index_list(spark, sf):
+    """The optional list column (first 20 failing rows per rule), flattened."""
+    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    suite = compile_rules(spark, _document_rules(), d.schema, as_of=AS_OF)
+    rep = quality_report(d, suite, "documents", "all", PROCESSED_AT)
+    lists = with_index_lists(rep, failing_rows(d, suite, index_col="doc_id"),
+                             index_col="doc_id", limit=20)
+    return lists.select(
+        "column_name", "expectation", "success", "unexpected_count",
+        F.explode_outer("unexpected_index_list").alias("e"),
+    ).select("column_name", "expectation", "success", "unexpected_count", "e.doc_id", "e.value")
 
 
 def report_rules() -> list[dict]:
@@ -495,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "dq_or": q_dq_or,
     "dq_and_or_precedence": q_dq_and_or_precedence,
     "dq_failing_rows": q_dq_failing_rows,
+    "dq_index_list": q_dq_index_list,
     "dq_report": q_dq_report,
     "dq_row_report": q_dq_row_report,
     "dq_row_report_sample": q_dq_row_report_sample,
