@@ -78,50 +78,65 @@ def _aggregate(df: DataFrame, rules: list[CompiledRule]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def _component_success(r: CompiledRule, c) -> Column:
+def _success_sql(r: CompiledRule, c) -> str:
     if c.check.static_success is not None:
-        return F.lit(c.check.static_success)
-    return F.col(_u(r, c)) == 0
+        return "true" if c.check.static_success else "false"
+    return f"({_u(r, c)} = 0)"
+
+
+def _rule_success_sql(r: CompiledRule) -> str:
+    ands = [" AND ".join(_success_sql(r, c) for c in g) for g in r.groups()]
+    return "(" + " OR ".join(f"({a})" for a in ands) + ")"
+
+
+# The per-rule / per-component rows are built as one SQL expression over the
+# aggregate's own column names (numbers only; texts join in from a small
+# local frame): a handful of JVM calls instead of hundreds.
 
 
 def _rule_rows(rules: list[CompiledRule]) -> Column:
     rows = []
     for r in rules:
-        succ = {c.no: _component_success(r, c) for c in r.components}
-        success = r.success(succ)
-        failing = F.col(_a(r)) if len(r.components) > 1 else F.col(_u(r, r.components[0]))
-        missing = reduce(lambda a, b: a + b, [F.col(_m(r, c)) for c in r.components])
-        rows.append(F.struct(
-            F.lit(r.rule_id).alias("rule_id"),
-            _lit_str(r.column).alias("column_name"),
-            _lit_str(r.expectation).alias("expectation"),
-            _lit_str(r.action).alias("action"),
-            success.alias("success"),
-            missing.cast("bigint").alias("missing_count"),
-            F.when(success, F.lit(0)).otherwise(failing).cast("bigint").alias("unexpected_count"),
-        ))
-    return F.inline(F.array(*rows))
+        success = _rule_success_sql(r)
+        failing = _a(r) if len(r.components) > 1 else _u(r, r.components[0])
+        missing = " + ".join(_m(r, c) for c in r.components)
+        rows.append(
+            f"named_struct('rule_id', {r.rule_id}, 'success', {success}, "
+            f"'missing_count', CAST({missing} AS BIGINT), "
+            f"'unexpected_count', CAST(CASE WHEN {success} THEN 0 ELSE {failing} END AS BIGINT))"
+        )
+    return F.expr(f"inline(array({', '.join(rows)}))")
 
 
 def _component_rows(rules: list[CompiledRule]) -> Column:
     rows = []
     for r in rules:
         for c in r.components:
-            conforming = F.col(_k(r, c)) if c.check.conforming is not None else F.lit(None)
-            rows.append(F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                F.lit(c.no).alias("component_no"),
-                _lit_str(r.column).alias("column_name"),
-                _lit_str(r.expectation).alias("expectation"),
-                _lit_str(r.action).alias("action"),
-                _lit_str(c.operator).alias("operator"),
-                _lit_str(c.name).alias("rule_name"),
-                _component_success(r, c).alias("success"),
-                F.col(_m(r, c)).cast("bigint").alias("missing_count"),
-                F.col(_u(r, c)).cast("bigint").alias("unexpected_count"),
-                conforming.cast("bigint").alias("conforming_count"),
-            ))
-    return F.inline(F.array(*rows))
+            conforming = _k(r, c) if c.check.conforming is not None else "NULL"
+            rows.append(
+                f"named_struct('rule_id', {r.rule_id}, 'component_no', {c.no}, "
+                f"'success', {_success_sql(r, c)}, "
+                f"'missing_count', CAST({_m(r, c)} AS BIGINT), "
+                f"'unexpected_count', CAST({_u(r, c)} AS BIGINT), "
+                f"'conforming_count', CAST({conforming} AS BIGINT))"
+            )
+    return F.expr(f"inline(array({', '.join(rows)}))")
+
+
+def _rule_meta(df: DataFrame, suite: Suite) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        [(r.rule_id, r.column, r.expectation, r.action) for r in suite.rules],
+        "rule_id int, column_name string, expectation string, action string",
+    )
+
+
+def _component_meta(df: DataFrame, suite: Suite) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        [(r.rule_id, c.no, r.column, r.expectation, r.action, c.operator, c.name)
+         for r, c in suite.components],
+        "rule_id int, component_no int, column_name string, expectation string, "
+        "action string, operator string, rule_name string",
+    )
 
 
 def _per_chunk(df: DataFrame, suite: Suite, rows_fn) -> DataFrame:
@@ -132,12 +147,18 @@ def _per_chunk(df: DataFrame, suite: Suite, rows_fn) -> DataFrame:
 def component_summary(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per component: success, missing_count, unexpected_count
     (plus conforming_count for ``data_type``)."""
-    return _per_chunk(df, suite, _component_rows)
+    counts = _per_chunk(df, suite, _component_rows)
+    return F.broadcast(_component_meta(df, suite)).join(counts, ["rule_id", "component_no"]).select(
+        "rule_id", "component_no", "column_name", "expectation", "action", "operator",
+        "rule_name", "success", "missing_count", "unexpected_count", "conforming_count")
 
 
 def rule_summary(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per rule, AND/OR combined (``rule_id`` kept for joins)."""
-    return _per_chunk(df, suite, _rule_rows)
+    counts = _per_chunk(df, suite, _rule_rows)
+    return F.broadcast(_rule_meta(df, suite)).join(counts, "rule_id").select(
+        "rule_id", "column_name", "expectation", "action", "success", "missing_count",
+        "unexpected_count")
 
 
 def quality_report(
