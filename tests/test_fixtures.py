@@ -181,3 +181,25 @@ def test_profile_adjacent(spark):
     want = {"K1": 105, "K2": 205, "K3": 301, "K4": 401, "K5": 503, "K6": 604, "K7": 703, "K8": 801}
     assert _winners(spark, "adjacent") == want
     assert _winners(spark, "adjacent", pick="window") == want
+
+
+def test_catalog_rules_and_batch_end_to_end(spark):
+    rules = spark.createDataFrame([
+        (1, "Users", "name", "required", "warn", 1),
+        (1, "USERS", "email", f"required and string_format({EMAIL})", "warn", 1),
+        (1, "users", "age", "number_range(0, 120)", "drop", 0),      # inactive
+        (2, "users", "age", "number_range(0, 120)", "drop", 1),      # other system
+        (1, "users", "age", None, "drop", 1),                        # no expectation
+    ], "source_system_id int, table_name string, field_name string, expectation string, "
+       "expectation_action string, active int")
+    rules.createOrReplaceTempView("tm_dq_rules")
+    batches = users(spark).withColumn(
+        "batch_id", F.when(F.col("user_id") <= 6, F.lit("b1")).otherwise(F.lit("b0")))
+    batches.unionByName(batches.withColumn("batch_id", F.lit("b2"))) \
+        .createOrReplaceTempView("crm_users")
+    df, rep = check_data_quality(1, "CRM", "Users", "b1", rules_table="tm_dq_rules",
+                                 processed_at=dt.datetime(2024, 1, 1))
+    assert sorted(r["RowIndex"] for r in df.collect()) == [1, 2, 3, 4, 5, 6]
+    got = {r["column_name"]: (r["success"], r["missing_count"], r["unexpected_count"],
+                              r["table_name"], r["batch_id"]) for r in rep.collect()}
+    assert got == {"name": (False, 0, 1, "Users", "b1"), "email": (False, 4, 3, "Users", "b1")}
