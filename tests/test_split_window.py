@@ -67,3 +67,20 @@ def test_profiles_with_one_row_chunks(spark, lookback, want):
         state_profiles_prefix="SP_", lookback=lookback, policy=TINY,
     )
     assert {r["Key"]: r["StateProfile"] for r in out.collect()} == want
+
+
+def test_null_key_is_split_like_any_other(spark):
+    rows = [(None if i % 2 else "k", i // 2, i, float(i % 5) if i % 3 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, t int, i int, v double")
+    ops = lambda: dict(rn=RowNumber(), prev=LastNonNullBefore(F.col("v")),
+                       nxt=Lead(F.col("v")), later=LaterNonNull(F.col("v")))
+    sw = SplitWindow(df, ["g"], ["t", "i"], SplitPolicy(hot_rows=10, chunk_rows=6))
+    prepared = sw.prepare(df)
+    null_chunks = {r[0] for r in prepared.where(F.col("g").isNull()).select("__tm_chunk").collect()}
+    assert len(null_chunks) > 1 and -1 not in null_chunks
+    got = {r["i"]: (r["rn"], r["prev"], r["nxt"], r["later"])
+           for r in sw.finish(sw.add(prepared, **ops())).collect()}
+    plain = SplitWindow(df, ["g"], ["t", "i"], None)
+    want = {r["i"]: (r["rn"], r["prev"], r["nxt"], r["later"])
+            for r in plain.add(df, **ops()).collect()}
+    assert got == want

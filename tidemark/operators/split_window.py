@@ -230,6 +230,23 @@ def _final(name: str, op: Op, split: bool) -> Column:
 # ------------------------------------------------------------------ driver
 
 
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str,
+                  broadcast: bool = False) -> DataFrame:
+    """Join on ``keys`` with NULL matching NULL (a NULL record key is a key
+    like any other - and a likely hot one). ``broadcast`` only for a right
+    side whose size was counted."""
+    alias = {k: f"__tm_r_{i}" for i, k in enumerate(keys)}
+    r = right.select(*[F.col(c).alias(alias.get(c, c)) for c in right.columns])
+    if broadcast:
+        r = F.broadcast(r)
+    cond = None
+    for k in keys:
+        term = left[k].eqNullSafe(r[alias[k]])
+        cond = term if cond is None else cond & term
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*alias.values())
+
+
 class SplitWindow:
     """Window over ``keys`` ordered by ``order`` (ascending column names),
     with hot keys split into ordered chunks.
@@ -276,10 +293,10 @@ class SplitWindow:
         chunks = max(2, min(p.max_chunks, math.ceil(row["largest"] / p.chunk_rows)))
         fractions = [i / chunks for i in range(1, chunks)]
         hot_keys = hot.select(*self.keys)
-        if row["keys"] <= p.broadcast_limit:  # counted just above
-            hot_keys = F.broadcast(hot_keys)
         splits = (
-            probe.join(hot_keys, self.keys, "left_semi")
+            # hot keys were counted just above
+            _join_on_keys(probe, hot_keys, self.keys, "left_semi",
+                          broadcast=row["keys"] <= p.broadcast_limit)
             .groupBy(*self.keys)
             .agg(F.array_distinct(
                 F.percentile_approx(F.col(first), fractions, p.accuracy)).alias(SPLITS))
@@ -297,12 +314,12 @@ class SplitWindow:
         """Attach the chunk number (-1 for keys that are not split)."""
         if not self.split:
             return df
-        splits = F.broadcast(self.splits) if self.broadcast_splits else self.splits
         first = F.col(self.order[0])
         chunk = F.when(
             F.col(SPLITS).isNull(), F.lit(-1)
         ).otherwise(F.size(F.filter(F.col(SPLITS), lambda s: s <= first)))
-        return df.join(splits, self.keys, "left").withColumn(CHUNK, chunk).drop(SPLITS)
+        joined = _join_on_keys(df, self.splits, self.keys, "left", self.broadcast_splits)
+        return joined.withColumn(CHUNK, chunk).drop(SPLITS)
 
     def add(self, df: DataFrame, **ops: Op) -> DataFrame:
         """Add one column per op (all evaluated on the same window)."""
@@ -329,9 +346,8 @@ class SplitWindow:
             # every earlier round inside its own summary branch.
             checkpoint_dir(df.sparkSession)
             carry = carry.checkpoint(eager=True)
-            if self.broadcast_splits:  # rows <= hot keys x chunks, checked in _detect
-                carry = F.broadcast(carry)
-            local = local.join(carry, self.keys + [CHUNK], "left")
+            # rows <= hot keys x chunks, checked in _detect
+            local = _join_on_keys(local, carry, self.keys + [CHUNK], "left", self.broadcast_splits)
         finals = [_final(name, op, self.split).alias(name) for name, op in ops.items()]
         return local.select(*[F.col(c) for c in base_cols], *finals)
 

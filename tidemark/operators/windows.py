@@ -1,8 +1,9 @@
-"""Ordered-window building blocks used by the profile selection and exposed
-on their own.
+"""Ordered-window building blocks (plain form), exposed for direct use.
 
 All functions take a ``WindowSpec`` already partitioned by the record keys and
 ordered, so every call on the same spec shares one exchange and one sort.
+These are the plain forms; ``split_window.SplitWindow`` evaluates the same
+functions with huge keys cut into chunks.
 
 Look-ahead over "all later rows" is not written with a
 ``ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING`` frame: Spark evaluates
@@ -51,7 +52,7 @@ def prev_value(c: Column, w: WindowSpec, n: int = 1) -> Column:
     return F.lag(c, n).over(w)
 
 
-def later_last(c: Column, w: WindowSpec, keys: list[str]) -> Column:
+def later_last(c: Column, w: WindowSpec) -> Column:
     """E5: last non-null value among the rows strictly after this one, else NULL.
 
     Equal to ``last(c, ignorenulls).over(w.rowsBetween(1, unboundedFollowing))``
@@ -64,9 +65,9 @@ def later_last(c: Column, w: WindowSpec, keys: list[str]) -> Column:
     return F.when(later > 0, F.last(c, ignorenulls=True).over(whole))
 
 
-def any_later(pred: Column, w: WindowSpec, keys: list[str]) -> Column:
+def any_later(pred: Column, w: WindowSpec) -> Column:
     """E5 with a predicate: TRUE if a later row satisfies ``pred``, else NULL."""
-    return later_last(F.when(pred, F.lit(True)), w, keys)
+    return later_last(F.when(pred, F.lit(True)), w)
 
 
 def next_two_valid(flag: Column, w: WindowSpec) -> Column:
