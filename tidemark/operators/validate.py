@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.rules import CompiledRule, Suite, compile_rules, lookup_rules
+from ..session import checkpoint_dir
 from .row_index import with_row_index
 
 MAX_COMPONENTS_PER_PASS = 200
@@ -329,12 +330,19 @@ def check_data_quality(
 
         full_name = f"{system_name.lower()}_{table_name.lower()}"
         qualified = ".".join(p for p in (catalog, schema, full_name) if p)
-        df = read_batch(spark, qualified, batch_id, index_col=index_col)
+        base = read_batch(spark, qualified, batch_id, index_col=None)
+        df = with_row_index(base, index_col)
     elif index_col not in df.columns:
         # a caller's frame may hold shuffles whose partitions are not stable
         # between two reads: number a checkpointed copy
-        df = with_row_index(df, index_col, materialize=True)
-    suite = compile_rules(spark, rules, df.schema, as_of=as_of)
-    report = quality_report(df, suite, table_name=table_name, batch_id=batch_id,
+        checkpoint_dir(spark)
+        base = df.checkpoint(eager=True)
+        df = with_row_index(base, index_col)
+    else:
+        base = df
+    suite = compile_rules(spark, rules, base.schema, as_of=as_of)
+    # the report needs no row numbers: it reads the batch once, without the
+    # numbering's extra counting pass
+    report = quality_report(base, suite, table_name=table_name, batch_id=batch_id,
                             processed_at=processed_at)
     return df, report
