@@ -67,6 +67,14 @@ def test_users_quality_report_end_to_end(spark):
     assert by_col == {"name": [5], "email": [3, 5]}
 
 
+def test_end_to_end_with_index_lists(spark):
+    _, rep = check_data_quality(1, "crm", "users", "b1", rules=RULES, df=users(spark),
+                                processed_at=dt.datetime(2024, 1, 1), index_list_limit=5)
+    got = {r["column_name"]: [(x["RowIndex"], x["value"]) for x in r["unexpected_index_list"]]
+           for r in rep.collect()}
+    assert got == {"name": [(5, "")], "email": [(3, "invalid-email"), (5, None), (6, None)]}
+
+
 def test_row_report_sample_limit(spark):
     df = users(spark)
     suite = compile_rules(spark, RULES, df.schema, expand_required=False)

@@ -308,6 +308,7 @@ def check_data_quality(
     index_col: str = "RowIndex",
     as_of: _dt.datetime | None = None,
     processed_at: _dt.datetime | None = None,
+    index_list_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """End-to-end check of one batch of one table.
 
@@ -317,6 +318,10 @@ def check_data_quality(
     A missing ``index_col`` is added as 1..n in physical order (a caller's
     frame is checkpointed first, a batch scan is numbered directly).
 
+    ``index_list_limit=n`` adds ``unexpected_index_list``: the first n
+    failing rows (index, value) of each failing rule; the complete list is
+    ``failing_rows``.
+
     Returns (frame with index column, quality report) - both lazy.
     """
     if spark is None:
@@ -345,4 +350,7 @@ def check_data_quality(
     # numbering's extra counting pass
     report = quality_report(base, suite, table_name=table_name, batch_id=batch_id,
                             processed_at=processed_at)
+    if index_list_limit is not None:
+        failing = failing_rows(df, suite, index_col=index_col)
+        report = with_index_lists(report, failing, index_col, index_list_limit)
     return df, report
