@@ -6,6 +6,7 @@ from .operators import (
     check_data_quality, component_summary, failing_rows, quality_report, row_report,
     rule_summary, set_state_profile, with_index_lists, with_row_index,
 )
+from .operators.split_window import SplitPolicy, SplitWindow
 from .plans import Suite, compile_rules, expand_rules, lookup_rules
 from .session import checkpoint_dir, get_spark
 
@@ -14,4 +15,5 @@ __all__ = [
     "check_data_quality", "component_summary", "failing_rows", "quality_report",
     "row_report", "rule_summary", "set_state_profile", "with_index_lists", "with_row_index",
     "Suite", "compile_rules", "expand_rules", "lookup_rules", "checkpoint_dir", "get_spark",
+    "SplitPolicy", "SplitWindow",
 ]
