@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 _POS_BITS = 33
+BROADCAST_PARTITIONS = 2_000_000
 
 
 def with_row_index(
@@ -67,8 +68,12 @@ def with_row_index(
         "__tm_part", F.coalesce(F.sum("__tm_n").over(before), F.lit(0)).alias("__tm_off")
     )
     pos = F.col("__tm_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    # one offsets row per input partition: broadcast while that count is
+    # moderate (planning only, no job), a shuffle join beyond it
+    if df.rdd.getNumPartitions() <= BROADCAST_PARTITIONS:
+        offsets = F.broadcast(offsets)
     return (
-        base.join(F.broadcast(offsets), "__tm_part")
+        base.join(offsets, "__tm_part")
         .withColumn(col, pos + F.col("__tm_off") + F.lit(1))
         .drop("__tm_mid", "__tm_part", "__tm_off")
     )
