@@ -111,3 +111,12 @@ def test_bad_arguments_raise(spark, expectation):
     from tidemark.functions.checks import RuleError
     with pytest.raises(RuleError):
         verdict(spark, ["a"], S, expectation)
+
+
+def test_field_names_are_taken_literally(spark):
+    df = spark.createDataFrame([("x", 1), (None, 2)], "`a.b` string, `id x` int")
+    suite = compile_rules(spark, [{"field_name": "a.b", "expectation": "required",
+                                   "expectation_action": "warn"}], df.schema)
+    from tidemark.operators.validate import failing_rows
+    rows = failing_rows(df, suite, index_col="id x").collect()
+    assert [(r["column_name"], r["id x"]) for r in rows] == [("a.b", 2)]

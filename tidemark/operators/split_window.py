@@ -43,6 +43,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions.names import col
 from ..session import checkpoint_dir
 
 from pyspark.sql import types as T
@@ -173,12 +174,13 @@ def _summary(name: str, op: Op, order: Column) -> list[Column]:
     raise ValueError(op.kind)
 
 
-def _carry(name: str, op: Op, cw: WindowSpec) -> dict[str, Column]:
-    """Window over the chunks of a key (small frame)."""
+def _carry(name: str, op: Op, cw: WindowSpec, cw_desc: WindowSpec) -> dict[str, Column]:
+    """Window over the chunks of a key. Every frame is linear in the number
+    of chunks: growing frames, or offsets (a non-empty chunk holds at least
+    one row, so n chunks back/ahead always supply n values)."""
     t = lambda p: _tmp(name, p)
     s = F.col(t("s"))
     before = cw.rowsBetween(UNB_P, -1)
-    after = cw.rowsBetween(1, UNB_F)
     if op.kind == "row_number":
         return {t("c"): F.coalesce(F.sum(s).over(before), F.lit(0))}
     if op.kind == "first":
@@ -186,15 +188,17 @@ def _carry(name: str, op: Op, cw: WindowSpec) -> dict[str, Column]:
     if op.kind in ("last_upto", "last_before"):
         return {t("c"): F.last(s, ignorenulls=True).over(before)}
     if op.kind == "later":
-        return {t("c"): F.last(s, ignorenulls=True).over(after)}
+        # the last non-null of the later chunks is the first one met walking
+        # back from the end
+        return {t("c"): F.first(s, ignorenulls=True).over(cw_desc.rowsBetween(UNB_P, -1))}
     if op.kind == "lag":
-        # values of earlier chunks, oldest first; only the last n are needed
-        prev = F.flatten(F.collect_list(s).over(before))
-        keep = F.slice(prev, F.greatest(F.size(prev) - op.n + 1, F.lit(1)), op.n)
-        return {t("c"): keep}
+        prev = [F.lag(s, k).over(cw) for k in range(op.n, 0, -1)]  # oldest first
+        vals = F.flatten(F.filter(F.array(*prev), lambda a: a.isNotNull()))
+        return {t("c"): F.slice(vals, F.greatest(F.size(vals) - op.n + 1, F.lit(1)), op.n)}
     if op.kind == "lead":
-        nxt = F.flatten(F.collect_list(s).over(after))
-        return {t("c"): F.slice(nxt, 1, op.n)}
+        nxt = [F.lead(s, k).over(cw) for k in range(1, op.n + 1)]
+        vals = F.flatten(F.filter(F.array(*nxt), lambda a: a.isNotNull()))
+        return {t("c"): F.slice(vals, 1, op.n)}
     raise ValueError(op.kind)
 
 
@@ -236,12 +240,12 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     like any other - and a likely hot one). ``broadcast`` only for a right
     side whose size was counted."""
     alias = {k: f"__tm_r_{i}" for i, k in enumerate(keys)}
-    r = right.select(*[F.col(c).alias(alias.get(c, c)) for c in right.columns])
+    r = right.select(*[col(c).alias(alias.get(c, c)) for c in right.columns])
     if broadcast:
         r = F.broadcast(r)
     cond = None
     for k in keys:
-        term = left[k].eqNullSafe(r[alias[k]])
+        term = left["`" + k.replace("`", "``") + "`"].eqNullSafe(r[alias[k]])
         cond = term if cond is None else cond & term
     out = left.join(r, cond, how)
     return out if how in ("left_semi", "left_anti") else out.drop(*alias.values())
@@ -276,12 +280,12 @@ class SplitWindow:
         first = self.order[0]
         # A seeded Bernoulli sample with ~sample_per_chunk rows expected per
         # chunk finds keys over the threshold and places chunk bounds; bounds
-        # only steer balance, never results. Small inputs are read whole.
+        # only steer balance, never results.
         fraction = min(1.0, p.sample_per_chunk / p.chunk_rows)
-        probe = df.select(*self.keys, first)
+        probe = df.select(*[col(k) for k in self.keys], col(first))
         if fraction < 1.0:
             probe = probe.sample(withReplacement=False, fraction=fraction, seed=p.seed)
-        counts = probe.groupBy(*self.keys).agg(
+        counts = probe.groupBy(*[col(k) for k in self.keys]).agg(
             (F.count(F.lit(1)) / F.lit(fraction)).alias("__tm_n"))
         hot = counts.where(F.col("__tm_n") > p.hot_rows)
         row = hot.agg(
@@ -292,14 +296,14 @@ class SplitWindow:
             return
         chunks = max(2, min(p.max_chunks, math.ceil(row["largest"] / p.chunk_rows)))
         fractions = [i / chunks for i in range(1, chunks)]
-        hot_keys = hot.select(*self.keys)
+        hot_keys = hot.select(*[col(k) for k in self.keys])
         splits = (
             # hot keys were counted just above
             _join_on_keys(probe, hot_keys, self.keys, "left_semi",
                           broadcast=row["keys"] <= p.broadcast_limit)
-            .groupBy(*self.keys)
+            .groupBy(*[col(k) for k in self.keys])
             .agg(F.array_distinct(
-                F.percentile_approx(F.col(first), fractions, p.accuracy)).alias(SPLITS))
+                F.percentile_approx(col(first), fractions, p.accuracy)).alias(SPLITS))
         )
         # written once: every round and the final plan read the bounds back
         checkpoint_dir(df.sparkSession)
@@ -308,13 +312,14 @@ class SplitWindow:
 
     def spec(self) -> WindowSpec:
         parts = self.keys + ([CHUNK] if self.split else [])
-        return Window.partitionBy(*parts).orderBy(*[F.col(c).asc() for c in self.order])
+        return Window.partitionBy(*[col(c) for c in parts]).orderBy(
+            *[col(c).asc() for c in self.order])
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Attach the chunk number (-1 for keys that are not split)."""
         if not self.split:
             return df
-        first = F.col(self.order[0])
+        first = col(self.order[0])
         chunk = F.when(
             F.col(SPLITS).isNull(), F.lit(-1)
         ).otherwise(F.size(F.filter(F.col(SPLITS), lambda s: s <= first)))
@@ -330,16 +335,18 @@ class SplitWindow:
             local_cols.update(_local(name, op, w))
         local = df.select("*", *[c.alias(k) for k, c in local_cols.items()])
         if self.split:
-            order = F.struct(*[F.col(c) for c in self.order])
+            order = F.struct(*[col(c) for c in self.order])
             aggs: list[Column] = []
             for name, op in ops.items():
                 aggs.extend(_summary(name, op, order))
-            summ = local.where(F.col(CHUNK) >= 0).groupBy(*self.keys, CHUNK).agg(*aggs)
-            cw = Window.partitionBy(*self.keys).orderBy(CHUNK)
+            keys = [col(k) for k in self.keys]
+            summ = local.where(F.col(CHUNK) >= 0).groupBy(*keys, CHUNK).agg(*aggs)
+            cw = Window.partitionBy(*keys).orderBy(CHUNK)
+            cw_desc = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
             carry_cols: dict[str, Column] = {}
             for name, op in ops.items():
-                carry_cols.update(_carry(name, op, cw))
-            carry = summ.select(*self.keys, CHUNK, *[c.alias(k) for k, c in carry_cols.items()])
+                carry_cols.update(_carry(name, op, cw, cw_desc))
+            carry = summ.select(*keys, CHUNK, *[c.alias(k) for k, c in carry_cols.items()])
             # Cut the lineage here: the carry table (one row per hot key and
             # chunk) is written once to the shared checkpoint folder, so the
             # next round plans against a small scan instead of re-deriving
@@ -349,7 +356,7 @@ class SplitWindow:
             # rows <= hot keys x chunks, checked in _detect
             local = _join_on_keys(local, carry, self.keys + [CHUNK], "left", self.broadcast_splits)
         finals = [_final(name, op, self.split).alias(name) for name, op in ops.items()]
-        return local.select(*[F.col(c) for c in base_cols], *finals)
+        return local.select(*[col(c) for c in base_cols], *finals)
 
     def finish(self, df: DataFrame) -> DataFrame:
         return df.drop(CHUNK) if self.split else df

@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import col
 from ..plans.rules import CompiledRule, Suite, compile_rules, lookup_rules
 from ..session import checkpoint_dir
 from .row_index import with_row_index
@@ -196,12 +197,12 @@ def failing_rows(
     structs = [
         F.when(r.any_fail(), F.struct(
             F.lit(r.rule_id).alias("rule_id"),
-            F.col(r.column).cast("string").alias("value"),
+            col(r.column).cast("string").alias("value"),
         ))
         for r in suite.rules
     ]
     long = df.select(
-        F.col(index_col),
+        col(index_col),
         F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v"),
     ).select("v.rule_id", index_col, "v.value")
     if verdicts is None:
@@ -226,7 +227,7 @@ def with_index_lists(report: DataFrame, failing: DataFrame, index_col: str = "Ro
         failing.withColumn("__rn", F.row_number().over(w))
         .where(F.col("__rn") <= limit)
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(index_col).alias(index_col), "value")))
+        .agg(F.sort_array(F.collect_list(F.struct(col(index_col).alias(index_col), "value")))
              .alias("unexpected_index_list"))
     )
     return report.join(lists, keys, "left").withColumn(
@@ -272,7 +273,7 @@ def row_report(
         F.when(c.check.fail, F.struct(
             F.lit(r.rule_id).alias("rule_id"),
             F.lit(c.no).alias("component_no"),
-            F.col(r.column).cast("string").alias("unexpected_value"),
+            col(r.column).cast("string").alias("unexpected_value"),
         ))
         for r, c in suite.components
         if c.check.static_success is None
@@ -280,7 +281,7 @@ def row_report(
     if not structs:
         return quiet
     details = df.select(
-        F.col(id_col), F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v")
+        col(id_col), F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v")
     ).select("v.rule_id", "v.component_no", "v.unexpected_value", id_col)
     if sample_limit is not None:
         w = Window.partitionBy(*keys).orderBy(id_col)

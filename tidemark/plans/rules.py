@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.checks import RULE_NAMES, WHOLE_ARGUMENT_RULES, Check, RuleError, build_check
+from ..functions.names import col
 
 SPLIT_PATTERN = r"\s+(?:and|or)\s+(?![^(]*\))"
 OPERATOR_PATTERN = r"\s+(and|or)\s+(?![^(]*\))"
@@ -234,7 +235,7 @@ def compile_rules(
             if name not in RULE_NAMES:
                 raise RuleError(f"rule {expectation!r} on {column!r}: unknown rule {row['component']!r}")
             args = tuple(row["args"] or ())
-            check = build_check(name, args, F.col(column), fields[column], as_of)
+            check = build_check(name, args, col(column), fields[column], as_of)
             comps.append(Component(no, row["operator"], name, args, row["component"], check))
         compiled.append(CompiledRule(len(compiled), column, expectation, action, tuple(comps)))
     if not compiled:
