@@ -211,3 +211,12 @@ def test_catalog_rules_and_batch_end_to_end(spark):
     got = {r["column_name"]: (r["success"], r["missing_count"], r["unexpected_count"],
                               r["table_name"], r["batch_id"]) for r in rep.collect()}
     assert got == {"name": (False, 0, 1, "Users", "b1"), "email": (False, 4, 3, "Users", "b1")}
+
+
+def test_index_lists_for_rule_with_null_action(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None)], "id int, c string")
+    rules = [{"field_name": "c", "expectation": "required", "expectation_action": None}]
+    _, rep = check_data_quality(1, "s", "t", "b", rules=rules, df=df, index_col="id",
+                                index_list_limit=3)
+    r = rep.collect()[0]
+    assert r["action"] is None and [x["id"] for x in r["unexpected_index_list"]] == [2]

@@ -9,8 +9,7 @@ Physical shape, whatever the number of rules:
 * failing rows come from **one** narrow projection: every row emits one
   ``(rule, value)`` struct per failing rule via ``explode(filter(array(...)))``
   - no shuffle, no per-rule job. They are kept only for rules whose verdict
-  is false, by a ``left_semi`` join against the verdicts (one row per rule,
-  broadcast).
+  is false, by a join against the verdicts (one row per rule, broadcast).
 
 AND/OR is combined at data-set level, as the checks are: a rule ``A or B``
 fails when both components have unexpected rows, even if they are different
@@ -204,7 +203,7 @@ def failing_rows(
     long = df.select(
         col(index_col),
         F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v"),
-    ).select("v.rule_id", index_col, "v.value")
+    ).select("v.rule_id", col(index_col), "v.value")
     if verdicts is None:
         verdicts = rule_summary(df, suite)
     # one row per rule: size bounded by the rule count, safe to broadcast
@@ -212,7 +211,7 @@ def failing_rows(
         "rule_id", "column_name", "expectation", "action")
     return (
         long.join(F.broadcast(failed), "rule_id")
-        .select("column_name", "expectation", "action", index_col, "value")
+        .select("column_name", "expectation", "action", col(index_col), "value")
     )
 
 
@@ -222,7 +221,7 @@ def with_index_lists(report: DataFrame, failing: DataFrame, index_col: str = "Ro
     to a report. The full list is ``failing_rows``; one rule's list is a single
     group, so it is sampled here rather than collected whole."""
     keys = ["column_name", "expectation", "action"]
-    w = Window.partitionBy(*keys).orderBy(index_col)
+    w = Window.partitionBy(*keys).orderBy(col(index_col))
     lists = (
         failing.withColumn("__rn", F.row_number().over(w))
         .where(F.col("__rn") <= limit)
@@ -230,9 +229,14 @@ def with_index_lists(report: DataFrame, failing: DataFrame, index_col: str = "Ro
         .agg(F.sort_array(F.collect_list(F.struct(col(index_col).alias(index_col), "value")))
              .alias("unexpected_index_list"))
     )
-    return report.join(lists, keys, "left").withColumn(
-        "unexpected_index_list",
-        F.coalesce("unexpected_index_list", F.array().cast(lists.schema["unexpected_index_list"].dataType)),
+    empty = F.array().cast(lists.schema["unexpected_index_list"].dataType)
+    l = lists.select(*[F.col(k).alias(f"__l_{k}") for k in keys], "unexpected_index_list")
+    # NULL action is a group of its own: match keys null-safely
+    cond = reduce(lambda a, b: a & b, [report[k].eqNullSafe(l[f"__l_{k}"]) for k in keys])
+    return (
+        report.join(F.broadcast(l), cond, "left")
+        .drop(*[f"__l_{k}" for k in keys])
+        .withColumn("unexpected_index_list", F.coalesce("unexpected_index_list", empty))
     )
 
 
@@ -282,15 +286,15 @@ def row_report(
         return quiet
     details = df.select(
         col(id_col), F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v")
-    ).select("v.rule_id", "v.component_no", "v.unexpected_value", id_col)
+    ).select("v.rule_id", "v.component_no", "v.unexpected_value", col(id_col))
     if sample_limit is not None:
-        w = Window.partitionBy(*keys).orderBy(id_col)
+        w = Window.partitionBy(*keys).orderBy(col(id_col))
         details = details.withColumn("__rn", F.row_number().over(w)).where(
             F.col("__rn") <= sample_limit).drop("__rn")
     # one row per component: bounded by the rule set, safe to broadcast
     failed = head.where(~F.col("status") & ~F.col("schema_only"))
     failing = details.join(F.broadcast(failed), keys).select(
-        "expectation_type", "column", "status", "unexpected_count", "unexpected_value", id_col)
+        "expectation_type", "column", "status", "unexpected_count", "unexpected_value", col(id_col))
     return failing.unionByName(quiet)
 
 
