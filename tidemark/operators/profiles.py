@@ -29,6 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import col
 from .split_window import (
     CHUNK, DEFAULT_POLICY, FirstNonNull, Lag, LastNonNullBefore, LastNonNullUpTo, Lead,
     LaterNonNull, RowNumber, SplitPolicy, SplitWindow,
@@ -107,25 +108,26 @@ def pick_profile(df: DataFrame, keys: list[str], n: _Names, state_profile: str,
     drop = {"RN", "eDateToUse", n.r1, n.pid, CHUNK}
     cols = [c for c in df.columns if c not in drop]
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(
-            F.col(n.valid).desc_nulls_last(), F.col(n.eff).desc_nulls_last(),
-            F.col(n.pid).desc_nulls_last(), F.col(n.id).desc_nulls_last())
+        w = Window.partitionBy(*[col(k) for k in keys]).orderBy(
+            col(n.valid).desc_nulls_last(), col(n.eff).desc_nulls_last(),
+            col(n.pid).desc_nulls_last(), col(n.id).desc_nulls_last())
         return (
-            df.select(*cols, F.col(n.id).alias(state_profile), F.row_number().over(w).alias("__rk"))
+            df.select(*[col(c) for c in cols], col(n.id).alias(state_profile),
+                      F.row_number().over(w).alias("__rk"))
             .where(F.col("__rk") == 1)
             .drop("__rk")
         )
     rank = F.struct(
-        F.coalesce(F.col(n.valid), F.lit(-1)).alias("v"),
-        F.col(n.eff).alias("e"), F.col(n.pid).alias("p"), F.col(n.id).alias("i"),
+        F.coalesce(col(n.valid), F.lit(-1)).alias("v"),
+        col(n.eff).alias("e"), col(n.pid).alias("p"), col(n.id).alias("i"),
     )
     rest = [c for c in cols if c not in keys]
-    best = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("__best")
+    best = df.groupBy(*[col(k) for k in keys]).agg(
+        F.max_by(F.struct(*[col(c) for c in rest]), rank).alias("__best")
     )
     return best.select(
-        *keys, *[F.col(f"__best.{c}").alias(c) for c in rest],
-        F.col(f"__best.{n.id}").alias(state_profile),
+        *[col(k) for k in keys], *[F.col("__best")[c].alias(c) for c in rest],
+        F.col("__best")[n.id].alias(state_profile),
     )
 
 
