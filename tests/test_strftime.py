@@ -20,3 +20,37 @@ def test_mapped(fmt, expected):
 @pytest.mark.parametrize("fmt", ["%a %d", "%Y-%m-%d %z", "plain", "%c"])
 def test_unmapped_falls_back(fmt):
     assert to_spark_pattern(fmt) is None
+
+
+CASES = {
+    "%Y-%m-%d": ["2024-01-05", "2024-1-5", "2024-13-01", "2023-02-29", "2024-02-29", "24-01-05",
+                 "2024-01-05 ", " 2024-01-05", "2024/01/05"],
+    "%d/%m/%Y": ["05/01/2024", "5/1/2024", "32/01/2024"],
+    "%H:%M:%S": ["23:59:59", "24:00:00", "7:5:3", "12:60:00", "12:30", "12:30:01.5"],
+    "%H:%M:%S.%f": ["12:30:01.5", "12:30:01.123456", "12:30:01.1234567", "12:30:01"],
+    "%Y%m%d": ["20240105", "202401055"],
+    "%d %b %Y": ["05 Jan 2024", "05 jan 2024", "05 January 2024", "5 Jan 2024"],
+    "%d %B %Y": ["05 January 2024", "05 Jan 2024", "05 january 2024"],
+    "%I:%M %p": ["07:30 PM", "7:30 pm", "13:30 PM", "00:30 AM"],
+    "%j/%Y": ["032/2024", "32/2024", "366/2024"],
+    "%Y-%m-%dT%H:%M:%S": ["2024-01-05T10:00:00", "2024-01-05 10:00:00"],
+}
+
+
+def test_agrees_with_strptime(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.strftime import parses_with
+
+    rows = [(f, v) for f, vs in CASES.items() for v in vs]
+    df = spark.createDataFrame(rows, "fmt string, v string")
+    for fmt in CASES:
+        for r in df.where(F.col("fmt") == fmt).select("v", parses_with(F.col("v"), fmt).alias("ok")).collect():
+            try:
+                dt.datetime.strptime(r["v"], fmt)
+                want = True
+            except ValueError:
+                want = False
+            assert r["ok"] == want, (fmt, r["v"])
