@@ -120,3 +120,24 @@ def test_field_names_are_taken_literally(spark):
     from tidemark.operators.validate import failing_rows
     rows = failing_rows(df, suite, index_col="id x").collect()
     assert [(r["column_name"], r["id x"]) for r in rows] == [("a.b", 2)]
+
+
+def test_many_rules_are_chunked_consistently(spark):
+    import tidemark.operators.validate as V
+    from tidemark.operators.validate import failing_rows, row_report
+
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(30)], "id int, c string")
+    rules = [{"field_name": "c", "expectation": f"max_length({k})", "expectation_action": "warn"}
+             for k in range(1, 8)]
+    suite = compile_rules(spark, rules, df.schema)
+    want = sorted(tuple(r) for r in failing_rows(df, suite, index_col="id").collect())
+    want_rr = sorted(tuple(r) for r in row_report(df, suite, "id").collect())
+    old = V.MAX_COMPONENTS_PER_PASS
+    try:
+        V.MAX_COMPONENTS_PER_PASS = 2
+        assert len(V._chunks(suite, V.MAX_COMPONENTS_PER_PASS)) == 4
+        got = sorted(tuple(r) for r in failing_rows(df, suite, index_col="id").collect())
+        got_rr = sorted(tuple(r) for r in row_report(df, suite, "id").collect())
+    finally:
+        V.MAX_COMPONENTS_PER_PASS = old
+    assert got == want and got_rr == want_rr

@@ -6,7 +6,7 @@ Physical shape, whatever the number of rules:
   failing rows per rule) comes from **one** ``agg`` over the table - partial
   aggregates per task, a single tiny merge; rules are chunked (about 200
   components per pass) only to stay within codegen method limits;
-* failing rows come from **one** narrow projection: every row emits one
+* failing rows come from **one** narrow projection (per chunk of rules): every row emits one
   ``(rule, value)`` struct per failing rule via ``explode(filter(array(...)))``
   - no shuffle, no per-rule job. They are kept only for rules whose verdict
   is false, by a join against the verdicts (one row per rule, broadcast).
@@ -36,7 +36,8 @@ def _lit_str(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
-def _chunks(suite: Suite, limit: int = MAX_COMPONENTS_PER_PASS) -> list[list[CompiledRule]]:
+def _chunks(suite: Suite, limit: int | None = None) -> list[list[CompiledRule]]:
+    limit = limit or MAX_COMPONENTS_PER_PASS
     out: list[list[CompiledRule]] = [[]]
     size = 0
     for rule in suite.rules:
@@ -193,17 +194,21 @@ def failing_rows(
     One row per (rule, row): a row failing several components of a rule is
     listed once. ``verdicts`` may pass an already computed ``rule_summary``.
     """
-    structs = [
-        F.when(r.any_fail(), F.struct(
-            F.lit(r.rule_id).alias("rule_id"),
-            col(r.column).cast("string").alias("value"),
-        ))
-        for r in suite.rules
-    ]
-    long = df.select(
-        col(index_col),
-        F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v"),
-    ).select("v.rule_id", col(index_col), "v.value")
+    def project(rules: list[CompiledRule]) -> DataFrame:
+        structs = [
+            F.when(r.any_fail(), F.struct(
+                F.lit(r.rule_id).alias("rule_id"),
+                col(r.column).cast("string").alias("value"),
+            ))
+            for r in rules
+        ]
+        return df.select(
+            col(index_col),
+            F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v"),
+        ).select("v.rule_id", col(index_col), "v.value")
+
+    # same rule chunks as the aggregate: one narrow pass per chunk
+    long = reduce(DataFrame.unionByName, [project(chunk) for chunk in _chunks(suite)])
     if verdicts is None:
         verdicts = rule_summary(df, suite)
     # one row per rule: size bounded by the rule count, safe to broadcast
@@ -273,20 +278,26 @@ def row_report(
         F.lit(None).cast("string").alias("unexpected_value"),
         F.lit(None).cast(id_type).alias(id_col),
     )
-    structs = [
-        F.when(c.check.fail, F.struct(
-            F.lit(r.rule_id).alias("rule_id"),
-            F.lit(c.no).alias("component_no"),
-            col(r.column).cast("string").alias("unexpected_value"),
-        ))
-        for r, c in suite.components
-        if c.check.static_success is None
-    ]
-    if not structs:
+    def project(rules: list[CompiledRule]) -> DataFrame | None:
+        structs = [
+            F.when(c.check.fail, F.struct(
+                F.lit(r.rule_id).alias("rule_id"),
+                F.lit(c.no).alias("component_no"),
+                col(r.column).cast("string").alias("unexpected_value"),
+            ))
+            for r in rules for c in r.components
+            if c.check.static_success is None
+        ]
+        if not structs:
+            return None
+        return df.select(
+            col(id_col), F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v")
+        ).select("v.rule_id", "v.component_no", "v.unexpected_value", col(id_col))
+
+    parts = [p for p in (project(chunk) for chunk in _chunks(suite)) if p is not None]
+    if not parts:
         return quiet
-    details = df.select(
-        col(id_col), F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v")
-    ).select("v.rule_id", "v.component_no", "v.unexpected_value", col(id_col))
+    details = reduce(DataFrame.unionByName, parts)
     if sample_limit is not None:
         w = Window.partitionBy(*keys).orderBy(col(id_col))
         details = details.withColumn("__rn", F.row_number().over(w)).where(
