@@ -41,8 +41,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered.
+    Read from the session; only when it is unset and Spark runs locally
+    (tests) a scratch folder is created and registered. On a cluster an unset
+    folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder: a machine-local "
+                "folder is not visible to the executors")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
