@@ -220,3 +220,23 @@ def test_index_lists_for_rule_with_null_action(spark):
                                 index_list_limit=3)
     r = rep.collect()[0]
     assert r["action"] is None and [x["id"] for x in r["unexpected_index_list"]] == [2]
+
+
+def test_date_helpers_in_either_form(spark):
+    base = profiles(spark).drop("EscheatDate")
+    esc = {pid: e for _, _, _, pid, e, _, _ in PROFILE_ROWS}  # SP_ID -> escheat date
+
+    def long_form(prefix, df, field):
+        m = spark.createDataFrame([(i, _d(e)) for i, e in esc.items()], f"SP_ID int, `{field}` date")
+        return df.join(m, "SP_ID")
+
+    def due_long(prefix, df, field, due):
+        return df.withColumn(due, F.date_add(F.col(field), 30))
+
+    out = set_state_profile(
+        prefix="P", df=base, unique_fields=["Key"], state_profile="StateProfile",
+        escheat_date_field_name="EscheatDate", escheat_due_date_field_name="EscheatDueDate",
+        state_profiles_prefix="SP_", set_escheat_date=long_form, get_escheat_due_date=due_long,
+    )
+    assert "EscheatDueDate" in out.columns
+    assert {r["Key"]: r["StateProfile"] for r in out.collect()}["K6"] == 601

@@ -24,6 +24,7 @@ in parallel, each window completed by a carry from the other chunks
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -35,6 +36,7 @@ from .split_window import (
     LaterNonNull, RowNumber, SplitPolicy, SplitWindow,
 )
 
+# The effective-date type that gets the round-1 check.
 SOLD_ON_OR_AFTER = "SOLDONORAFTER"
 LOOKBACKS = ("running", "adjacent")
 
@@ -131,6 +133,16 @@ def pick_profile(df: DataFrame, keys: list[str], n: _Names, state_profile: str,
     )
 
 
+def _derive(fn: Callable, df: DataFrame, prefix: str, *names: str) -> DataFrame:
+    """Apply a date-deriving helper: ``fn(df)``, or the longer form
+    ``fn(profiles_prefix, df, escheat_field[, due_field])``."""
+    try:
+        arity = len(inspect.signature(fn).parameters)
+    except (TypeError, ValueError):
+        arity = 1
+    return df.transform(fn) if arity <= 1 else fn(prefix, df, *names)
+
+
 def set_state_profile(
     prefix: str,
     df: DataFrame,
@@ -149,16 +161,20 @@ def set_state_profile(
 
     ``set_escheat_date`` / ``get_escheat_due_date`` derive the escheat date
     and its due date (``escheat_date_field_name`` /
-    ``escheat_due_date_field_name``); pass None when the columns exist.
+    ``escheat_due_date_field_name``): either ``DataFrame -> DataFrame`` or
+    ``(state_profiles_prefix, df, escheat_date_field_name[,
+    escheat_due_date_field_name]) -> DataFrame``; pass None when the columns
+    exist.
     Output: the input columns except ``{P}ProfileId``, the derived dates,
     ``{prefix}_ValidProfile`` and ``state_profile`` (= ``{P}ID``).
     """
     if lookback not in LOOKBACKS:
         raise ValueError(f"lookback must be one of {LOOKBACKS}")
     if set_escheat_date is not None:
-        df = df.transform(set_escheat_date)
+        df = _derive(set_escheat_date, df, state_profiles_prefix, escheat_date_field_name)
     if get_escheat_due_date is not None:
-        df = df.transform(get_escheat_due_date)
+        df = _derive(get_escheat_due_date, df, state_profiles_prefix, escheat_date_field_name,
+                     escheat_due_date_field_name)
     for needed in (escheat_date_field_name,):
         if needed not in df.columns:
             raise ValueError(f"column {needed!r} missing; pass set_escheat_date")
