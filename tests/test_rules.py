@@ -121,3 +121,17 @@ def test_and_or_fold_matches_boolean_text(n):
         for bools in itertools.product([True, False], repeat=n):
             got = any(all(bools[c.no - 1] for c in g) for g in rule.groups())
             assert got == _fold(bools, ops), (ops, bools)
+
+
+def test_skipped_rules_are_listed(spark):
+    schema = T.StructType([T.StructField("c", T.StringType())])
+    rules = [
+        {"field_name": "c", "expectation": "required", "expectation_action": "warn"},
+        {"field_name": "c", "expectation": "bogus(1)", "expectation_action": "warn"},
+        {"field_name": "c", "expectation": None, "expectation_action": "warn"},
+        {"field_name": "gone", "expectation": "required", "expectation_action": "warn"},
+    ]
+    want = {("c", "bogus(1)", "unknown rule name"), ("c", None, "no expectation"),
+            ("gone", "required", "column not found")}
+    assert set(compile_rules(spark, rules, schema).skipped) == want
+    assert set(compile_rules(spark, rules_frame(spark, rules), schema).skipped) == want

@@ -24,6 +24,7 @@ Decisions on the text form:
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -211,9 +212,14 @@ def compile_rules(
     if as_of is None:
         as_of = _dt.datetime.now()
     if isinstance(rules, DataFrame):
-        rows = expand_rules(rules.select(*RULE_COLUMNS), expand_required).collect()
+        frame = rules.select(*RULE_COLUMNS)
+        rows = expand_rules(frame, expand_required).collect()
+        unknown = [(r["field_name"], r["expectation"]) for r in skipped_rules(frame).collect()]
     else:
         rows = _expanded_list(spark, _rule_key(rules), expand_required)
+        unknown = [(r.get("field_name"), r.get("expectation")) for r in rules
+                   if r.get("expectation") is None
+                   or not re.match(KNOWN_PATTERN, r["expectation"])]
 
     by_rule: dict[tuple, dict[int, object]] = {}
     for row in rows:
@@ -222,7 +228,8 @@ def compile_rules(
 
     fields = {f.name: f.dataType for f in schema.fields}
     compiled: list[CompiledRule] = []
-    skipped: list[tuple[str, str, str]] = []
+    skipped: list[tuple[str, str, str]] = [
+        (f, e, "no expectation" if e is None else "unknown rule name") for f, e in unknown]
     for key in sorted(by_rule, key=lambda k: tuple("" if v is None else str(v) for v in k)):
         column, expectation, action = key
         if column not in fields:
