@@ -58,9 +58,9 @@ def _order(n: _Names) -> list[str]:
 
 def profile_round1(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) -> DataFrame:
     """F2-F4: eDateToUse, round-1 flag, demotion by later valid rows."""
-    eff = F.col(n.eff)
+    eff = col(n.eff)
     flag = F.when(
-        F.col(n.typ) == SOLD_ON_OR_AFTER,
+        col(n.typ) == SOLD_ON_OR_AFTER,
         F.when(
             (eff <= F.col("SoldDate"))
             | (F.col("ReplacementDate").isNotNull() & (eff <= F.col("ReplacementDate"))),
@@ -70,7 +70,7 @@ def profile_round1(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) ->
     out = df.withColumn("__tm_r1", flag)
     valid_mark = F.when(F.col("__tm_r1") == 1, F.lit(1))
     demote_op = LaterNonNull(valid_mark) if lookback == "running" else Lead(valid_mark, 1)
-    out = sw.add(out, eDateToUse=FirstNonNull(F.col(n.esc)), __tm_demote=demote_op)
+    out = sw.add(out, eDateToUse=FirstNonNull(col(n.esc)), __tm_demote=demote_op)
     r1 = F.when(F.col("__tm_demote").isNotNull(), F.lit(0)).otherwise(F.col("__tm_r1"))
     cols = [c for c in out.columns if c not in ("__tm_r1", "__tm_demote", "eDateToUse")]
     return out.select(*cols, "eDateToUse", r1.alias(n.r1))
@@ -78,7 +78,7 @@ def profile_round1(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) ->
 
 def profile_round2(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) -> DataFrame:
     """F5-F7: drop demoted rows, number the rest, round-2 flag, invalidation."""
-    r1, eff, esc = F.col(n.r1), F.col(n.eff), F.col(n.esc)
+    r1, eff, esc = col(n.r1), col(n.eff), col(n.esc)
     kept = sw.add(df.where(r1.isNull() | (r1 == 1)), RN=RowNumber())
     kept = kept.where((r1 == 1) | (F.col("RN") == 1) | esc.isNull() | (eff <= esc))
     if lookback == "running":
