@@ -1,9 +1,12 @@
 """Registered queries over the driver's tables.
 
-Every query reads whole tables (nothing sampled or capped). The driver tables
-hold no NULLs, so NULLs are injected by a fixed expression, mirrored in the
-SQL oracle. Outputs are scalar columns (ids, counts, flags, text values);
-dates leave as day numbers so both engines hash them alike.
+Every query reads whole tables; the only limits are the features themselves
+(``dq_row_report_sample``: first 5 failing rows per check; ``dq_index_list``:
+first 20 per rule). The driver tables hold no NULLs, so NULLs are injected by
+a fixed expression, mirrored in the SQL oracle. Outputs are scalar columns
+(ids, counts, flags, text values); dates leave as day numbers so both engines
+hash them alike. The ``*_hot`` queries repeat window and profile queries with
+tiny hot-key thresholds, so the split plan is checked against the same SQL.
 """
 
 from __future__ import annotations
