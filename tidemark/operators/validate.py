@@ -8,8 +8,9 @@ Physical shape, whatever the number of rules:
   components per pass) only to stay within codegen method limits;
 * failing rows come from **one** narrow projection (per chunk of rules): every row emits one
   ``(rule, value)`` struct per failing rule via ``explode(filter(array(...)))``
-  - no shuffle, no per-rule job. They are kept only for rules whose verdict
-  is false, by a join against the verdicts (one row per rule, broadcast).
+  - no shuffle, no per-rule job. Only rules with ``or`` need their verdicts
+  (they can pass with failing rows): those are dropped by an anti join
+  against the passing ones (one row per rule, broadcast).
 
 AND/OR is combined at data-set level, as the checks are: a rule ``A or B``
 fails when both components have unexpected rows, even if they are different
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import col
 from ..plans.rules import CompiledRule, Suite, compile_rules, lookup_rules
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, local_frame
 from .row_index import with_row_index
 
 MAX_COMPONENTS_PER_PASS = 200
@@ -126,19 +127,17 @@ def _component_rows(rules: list[CompiledRule]) -> Column:
 
 
 def _rule_meta(df: DataFrame, suite: Suite) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [(r.rule_id, r.column, r.expectation, r.action) for r in suite.rules],
-        "rule_id int, column_name string, expectation string, action string",
-    )
+    rows = [(r.rule_id, r.column, r.expectation, r.action) for r in suite.rules]
+    return local_frame(df.sparkSession, rows,
+                       "rule_id int, column_name string, expectation string, action string")
 
 
 def _component_meta(df: DataFrame, suite: Suite) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [(r.rule_id, c.no, r.column, r.expectation, r.action, c.operator, c.name)
-         for r, c in suite.components],
-        "rule_id int, component_no int, column_name string, expectation string, "
-        "action string, operator string, rule_name string",
-    )
+    rows = [(r.rule_id, c.no, r.column, r.expectation, r.action, c.operator, c.name)
+            for r, c in suite.components]
+    return local_frame(df.sparkSession, rows,
+                       "rule_id int, component_no int, column_name string, expectation string, "
+                       "action string, operator string, rule_name string")
 
 
 def _per_chunk(df: DataFrame, suite: Suite, rows_fn) -> DataFrame:
@@ -192,8 +191,13 @@ def failing_rows(
     column_name, expectation, action, <index_col>, value (as text).
 
     One row per (rule, row): a row failing several components of a rule is
-    listed once. ``verdicts`` may pass an already computed ``rule_summary``.
+    listed once. A rule without ``or`` fails exactly when some row fails one
+    of its components, so its rows need no verdict; only rules with ``or``
+    (which may pass with failing rows) are checked against their verdicts -
+    computed for those rules alone, or taken from ``verdicts``. A rule set
+    without ``or`` is therefore a single narrow pass.
     """
+
     def project(rules: list[CompiledRule]) -> DataFrame:
         structs = [
             F.when(r.any_fail(), F.struct(
@@ -209,13 +213,15 @@ def failing_rows(
 
     # same rule chunks as the aggregate: one narrow pass per chunk
     long = reduce(DataFrame.unionByName, [project(chunk) for chunk in _chunks(suite)])
-    if verdicts is None:
-        verdicts = rule_summary(df, suite)
-    # one row per rule: size bounded by the rule count, safe to broadcast
-    failed = verdicts.where(~F.col("success")).select(
-        "rule_id", "column_name", "expectation", "action")
+    with_or = [r for r in suite.rules if any(c.operator == "or" for c in r.components)]
+    if with_or:
+        if verdicts is None:
+            verdicts = rule_summary(df, Suite(tuple(with_or)))
+        # one row per rule: size bounded by the rule count, safe to broadcast
+        passed = verdicts.where(F.col("success")).select("rule_id")
+        long = long.join(F.broadcast(passed), "rule_id", "left_anti")
     return (
-        long.join(F.broadcast(failed), "rule_id")
+        long.join(F.broadcast(_rule_meta(df, suite)), "rule_id")
         .select("column_name", "expectation", "action", col(index_col), "value")
     )
 
@@ -269,7 +275,7 @@ def row_report(
     )
     # The verdicts (one row per rule component) feed both halves of the
     # report; taking them once keeps the data to two scans (counts, details).
-    head = df.sparkSession.createDataFrame(head.collect(), head.schema)
+    head = local_frame(df.sparkSession, [tuple(r) for r in head.collect()], head.schema)
     id_type = df.schema[id_col].dataType
     quiet = head.where(F.col("status") | F.col("schema_only")).select(
         "expectation_type", "column", "status",

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from ..functions.checks import RULE_NAMES, WHOLE_ARGUMENT_RULES, Check, RuleError, build_check
 from ..functions.names import col
+from ..session import local_frame
 
 SPLIT_PATTERN = r"\s+(?:and|or)\s+(?![^(]*\))"
 OPERATOR_PATTERN = r"\s+(and|or)\s+(?![^(]*\))"
@@ -52,7 +53,7 @@ RULES_SCHEMA = T.StructType([
 def rules_frame(spark: SparkSession, rules: list[dict]) -> DataFrame:
     """Rules passed in code (list of dicts) as a DataFrame."""
     rows = [tuple(r.get(f.name) for f in RULES_SCHEMA.fields) for r in rules]
-    return spark.createDataFrame(rows, RULES_SCHEMA)
+    return local_frame(spark, rows, RULES_SCHEMA)
 
 
 def lookup_rules(rules: DataFrame, system_id: int, table_name: str) -> DataFrame:

@@ -6,7 +6,9 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -58,3 +60,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def _ddl_width(ddl: str) -> int:
+    """Number of top-level fields in a DDL schema string."""
+    depth, width = 0, 1
+    for ch in ddl:
+        depth += ch in "(<"
+        depth -= ch in ")>"
+        width += ch == "," and depth == 0
+    return width
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A small driver-side table (rule metadata, verdicts) as a DataFrame.
+
+    Built from pandas, so with Arrow enabled it becomes a local relation that
+    the plan reads on the driver, without a job of its own.
+    """
+    width = len(schema.fields) if isinstance(schema, T.StructType) else _ddl_width(schema)
+    pdf = pd.DataFrame.from_records(rows, columns=[f"_{i}" for i in range(width)])
+    pdf = pdf.astype(object).where(pdf.notna(), None)
+    return spark.createDataFrame(pdf, schema)  # columns match the schema by position
