@@ -141,3 +141,18 @@ def test_many_rules_are_chunked_consistently(spark):
     finally:
         V.MAX_COMPONENTS_PER_PASS = old
     assert got == want and got_rr == want_rr
+
+
+def test_schema_verdict_inside_or_rule(spark):
+    from tidemark.operators.validate import failing_rows
+
+    df = spark.createDataFrame([(1, "long text"), (2, "x")], "id int, c string")
+    for expectation, passed in (("data_type(string) or max_length(1)", True),
+                                ("data_type(int) or max_length(1)", False),
+                                ("data_type(string) and max_length(1)", False)):
+        suite = compile_rules(spark, [{"field_name": "c", "expectation": expectation,
+                                       "expectation_action": "warn"}], df.schema)
+        r = rule_summary(df, suite).collect()[0]
+        ids = sorted(x["id"] for x in failing_rows(df, suite, index_col="id").collect())
+        assert (r["success"], r["unexpected_count"], ids) == (
+            (True, 0, []) if passed else (False, 1, [1])), expectation
