@@ -415,6 +415,52 @@ SELECT AccountId, SP_ID, CAST(RN AS BIGINT) AS RN, vp AS Acct_ValidProfile FROM
 }
 
 
+def _catalogue_report() -> str:
+    """Verdicts of the catalogue's rule texts on each string column of part,
+    joined to the distinct active rules of system 2 / 'economy'."""
+    texts = {
+        "required": (["{f} IS NULL", "length({f}) < 1"], "c1 AND c2", 1),
+        "choice('A','B') or min_length(3)": (
+            ["{f} NOT IN ('A', 'B')", "length({f}) < 3"], "c1 OR c2", 2),
+        "choice('salt and pepper')": (["{f} <> 'salt and pepper'"], "c1", 1),
+        "Required and max_length(20)": (
+            ["{f} IS NULL", "length({f}) < 1", "length({f}) > 20"], "c1 AND c2 AND c3", 2),
+        "string_format(^[a-z]+ [a-z]+$) and max_length(12)": (
+            ["NOT regexp_matches({f}, '^[a-z]+ [a-z]+$')", "length({f}) > 12"], "c1 AND c2", 2),
+        "not_future_date or string_validation(ring)": (
+            ["{f} > '2024-01-15 00:00:00'", "NOT regexp_matches({f}, '.*ring.*')"], "c1 OR c2", 2),
+    }
+    blocks = []
+    for f in ("p_name", "p_brand", "p_type"):
+        for text, (fails, combine, missing_components) in texts.items():
+            preds = [x.format(f=f) for x in fails]
+            counts = ", ".join(f"count(*) FILTER (WHERE {p}) AS f{i + 1}" for i, p in enumerate(preds))
+            verdict = combine
+            for i in range(len(preds), 0, -1):
+                verdict = verdict.replace(f"c{i}", f"(f{i} = 0)")
+            anyf = " OR ".join(f"({p})" for p in preds)
+            t = text.replace("'", "''")
+            blocks.append(
+                f"SELECT '{f}' AS field_name, '{t}' AS expectation, {verdict} AS success, "
+                f"CAST({missing_components} * nulls AS BIGINT) AS missing_count, "
+                f"CAST(CASE WHEN {verdict} THEN 0 ELSE anyf END AS BIGINT) AS unexpected_count "
+                f"FROM (SELECT {counts}, count(*) FILTER (WHERE {anyf}) AS anyf, "
+                f"count(*) FILTER (WHERE {f} IS NULL) AS nulls FROM part)")
+    verdicts = "\nUNION ALL\n".join(blocks)
+    return f"""WITH {_CATALOGUE},
+rules AS (
+  SELECT DISTINCT field_name, expectation, expectation_action FROM cat
+  WHERE lower(table_name) = 'economy' AND source_system_id = 2 AND active = 1
+    AND expectation IS NOT NULL),
+v AS ({verdicts})
+SELECT 'Economy' AS table_name, r.field_name AS column_name, r.expectation,
+  r.expectation_action AS action, v.success, v.missing_count, v.unexpected_count,
+  'b-cat' AS batch_id
+FROM rules r JOIN v ON r.field_name = v.field_name AND r.expectation = v.expectation"""
+
+
+ORACLE_SQL["dq_catalogue_report"] = _catalogue_report()
+
 ORACLE_SQL["dq_index_list"] = f"""
 SELECT column_name, expectation, FALSE AS success, CAST(n AS BIGINT) AS unexpected_count,
   doc_id, value

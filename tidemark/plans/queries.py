@@ -367,6 +367,17 @@ def q_dq_report(spark, sf):
     return _report_cols(rep)
 
 
+def q_dq_catalogue_report(spark, sf):
+    """A1 -> D2 -> D11 from a rules DataFrame: the active 'Economy' rules of
+    system 2 in the derived catalogue (mixed case, duplicates, unknown names,
+    a missing column) checked on ``part``."""
+    rules = lookup_rules(rule_catalogue(spark, sf), 2, "Economy")
+    part = read_table(spark, sf, "part")
+    _, rep = check_data_quality(2, "tpch", "Economy", "b-cat", rules=rules, df=part,
+                                index_col="p_partkey", as_of=AS_OF, processed_at=PROCESSED_AT)
+    return _report_cols(rep)
+
+
 def _customer_q(spark, sf) -> DataFrame:
     c = read_table(spark, sf, "customer")
     return c.select(
@@ -516,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "dq_failing_rows": q_dq_failing_rows,
     "dq_index_list": q_dq_index_list,
     "dq_report": q_dq_report,
+    "dq_catalogue_report": q_dq_catalogue_report,
     "dq_row_report": q_dq_row_report,
     "dq_row_report_sample": q_dq_row_report_sample,
     **{name: _win_query(name) for name in WINDOW_OPS},
