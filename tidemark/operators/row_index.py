@@ -44,16 +44,15 @@ def with_row_index(
       order is requested.
     """
     if order_by:
-        spark = df.sparkSession
-        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         # A per-row tie-breaker lets the range partitioner split a value that
-        # many rows share (ties are numbered in arbitrary order anyway).
-        df = (
-            df.withColumn("__tm_tie", F.monotonically_increasing_id())
-            .repartitionByRange(n, *order_by, "__tm_tie")
-            .sortWithinPartitions(*order_by, "__tm_tie")
-            .drop("__tm_tie")
-        )
+        # many rows share (ties are numbered in arbitrary order anyway). The
+        # partition count is AQE's unless given: the checkpoint below fixes
+        # whatever layout the sort produced.
+        keys = [*order_by, "__tm_tie"]
+        ranged = df.withColumn("__tm_tie", F.monotonically_increasing_id())
+        ranged = (ranged.repartitionByRange(num_partitions, *keys) if num_partitions
+                  else ranged.repartitionByRange(*keys))
+        df = ranged.sortWithinPartitions(*keys).drop("__tm_tie")
         if materialize is None:
             materialize = True
     if materialize:
