@@ -84,3 +84,18 @@ def test_null_key_is_split_like_any_other(spark):
     want = {r["i"]: (r["rn"], r["prev"], r["nxt"], r["later"])
             for r in plain.add(df, **ops()).collect()}
     assert got == want
+
+
+def test_composite_keys(spark):
+    rows = [(g % 2, g // 2, t, i, float(i % 7) if i % 4 else None)
+            for i, (g, t) in enumerate((g, t) for g in range(4) for t in range(15))]
+    df = spark.createDataFrame(rows, "a int, b int, t int, i int, v double")
+    ops = lambda: dict(rn=RowNumber(), prev=LastNonNullBefore(F.col("v")),
+                       nxt=Lead(F.col("v"), 2), later=LaterNonNull(F.col("v")))
+    res = {}
+    for label, policy in (("plain", None), ("split", SplitPolicy(hot_rows=5, chunk_rows=4))):
+        sw = SplitWindow(df, ["a", "b"], ["t", "i"], policy)
+        assert sw.split == (policy is not None)
+        res[label] = {r["i"]: (r["rn"], r["prev"], r["nxt"], r["later"])
+                      for r in sw.finish(sw.add(sw.prepare(df), **ops())).collect()}
+    assert res["plain"] == res["split"]
