@@ -240,3 +240,25 @@ def test_date_helpers_in_either_form(spark):
     )
     assert "EscheatDueDate" in out.columns
     assert {r["Key"]: r["StateProfile"] for r in out.collect()}["K6"] == 601
+
+
+def test_entry_point_edges(spark):
+    import pytest
+
+    df = users(spark).withColumn("RowIndex", F.col("user_id").cast("long") * 10)
+    with pytest.raises(ValueError):
+        check_data_quality(1, "crm", "users", "b1", rules=[], df=df)
+    out, rep = check_data_quality(1, "crm", "users", "b1", rules=RULES, df=df, index_list_limit=5)
+    assert sorted(r["RowIndex"] for r in out.collect()) == [10, 20, 30, 40, 50, 60]
+    lists = {r["column_name"]: [x["RowIndex"] for x in r["unexpected_index_list"]]
+             for r in rep.collect()}
+    assert lists == {"name": [50], "email": [30, 50, 60]}
+    with pytest.raises(ValueError):
+        set_state_profile(prefix="P", df=profiles(spark), unique_fields=["Key"],
+                          state_profile="S", escheat_date_field_name="EscheatDate",
+                          escheat_due_date_field_name="D", state_profiles_prefix="SP_",
+                          lookback="sideways")
+    with pytest.raises(ValueError):
+        set_state_profile(prefix="P", df=profiles(spark).drop("EscheatDate"), unique_fields=["Key"],
+                          state_profile="S", escheat_date_field_name="EscheatDate",
+                          escheat_due_date_field_name="D", state_profiles_prefix="SP_")
