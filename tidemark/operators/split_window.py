@@ -29,10 +29,14 @@ below the exchange), narrowed to the columns it needs. Keys below the
 threshold keep the plain plan: one hash exchange on the keys, one sort, the
 window chain.
 
-Hot keys are detected on a seeded Bernoulli sample (about
-``sample_per_chunk`` rows expected per chunk, the whole input when it is
-small) with one partially aggregated count per key - the only eager step
-returning to the driver, two numbers; ``policy=None`` skips detection.
+Carries are computed with frames linear in the number of chunks (growing
+frames, or lag/lead over chunk rows: a non-empty chunk has at least one row,
+so n chunks back or ahead supply n values).
+
+Hot keys are detected on a seeded Bernoulli sample (fraction
+``sample_per_chunk / chunk_rows``, capped at 1) with one partially aggregated
+count per key - the only eager step returning to the driver, two numbers;
+``policy=None`` skips detection.
 """
 
 from __future__ import annotations
@@ -42,12 +46,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import col
 from ..session import checkpoint_dir
 
-from pyspark.sql import types as T
-
 CHUNK = "__tm_chunk"
 _SPLITTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
