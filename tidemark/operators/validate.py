@@ -168,11 +168,15 @@ def quality_report(
     table_name: str | None = None,
     batch_id: str | None = None,
     processed_at: _dt.datetime | None = None,
+    verdicts: DataFrame | None = None,
 ) -> DataFrame:
     """The rule report: table_name, column_name, expectation, action, success,
-    missing_count, unexpected_count, proccesed_datetime, batch_id."""
+    missing_count, unexpected_count, proccesed_datetime, batch_id.
+    ``verdicts`` may pass an already built ``rule_summary``."""
     stamp = F.lit(processed_at) if processed_at is not None else F.current_timestamp()
-    return rule_summary(df, suite).select(
+    if verdicts is None:
+        verdicts = rule_summary(df, suite)
+    return verdicts.select(
         _lit_str(table_name).alias("table_name"),
         "column_name", "expectation", "action", "success",
         "missing_count", "unexpected_count",
@@ -370,9 +374,11 @@ def check_data_quality(
     suite = compile_rules(spark, rules, base.schema, as_of=as_of)
     # the report needs no row numbers: it reads the batch once, without the
     # numbering's extra counting pass
+    verdicts = rule_summary(base, suite)
     report = quality_report(base, suite, table_name=table_name, batch_id=batch_id,
-                            processed_at=processed_at)
+                            processed_at=processed_at, verdicts=verdicts)
     if index_list_limit is not None:
-        failing = failing_rows(df, suite, index_col=index_col)
+        # the same verdicts feed the report and the OR-rule filter: one aggregate
+        failing = failing_rows(df, suite, index_col=index_col, verdicts=verdicts)
         report = with_index_lists(report, failing, index_col, index_list_limit)
     return df, report
