@@ -300,18 +300,30 @@ class SplitWindow:
         chunks = max(2, min(p.max_chunks, math.ceil(row["largest"] / p.chunk_rows)))
         fractions = [i / chunks for i in range(1, chunks)]
         hot_keys = hot.select(*[col(k) for k in self.keys])
-        splits = (
+        bounds = (
             # hot keys were counted just above
             _join_on_keys(probe, hot_keys, self.keys, "left_semi",
                           broadcast=row["keys"] <= p.broadcast_limit)
             .groupBy(*[col(k) for k in self.keys])
-            .agg(F.array_distinct(
-                F.percentile_approx(col(first), fractions, p.accuracy)).alias(SPLITS))
+            .agg(
+                F.array_distinct(
+                    F.percentile_approx(col(first), fractions, p.accuracy)).alias(SPLITS),
+                (F.count(F.lit(1)) / F.lit(fraction)).alias("__tm_n"),
+            )
+        )
+        # Thin each key's bounds to its own size (~rows / chunk_rows chunks):
+        # a key just over the threshold is not cut as finely as the largest.
+        want = F.greatest(F.ceil(F.col("__tm_n") / F.lit(p.chunk_rows)), F.lit(2))
+        step = F.greatest(F.floor(F.lit(chunks) / want), F.lit(1))
+        splits = bounds.select(
+            *[col(k) for k in self.keys],
+            F.filter(F.col(SPLITS), lambda x, i: ((i + 1) % step) == 0).alias(SPLITS),
         )
         # written once: every round and the final plan read the bounds back
         checkpoint_dir(df.sparkSession)
         self.splits = splits.checkpoint(eager=True)
-        self.broadcast_splits = row["keys"] * chunks <= p.broadcast_limit
+        total = self.splits.agg(F.sum(F.size(SPLITS) + 1)).collect()[0][0] or 0
+        self.broadcast_splits = total <= p.broadcast_limit  # (hot key, chunk) rows, counted
 
     def spec(self) -> WindowSpec:
         parts = self.keys + ([CHUNK] if self.split else [])
