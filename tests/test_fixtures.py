@@ -262,3 +262,13 @@ def test_entry_point_edges(spark):
         set_state_profile(prefix="P", df=profiles(spark).drop("EscheatDate"), unique_fields=["Key"],
                           state_profile="S", escheat_date_field_name="EscheatDate",
                           escheat_due_date_field_name="D", state_profiles_prefix="SP_")
+
+
+def test_pick_keeps_input_column_order(spark):
+    kw = dict(prefix="P", unique_fields=["Key"], state_profile="StateProfile",
+              escheat_date_field_name="EscheatDate", escheat_due_date_field_name="D",
+              state_profiles_prefix="SP_")
+    a = set_state_profile(df=profiles(spark), **kw).columns
+    b = set_state_profile(df=profiles(spark), pick="window", **kw).columns
+    assert a == b
+    assert a[-2:] == ["P_ValidProfile", "StateProfile"] and "SP_ProfileId" not in a

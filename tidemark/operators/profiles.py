@@ -127,8 +127,9 @@ def pick_profile(df: DataFrame, keys: list[str], n: _Names, state_profile: str,
     best = df.groupBy(*[col(k) for k in keys]).agg(
         F.max_by(F.struct(*[col(c) for c in rest]), rank).alias("__best")
     )
+    # input column order kept, then the chosen profile id
     return best.select(
-        *[col(k) for k in keys], *[F.col("__best")[c].alias(c) for c in rest],
+        *[col(c) if c in keys else F.col("__best")[c].alias(c) for c in cols],
         F.col("__best")[n.id].alias(state_profile),
     )
 
