@@ -25,18 +25,25 @@ def _window_rows(seed):
     for g in range(12):
         for _ in range(rnd.randint(1, 30)):
             v = None if rnd.random() < 0.35 else round(rnd.uniform(0, 9), 2)
-            rows.append((g, rnd.randint(0, 6), i, v, rnd.randint(0, 1)))
+            t = None if rnd.random() < 0.1 else rnd.randint(0, 6)
+            rows.append((g, t, i, v, rnd.randint(0, 1)))
             i += 1
     return rows
 
 
-def _brute_windows(rows):
+def _sort_key(descending):
+    if descending:  # t DESC NULLS LAST, then i
+        return lambda r: (r[1] is None, -(r[1] or 0), r[2])
+    return lambda r: (r[1] is not None, r[1] or 0, r[2])  # t ASC NULLS FIRST, then i
+
+
+def _brute_windows(rows, descending=False):
     out = {}
     groups = {}
     for r in rows:
         groups.setdefault(r[0], []).append(r)
     for g, rs in groups.items():
-        rs.sort(key=lambda r: (r[1], r[2]))
+        rs.sort(key=_sort_key(descending))
         vals = [r[3] for r in rs]
         for k, r in enumerate(rs):
             nn_upto = [v for v in vals[:k + 1] if v is not None]
@@ -56,9 +63,9 @@ def _brute_windows(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed,descending", [(1, False), (2, True), (3, False), (4, True)])
 @pytest.mark.parametrize("policy", [None, SPLIT])
-def test_windows_match_brute_force(spark, seed, policy):
+def test_windows_match_brute_force(spark, seed, descending, policy):
     rows = _window_rows(seed)
     df = spark.createDataFrame(rows, "g int, t int, i int, v double, f int")
     ops = dict(
@@ -67,11 +74,12 @@ def test_windows_match_brute_force(spark, seed, policy):
         lead1=Lead(F.col("v")), lead2=Lead(F.col("f"), 2),
         later=LaterNonNull(F.when(F.col("f") == 1, F.col("i"))),
     )
-    sw = SplitWindow(df, ["g"], ["t", "i"], policy)
+    order = [("t", "desc"), "i"] if descending else ["t", "i"]
+    sw = SplitWindow(df, ["g"], order, policy)
     assert sw.split == (policy is not None)
     got = {r["i"]: tuple(r[k] for k in ops)
            for r in sw.finish(sw.add(sw.prepare(df), **ops)).collect()}
-    assert got == _brute_windows(rows)
+    assert got == _brute_windows(rows, descending)
 
 
 # ---------------------------------------------------------------- profiles

@@ -156,17 +156,19 @@ def _local_x(name: str, op: Op) -> Column:
     return F.col(_tmp(name, "x")) if op.kind in ("lag", "lead", "later") else op.x
 
 
-def _summary(name: str, op: Op, order: Column) -> list[Column]:
+def _summary(name: str, op: Op, pos: Column) -> list[Column]:
     """Aggregates per (key, chunk) over the local output; all partial-aggregable
-    and bounded (lag/lead keep at most n values per chunk)."""
+    and bounded (lag/lead keep at most n values per chunk). ``pos`` is the
+    row's place in its chunk, so "earliest"/"latest" follow the window order
+    whatever its directions."""
     t = lambda p: _tmp(name, p)
     if op.kind == "row_number":
         return [F.count(F.lit(1)).alias(t("s"))]
     x = _local_x(name, op)
     if op.kind == "first":
-        return [F.min_by(x, F.when(x.isNotNull(), order)).alias(t("s"))]
+        return [F.min_by(x, F.when(x.isNotNull(), pos)).alias(t("s"))]
     if op.kind in ("last_upto", "last_before", "later"):
-        return [F.max_by(x, F.when(x.isNotNull(), order)).alias(t("s"))]
+        return [F.max_by(x, F.when(x.isNotNull(), pos)).alias(t("s"))]
     if op.kind in ("lag", "lead"):
         # lag: the chunk's last n rows (largest rpos first = oldest first);
         # lead: its first n rows (smallest pos first)
@@ -255,8 +257,8 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str,
 
 
 class SplitWindow:
-    """Window over ``keys`` ordered by ``order`` (ascending column names),
-    with hot keys split into ordered chunks.
+    """Window over ``keys`` ordered by ``order`` (column names, ascending, or
+    ``(name, "desc")``), with hot keys split into ordered chunks.
 
     >>> sw = SplitWindow(df, ["user_id"], ["ts", "event_id"])
     >>> x = sw.prepare(df)
@@ -264,10 +266,14 @@ class SplitWindow:
     >>> out = sw.finish(x)
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str],
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str | tuple[str, str]],
                  policy: SplitPolicy | None = DEFAULT_POLICY):
         self.keys = list(keys)
-        self.order = list(order)
+        # column name, or (name, "asc" | "desc"); Spark's default NULL places
+        # (first when ascending, last when descending)
+        self._order = [(o, True) if isinstance(o, str) else (o[0], o[1].lower() != "desc")
+                       for o in order]
+        self.order = [name for name, _ in self._order]
         self.splits: DataFrame | None = None
         self.broadcast_splits = False
         if policy is not None:
@@ -328,16 +334,20 @@ class SplitWindow:
     def spec(self) -> WindowSpec:
         parts = self.keys + ([CHUNK] if self.split else [])
         return Window.partitionBy(*[col(c) for c in parts]).orderBy(
-            *[col(c).asc() for c in self.order])
+            *[col(c).asc() if asc else col(c).desc() for c, asc in self._order])
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Attach the chunk number (-1 for keys that are not split)."""
         if not self.split:
             return df
         first = col(self.order[0])
-        chunk = F.when(
-            F.col(SPLITS).isNull(), F.lit(-1)
-        ).otherwise(F.size(F.filter(F.col(SPLITS), lambda s: s <= first)))
+        bounds = F.col(SPLITS)
+        if self._order[0][1]:  # ascending, NULLs first: chunk = bounds at or below
+            place = F.size(F.filter(bounds, lambda b: b <= first))
+        else:  # descending, NULLs last: chunk = bounds above
+            place = F.when(first.isNull(), F.size(bounds)).otherwise(
+                F.size(F.filter(bounds, lambda b: b > first)))
+        chunk = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
         joined = _join_on_keys(df, self.splits, self.keys, "left", self.broadcast_splits)
         return joined.withColumn(CHUNK, chunk).drop(SPLITS)
 
@@ -348,12 +358,13 @@ class SplitWindow:
         local_cols: dict[str, Column] = {}
         for name, op in ops.items():
             local_cols.update(_local(name, op, w))
+        if self.split:
+            local_cols["__tm_pos"] = F.row_number().over(w)
         local = df.select("*", *[c.alias(k) for k, c in local_cols.items()])
         if self.split:
-            order = F.struct(*[col(c) for c in self.order])
             aggs: list[Column] = []
             for name, op in ops.items():
-                aggs.extend(_summary(name, op, order))
+                aggs.extend(_summary(name, op, F.col("__tm_pos")))
             keys = [col(k) for k in self.keys]
             summ = local.where(F.col(CHUNK) >= 0).groupBy(*keys, CHUNK).agg(*aggs)
             cw = Window.partitionBy(*keys).orderBy(CHUNK)
