@@ -21,11 +21,11 @@ def quality_batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``df.writeStream.foreachBatch(...)``: checks each
     micro-batch (batch id = epoch id, rows numbered 1..n in the batch) and
-    appends the report to parquet at ``report_path``.
+    writes its report to parquet at ``report_path``, partitioned by
+    ``batch_id``.
 
-    Re-running an epoch after a failure appends its report again with the
-    same ``batch_id``; readers take the latest ``proccesed_datetime`` per
-    batch.
+    Each epoch overwrites only its own partition, so an epoch re-run after a
+    failure replaces its report instead of adding a second one.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
@@ -33,6 +33,7 @@ def quality_batch_writer(
             system_id, system_name, table_name, str(epoch_id), rules=rules, df=batch,
             rules_table=rules_table, as_of=as_of,
         )
-        report.write.mode("append").parquet(report_path)
+        (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(report_path))
 
     return write
