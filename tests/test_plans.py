@@ -64,3 +64,13 @@ def test_row_numbers_broadcast_partition_offsets(spark):
     assert "BroadcastHashJoin" in plan
     # the data itself is never moved into one partition
     assert not re.search(r"Window \[row_number\(\)", plan)
+
+
+def test_batch_filter_reaches_the_scan(spark):
+    from tidemark.sources.tables import read_batch
+
+    spark.read.parquet(f"{SF}/events.parquet").createOrReplaceTempView("tm_bronze_events")
+    df = read_batch(spark, "tm_bronze_events", "3", batch_col="user_id", index_col=None)
+    plan = _plan(df.select("event_id", "event_type"), "formatted")
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(user_id,3\)", plan)
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in plan
