@@ -74,7 +74,7 @@ class SplitPolicy:
 
     hot_rows: int = 2_000_000
     chunk_rows: int = 500_000
-    max_chunks: int = 1024
+    max_chunks: int = 4096
     accuracy: int = 10_000
     broadcast_limit: int = 1_000_000
     sample_per_chunk: int = 200
@@ -305,6 +305,8 @@ class SplitWindow:
             return
         chunks = max(2, min(p.max_chunks, math.ceil(row["largest"] / p.chunk_rows)))
         fractions = [i / chunks for i in range(1, chunks)]
+        # distinct bounds need a quantile sketch finer than the chunk count
+        accuracy = max(p.accuracy, 2 * chunks)
         hot_keys = hot.select(*[col(k) for k in self.keys])
         bounds = (
             # hot keys were counted just above
@@ -313,7 +315,7 @@ class SplitWindow:
             .groupBy(*[col(k) for k in self.keys])
             .agg(
                 F.array_distinct(
-                    F.percentile_approx(col(first), fractions, p.accuracy)).alias(SPLITS),
+                    F.percentile_approx(col(first), fractions, accuracy)).alias(SPLITS),
                 (F.count(F.lit(1)) / F.lit(fraction)).alias("__tm_n"),
             )
         )
