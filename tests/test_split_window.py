@@ -99,3 +99,18 @@ def test_composite_keys(spark):
         res[label] = {r["i"]: (r["rn"], r["prev"], r["nxt"], r["later"])
                       for r in sw.finish(sw.add(sw.prepare(df), **ops())).collect()}
     assert res["plain"] == res["split"]
+
+
+def test_chunk_search_counts_bounds_at_or_below(spark):
+    import random
+
+    from tidemark.operators.split_window import _count_at_or_below
+
+    rnd = random.Random(3)
+    rows = []
+    for _ in range(500):
+        b = sorted({rnd.randint(0, 60) for _ in range(rnd.randint(0, 30))})
+        rows.append((b, None if rnd.random() < 0.05 else rnd.randint(-3, 63)))
+    df = spark.createDataFrame(rows, "b array<int>, v int")
+    for r in df.select("b", "v", _count_at_or_below(F.col("b"), F.col("v"), 30).alias("c")).collect():
+        assert r["c"] == (0 if r["v"] is None else sum(x <= r["v"] for x in r["b"]))

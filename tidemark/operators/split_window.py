@@ -239,6 +239,24 @@ def _final(name: str, op: Op, split: bool) -> Column:
 # ------------------------------------------------------------------ driver
 
 
+def _count_at_or_below(bounds: Column, value: Column, max_bounds: int) -> Column:
+    """Number of sorted ``bounds`` that are <= ``value``, by binary search:
+    a fixed number of halving steps (log2 of the longest array) instead of a
+    comparison per bound. A NULL value counts 0."""
+    steps = max(1, math.ceil(math.log2(max_bounds + 1)))
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+
+    def halve(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go_right = F.coalesce(F.element_at(bounds, mid + 1) <= value, F.lit(False))
+        narrowed = F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
+            .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
+        return F.when(lo < hi, narrowed).otherwise(acc)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"])
+
+
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str,
                   broadcast: bool = False) -> DataFrame:
     """Join on ``keys`` with NULL matching NULL (a NULL record key is a key
@@ -276,6 +294,7 @@ class SplitWindow:
         self.order = [name for name, _ in self._order]
         self.splits: DataFrame | None = None
         self.broadcast_splits = False
+        self.max_bounds = 0
         if policy is not None:
             self._detect(df, policy)
 
@@ -330,8 +349,9 @@ class SplitWindow:
         # written once: every round and the final plan read the bounds back
         checkpoint_dir(df.sparkSession)
         self.splits = splits.checkpoint(eager=True)
-        total = self.splits.agg(F.sum(F.size(SPLITS) + 1)).collect()[0][0] or 0
-        self.broadcast_splits = total <= p.broadcast_limit  # (hot key, chunk) rows, counted
+        stats = self.splits.agg(F.sum(F.size(SPLITS) + 1), F.max(F.size(SPLITS))).collect()[0]
+        self.broadcast_splits = (stats[0] or 0) <= p.broadcast_limit  # (key, chunk) rows, counted
+        self.max_bounds = stats[1] or 0
 
     def spec(self) -> WindowSpec:
         parts = self.keys + ([CHUNK] if self.split else [])
@@ -344,11 +364,11 @@ class SplitWindow:
             return df
         first = col(self.order[0])
         bounds = F.col(SPLITS)
+        at_or_below = _count_at_or_below(bounds, first, self.max_bounds)
         if self._order[0][1]:  # ascending, NULLs first: chunk = bounds at or below
-            place = F.size(F.filter(bounds, lambda b: b <= first))
+            place = at_or_below
         else:  # descending, NULLs last: chunk = bounds above
-            place = F.when(first.isNull(), F.size(bounds)).otherwise(
-                F.size(F.filter(bounds, lambda b: b > first)))
+            place = F.when(first.isNull(), F.size(bounds)).otherwise(F.size(bounds) - at_or_below)
         chunk = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
         joined = _join_on_keys(df, self.splits, self.keys, "left", self.broadcast_splits)
         return joined.withColumn(CHUNK, chunk).drop(SPLITS)
