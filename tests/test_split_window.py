@@ -114,3 +114,10 @@ def test_chunk_search_counts_bounds_at_or_below(spark):
     df = spark.createDataFrame(rows, "b array<int>, v int")
     for r in df.select("b", "v", _count_at_or_below(F.col("b"), F.col("v"), 30).alias("c")).collect():
         assert r["c"] == (0 if r["v"] is None else sum(x <= r["v"] for x in r["b"]))
+
+
+def test_keys_are_required(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        SplitWindow(_frame(spark), [], ["t"], None)

@@ -286,6 +286,8 @@ class SplitWindow:
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str | tuple[str, str]],
                  policy: SplitPolicy | None = DEFAULT_POLICY):
+        if not keys:
+            raise ValueError("SplitWindow needs at least one record key column")
         self.keys = list(keys)
         # column name, or (name, "asc" | "desc"); Spark's default NULL places
         # (first when ascending, last when descending)
