@@ -95,3 +95,50 @@ def test_random_rules_match_brute_force(spark, seed):
     for r in failing_rows(df, suite, index_col="id").collect():
         rows.setdefault(r["expectation"], []).append(r["id"])
     assert {t: sorted(v) for t, v in rows.items()} == {t: w[3] for t, w in want.items() if w[3]}
+
+
+def _int_component(rnd):
+    k = rnd.choice(["required", "choice", "max_length", "number_range", "string_format"])
+    if k == "required":
+        return "required", lambda v: v is None, lambda v: False
+    if k == "choice":
+        vals = rnd.sample(range(-2, 8), 3)
+        text = "choice(" + ",".join(str(x) for x in vals) + ",'x')"
+        return text, lambda v, vals=vals: v is not None and v not in vals, lambda v: v is None
+    if k == "max_length":
+        n = rnd.randint(1, 2)
+        return f"max_length({n})", lambda v, n=n: v is not None and len(str(v)) > n, lambda v: v is None
+    if k == "string_format":
+        return ("string_format(^-)", lambda v: v is not None and not str(v).startswith("-"),
+                lambda v: v is None)
+    lo, hi = sorted(rnd.sample(range(-2, 12), 2))
+    return (f"number_range({lo}, {hi})", lambda v, lo=lo, hi=hi: v is not None and not lo <= v <= hi,
+            lambda v: v is None)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_random_rules_on_an_int_column(spark, seed):
+    rnd = random.Random(seed)
+    values = [None if rnd.random() < 0.15 else rnd.randint(-3, 120) for _ in range(50)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, c int")
+    rules, want = [], {}
+    while len(rules) < 10:
+        comps = [_int_component(rnd) for _ in range(rnd.randint(1, 3))]
+        ops = [None] + [rnd.choice(["and", "or"]) for _ in comps[1:]]
+        text = comps[0][0] + "".join(f" {o} {c[0]}" for o, c in zip(ops[1:], comps[1:]))
+        if text in want:
+            continue
+        full_comps, full_ops = [], []
+        for c, o in zip(comps, ops):
+            full_comps.append(c)
+            full_ops.append(o)
+            if c[0] == "required":
+                full_comps.append(("min_length(1)", lambda v: v is not None and len(str(v)) < 1,
+                                   lambda v: v is None))
+                full_ops.append("and")
+        rules.append({"field_name": "c", "expectation": text, "expectation_action": "warn"})
+        want[text] = _expected(values, full_comps, full_ops)
+    suite = compile_rules(spark, rules, df.schema)
+    got = {r["expectation"]: (r["success"], r["missing_count"], r["unexpected_count"])
+           for r in rule_summary(df, suite).collect()}
+    assert got == {t: w[:3] for t, w in want.items()}
