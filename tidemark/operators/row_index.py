@@ -8,10 +8,11 @@ partition count, not by the data).
 
 The count pass and the numbering pass read the same input twice, so the
 input's partitioning has to be deterministic: true for file scans with
-filters/projections (the batch read). Anything else - a requested key order,
-or an input that went through a shuffle - is first checkpointed to the shared
-``spark.checkpoint.dir`` (reliable, survives executor loss), and both passes
-read that copy.
+filters/projections (the batch read). A requested key order is always
+checkpointed first to the shared ``spark.checkpoint.dir`` (reliable, survives
+executor loss) and both passes read that copy; pass ``materialize=True`` for
+any other input whose partitions may differ between two reads (one that went
+through a shuffle) - ``check_data_quality`` does so for a caller's frame.
 """
 
 from __future__ import annotations
