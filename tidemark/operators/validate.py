@@ -269,17 +269,24 @@ def row_report(
     ``sample_limit`` keeps the first n failing rows per check by id.
     """
     keys = ["rule_id", "component_no"]
-    head = component_summary(df, suite).select(
-        *keys,
-        F.col("rule_name").alias("expectation_type"),
-        F.col("column_name").alias("column"),
-        F.col("success").alias("status"),
-        "unexpected_count",
-        F.col("conforming_count").isNotNull().alias("schema_only"),
-    )
-    # The verdicts (one row per rule component) feed both halves of the
-    # report; taking them once keeps the data to two scans (counts, details).
-    head = local_frame(df.sparkSession, [tuple(r) for r in head.collect()], head.schema)
+    # One count per data check (one aggregate pass, one row back to the
+    # driver); schema-only checks need no data. The verdicts then feed both
+    # halves of the report, keeping the data to two scans.
+    counts = {}
+    for chunk in _chunks(suite):
+        aggs = [F.count_if(c.check.fail).alias(_u(r, c))
+                for r in chunk for c in r.components if c.check.static_success is None]
+        if aggs:
+            counts.update(df.agg(*aggs).collect()[0].asDict())
+    head_rows = []
+    for r, c in suite.components:
+        static = c.check.static_success
+        failing = counts.get(_u(r, c), 0)
+        status = static if static is not None else failing == 0
+        head_rows.append((r.rule_id, c.no, c.name, r.column, status, failing, static is not None))
+    head = local_frame(df.sparkSession, head_rows,
+                       "rule_id int, component_no int, expectation_type string, column string, "
+                       "status boolean, unexpected_count bigint, schema_only boolean")
     id_type = df.schema[id_col].dataType
     quiet = head.where(F.col("status") | F.col("schema_only")).select(
         "expectation_type", "column", "status",
