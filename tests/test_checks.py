@@ -156,3 +156,20 @@ def test_schema_verdict_inside_or_rule(spark):
         ids = sorted(x["id"] for x in failing_rows(df, suite, index_col="id").collect())
         assert (r["success"], r["unexpected_count"], ids) == (
             (True, 0, []) if passed else (False, 1, [1])), expectation
+
+
+def test_reports_on_an_empty_frame(spark):
+    from tidemark.operators.validate import failing_rows, quality_report, row_report
+
+    df = spark.createDataFrame([], "id int, c string")
+    rules = [{"field_name": "c", "expectation": "required or max_length(2)", "expectation_action": "warn"},
+             {"field_name": "c", "expectation": "data_type(int)", "expectation_action": "warn"}]
+    suite = compile_rules(spark, rules, df.schema)
+    assert sorted((r["expectation"], r["success"], r["unexpected_count"])
+                  for r in quality_report(df, suite).collect()) == [
+        ("data_type(int)", False, 0), ("required or max_length(2)", True, 0)]
+    assert failing_rows(df, suite, index_col="id").count() == 0
+    rr = row_report(df, suite, "id").collect()
+    assert sorted((r["expectation_type"], r["status"]) for r in rr) == [
+        ("data_type", False), ("max_length", True), ("min_length", True), ("required", True)]
+    assert all(r["id"] is None and r["unexpected_value"] is None for r in rr)
