@@ -74,3 +74,13 @@ def test_batch_filter_reaches_the_scan(spark):
     plan = _plan(df.select("event_id", "event_type"), "formatted")
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(user_id,3\)", plan)
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in plan
+
+
+def test_split_profile_chain_has_one_data_exchange(spark):
+    out = set_state_profile(df=Q.profile_candidates(spark, SF), set_escheat_date=Q.set_escheat_date,
+                            get_escheat_due_date=Q.get_escheat_due_date, policy=Q.HOT,
+                            **Q.PROFILE_ARGS)
+    plan = _plan(out)
+    # the candidates move once, by (record, chunk); carries are checkpointed scans
+    assert len(re.findall(r"Exchange hashpartitioning\(AccountId#\d+L?, __tm_chunk", plan)) == 1
+    assert "SinglePartition" not in plan
