@@ -337,8 +337,9 @@ def q_dq_index_list(spark, sf):
     """The optional list column (first 20 failing rows per rule), flattened."""
     d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     suite = compile_rules(spark, _document_rules(), d.schema, as_of=AS_OF)
-    rep = quality_report(d, suite, "documents", "all", PROCESSED_AT)
-    lists = with_index_lists(rep, failing_rows(d, suite, index_col="doc_id"),
+    verdicts = rule_summary(d, suite)  # shared by the report and the OR-rule filter
+    rep = quality_report(d, suite, "documents", "all", PROCESSED_AT, verdicts=verdicts)
+    lists = with_index_lists(rep, failing_rows(d, suite, index_col="doc_id", verdicts=verdicts),
                              index_col="doc_id", limit=20)
     return lists.select(
         "column_name", "expectation", "success", "unexpected_count",
