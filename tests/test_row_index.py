@@ -32,3 +32,11 @@ def test_batch_numbering_after_filter(spark):
 def test_empty_input(spark):
     df = spark.range(0).withColumnRenamed("id", "x")
     assert with_row_index(df).count() == 0
+
+
+def test_shuffled_input_numbered_from_a_checkpoint(spark):
+    df = spark.range(0, 3000, 1, 4).repartition(7, "id").withColumnRenamed("id", "x")
+    out = with_row_index(df, materialize=True)
+    rows = out.collect()
+    assert sorted(r["RowIndex"] for r in rows) == list(range(1, 3001))
+    assert sorted(r["x"] for r in rows) == list(range(3000))
