@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, url_filter
+from . import decontaminate, near_dup, quality_rules, url_filter
 from .common import read
 from .oracle import LLM_ORACLE_SQL
 
@@ -23,6 +23,10 @@ def _hex(column) -> Column:
     return F.sha2(column, 256)
 
 
+def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -39,6 +43,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_decontamination": op3_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filter": op10_url_filter,
