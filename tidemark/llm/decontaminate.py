@@ -120,8 +120,8 @@ class TestSet:
 
     def __init__(self, ids: list[str], texts: list[str | None], window: int):
         self.ids, self.window = ids, window
-        buffers = [b for _, b in W.blocks(pa.array(texts, pa.large_string()), W.NON_ALNUM, fold=True, block_bytes=1 << 62)]
-        block = buffers[0] if buffers else W.find_words(np.zeros(0, np.uint8), np.zeros(1, np.int64), W.NON_ALNUM)
+        data, offsets = W.text_buffer(pa.array(texts, pa.large_string()))
+        block = W.find_words(W.fold_ascii(data), offsets, W.NON_ALNUM)
         self.hash, self.first = block.hash, block.first
         counts = block.counts()
         #: the item of each suffix, where it starts and ends

@@ -62,8 +62,9 @@ def shingle_sets(block: W.Words, width: int = SHINGLE) -> tuple[np.ndarray, np.n
     short = np.flatnonzero((counts > 0) & (counts < width))
     whole = W.span_hashes(block.hash, block.first[short], block.first[short + 1])
     owner, hashes = np.concatenate([text[at], short]), np.concatenate([windows[at], whole])
-    # text number and hash in one sort key: the top bits hold the number
-    bits = np.uint64(max(1, int(n).bit_length()))
+    # text number and hash in one sort key; as many bits for the number in every
+    # block, so that a shingle has the same hash everywhere
+    bits = np.uint64(int(W.BLOCK_TEXTS).bit_length())
     key = np.sort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits))
     if len(key):
         key = key[np.append(True, key[1:] != key[:-1])]

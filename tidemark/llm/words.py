@@ -21,6 +21,7 @@ _SEED = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 #: Bytes of text handled at a time: whole documents, one longer document alone.
 BLOCK_BYTES = 1 << 20
+BLOCK_TEXTS = 1 << 13
 
 #: Bytes that are no part of a word, by word class.
 SPACES = np.zeros(256, bool)
@@ -132,7 +133,7 @@ def blocks(texts: pa.Array, breaks: np.ndarray, fold: bool, hashed: bool = True,
     begin, n = 0, len(offsets) - 1
     while begin < n:
         stop = int(np.searchsorted(offsets, offsets[begin] + block_bytes, side="right")) - 1
-        stop = min(n, max(begin + 1, stop))
+        stop = min(n, begin + BLOCK_TEXTS - 1, max(begin + 1, stop))
         part = data[offsets[begin]:offsets[stop]]
         yield begin, find_words(fold_ascii(part) if fold else part, offsets[begin:stop + 1] - offsets[begin], breaks, hashed)
         begin = stop
