@@ -80,4 +80,23 @@ SELECT doc_id, len(ws)::bigint AS n_words, coalesce(hit.n, 0)::bigint AS n_hit,
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
 """
 
-LLM_ORACLE_SQL = {"op3_decontamination": OP3, "op8_quality_rules": OP8, "op10_url_filter": OP10}
+OP5 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '{_SPACE}') IF x <> ''] AS ws FROM documents
+),
+w AS (
+  SELECT rid, s, array_to_string(ws[s + 1:s + 35], ' ') AS win
+  FROM (SELECT rid, ws, unnest(range(len(ws) - 34)) AS s FROM d WHERE len(ws) >= 35)
+),
+twice AS (SELECT rid, s FROM w JOIN (SELECT win FROM w GROUP BY win HAVING count(*) > 1) USING (win)),
+gone AS (SELECT DISTINCT rid, s + k AS i FROM (SELECT rid, s, unnest(range(35)) AS k FROM twice)),
+lost AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid),
+tok AS (SELECT rid, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM d),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS text FROM tok ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, len(ws)::bigint AS n_words, coalesce(lost.n, 0)::bigint AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+LLM_ORACLE_SQL = {"op5_substring_dedup": OP5, "op3_decontamination": OP3, "op8_quality_rules": OP8, "op10_url_filter": OP10}

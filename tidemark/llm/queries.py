@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup, quality_rules, url_filter
+from . import decontaminate, near_dup, quality_rules, substring_dedup, url_filter
 from .common import read
 from .oracle import LLM_ORACLE_SQL
 
@@ -33,6 +33,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _hex(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", _hex("kept_text").alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(read(spark, sf_dir, "documents")).drop("host_rate")
 
@@ -45,6 +50,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_decontamination": op3_decontamination,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
