@@ -11,15 +11,14 @@ How large groups are kept from giving all their pairs, without losing a link:
 
 * Documents with the same word sequence are one node from the start.
 * A node's *private* shingles occur in no other candidate, so they are in no
-  intersection. They bound the similarity of a node with any other one
-  (``_possible``), from counts alone. A node that can't reach the threshold
-  leaves the buckets.
-* Each bucket is first linked as a star: every node with the bucket's node of
-  the least private share, which in a group of edited copies is the text
-  nearest to the original.
-* Only then are pairs formed, and only between nodes of one bucket that are
-  not connected yet: the bucket's smaller components against the rest, where
-  the bound still allows a link.
+  intersection, which bounds the similarity of a node with any other one. A
+  node that can't reach the threshold leaves the buckets.
+* Each bucket is first linked as a star: every node is measured against the
+  bucket's node of the least private share, which in a group of edited copies
+  is the text nearest to the original.
+* Only then are pairs formed, and only between nodes of one star that are not
+  connected yet: its smaller components against the rest, where the two
+  measured intersections with the centre still allow a link (``_unconnected``).
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Fewer words than a
 shingle make one shingle of all words. Null and empty texts have no shingles
@@ -132,30 +131,21 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield found.filter(pa.array(nodes == wanted[begin:begin + len(block)]))
 
 
-def _possible(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Column:
-    """Whether sets of n1 and n2 shingles, p1 and p2 of them private, can link."""
-    most = F.least(n1 - p1, n2 - p2)
-    return 100 * most >= percent * (n1 + n2 - most)
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link on their full sets."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, both): the sizes and the intersection of the full sets."""
     of = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}"))
-    both = F.size(F.array_intersect("s_a", "s_b"))
-    return (pairs.join(of("a"), "a").join(of("b"), "b").withColumn("both", both)
-            .where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"))
+    return (pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+            .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("both")))
 
 
-def _sides(x: str) -> list[Column]:
-    return [F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("private").alias(f"p_{x}")]
+def _linked(percent: int) -> Column:
+    return 100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))
 
 
 def find_links(source: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes that connect all nodes which any chain of
     links between different texts connects. ``source``: _id, _text; ``signed``:
     the signatures, one row for each document."""
-    spark = source.sparkSession
-    none = spark.createDataFrame([], "a long, b long")
     nodes = signed.groupBy("node").agg(F.min(F.struct("_id", "n", "bands")).alias("x"))
     rows = nodes.select("node", F.col("x.n").alias("n"), F.explode("x.bands").alias("band"))
     shared = cut(rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band"))
@@ -163,7 +153,7 @@ def find_links(source: DataFrame, signed: DataFrame, percent: int = PERCENT) ->
     wanted = cut(buckets.select("node").distinct().join(nodes.select("node", "x._id"), "node"))
     count = wanted.count()
     if not count:
-        return none
+        return source.sparkSession.createDataFrame([], "a long, b long")
 
     texts = source.join(small_side(wanted.select(F.col("_id"), F.col("node").alias("own")), count, 32), "_id").select("own", "_text")
     sets = cut(map_arrow(texts, _sets, "node long, n long, shingles array<long>").dropDuplicates(["node"]))
@@ -175,37 +165,43 @@ def find_links(source: DataFrame, signed: DataFrame, percent: int = PERCENT) ->
              .where(100 * (F.col("n") - F.col("private")) >= percent * F.col("n")))
     open_ = cut(buckets.select("band", "node").join(sized, "node"))
 
-    star = open_.groupBy("band").agg(F.min(F.struct((F.col("private") / F.col("n")).alias("share"), "node", "n", "private")).alias("c"))
-    star = cut(star.select("band", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"), F.col("c.private").alias("p_b")))
-    pairs = (open_.select("band", *_sides("a")).join(star, "band")
-             .where(F.col("a") != F.col("b"))
-             .where(_possible(F.col("n_a"), F.col("p_a"), F.col("n_b"), F.col("p_b"), percent)).select("a", "b").distinct())
-    pairs = cut(pairs)
-    links = cut(_confirmed(pairs, sets, percent))
-
-    rest = cut(_unconnected(open_, connected(links), percent).join(pairs, ["a", "b"], "left_anti"))
+    centre = cut(open_.groupBy("band").agg(F.min(F.struct((F.col("private") / F.col("n")).alias("share"), "node")).alias("c"))
+                 .select("band", F.col("c.node").alias("b")))
+    stars = cut(open_.join(centre, "band").select(F.col("node").alias("a"), "b", "n", "private").distinct())
+    measured = cut(_measured(stars.where("a <> b"), sets))
+    links = measured.where(_linked(percent)).select("a", "b")
+    rest = cut(_unconnected(stars, measured, connected(links), percent))
     if rest.isEmpty():
         return links
-    return links.unionAll(_confirmed(rest, sets, percent))
+    return links.unionAll(_measured(rest, sets).where(_linked(percent)).select("a", "b"))
 
 
-def _unconnected(open_: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that are in different components and may link."""
-    rows = cut(open_.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+def _unconnected(stars: DataFrame, measured: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a star, are in different components and may link.
+
+    With the centre c known, sets u and v share at most min(|u&c|, |v&c|) of
+    its shingles, and beside it at most as many as the one with fewer other
+    shingles that aren't private.
+    """
+    rows = (stars.join(measured.select("a", "b", "both"), ["a", "b"], "left").join(comps.withColumnRenamed("node", "a"), "a", "left")
+            .select("b", "a", "n", "private", F.coalesce("both", "n").alias("both"), F.coalesce("comp", "a").alias("comp")))
+    rows = cut(rows.withColumn("other", F.col("n") - F.col("both") - F.when(F.col("a") == F.col("b"), 0).otherwise(F.col("private"))))
 
     def mixed(rows: DataFrame) -> DataFrame:
-        groups = rows.groupBy("band", "comp").agg(F.count("*").alias("c"), F.min("n").alias("n"))
-        of = groups.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("most"), F.count("*").alias("comps"), F.min("n").alias("least"))
-        return rows.join(cut(of.where("comps > 1").select("band", F.col("most.comp").alias("main"), "least")), "band")
+        groups = rows.groupBy("b", "comp").agg(F.count("*").alias("c"), F.min("n").alias("n"))
+        of = groups.groupBy("b").agg(F.max(F.struct("c", "comp")).alias("most"), F.count("*").alias("comps"), F.min("n").alias("least"))
+        return rows.join(cut(of.where("comps > 1").select("b", F.col("most.comp").alias("main"), "least")), "b")
 
     some = mixed(rows)
-    # with any other node of the bucket, the union is at least the larger of n and least + private
+    # with any other node of the star, the union is at least the larger of n and least + private
     some = some.where(100 * (F.col("n") - F.col("private")) >= percent * F.greatest("n", F.col("least") + F.col("private")))
-    some = cut(mixed(some.drop("main", "least")))
-    left = some.where("comp <> main").select("band", F.col("comp").alias("comp_a"), *_sides("a"))
-    right = some.select("band", F.col("comp").alias("comp_b"), "main", *_sides("b"))
-    pairs = left.join(right, "band").where("comp_a <> comp_b and (comp_b = main or a < b)")
-    return pairs.where(_possible(F.col("n_a"), F.col("p_a"), F.col("n_b"), F.col("p_b"), percent)).select("a", "b").distinct()
+    some = cut(mixed(some.drop("main", "least")).where("a <> b"))  # the centre's own pairs are measured
+    sides = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("a", "n", "both", "other", "comp")]
+    left, right = some.where("comp <> main").select("b", *sides("l")), some.select("b", "main", *sides("r"))
+    most = F.least("both_l", "both_r") + F.least("other_l", "other_r")
+    pairs = left.join(right, "b").where("comp_l <> comp_r and (comp_r = main or a_l < a_r)")
+    pairs = pairs.where(100 * most >= percent * (F.col("n_l") + F.col("n_r") - most))
+    return pairs.select(F.col("a_l").alias("a"), F.col("a_r").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
