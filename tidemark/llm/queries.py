@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup, quality_rules, substring_dedup, url_filter
-from .common import read
+from . import decontaminate, near_dup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
+from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
 #: The rules of the url query: host, path, action.
@@ -38,10 +38,20 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", _hex("kept_text").alias("kept_sha256"))
 
 
+def op7_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 3) != 1)
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(read(spark, sf_dir, "documents")).drop("host_rate")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_classifier.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
@@ -51,7 +61,9 @@ LLM_QUERIES = {
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_decontamination": op3_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_toxicity_lexicon": op7_toxicity_lexicon,
     "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filter": op10_url_filter,
 }
 
