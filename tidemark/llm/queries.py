@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
+from . import decontaminate, lm_score, near_dup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
 from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
@@ -38,6 +38,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", _hex("kept_text").alias("kept_sha256"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))
+    found = lm_score.score_texts(read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) != 1)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 3) != 1)
     return found.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
@@ -61,6 +67,7 @@ LLM_QUERIES = {
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_decontamination": op3_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_toxicity_lexicon": op7_toxicity_lexicon,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
