@@ -169,12 +169,27 @@ def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
         who, first, last, path = merge_spans(owner, start, size, of["repeated"], of["shared"], joins, of["kmer"])
         at = pa.array(np.searchsorted(who, np.arange(len(cuts))), pa.int32())
         spans = pa.StructArray.from_arrays([pa.array(first), pa.array(last + window), pa.array(path)], names=["start", "end", "path"])
-        yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("h"), pa.ListArray.from_arrays(at, spans)], names=["k", "h", "spans"])
+        who, start, end = cover(who, first, last + window)
+        range_at = pa.array(np.searchsorted(who, np.arange(len(cuts))), pa.int32())
+        ranges = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["start", "end"])
+        yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("h"), pa.ListArray.from_arrays(at, spans), pa.ListArray.from_arrays(range_at, ranges)],
+                                         names=["k", "h", "spans", "ranges"])
+
+
+def cover(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The words under the spans, as few ranges; spans are in order of owner and start."""
+    if not len(owner):
+        return owner, start, end
+    far = int(end.max()) + 1
+    reach = np.maximum.accumulate(owner * far + end)  # a later owner lies beyond all earlier ends
+    fresh = np.append(True, owner[1:] * far + start[1:] > reach[:-1])
+    begins = np.flatnonzero(fresh)
+    return owner[begins], start[begins], reach[np.append(begins[1:], len(owner)) - 1] - owner[begins] * far
 
 
 def _keep_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cuts, flat = _flat(batch.column("spans"))
+        cuts, flat = _flat(batch.column("ranges"))
         start, end = flat.field("start").to_numpy(), flat.field("end").to_numpy()
         for begin, block in W.blocks(batch.column("_text"), W.SPACES, fold=False, hashed=False):
             n, stop = len(block), begin + len(block)
@@ -185,10 +200,10 @@ def _keep_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edge, block.first[owner] + end[lo:hi], -1)
             gone = np.cumsum(edge[:-1]) > 0
             removed = np.append(0, np.cumsum(gone))
-            own = [batch.column(i).slice(begin, n) for i, name in enumerate(batch.schema.names) if name != "spans"]
+            own = [batch.column(i).slice(begin, n) for i, name in enumerate(batch.schema.names) if name != "ranges"]
             yield pa.RecordBatch.from_arrays(
                 [*own, pa.array(block.counts()), pa.array(removed[block.first[1:]] - removed[block.first[:-1]]), _joined(block, np.flatnonzero(~gone))],
-                names=[*(x for x in batch.schema.names if x != "spans"), "n_words", "n_removed", "kept_text"])
+                names=[*(x for x in batch.schema.names if x != "ranges"), "n_words", "n_removed", "kept_text"])
 
 
 def _joined(block: W.Words, kept: np.ndarray) -> pa.Array:
@@ -209,8 +224,9 @@ def _joined(block: W.Words, kept: np.ndarray) -> pa.Array:
 
 
 def find_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(k, h, spans array<struct<start, end, path>>) of the documents that have
-    repeated windows; spans of one document may overlap at their ends."""
+    """(k, h, spans array<struct<start, end, path>>, ranges) of the documents
+    that have repeated windows. Spans of one document may overlap at their
+    ends; ranges (start, end) are the words under them."""
     def occurrences(batches):
         yield from _occurrences(batches, window, anchor)
 
@@ -250,16 +266,16 @@ def find_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
                          F.coalesce("opens", F.lit(False)).alias("opens"), F.coalesce("closes", F.lit(False)).alias("closes")))
     listed = (some.select("k", "h", "pos", "kmer").join(judged, "kmer").groupBy("k", "h")
               .agg(F.collect_set(F.struct("pos", "kmer", "repeated", "shared", "opens", "closes")).alias("kmers")))
-    return map_arrow(listed, spans, "k long, h int, spans array<struct<start: long, end: long, path: long>>")
+    return map_arrow(listed, spans, "k long, h int, spans array<struct<start: long, end: long, path: long>>, ranges array<struct<start: int, end: int>>")
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, kept: list[str], options: dict) -> DataFrame:
     """The columns ``kept`` of the keyed rows, n_words, n_removed, kept_text."""
     keyed = _keyed(docs, id_col, text_col)
-    spans = cut(find_spans(keyed, **options))
-    size = spans.agg(F.count("*"), F.sum(F.size("spans"))).first()
-    joined = keyed.join(small_side(spans, (size[0] or 0) + (size[1] or 0), 48), ["k", "h"], "left").select(*kept, "_text", "spans")
-    schema = T.StructType([*(f for f in joined.schema.fields if f.name != "spans"), T.StructField("n_words", T.LongType()),
+    spans = cut(find_spans(keyed, **options).select("k", "h", "ranges"))
+    size = spans.agg(F.count("*"), F.sum(F.size("ranges"))).first()
+    joined = keyed.join(small_side(spans, (size[0] or 0) + (size[1] or 0), 48), ["k", "h"], "left").select(*kept, "_text", "ranges")
+    schema = T.StructType([*(f for f in joined.schema.fields if f.name != "ranges"), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return joined.mapInArrow(_keep_words, schema)
 
@@ -284,5 +300,5 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stretch. ``path`` names the compacted path (its first k-mer), the same in
     every document that holds it."""
     keyed = _keyed(docs, id_col, text_col)
-    spans = cut(find_spans(keyed, window, anchor))
+    spans = cut(find_spans(keyed, window, anchor).select("k", "h", "spans"))
     return keyed.select("_id", "k", "h").join(spans, ["k", "h"]).select(F.col("_id").alias(id_col), F.inline("spans"))
