@@ -1,31 +1,33 @@
-"""Language-model scores by a weighted backoff automaton.
-
-The model has two layers, both of smoothed n-grams with failure arcs:
-
-* words: the state is the word before; its arcs are frequent word pairs, its
-  failure arc leads to the root, whose arcs are frequent single words;
-* spelling: the root's failure arc leads to an automaton over the bytes of a
-  word, whose states are up to ``ORDER - 1`` bytes and the word's start, for
-  all other words, known or not.
-
-A text is traversed once from left to right; the state goes along and the
-log-probabilities of arcs and failure arcs add up. N-grams get arcs by relative
-frequency (``1 / WORD_ARCS`` of the tokens and so on), so there are never more
-arcs than that number, whatever the corpus, and the tables that go to the tasks
-are bounded at every size. What spelling gives to words that have an own arc is
-lost, so probabilities sum to slightly less than one.
-
-Counts cover all learning texts: words are counted per task and summed by a
-shuffle; frequent pairs are those frequent in some task, counted exactly in a
-second pass; then the spelling of the words without an arc. Base scores need
-the count of every token: frequent words are looked up in the bounded table,
-the others are joined with the count table by shuffle, where no key is hot, as
-no such word is frequent.
+"""Language-model scores by a weighted backoff automaton over words.
+
+States are the last words of the history (up to ``ORDER - 1``, or none, the
+root). A state has arcs for the smoothed n-grams that start with it, and a
+failure arc, with the weight of what smoothing took off, to the state without
+its oldest word. The root has an arc for every word of the learning texts; its
+failure arc is the unknown word. Each text is traversed once from left to
+right: the state goes along, arcs and failure arcs add up their
+log-probabilities. Vectorised over the tokens of a block, a token's state is
+looked up from its history, as the state of a backoff automaton is a function
+of the last words.
+
+Smoothing is interpolated absolute discounting; the root's discount is chosen
+so that the unknown word gets the Good-Turing mass, singletons / tokens. The
+probabilities of all known words and the unknown one sum to one in each state.
+
+Longer n-grams get arcs by relative frequency, at least ``1 / ARCS`` of the
+tokens, so there are at most ``ARCS`` of each order, at every size of the
+corpus. Root arcs of words of at least ``1 / WORD_ARCS`` of the tokens are in
+a bounded table that goes to the tasks; all other words are joined with the
+whole count table by shuffle, where no key is hot, as no such word is frequent.
+
+Counts cover all learning texts. Words are counted per task and summed by a
+shuffle. An n-gram that is frequent overall is frequent in some task, so the
+tasks' frequent ones are counted exactly in a second pass.
 
 Null and empty texts are one end token. Repeated rows are each scored and each
 counted. Rows whose ``may_learn`` is null are not learnt from. Without learning
-texts N, V and all counts are 0. An empty table gives an empty result. Further
-columns are not read.
+texts N, V and all counts are 0 and every word is unknown, at probability one.
+An empty table gives an empty result. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -40,33 +42,44 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import cut, map_arrow
 
+ORDER = 3
 WORD_ARCS = 1 << 22
-PAIR_ARCS = 1 << 17
-#: A word seen less often has no arc; such words teach the spelling of unseen ones.
-WORD_MIN = 5
-#: Arcs of each order of the spelling automaton.
-SPELL_ARCS = 1 << 20
-ORDER = 6
-WORD_DISCOUNT = 0.75
-SPELL_DISCOUNT = 0.5
+ARCS = 1 << 17
+DISCOUNT = 0.75
 #: Distinct keys that a task holds before it hands its counts on.
 HELD = 1 << 21
 
-#: The end token's hash; symbols of the spelling automaton beside bytes.
+#: The end token's hash, also the history of a text's first words.
 END = np.uint64(0x5E3D0F1A2B4C6D7F)
-STOP, START = 256, 257
-_BITS = np.uint64(9)
 
 
-def tokens(block: W.Words) -> np.ndarray:
-    """Word hashes of all texts, each text followed by the end token."""
-    return np.insert(block.hash, block.first[1:], END)
+class Tokens:
+    """Words and end tokens of a block: ``key[m]`` is the hash of each token
+    with the m tokens before it, ``state[m]`` that of those m alone."""
 
+    def __init__(self, block: W.Words):
+        token = np.insert(block.hash, block.first[1:], END)
+        counts = block.counts() + 1
+        self.owner = np.repeat(np.arange(len(block)), counts)
+        place = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.key, self.state, empty = [token], [np.zeros(len(token), np.uint64)], END
+        for _ in range(1, ORDER):
+            # the state is the last token's key of one order less, at a text's start that of end tokens
+            last = self.key[-1]
+            state = np.where(place > 0, np.append(empty, last[:-1]) if len(last) else last, empty)
+            self.state.append(state)
+            self.key.append(_join(state, token))
+            empty = _join(np.array([empty]), np.array([END]))[0]
 
-def pair_keys(token: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it (at first: an end token)."""
-    before = np.append(END, token[:-1])
-    return W.mix(before * np.uint64(0x9E3779B97F4A7C15) + W.mix(token))
+
+def _join(state: np.ndarray, token: np.ndarray) -> np.ndarray:
+    return W.mix(state * np.uint64(0x9E3779B97F4A7C15) + W.mix(token))
+
+
+#: State keys of a text's start, by order.
+START = [np.uint64(0), END]
+for _m in range(2, ORDER):
+    START.append(_join(np.array([START[-1]]), np.array([END]))[0])
 
 
 class _Counts:
@@ -92,35 +105,54 @@ class _Counts:
         return found, sums
 
 
-def _rows(kind: int, keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(W.signed(keys)), pa.array(sums)], names=["kind", "key", "c"])
+def _rows(kind: int, keys: np.ndarray, sums: np.ndarray, states: np.ndarray | None = None) -> pa.RecordBatch:
+    of = W.signed(states) if states is not None else np.zeros(len(keys), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(W.signed(keys)), pa.array(sums), pa.array(of)],
+                                      names=["kind", "key", "c", "state"])
 
 
-_COUNTED = "kind int, key long, c long"
+_COUNTED = "kind int, key long, c long, state long"
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: token counts. Kind 1: pairs frequent among this task's tokens."""
-    words, pairs, total = _Counts(), _Counts(), 0
+    """Kind 0: token counts. Kind m: n-grams of m + 1 tokens that are frequent
+    among this task's."""
+    counts, total = [_Counts() for _ in range(ORDER)], 0
 
     def flush():
-        yield _rows(0, *words.merge())
-        keys, sums = pairs.merge()
-        often = sums >= total / PAIR_ARCS
-        yield _rows(1, keys[often], sums[often])
+        yield _rows(0, *counts[0].merge())
+        for m in range(1, ORDER):
+            keys, sums = counts[m].merge()
+            often = sums >= total / ARCS
+            yield _rows(m, keys[often], sums[often])
 
     for batch in batches:
         for _, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
-            token = tokens(block)
-            words.add(token)
-            pairs.add(pair_keys(token))
-            total += len(token)
-        if pairs.size > HELD:
+            tokens = Tokens(block)
+            for m in range(ORDER):
+                counts[m].add(tokens.key[m])
+            total += len(tokens.owner)
+        if counts[-1].size > HELD:
             yield from flush()
-            words, pairs, total = _Counts(), _Counts(), 0
+            counts, total = [_Counts() for _ in range(ORDER)], 0
     yield from flush()
 
 
+def _count_wanted(batches: Iterator[pa.RecordBatch], wanted: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Exact counts, and the states, of the wanted n-grams of each order."""
+    counts, states = [_Counts() for _ in wanted], [{} for _ in wanted]
+    for batch in batches:
+        for _, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
+            tokens = Tokens(block)
+            for m in range(1, ORDER):
+                at = np.flatnonzero(_among(wanted[m], tokens.key[m])[1])
+                counts[m].add(tokens.key[m][at])
+                states[m].update(zip(tokens.key[m][at].tolist(), tokens.state[m][at].tolist(), strict=True))
+    for m in range(1, ORDER):
+        keys, sums = counts[m].merge()
+        yield _rows(m, keys, sums, np.array([states[m][k] for k in keys.tolist()], np.uint64))
+
+
 def _among(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each key in the sorted table, and whether it is there."""
     if not len(table):
@@ -129,188 +161,59 @@ def _among(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == keys
 
 
-def symbols(block: W.Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, word, place in the word) of the words at ``which``, each with
-    the stop symbol."""
-    size = block.end[which] - block.start[which] + 1
-    word = np.repeat(np.arange(len(which)), size)
-    place = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
-    at = np.minimum(block.start[which][word] + place, max(len(block.data) - 1, 0))
-    sym = block.data[at].astype(np.uint64) if len(word) else np.zeros(0, np.uint64)
-    sym[place == size[word] - 1] = STOP
-    return sym, word, place
-
-
-def spelling_grams(block: W.Words, which: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(packed n-gram, word) of each symbol with the ``order - 1`` before it;
-    before the word's first byte stands the start symbol."""
-    sym, word, place = symbols(block, which)
-    packed = sym.copy()
-    for k in range(1, order):
-        before = np.full(len(sym), START, np.uint64)
-        inside = np.flatnonzero(place >= k)
-        before[inside] = sym[inside - k]
-        packed |= before << (_BITS * np.uint64(k))
-    return packed, word
-
-
-def _first_of(block: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct word hashes, where one of each stands, their counts."""
-    return np.unique(block.hash, return_index=True, return_counts=True)
-
-
 class Model:
-    """The automaton as sorted tables; built on the driver from bounded counts."""
+    """The automaton as sorted tables, built on the driver from bounded counts.
+
+    ``arcs[m]`` and ``share[m]``: n-grams of m + 1 tokens and what they add to
+    their state's probability; ``states[m]`` and ``back[m]``: keys of states of
+    m tokens and the weight of their failure arc."""
 
-    def __init__(self, n: int, v: int, words, pairs, spelling):
+    def __init__(self, n: int, v: int, singles: int, grams: list[list[np.ndarray]]):
         self.n, self.v = n, v
-        self.word_key, self.word_count = words
-        known = np.maximum(self.word_count - WORD_DISCOUNT, 1e-9) / max(n, 1)
-        self.word_log = np.log10(known)
-        self.unknown_log = np.log10(max(1 - known.sum(), 1e-12))
-        # pairs: key, count, and the word before
-        self.pair_key, count, before = pairs
-        at, _ = _among(self.word_key, before)
-        share = (count - WORD_DISCOUNT) / np.maximum(self.word_count[at], 1) if len(at) else np.zeros(0)
-        taken = np.bincount(at, weights=share, minlength=len(self.word_key)) if len(at) else np.zeros(len(self.word_key))
-        self.back_log = np.log10(np.maximum(1 - taken, 1e-12))  # failure arc of each word's state
-        self.pair_share = share
-        self.spelling = spelling
-
-    def word_logs(self, block: W.Words) -> tuple[np.ndarray, np.ndarray]:
-        """For every token of the block: log probability, and count (0 if it has
-        no arc)."""
-        token = tokens(block)
-        found, which, inverse = np.unique(token, return_index=True, return_inverse=True)
-        at, own = _among(self.word_key, found)
-        count = np.where(own, self.word_count[at], 0) if len(self.word_key) else np.zeros(len(found), np.int64)
-        root = np.where(own, self.word_log[at], 0.0) if len(self.word_key) else np.zeros(len(found))
-        rest = np.flatnonzero(~own)
-        spelt = np.full(len(rest), 0.0)
-        # places among the tokens are places among the words, less the end tokens before
-        ends = block.first[1:] + np.arange(len(block))
-        is_end = found[rest] == END
-        places = which[rest] - np.searchsorted(ends, which[rest])
-        spelt[~is_end] = self.spelling.traverse(block, places[~is_end])
-        spelt[is_end] = -np.log10(W.SPACES.size)
-        root[rest] = self.unknown_log + spelt
-        back = np.where(own, self.back_log[at], 0.0) if len(self.word_key) else np.zeros(len(found))
-        start, has = _among(self.word_key, np.array([END]))
-        first_back = self.back_log[start[0]] if has[0] else 0.0
-        log = root[inverse] + np.append(first_back, back[inverse][:-1])
-        if len(self.pair_key):
-            where, pair = _among(self.pair_key, pair_keys(token))
-            hit = np.flatnonzero(pair)
-            log[hit] = np.log10(self.pair_share[where[hit]] + 10 ** log[hit])
-        return log, count[inverse]
-
-
-class Spelling:
-    """Byte n-gram automaton. States are packed contexts of 0 to order - 1
-    symbols; the tables are sorted by key."""
-
-    def __init__(self, arcs: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray]], order: int):
-        """``arcs[m]``: packed m+1-grams and counts; ``contexts[m]``: packed
-        contexts of m symbols and counts; both sorted, and closed under
-        dropping the oldest symbol."""
-        self.order = order
-        mark = lambda keys, m: keys | (np.uint64(m) << np.uint64(60))
-        self.states = np.concatenate([mark(k, m) for m, (k, _) in enumerate(contexts)])
-        totals = np.concatenate([c for _, c in contexts]).astype(float)
-        lower = {}
-        keys, probabilities, nexts, back, fail = [], [], [], np.ones(len(self.states)), np.zeros(len(self.states), np.int64)
-        for m in range(order):
-            gram, count = arcs[m]
-            own, _ = _among(self.states, mark(gram >> _BITS, m))
-            sym = gram & np.uint64(511)
-            share = np.maximum(count - SPELL_DISCOUNT, 0) / np.maximum(totals[own], 1)
-            back -= np.bincount(own, weights=share, minlength=len(back))
-            back[own] = np.maximum(back[own], 1e-9)
-            short = gram & ((np.uint64(1) << (_BITS * np.uint64(m))) - np.uint64(1))
-            if m:
-                below, _ = _among(lower["gram"], short)
-                p = share + back[own] * lower["p"][below]
-            else:
-                p = share + back[own] / 257
-            # the next state: the longest suffix that is a state
-            target = np.zeros(len(gram), np.int64)
-            for k in range(min(m + 1, order - 1), 0, -1):
-                suffix = gram & ((np.uint64(1) << (_BITS * np.uint64(k))) - np.uint64(1))
-                at, there = _among(self.states, mark(suffix, k))
-                target = np.where((target == 0) & there, at, target)
-            keys.append((own.astype(np.uint64) << _BITS) | sym)
-            probabilities.append(p)
-            nexts.append(target)
-            lower = {"gram": gram, "p": p}
-            if m + 1 < order:
-                here = np.flatnonzero((self.states >> np.uint64(60)) == m + 1)
-                key = self.states[here] & ((np.uint64(1) << (_BITS * np.uint64(m))) - np.uint64(1))
-                fail[here], _ = _among(self.states, mark(key, m))
-        key = np.concatenate(keys)
-        by = np.argsort(key)
-        self.arcs, self.log, self.next = key[by], np.log10(np.concatenate(probabilities)[by]), np.concatenate(nexts)[by]
-        self.back_log, self.fail = np.log10(back), fail
-        begin = sum(START << (9 * k) for k in range(order - 1))
-        at, there = _among(self.states, mark(np.array([begin], np.uint64), order - 1))
-        self.begin = int(at[0]) if there[0] else 0
-
-    def traverse(self, block: W.Words, which: np.ndarray) -> np.ndarray:
-        """Log probability of the spelling of the words at ``which``: all words
-        step through their symbols together, each with its own state."""
-        total = np.zeros(len(which))
-        state = np.full(len(which), self.begin, np.int64)
-        size = block.end[which] - block.start[which]
-        live, j = np.arange(len(which)), 0
-        while len(live):
-            at = np.minimum(block.start[which[live]] + j, len(block.data) - 1)
-            sym = np.where(j < size[live], block.data[at], STOP).astype(np.uint64)
-            todo = np.arange(len(live))
-            while len(todo):
-                who = live[todo]
-                at, found = _among(self.arcs, (state[who].astype(np.uint64) << _BITS) | sym[todo])
-                done = who[found]
-                total[done] += self.log[at[found]]
-                state[done] = self.next[at[found]]
-                lost = who[~found]
-                total[lost] += self.back_log[state[lost]]
-                floor = state[lost] == 0  # the empty context has no such symbol
-                total[lost[floor]] -= np.log10(257)
-                state[lost] = self.fail[state[lost]]
-                todo = todo[~found][~floor]
-            live = live[j < size[live]]
-            j += 1
-        return total
-
-
-def _count_more(batches: Iterator[pa.RecordBatch], word_keys: np.ndarray, pair_list: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Kind 0: counts of the wanted pairs. Kind 1: spelling n-grams of the
-    words without an arc. Kind 2: the word before each wanted pair."""
-    pairs, grams, befores = _Counts(), _Counts(), {}
-    for batch in batches:
-        for _, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
-            token = tokens(block)
-            keys = pair_keys(token)
-            _, wanted = _among(pair_list, keys)
-            at = np.flatnonzero(wanted)
-            pairs.add(keys[at])
-            befores.update(zip(keys[at].tolist(), np.append(END, token[:-1])[at].tolist(), strict=True))
-            found, which, count = _first_of(block)
-            _, own = _among(word_keys, found)
-            packed, word = spelling_grams(block, which[~own], ORDER)
-            grams.add(packed, count[~own][word])
-        if grams.size > HELD:
-            yield _rows(1, *grams.merge())
-            grams = _Counts()
-    yield _rows(0, *pairs.merge())
-    yield _rows(1, *grams.merge())
-    yield _rows(2, np.array(list(befores), np.uint64), np.array(list(befores.values()), np.uint64).view(np.int64))
+        self.discount = min(0.95, max(0.05, singles / v)) if v else 0.0
+        self.unknown = self.discount * v / n if n else 1.0
+        self.word, self.count = grams[0]
+        self.arcs, self.share = [self.word], [self.root(self.count)]
+        self.states, self.back = [np.zeros(0, np.uint64)], [np.zeros(0)]
+        for m in range(1, ORDER):
+            key, count, state = grams[m]
+            below, there = _among(grams[m - 1][0], state)
+            total = np.where(there, grams[m - 1][1][below], 0) if len(grams[m - 1][0]) else np.zeros(len(key))
+            ends, has = _among(self.word, np.array([END]))
+            if has[0]:  # as often as texts begin
+                total = np.where(state == START[m], self.count[ends[0]], total)
+            share = np.where(total > 0, np.maximum(count - DISCOUNT, 0) / np.maximum(total, 1), 0.0)
+            states, inverse = np.unique(state, return_inverse=True)
+            self.arcs.append(key)
+            self.share.append(share)
+            self.states.append(states)
+            self.back.append(np.maximum(1 - np.bincount(inverse, weights=share, minlength=len(states)), 1e-9) if len(states) else np.zeros(0))
+
+    def root(self, count: np.ndarray) -> np.ndarray:
+        return np.maximum(count - self.discount, 0.05) / max(self.n, 1)
+
+    def traverse(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """For every token its log probability and count. For a token without a
+        root arc in the table the count is 0, and the log only that of the
+        failure arcs down to the root."""
+        at, own = _among(self.word, tokens.key[0])
+        count = np.where(own, self.count[at], 0) if len(self.word) else np.zeros(len(own), np.int64)
+        p = np.where(own, self.share[0][at], 1.0) if len(self.word) else np.ones(len(own))
+        for m in range(1, ORDER):
+            if not len(self.arcs[m]):
+                continue
+            at, there = _among(self.states[m], tokens.state[m])
+            p *= np.where(there, self.back[m][at], 1.0)
+            at, there = _among(self.arcs[m], tokens.key[m])
+            p += np.where(there, self.share[m][at], 0.0)
+        return np.log10(p), count
 
 
 def _sorted(rows: DataFrame, *columns: str) -> list[np.ndarray]:
     """A bounded table on the driver, sorted by its first column as unsigned."""
     table = rows.select(*columns).toArrow()
     out = [table.column(c).to_numpy() for c in columns]
-    out[0] = out[0].astype(np.int64).view(np.uint64)
+    out = [x.astype(np.int64).view(np.uint64) if c != "c" else x for c, x in zip(columns, out, strict=True)]
     by = np.argsort(out[0])
     return [x[by] for x in out]
 
@@ -319,51 +222,29 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     """The model of ``texts`` (_text), and the counts of all its tokens (key, c)."""
     first = cut(map_arrow(texts, _count_words, _COUNTED).groupBy("kind", "key").agg(F.sum("c").alias("c")))
     counts = first.where("kind = 0").select("key", "c")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    words = _sorted(counts.where(F.col("c") >= max(WORD_MIN, n / WORD_ARCS)), "key", "c")
-    candidates = _sorted(first.where("kind = 1"), "key")[0]
-
-    tables = texts.sparkSession.sparkContext.broadcast((words[0], candidates))
-
-    def more(batches):
-        yield from _count_more(batches, *tables.value)
-
-    summed = map_arrow(texts, more, _COUNTED).groupBy("kind", "key").agg(F.sum("c").alias("c"), F.max("c").alias("m"))
-    second = cut(summed)
-    often = second.where("kind = 0").where(F.col("c") >= max(WORD_MIN, n / PAIR_ARCS)).select("key", "c")
-    befores = second.where("kind = 2").select("key", F.col("m").alias("before"))
-    pairs = _sorted(often.join(befores, "key"), "key", "c", "before")
-    pairs[2] = pairs[2].astype(np.int64).view(np.uint64)
-    return Model(n, v, words, pairs, _spelling(second.where("kind = 1").select("key", "c"))), counts
-
-
-def _spelling(grams: DataFrame) -> Spelling:
-    """Arcs and contexts of every order, all from the counts of the longest."""
-    total = grams.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    least = max(1, total / SPELL_ARCS)
-    # of each order m: the last m symbols, and the m - 1 before the last
-    cuts = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col("key").bitwiseAND((1 << 9 * m) - 1).alias("gram")) for m in range(1, ORDER + 1)]))
-    by_order = grams.select(cuts.alias("x"), "c").select("x.*", "c")
-    arcs = by_order.groupBy("m", "gram").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-    contexts = (by_order.groupBy("m", F.shiftright("gram", 9).alias("gram")).agg(F.sum("c").alias("c"))
-                .where((F.col("c") >= least) | (F.col("m") == 1)))
-    arcs, contexts = cut(arcs), cut(contexts)
-    empty = (np.zeros(1, np.uint64), np.zeros(1, np.int64))
-    per = lambda t, m: tuple(_sorted(t.where(F.col("m") == m), "gram", "c"))
-    found = [per(contexts, m) for m in range(1, ORDER + 1)]
-    return Spelling([per(arcs, m) for m in range(1, ORDER + 1)], [x if len(x[0]) or m else empty for m, x in enumerate(found)], ORDER)
+    n, v, singles = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)).first()
+    grams = [_sorted(counts.where(F.col("c") >= max(1, n / WORD_ARCS)), "key", "c")]
+    wanted = [None, *(_sorted(first.where(F.col("kind") == m), "key")[0] for m in range(1, ORDER))]
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def again(batches):
+        yield from _count_wanted(batches, shared.value)
+
+    exact = cut(map_arrow(texts, again, _COUNTED).groupBy("kind", "key").agg(F.sum("c").alias("c"), F.max("state").alias("state")))
+    often = exact.where(F.col("c") >= max(2, n / ARCS))
+    grams += [_sorted(often.where(F.col("kind") == m), "key", "c", "state") for m in range(1, ORDER)]
+    return Model(n, v, singles, grams), counts
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Per text: tokens, known ones and their base sum, the score, and the
-    hashes and counts of the words that have no arc."""
+    """Per text: tokens, those in the table and their base sum, the score so
+    far, and the hashes and counts of the other tokens."""
     z = np.log10(model.n + 0.5 * (model.v + 1))
     for batch in batches:
         for begin, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
-            n = len(block)
-            log, count = model.word_logs(block)
-            token = tokens(block)
-            owner = np.repeat(np.arange(n), block.counts() + 1)
+            n, tokens = len(block), Tokens(block)
+            log, count = model.traverse(tokens)
+            owner, token = tokens.owner, tokens.key[0]
             known = count > 0
             base = np.bincount(owner[known], weights=np.log10(count[known] + 0.5) - z, minlength=n)
             rest = np.flatnonzero(~known)
@@ -374,10 +255,9 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
             cuts = np.searchsorted(owner[order[begins]], np.arange(n + 1))
             rare = pa.StructArray.from_arrays([pa.array(W.signed(token[order[begins]])), pa.array(times.astype(np.int32))], names=["key", "times"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id").slice(begin, n), batch.column("_learn").slice(begin, n), pa.array(block.counts() + 1),
-                 pa.array(np.bincount(owner[known], minlength=n)), pa.array(base), pa.array(np.bincount(owner, weights=log, minlength=n)),
-                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)],
-                names=["_id", "_learn", "n_tokens", "n_known", "base", "score", "rare"])
+                [batch.column("_id").slice(begin, n), pa.array(block.counts() + 1), pa.array(np.bincount(owner[known], minlength=n)),
+                 pa.array(base), pa.array(np.bincount(owner, weights=log, minlength=n)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)],
+                names=["_id", "n_tokens", "n_known", "base", "score", "rare"])
 
 
 def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -393,11 +273,15 @@ def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text
 
     fields = "n_tokens long, n_known long, base double, score double, rare array<struct<key: long, times: int>>"
     # row numbers are safe to join by, as the rows are read from the written table from here on
-    rows = cut(map_arrow(source, scored, f"_id {kind}, _learn boolean, {fields}").withColumn("row", F.monotonically_increasing_id()))
+    rows = cut(map_arrow(source.select("_id", "_text"), scored, f"_id {kind}, {fields}").withColumn("row", F.monotonically_increasing_id()))
     z = float(np.log10(model.n + 0.5 * (model.v + 1)))
-    rare = (rows.select("row", F.inline("rare")).join(counts, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-            .groupBy("row").agg(F.sum(F.col("times") * (F.log10(F.col("c") + 0.5) - z)).alias("more"),
-                                F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("seen")))
+    c, times = F.col("c"), F.col("times")
+    root = F.when(c > 0, F.log10(F.greatest(c - model.discount, F.lit(0.05)) / max(model.n, 1))).otherwise(float(np.log10(model.unknown)))
+    rare = (rows.select("row", F.inline("rare")).join(counts, "key", "left").withColumn("c", F.coalesce(c, F.lit(0)))
+            .groupBy("row").agg(F.sum(times * (F.log10(c + 0.5) - z)).alias("more"), F.sum(times * root).alias("logs"),
+                                F.sum(F.when(c > 0, times).otherwise(0)).alias("seen")))
+    zero = F.lit(0.0)
     return (rows.drop("rare").join(rare, "row", "left")
             .select(F.col("_id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-                    F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score"))
+                    F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
+                    (F.col("score") + F.coalesce("logs", zero)).alias("score")))
