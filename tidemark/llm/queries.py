@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, near_dup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
+from . import bpe, decontaminate, lm_score, near_dup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
 from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
@@ -23,6 +24,12 @@ def _hex(column) -> Column:
     return F.sha2(column, 256)
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    found = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), ranks), ranks)
+    return found.select("doc_id", "n_tokens", _hex("ids").alias("ids_sha256"), _hex("decoded").alias("decoded_sha256"))
+
+
 def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -64,6 +71,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_decontamination": op3_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
