@@ -43,5 +43,12 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``ids``; rows
+    without an id stay. The ids are broadcast if they are few enough."""
+    gone = cut(ids.select(ids[ids.columns[0]].alias("_gone")).where("_gone is not null").distinct())
+    return docs.join(small_side(gone, gone.count(), 64), docs[id_col] == F.col("_gone"), "left_anti")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)

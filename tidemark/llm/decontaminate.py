@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import map_arrow, text_frame
+from .common import map_arrow, text_frame, without_ids
 
 WINDOW = 13
 #: 20 * n_hit >= n_words marks a document as contaminated.
@@ -323,7 +323,6 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated documents. The verdict goes by id: of
-    repeated ids one contaminated row removes all."""
+    repeated ids one contaminated row removes all; rows without an id stay."""
     verdicts = find_contamination(docs, benchmark, id_col, text_col, **options)
-    bad = verdicts.where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
+    return without_ids(docs, verdicts.where("contaminated").select(id_col), id_col)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import cut, map_arrow, small_side, text_frame
+from .common import cut, map_arrow, small_side, text_frame, without_ids
 from .graph import connected
 
 SHINGLE = 5
@@ -238,7 +238,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group; rows without an id stay, and
     of repeated rows of a kept id one stays."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
-    return left.where(left[id_col].isNotNull()).dropDuplicates([id_col]).unionByName(left.where(left[id_col].isNull()))
+    found = cut(near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("_of"), "kept"))
+    left = without_ids(docs, found.where(~F.col("kept")).select("_of"), id_col)
+    again = cut(found.where("kept and _of is not null").groupBy("_of").agg(F.count("*").alias("c")).where("c > 1").select("_of"))
+    if again.isEmpty():
+        return left
+    repeated = left.join(again, left[id_col] == F.col("_of"), "left_semi").dropDuplicates([id_col])
+    return without_ids(left, again, id_col).unionByName(repeated)

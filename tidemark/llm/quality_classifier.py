@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import cut, map_arrow, small_side, text_frame
+from .common import cut, map_arrow, small_side, text_frame, without_ids
 
 THRESHOLD = 0.3
 #: Share of the positives that a score threshold must keep to speak for the prior.
@@ -249,5 +249,4 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, may_learn: Column, id_c
     """``docs`` without the documents that the classifier rejects; of repeated
     ids one rejected row removes all. Rows without an id stay."""
     found = score_quality(docs, labels, may_learn, id_col, text_col, **options)
-    bad = found.where("predicted = 0").select(F.col(id_col).alias("_bad")).where("_bad is not null").distinct()
-    return docs.join(bad, docs[id_col] == F.col("_bad"), "left_anti")
+    return without_ids(docs, found.where("predicted = 0").select(id_col), id_col)
