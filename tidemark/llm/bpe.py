@@ -36,6 +36,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 from .common import map_arrow, text_frame
@@ -187,7 +188,8 @@ def split_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return edges[:-1], edges[1:], np.searchsorted(edges[:-1], offsets)
 
 
-def _clean(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def clean_utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts, with what isn't UTF-8 replaced."""
     data, offsets = W.text_buffer(texts)
     try:
         data.tobytes().decode("utf-8")
@@ -206,10 +208,7 @@ class _Chunk:
 
     def add(self, ids: pa.Array, data: np.ndarray, offsets: np.ndarray) -> None:
         start, end, first = split_texts(data, offsets)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(W._BYTE_VALUES[data] * W._POWERS.upto(len(data)), out=total[1:])
-        hashes = (total[end] - total[start]) * W._INVERSES.upto(len(data) + 1)[start] if len(start) else np.zeros(0, np.uint64)
-        _, which, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        _, which, inverse = np.unique(W.byte_span_hashes(data, start, end), return_index=True, return_inverse=True)
         raw, found = data.tobytes(), self.found
         numbers = np.array([found.setdefault(raw[a:b], len(found)) for a, b in zip(start[which].tolist(), end[which].tolist(), strict=True)], np.int32)
         self.ids.append(ids)
@@ -250,7 +249,7 @@ class _Chunk:
 def _chunks(batches: Iterator[pa.RecordBatch], ranks: Ranks, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     chunk = _Chunk()
     for batch in batches:
-        data, offsets = _clean(batch.column("_text"))
+        data, offsets = clean_utf8(batch.column("_text"))
         begin, n = 0, len(offsets) - 1
         while begin < n:
             stop = int(np.searchsorted(offsets, offsets[begin] + W.BLOCK_BYTES, side="right")) - 1
@@ -365,6 +364,5 @@ def decode(encoded: DataFrame, ranks: Ranks, ids_col: str = "ids", out_col: str
                     names=[*batch.schema.names, out_col])
                 begin = stop
 
-    from pyspark.sql import types as T
     schema = T.StructType([*(f for f in encoded.schema.fields), T.StructField(out_col, T.BinaryType())])
     return encoded.mapInArrow(decoded, schema)

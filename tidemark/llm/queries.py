@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm_score, near_dup, quality_classifier, quality_rules, substring_dedup, toxicity, url_filter
+from . import bpe, decontaminate, lm_score, near_dup, quality_classifier, quality_rules, substring_dedup, token_counts, toxicity, url_filter
 from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
@@ -40,6 +40,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _hex(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), ranks.rank)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", _hex("kept_text").alias("kept_sha256"))
@@ -74,6 +79,7 @@ LLM_QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_toxicity_lexicon": op7_toxicity_lexicon,

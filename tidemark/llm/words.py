@@ -89,6 +89,15 @@ def fold_ascii(data: np.ndarray) -> np.ndarray:
     return _FOLD[data]
 
 
+def byte_span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans ``data[start:end]``, the same wherever they lie."""
+    n = len(data)
+    total = np.empty(n + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(_BYTE_VALUES[data] * _POWERS.upto(n), out=total[1:])
+    return mix((total[end] - total[start]) * _INVERSES.upto(n + 1)[start])
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray, hashed: bool = True) -> Words:
     """Words of the texts ``data[offsets[i]:offsets[i+1]]`` (already folded)."""
     n = len(data)
@@ -105,11 +114,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray, hashed
     first = np.searchsorted(start, offsets)
     if not hashed or not len(start):
         return Words(data, first, start, end, np.zeros(len(start), np.uint64))
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_BYTE_VALUES[data] * _POWERS.upto(n), out=total[1:])
-    hashes = (total[end] - total[start]) * _INVERSES.upto(n)[start]
-    return Words(data, first, start, end, mix(hashes))
+    return Words(data, first, start, end, byte_span_hashes(data, start, end))
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
