@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.row_index import with_row_index
+from tidemark.operators.row_index import has_stable_partitions, with_row_index
 from tidemark.sources.tables import batch_of
 
 
@@ -40,3 +40,34 @@ def test_shuffled_input_numbered_from_a_checkpoint(spark):
     rows = out.collect()
     assert sorted(r["RowIndex"] for r in rows) == list(range(1, 3001))
     assert sorted(r["x"] for r in rows) == list(range(3000))
+
+
+def _is_numbered(df, n):
+    row = with_row_index(df).agg(F.count("*"), F.countDistinct("RowIndex"), F.min("RowIndex"), F.max("RowIndex")).first()
+    assert tuple(row) == (n, n, 1, n)
+
+
+def test_default_numbering_of_shuffled_frames_is_complete(spark):
+    """Adaptive execution coalesces the two reads of a shuffle differently."""
+    lines = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    keys = lines.select("l_orderkey", "l_partkey", "l_suppkey").dropDuplicates()
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        _is_numbered(keys, keys.count())
+        few = keys.limit(1000)
+        _is_numbered(few, 1000)
+        keys.join(keys.groupBy("l_partkey").count(), "l_partkey").createOrReplaceTempView("tm_joined")
+        view = spark.read.table("tm_joined")
+        _is_numbered(view, view.count())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_plans_that_need_no_copy(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    assert has_stable_partitions(scan.where("id > 3").withColumn("x", F.col("id") * 2))
+    assert not has_stable_partitions(scan.groupBy("id").count())
+    assert not has_stable_partitions(scan.where(F.rand() > 0.5))
+    assert not has_stable_partitions(scan.limit(3))

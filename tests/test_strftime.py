@@ -1,25 +1,21 @@
 import pytest
 
-from tidemark.functions.strftime import to_spark_pattern
+from tidemark.functions.strftime import bad_format, to_regex
 
 
-@pytest.mark.parametrize("fmt,expected", [
-    ("%Y-%m-%d", "yyyy-M-d"),
-    ("%d/%m/%Y", "d/M/yyyy"),
-    ("%H:%M:%S", "H:m:s"),
-    ("%Y%m%d", "yyyyMMdd"),
-    ("%Y-%m-%dT%H:%M:%S", "yyyy-M-d'T'H:m:s"),
-    ("%d %b %Y", "d MMM yyyy"),
-    ("%I:%M %p", "h:m a"),
-    ("%Y-%m-%d %H:%M:%S.%f", "yyyy-M-d H:m:s.SSSSSS"),
-])
-def test_mapped(fmt, expected):
-    assert to_spark_pattern(fmt) == expected
+@pytest.mark.parametrize("fmt", ["%Y-%m-%d", "%H:%M:%S.%f", "%a %d %b %Y", "%Y-%m-%d %z", "plain", "100%%"])
+def test_common_patterns_stay_on_the_jvm(fmt):
+    assert to_regex(fmt) is not None
 
 
-@pytest.mark.parametrize("fmt", ["%a %d", "%Y-%m-%d %z", "plain", "%c"])
-def test_unmapped_falls_back(fmt):
-    assert to_spark_pattern(fmt) is None
+@pytest.mark.parametrize("fmt", ["%c", "%x", "%G-%V-%u", "%Z"])
+def test_locale_and_week_patterns_fall_back(fmt):
+    assert to_regex(fmt) is None
+
+
+@pytest.mark.parametrize("fmt,bad", [("%Q", True), ("%Y-%", True), ("%Y-%m-%d", False), ("plain", False)])
+def test_bad_patterns_are_known(fmt, bad):
+    assert (bad_format(fmt) is not None) == bad
 
 
 CASES = {
@@ -28,7 +24,16 @@ CASES = {
     "%d/%m/%Y": ["05/01/2024", "5/1/2024", "32/01/2024"],
     "%H:%M:%S": ["23:59:59", "24:00:00", "7:5:3", "12:60:00", "12:30", "12:30:01.5"],
     "%H:%M:%S.%f": ["12:30:01.5", "12:30:01.123456", "12:30:01.1234567", "12:30:01"],
-    "%Y%m%d": ["20240105", "202401055"],
+    "%Y%m%d": ["20240105", "202401055", "2024015", "2024111", "20241131"],
+    "%Y": ["0000", "0001", "9999", "12345"],
+    "%d %m": ["29 02", "29  2", "30 4", "31 4"],
+    "%y-%m-%d": ["00-02-29", "68-1-1", "69-1-1", "99-02-29"],
+    "%a %d %b %Y": ["Mon 01 Jan 2024", "mon 1 jan 2024", "Xyz 01 Jan 2024", "Mon  1 Jan 2024"],
+    "%A, %d %B %Y": ["Monday, 1 May 2024", "monday, 31 june 2024"],
+    "%Y-%m-%d %z": ["2024-01-05 +0100", "2024-01-05 +01:30", "2024-01-05 Z", "2024-01-05 UTC"],
+    "%Y  %m": ["2024 1", "2024   12", "2024"],
+    "a.b %Y": ["a.b 2024", "axb 2024", "A.B 2024"],
+    "%d/%m": ["29/02", "28/02"],
     "%d %b %Y": ["05 Jan 2024", "05 jan 2024", "05 January 2024", "5 Jan 2024"],
     "%d %B %Y": ["05 January 2024", "05 Jan 2024", "05 january 2024"],
     "%I:%M %p": ["07:30 PM", "7:30 pm", "13:30 PM", "00:30 AM"],

@@ -1,7 +1,7 @@
-from .checks import DATA_TYPES, RULE_NAMES, Check, RuleError, build_check
-from .strftime import parses_with, to_spark_pattern
+from .checks import DATA_TYPES, RULE_NAMES, Check, RuleError, UnevaluableError, build_check
+from .strftime import bad_format, parses_with, to_regex
 
 __all__ = [
-    "DATA_TYPES", "RULE_NAMES", "Check", "RuleError", "build_check",
-    "parses_with", "to_spark_pattern",
+    "DATA_TYPES", "RULE_NAMES", "Check", "RuleError", "UnevaluableError", "build_check",
+    "bad_format", "parses_with", "to_regex",
 ]

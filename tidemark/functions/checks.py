@@ -16,13 +16,15 @@ single codegen'd projection / aggregate.
 from __future__ import annotations
 
 import datetime as _dt
+import decimal
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .strftime import parses_with
+from .strftime import bad_format, parses_with
 
 # The rule names of the rule language, in their documented order.
 RULE_NAMES = (
@@ -55,6 +57,9 @@ DATA_TYPES = {
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
+# The ranges of the integral types.
+_INTEGRAL = {T.ByteType: (-(1 << 7), (1 << 7) - 1), T.ShortType: (-(1 << 15), (1 << 15) - 1),
+             T.IntegerType: (-(1 << 31), (1 << 31) - 1), T.LongType: (-(1 << 63), (1 << 63) - 1)}
 _DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -70,6 +75,12 @@ class RuleError(ValueError):
     """A rule that cannot be compiled (unknown name, bad arguments)."""
 
 
+class UnevaluableError(RuleError):
+    """A check that cannot be evaluated on its column (a pattern that is not
+    one, a type that has no such comparison). The other checks of the suite are
+    not affected by it."""
+
+
 def _as_float(value: str, rule: str) -> float:
     try:
         return float(value)
@@ -82,6 +93,42 @@ def _arity(name: str, args: tuple[str, ...], n: int) -> None:
         raise RuleError(f"{name} takes {n} argument(s), got {len(args)}: {args!r}")
 
 
+_META = re.compile(r"[\\^$.|?*+()\[\]{}]")
+
+
+def _number_like(value: str, dtype: T.DataType) -> Column | None:
+    """A choice value in the column's own type; None if that type has no such
+    value (it then matches no row)."""
+    try:
+        number = decimal.Decimal(value)
+    except decimal.InvalidOperation:
+        return None
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.lit(float(number)).cast(dtype)
+    if not number.is_finite():
+        return None
+    if isinstance(dtype, T.DecimalType):
+        exact = number.quantize(decimal.Decimal(1).scaleb(-dtype.scale), context=decimal.Context(prec=60))
+        fits = exact == number and len(exact.as_tuple().digits) <= dtype.precision
+        return F.lit(exact).cast(dtype) if fits else None
+    low, high = _INTEGRAL[type(dtype)]
+    return F.lit(int(number)).cast(dtype) if number == int(number) and low <= number <= high else None
+
+
+def _can_cast(dtype: T.DataType, to: T.DataType) -> bool:
+    """Whether a column of ``dtype`` has a cast to a number, boolean or text."""
+    if isinstance(to, T.StringType):
+        return True
+    if isinstance(dtype, T.TimestampType):
+        return True
+    return isinstance(dtype, (*_NUMERIC, T.StringType, T.BooleanType, T.VarcharType, T.CharType))
+
+
+def _castable(dtype: T.DataType, to: T.DataType, name: str) -> None:
+    if not _can_cast(dtype, to):
+        raise UnevaluableError(f"{name}: a column of type {dtype.simpleString()} has no {to.simpleString()} form")
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -111,19 +158,18 @@ def build_check(name: str, args: tuple[str, ...], c: Column, dtype: T.DataType,
         if not args:
             raise RuleError("choice needs at least one value")
         if isinstance(dtype, _NUMERIC):
-            nums = []
-            for a in args:
-                try:
-                    nums.append(float(a))
-                except ValueError:
-                    pass
-            ok = c.cast("double").isin(nums) if nums else F.lit(False)
+            values = [v for v in (_number_like(a, dtype) for a in args) if v is not None]
+            ok = c.isin(values) if values else F.lit(False)
         else:
+            _castable(dtype, T.StringType(), name)
             ok = _text(c).isin(list(args))
         return Check(fail=present & ~ok, missing=missing)
 
     if name in ("date_format", "time_format"):
         _arity(name, args, 1)
+        problem = bad_format(args[0])
+        if problem:
+            raise UnevaluableError(f"{name}: {problem}")
         return Check(fail=present & ~parses_with(c, args[0]), missing=missing)
 
     if name == "string_format":
@@ -132,7 +178,9 @@ def build_check(name: str, args: tuple[str, ...], c: Column, dtype: T.DataType,
 
     if name == "string_validation":
         _arity(name, args, 1)
-        return Check(fail=present & ~_text(c).rlike(f".*{args[0]}.*"), missing=missing)
+        # a search for the pattern anywhere in the text; plain text needs no regex
+        found = _text(c).rlike(args[0]) if _META.search(args[0]) else _text(c).contains(args[0])
+        return Check(fail=present & ~found, missing=missing)
 
     if name == "data_type":
         _arity(name, args, 1)
@@ -143,12 +191,13 @@ def build_check(name: str, args: tuple[str, ...], c: Column, dtype: T.DataType,
             fail=F.lit(False),
             missing=F.lit(False),
             static_success=(dtype == expected),
-            conforming=c.try_cast(expected).isNotNull(),
+            conforming=c.try_cast(expected).isNotNull() if _can_cast(dtype, expected) else F.lit(False),
         )
 
     if name == "number_range":
         _arity(name, args, 2)
         lo, hi = _as_float(args[0], name), _as_float(args[1], name)
+        _castable(dtype, T.DoubleType(), name)
         inside = F.coalesce(c.try_cast("double").between(lo, hi), F.lit(False))
         return Check(fail=present & ~inside, missing=missing)
 

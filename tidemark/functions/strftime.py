@@ -1,89 +1,93 @@
-"""strftime pattern -> Spark datetime pattern, for the date/time format rules.
-
-A format rule only asks *whether* a text parses with the pattern, so the
-mapping favours the forms that accept what ``datetime.strptime`` accepts:
-single-letter numeric fields (``2024-1-5`` and ``2024-01-05`` both parse)
-unless two numeric fields touch, where only padded widths can split them.
-Patterns with a directive Spark cannot express return ``None`` and the caller
-uses the Arrow-batched strptime fallback instead.
+"""Does a text parse with a strftime pattern: the date/time format rules.
+
+A pattern becomes a regular expression (one group per directive, case
+ignored, white space in the pattern matching any run of white space), matched
+without backtracking over the whole text, as ``datetime.strptime`` matches;
+then year, month and day must make a date. Both steps are built-in JVM
+expressions. Only patterns with a directive whose meaning depends on the
+locale or on ISO week rules fall back to ``strptime`` in an Arrow-batched
+pandas UDF.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Strftime directive -> (Spark letters unpadded, padded, numeric?).
+_DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
+_MONTHS = ("January February March April May June July August September October "
+           "November December").split()
+
+
+def _names(names: list[str], short: bool) -> str:
+    return "|".join(n[:3] if short else n for n in names)
+
+
+# What each strftime directive matches (two-digit fields may
+# drop a leading zero; names are those of the C locale).
 DIRECTIVES = {
-    "Y": ("yyyy", "yyyy", True),
-    "y": ("yy", "yy", True),
-    "m": ("M", "MM", True),
-    "d": ("d", "dd", True),
-    "H": ("H", "HH", True),
-    "I": ("h", "hh", True),
-    "M": ("m", "mm", True),
-    "S": ("s", "ss", True),
-    "j": ("D", "DDD", True),
-    "f": ("SSSSSS", "SSSSSS", True),
-    "p": ("a", "a", False),
-    "b": ("MMM", "MMM", False),
-    "B": ("MMMM", "MMMM", False),
+    "Y": r"\d\d\d\d",
+    "y": r"\d\d",
+    "m": r"1[0-2]|0[1-9]|[1-9]",
+    "d": r"3[0-1]|[1-2]\d|0[1-9]|[1-9]| [1-9]",
+    "H": r"2[0-3]|[0-1]\d|\d",
+    "I": r"1[0-2]|0[1-9]|[1-9]",
+    "M": r"[0-5]\d|\d",
+    "S": r"6[0-1]|[0-5]\d|\d",
+    "f": r"[0-9]{1,6}",
+    "j": r"36[0-6]|3[0-5]\d|[1-2]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9]",
+    "w": r"[0-6]",
+    "z": r"[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|Z",
+    "p": r"am|pm",
+    "a": _names(_DAYS, True),
+    "A": "|".join(sorted(_DAYS, key=len, reverse=True)),
+    "b": _names(_MONTHS, True),
+    "B": "|".join(sorted(_MONTHS, key=len, reverse=True)),
 }
 
 
-def _tokens(fmt: str) -> list[tuple[str, str]] | None:
-    """Split into ("dir", letter) / ("lit", text); None on an unmapped directive."""
-    out: list[tuple[str, str]] = []
-    i = 0
+def bad_format(fmt: str) -> str | None:
+    """Why ``strptime`` refuses the pattern itself; None if it takes it."""
+    try:
+        _dt.datetime.strptime("", fmt)
+    except ValueError as error:
+        if "does not match" not in str(error) and "unconverted" not in str(error):
+            return str(error)
+    except (re.error, KeyError, IndexError) as error:
+        return str(error)
+    return None
+
+
+def to_regex(fmt: str) -> tuple[str, dict[str, int]] | None:
+    """(regex, group number of each directive), or None if not expressible. A
+    directive may occur once, as for ``strptime``."""
+    out, groups, i = [], {}, 0
     while i < len(fmt):
         ch = fmt[i]
         if ch == "%" and i + 1 < len(fmt):
             d = fmt[i + 1]
             if d == "%":
-                out.append(("lit", "%"))
-            elif d in DIRECTIVES:
-                out.append(("dir", d))
+                out.append("%")
+            elif d in DIRECTIVES and d not in groups:
+                groups[d] = len(groups) + 1
+                out.append(f"({DIRECTIVES[d]})")
             else:
                 return None
             i += 2
+        elif ch.isspace():
+            while i < len(fmt) and fmt[i].isspace():
+                i += 1
+            out.append(r"\s+")
         else:
-            out.append(("lit", ch))
+            out.append(re.escape(ch) if ch.isascii() and not ch.isalnum() else ch)
             i += 1
-    return out
-
-
-def _quote(text: str) -> str:
-    if not text:
-        return ""
-    if any(c.isalpha() or c == "'" for c in text):
-        return "'" + text.replace("'", "''") + "'"
-    return text
-
-
-def to_spark_pattern(fmt: str) -> str | None:
-    """Spark datetime pattern equivalent to ``fmt`` or None if not expressible."""
-    toks = _tokens(fmt)
-    if toks is None or not any(kind == "dir" for kind, _ in toks):
-        return None
-    parts: list[str] = []
-    lit_buf = ""
-    for idx, (kind, val) in enumerate(toks):
-        if kind == "lit":
-            lit_buf += val
-            continue
-        parts.append(_quote(lit_buf))
-        lit_buf = ""
-        short, padded, numeric = DIRECTIVES[val]
-        prev_dir = idx > 0 and toks[idx - 1][0] == "dir" and DIRECTIVES[toks[idx - 1][1]][2]
-        next_dir = (idx + 1 < len(toks) and toks[idx + 1][0] == "dir"
-                    and DIRECTIVES[toks[idx + 1][1]][2])
-        parts.append(padded if numeric and (prev_dir or next_dir) else short)
-    parts.append(_quote(lit_buf))
-    return "".join(parts)
+    # (?>...): the first way to match counts, without trying others to reach the end
+    return f"(?iU)^(?>{''.join(out)})\\z", groups
 
 
 def _strptime_ok(fmt: str):
@@ -100,15 +104,44 @@ def _strptime_ok(fmt: str):
     return check
 
 
+def _month(text: Column, names: list[str], short: bool) -> Column:
+    found = F.array(*[F.lit((n[:3] if short else n).lower()) for n in names])
+    return F.array_position(found, F.lower(text)).cast("int")
+
+
 def parses_with(c: Column, fmt: str) -> Column:
     """Boolean column: does the (string-cast) value parse with strftime ``fmt``.
 
-    NULL for NULL input. JVM-side ``try_to_timestamp`` when the pattern maps,
-    otherwise an Arrow-batched pandas UDF around ``datetime.strptime``.
+    NULL for NULL input.
     """
     text = c.cast("string")
-    pattern = to_spark_pattern(fmt)
-    if pattern is not None:
-        return F.when(text.isNotNull(), F.try_to_timestamp(text, F.lit(pattern)).isNotNull())
-    udf = F.pandas_udf(_strptime_ok(fmt), T.BooleanType())
-    return udf(text)
+    parts = to_regex(fmt)
+    if parts is None:
+        return F.pandas_udf(_strptime_ok(fmt), T.BooleanType())(text)
+    pattern, groups = parts
+    ok = text.rlike(pattern)
+
+    def number(d: str) -> Column:
+        return F.trim(F.regexp_extract(text, pattern, groups[d])).cast("int")
+
+    dated = [d for d in "Yymdjb B".replace(" ", "") if d in groups]
+    if dated:
+        year = F.lit(1900)
+        if "y" in groups:
+            short = number("y")
+            year = F.when(short < 69, short + 2000).otherwise(short + 1900)
+        if "Y" in groups:
+            year = number("Y")
+        month = F.lit(1)
+        if "m" in groups:
+            month = number("m")
+        elif "b" in groups:
+            month = _month(F.regexp_extract(text, pattern, groups["b"]), _MONTHS, True)
+        elif "B" in groups:
+            month = _month(F.regexp_extract(text, pattern, groups["B"]), _MONTHS, False)
+        day = number("d") if "d" in groups else F.lit(1)
+        # only evaluated where the text matches, so every part is a number
+        last = F.dayofmonth(F.last_day(F.make_date(F.greatest(year, F.lit(1)), month, F.lit(1))))
+        real = (year >= 1) & (day <= last)
+        return F.when(text.isNotNull(), F.when(ok, real).otherwise(F.lit(False)))
+    return F.when(text.isNotNull(), ok)

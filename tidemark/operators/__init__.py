@@ -1,18 +1,12 @@
 from .row_index import with_row_index
-from .windows import (
-    any_later, last_nonnull_before, last_nonnull_through_current, later_last,
-    next_two_valid, next_value, ordered, prev_value, row_number, running_first_nonnull,
-)
 from .profiles import pick_profile, profile_stages, set_state_profile
 from .validate import (
     check_data_quality, component_summary, failing_rows, quality_report, row_report,
-    rule_summary, with_index_lists,
+    rule_summary, with_index_rows,
 )
 
 __all__ = [
-    "with_row_index", "any_later", "last_nonnull_before", "last_nonnull_through_current",
-    "later_last", "next_two_valid", "next_value", "ordered", "prev_value", "row_number",
-    "running_first_nonnull", "pick_profile", "profile_stages", "set_state_profile",
+    "with_row_index", "pick_profile", "profile_stages", "set_state_profile",
     "check_data_quality", "component_summary", "failing_rows", "quality_report",
-    "row_report", "rule_summary", "with_index_lists",
+    "row_report", "rule_summary", "with_index_rows",
 ]

@@ -6,17 +6,20 @@ Here each row keeps its partition: ``monotonically_increasing_id`` gives
 back by broadcast (one row per input partition, so its size is bounded by the
 partition count, not by the data).
 
-The count pass and the numbering pass read the same input twice, so the
-input's partitioning has to be deterministic: true for file scans with
-filters/projections (the batch read). A requested key order is always
-checkpointed first to the shared ``spark.checkpoint.dir`` (reliable, survives
-executor loss) and both passes read that copy; pass ``materialize=True`` for
-any other input whose partitions may differ between two reads (one that went
-through a shuffle) - ``check_data_quality`` does so for a caller's frame.
+The count pass and the numbering pass read the same input twice, so both must
+see the same partitions. That holds for a scan with filters and projections,
+and for a checkpointed frame. Any other plan - a shuffle, whose partitions
+adaptive execution may coalesce differently in the two passes, a limit, a
+sample, a non-deterministic expression - is first written to the shared
+``spark.checkpoint.dir`` (reliable, survives executor loss), and both passes
+read that copy. A row whose partition has no count raises an error; it is never
+dropped.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,22 @@ _POS_BITS = 33
 BROADCAST_PARTITIONS = 2_000_000
 
 
+# Physical operators that keep a scan's partitions, whatever columns are read.
+_NARROW = re.compile(r"^(Scan|FileScan|BatchScan|Project|Filter|ColumnarToRow|LocalTableScan|Range|Union|"
+                     r"WholeStageCodegen|InputAdapter|SubqueryAlias)\b")
+
+
+def has_stable_partitions(df: DataFrame) -> bool:
+    """Whether two reads of ``df`` see the same rows in the same partitions:
+    the plan is deterministic and has nothing but scans, filters, projections
+    and unions. Looks at the plan only; no job runs."""
+    execution = df._jdf.queryExecution()
+    if not execution.optimizedPlan().deterministic():
+        return False
+    nodes = [re.sub(r"^[\s:+*()\d-]*", "", line) for line in execution.sparkPlan().toString().splitlines()]
+    return all(_NARROW.match(node) for node in nodes if node)
+
+
 def with_row_index(
     df: DataFrame,
     col: str = "RowIndex",
@@ -41,8 +60,8 @@ def with_row_index(
       with a per-row tie-breaker, so a heavily repeated value is still spread
       over partitions; then checkpoint). Ties get consecutive numbers in
       arbitrary order.
-    * ``materialize``: checkpoint before numbering; defaults to True when an
-      order is requested.
+    * ``materialize``: checkpoint before numbering; by default when an order is
+      requested or the plan is more than a scan with filters and projections.
     """
     if order_by:
         # A per-row tie-breaker lets the range partitioner split a value that
@@ -56,6 +75,8 @@ def with_row_index(
         df = ranged.sortWithinPartitions(*keys).drop("__tm_tie")
         if materialize is None:
             materialize = True
+    if materialize is None:
+        materialize = not has_stable_partitions(df)
     if materialize:
         checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
@@ -72,8 +93,10 @@ def with_row_index(
     # moderate (planning only, no job), a shuffle join beyond it
     if df.rdd.getNumPartitions() <= BROADCAST_PARTITIONS:
         offsets = F.broadcast(offsets)
+    lost = F.raise_error(F.lit("with_row_index: the input's partitions changed between two reads; "
+                               "pass materialize=True")).cast("bigint")
     return (
-        base.join(offsets, "__tm_part")
-        .withColumn(col, pos + F.col("__tm_off") + F.lit(1))
+        base.join(offsets, "__tm_part", "left")
+        .withColumn(col, pos + F.coalesce(F.col("__tm_off"), lost) + F.lit(1))
         .drop("__tm_mid", "__tm_part", "__tm_off")
     )

@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import col
-from ..plans.rules import CompiledRule, Suite, compile_rules, lookup_rules
-from ..session import checkpoint_dir, local_frame
+from ..plans.rules import CompiledRule, Suite, compile_rules, lookup_rules, skipped_frame
+from ..session import local_frame
 from .row_index import with_row_index
 
 MAX_COMPONENTS_PER_PASS = 200
@@ -230,29 +230,22 @@ def failing_rows(
     )
 
 
-def with_index_lists(report: DataFrame, failing: DataFrame, index_col: str = "RowIndex",
-                     limit: int = 20) -> DataFrame:
-    """Attach ``unexpected_index_list`` (first ``limit`` failing rows by index)
-    to a report. The full list is ``failing_rows``; one rule's list is a single
-    group, so it is sampled here rather than collected whole."""
+def with_index_rows(report: DataFrame, failing: DataFrame) -> DataFrame:
+    """The report in long form: each rule's row, once for each of its failing
+    rows (index and value), or once with NULLs if it has none. Complete, and
+    without a group per rule: the report, one row per rule, is broadcast."""
     keys = ["column_name", "expectation", "action"]
-    w = Window.partitionBy(*keys).orderBy(col(index_col))
-    lists = (
-        failing.withColumn("__rn", F.row_number().over(w))
-        .where(F.col("__rn") <= limit)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct(col(index_col).alias(index_col), "value")))
-             .alias("unexpected_index_list"))
-    )
-    empty = F.array().cast(lists.schema["unexpected_index_list"].dataType)
-    l = lists.select(*[F.col(k).alias(f"__l_{k}") for k in keys], "unexpected_index_list")
+    cols = [c for c in failing.columns if c not in keys]
+    r = F.broadcast(report.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                                  *[col(c) for c in report.columns if c not in keys]))
     # NULL action is a group of its own: match keys null-safely
-    cond = reduce(lambda a, b: a & b, [report[k].eqNullSafe(l[f"__l_{k}"]) for k in keys])
-    return (
-        report.join(F.broadcast(l), cond, "left")
-        .drop(*[f"__l_{k}" for k in keys])
-        .withColumn("unexpected_index_list", F.coalesce("unexpected_index_list", empty))
-    )
+    cond = reduce(lambda a, b: a & b, [failing[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
+    order = [col(c) for c in report.columns]
+    listed = failing.join(r, cond).select(*order, *[col(c) for c in cols])
+    # rules without failing rows pass, by construction, or are decided from the schema
+    quiet = report.where(F.col("success") | (F.col("unexpected_count") == 0)).select(
+        *order, *[F.lit(None).cast(failing.schema[c].dataType).alias(c) for c in cols])
+    return listed.unionByName(quiet)
 
 
 def row_report(
@@ -341,21 +334,27 @@ def check_data_quality(
     index_col: str = "RowIndex",
     as_of: _dt.datetime | None = None,
     processed_at: _dt.datetime | None = None,
-    index_list_limit: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+    index_rows: bool = False,
+    number_rows: bool = True,
+    return_skipped: bool = False,
+) -> tuple[DataFrame, ...]:
     """End-to-end check of one batch of one table.
 
     Rules: ``rules`` (list of dicts or DataFrame) or, when empty, the active
     rules of ``table_name`` / ``system_id`` in ``rules_table``. Data: ``df``
     or the batch ``batch_id`` of ``{catalog}.{schema}.{system}_{table}``.
-    A missing ``index_col`` is added as 1..n in physical order (a caller's
-    frame is checkpointed first, a batch scan is numbered directly).
 
-    ``index_list_limit=n`` adds ``unexpected_index_list``: the first n
-    failing rows (index, value) of each failing rule; the complete list is
-    ``failing_rows``.
+    The report always reads the caller's own frame, only the ruled columns.
+    A missing ``index_col`` is added as 1..n in physical order, for the frame
+    that is returned and for ``index_rows``; a frame that is more than a scan
+    (see ``with_row_index``) is written once for that. ``number_rows=False``
+    returns the frame as it is, and nothing is written.
+
+    ``index_rows=True`` gives the report in long form, with ``index_col`` and
+    value of every failing row of each failing rule.
 
-    Returns (frame with index column, quality report) - both lazy.
+    Returns (frame, report), with ``return_skipped=True`` (frame, report,
+    skipped), skipped being the rules that couldn't be evaluated, with reasons.
     """
     if spark is None:
         spark = (df.sparkSession if df is not None else SparkSession.getActiveSession())
@@ -368,24 +367,15 @@ def check_data_quality(
 
         full_name = f"{system_name.lower()}_{table_name.lower()}"
         qualified = ".".join(p for p in (catalog, schema, full_name) if p)
-        base = read_batch(spark, qualified, batch_id, index_col=None)
-        df = with_row_index(base, index_col)
-    elif index_col not in df.columns:
-        # a caller's frame may hold shuffles whose partitions are not stable
-        # between two reads: number a checkpointed copy
-        checkpoint_dir(spark)
-        base = df.checkpoint(eager=True)
-        df = with_row_index(base, index_col)
-    else:
-        base = df
-    suite = compile_rules(spark, rules, base.schema, as_of=as_of)
-    # the report needs no row numbers: it reads the batch once, without the
-    # numbering's extra counting pass
-    verdicts = rule_summary(base, suite)
-    report = quality_report(base, suite, table_name=table_name, batch_id=batch_id,
+        df = read_batch(spark, qualified, batch_id, index_col=None)
+    suite = compile_rules(spark, rules, df.schema, as_of=as_of)
+    verdicts = rule_summary(df, suite)
+    report = quality_report(df, suite, table_name=table_name, batch_id=batch_id,
                             processed_at=processed_at, verdicts=verdicts)
-    if index_list_limit is not None:
+    out = df
+    if index_col not in df.columns and (number_rows or index_rows):
+        out = with_row_index(df, index_col)
+    if index_rows:
         # the same verdicts feed the report and the OR-rule filter: one aggregate
-        failing = failing_rows(df, suite, index_col=index_col, verdicts=verdicts)
-        report = with_index_lists(report, failing, index_col, index_list_limit)
-    return df, report
+        report = with_index_rows(report, failing_rows(out, suite, index_col=index_col, verdicts=verdicts))
+    return (out, report, skipped_frame(spark, suite)) if return_skipped else (out, report)

@@ -462,13 +462,35 @@ FROM rules r JOIN v ON r.field_name = v.field_name AND r.expectation = v.expecta
 ORACLE_SQL["dq_catalogue_report"] = _catalogue_report()
 
 ORACLE_SQL["dq_index_list"] = f"""
-SELECT column_name, expectation, FALSE AS success, CAST(n AS BIGINT) AS unexpected_count,
-  doc_id, value
-FROM (SELECT *,
-        row_number() OVER (PARTITION BY column_name, expectation ORDER BY doc_id) AS rn,
-        count(*) OVER (PARTITION BY column_name, expectation) AS n
-      FROM ({ORACLE_SQL["dq_failing_rows"]}) fr)
-WHERE rn <= 20"""
+SELECT column_name, expectation, FALSE AS success,
+  CAST(count(*) OVER (PARTITION BY column_name, expectation) AS BIGINT) AS unexpected_count, doc_id, value
+FROM ({ORACLE_SQL["dq_failing_rows"]}) fr"""
+
+ORACLE_SQL["row_index_shuffled"] = """
+SELECT count(*) AS n, count(*) AS numbers, 1::BIGINT AS first, count(*) AS last
+FROM (SELECT DISTINCT l_partkey, l_suppkey, l_quantity FROM lineitem)"""
+
+ORACLE_SQL["batch_of_view"] = """
+SELECT count(*) AS n, count(*) AS numbers, 1::BIGINT AS first, count(*) AS last, sum(c)::BIGINT AS orders
+FROM (SELECT o_custkey, count(*) AS c FROM orders WHERE o_orderkey % 3 = 1 GROUP BY o_custkey)"""
+
+ORACLE_SQL["dq_long_text"] = """
+SELECT 'text' AS column_name, 'string_validation(the)' AS expectation, 'warn' AS action, doc_id, text AS value
+FROM documents WHERE text IS NOT NULL AND NOT contains(text, 'the')
+UNION ALL SELECT 'text', 'string_validation([0-9]{3}-[0-9]{4})', 'warn', doc_id, text
+FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[0-9]{3}-[0-9]{4}')"""
+
+ORACLE_SQL["dq_unevaluable"] = """
+SELECT 'O_ORDERSTATUS' AS column_name, 'required and choice(''F'',''O'')' AS expectation, f = 0 AS success,
+  0::BIGINT AS missing_count, f AS unexpected_count
+FROM (SELECT count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS f FROM orders)
+UNION ALL SELECT 'o_day', 'data_type(int)', FALSE, 0, 0
+UNION ALL SELECT 'o_orderpriority', 'string_format([) or max_length(8)', f = 0, 0, f
+FROM (SELECT count(*) FILTER (WHERE length(o_orderpriority) > 8) AS f FROM orders)
+UNION ALL SELECT 'o_day', 'number_range(1, 2)', NULL, NULL, NULL
+UNION ALL SELECT 'o_orderpriority', 'string_format([) or max_length(8)', NULL, NULL, NULL
+UNION ALL SELECT 'o_orderpriority', 'date_format(%Q)', NULL, NULL, NULL
+UNION ALL SELECT 'o_missing', 'required', NULL, NULL, NULL"""
 
 for _name in [k for k in ORACLE_SQL if k.startswith("win_")] + [
         "profile_round2", "profile_select_running", "profile_select_adjacent"]:

@@ -1,8 +1,8 @@
 """Registered queries over the driver's tables.
 
-Every query reads whole tables; the only limits are the features themselves
-(``dq_row_report_sample``: first 5 failing rows per check; ``dq_index_list``:
-first 20 per rule). The driver tables hold no NULLs, so NULLs are injected by
+Every query reads whole tables; the only limit is a feature itself, the partial
+sample that the caller asks for (``dq_row_report_sample``: first 5 failing rows
+per check; ``dq_row_report`` is the complete form). The driver tables hold no NULLs, so NULLs are injected by
 a fixed expression, mirrored in the SQL oracle. Outputs are scalar columns
 (ids, counts, flags, text values); dates leave as day numbers so both engines
 hash them alike. The ``*_hot`` queries repeat window and profile queries with
@@ -25,9 +25,9 @@ from ..operators.split_window import (
 from ..operators.row_index import with_row_index
 from ..operators.validate import (
     check_data_quality, component_summary, failing_rows, quality_report, row_report,
-    rule_summary, with_index_lists,
+    rule_summary, with_index_rows,
 )
-from ..sources.tables import batch_of, read_table
+from ..sources.tables import batch_of, read_batch, read_table
 from .rules import compile_rules, expand_rules, lookup_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +152,24 @@ def q_batch_rows(spark, sf):
     return batch_of(e, "3", order_by=["event_id"]).select("event_id", "user_id", "RowIndex")
 
 
+def q_row_index_shuffled(spark, sf):
+    """Numbering a frame that comes out of a shuffle, by default: every row has
+    a number, and the numbers are 1..n."""
+    keys = read_table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_quantity").dropDuplicates()
+    return with_row_index(keys).agg(F.count("*").alias("n"), F.countDistinct("RowIndex").alias("numbers"),
+                                    F.min("RowIndex").alias("first"), F.max("RowIndex").alias("last"))
+
+
+def q_batch_of_view(spark, sf):
+    """``read_batch`` of a catalogue name that is a view with a shuffle."""
+    o = read_table(spark, sf, "orders")
+    o.groupBy("o_custkey", F.concat(F.lit("b"), F.col("o_orderkey") % 3).alias("batch_id")).agg(
+        F.count("*").alias("orders")).createOrReplaceTempView("tm_orders_batches")
+    batch = read_batch(spark, "tm_orders_batches", "b1")
+    return batch.agg(F.count("*").alias("n"), F.countDistinct("RowIndex").alias("numbers"), F.min("RowIndex").alias("first"),
+                     F.max("RowIndex").alias("last"), F.sum("orders").alias("orders"))
+
+
 def q_row_index(spark, sf):
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return with_row_index(o, "RowIndex", order_by=["o_orderkey"])
@@ -334,17 +352,41 @@ def q_dq_failing_rows(spark, sf):
 
 
 def q_dq_index_list(spark, sf):
-    """The optional list column (first 20 failing rows per rule), flattened."""
+    """The report with every failing row of each failing rule."""
     d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     suite = compile_rules(spark, _document_rules(), d.schema, as_of=AS_OF)
     verdicts = rule_summary(d, suite)  # shared by the report and the OR-rule filter
     rep = quality_report(d, suite, "documents", "all", PROCESSED_AT, verdicts=verdicts)
-    lists = with_index_lists(rep, failing_rows(d, suite, index_col="doc_id", verdicts=verdicts),
-                             index_col="doc_id", limit=20)
-    return lists.select(
-        "column_name", "expectation", "success", "unexpected_count",
-        F.explode_outer("unexpected_index_list").alias("e"),
-    ).select("column_name", "expectation", "success", "unexpected_count", "e.doc_id", "e.value")
+    rows = with_index_rows(rep, failing_rows(d, suite, index_col="doc_id", verdicts=verdicts))
+    return rows.select("column_name", "expectation", "success", "unexpected_count", "doc_id", "value")
+
+
+def q_dq_long_text(spark, sf):
+    """string_validation by search on long texts: one literal, one pattern."""
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    rules = [_rule("text", "string_validation(the)"), _rule("text", "string_validation([0-9]{3}-[0-9]{4})")]
+    return _failing(d, rules, "doc_id", spark)
+
+
+def q_dq_unevaluable(spark, sf):
+    """D9: rules that can't be evaluated beside good ones; the good ones are
+    reported, the others listed with NULL counts."""
+    o = read_table(spark, sf, "orders").withColumn("o_day", F.to_date("o_orderdate"))
+    rules = [
+        _rule("O_ORDERSTATUS", "required and choice('F','O')"),
+        _rule("o_day", "number_range(1, 2)"),
+        _rule("o_day", "data_type(int)"),
+        _rule("o_orderpriority", "string_format([) or max_length(8)"),
+        _rule("o_orderpriority", "date_format(%Q)"),
+        _rule("o_missing", "required"),
+    ]
+    _, rep, skipped = check_data_quality(
+        1, "tpch", "orders", "b-9", rules=rules, df=o, index_col="o_orderkey", as_of=AS_OF,
+        processed_at=PROCESSED_AT, return_skipped=True)
+    none = F.lit(None)
+    return rep.select("column_name", "expectation", "success", "missing_count", "unexpected_count").unionByName(
+        skipped.select("column_name", "expectation", none.cast("boolean").alias("success"),
+                       none.cast("bigint").alias("missing_count"), none.cast("bigint").alias("unexpected_count")))
 
 
 def report_rules() -> list[dict]:
@@ -508,6 +550,8 @@ QUERIES: dict[str, Query] = {
     "rules_expand": q_rules_expand,
     "batch_rows": q_batch_rows,
     "row_index": q_row_index,
+    "row_index_shuffled": q_row_index_shuffled,
+    "batch_of_view": q_batch_of_view,
     "dq_required": q_dq_required,
     "dq_choice": q_dq_choice,
     "dq_date_format": q_dq_date_format,
@@ -527,6 +571,8 @@ QUERIES: dict[str, Query] = {
     "dq_and_or_precedence": q_dq_and_or_precedence,
     "dq_failing_rows": q_dq_failing_rows,
     "dq_index_list": q_dq_index_list,
+    "dq_long_text": q_dq_long_text,
+    "dq_unevaluable": q_dq_unevaluable,
     "dq_report": q_dq_report,
     "dq_catalogue_report": q_dq_catalogue_report,
     "dq_row_report": q_dq_row_report,

@@ -13,7 +13,12 @@ Decisions on the text form:
   them (``choice('salt and pepper')``); ``and`` binds tighter than ``or``.
 * a bare ``required`` component expands to ``required and min_length(1)``
   (``expand_required=False`` keeps it alone, as the notebook report does);
-* rule names are case-insensitive;
+* rule names are case-insensitive; ``and`` / ``or`` are lower case;
+* a component is ``name`` or ``name(arguments)`` and nothing else: text left
+  over (``required foo``, ``required AND ...``) raises ``RuleError``;
+* a component that can't be evaluated - its column is missing, its type has no
+  such comparison, its pattern is not one - is left out and listed with the
+  reason, the rest of the suite is checked;
 * a rule whose first name is unknown is skipped (and listed), an unknown name
   later in a rule raises ``RuleError``;
 * regex and strftime rules take the whole text up to the last ``)`` as their
@@ -26,18 +31,19 @@ from __future__ import annotations
 import datetime as _dt
 import re
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.checks import RULE_NAMES, WHOLE_ARGUMENT_RULES, Check, RuleError, build_check
+from ..functions.checks import RULE_NAMES, WHOLE_ARGUMENT_RULES, Check, RuleError, UnevaluableError, build_check
 from ..functions.names import col
 from ..session import local_frame
 
 SPLIT_PATTERN = r"\s+(?:and|or)\s+(?![^(]*\))"
 OPERATOR_PATTERN = r"\s+(and|or)\s+(?![^(]*\))"
+COMPONENT_PATTERN = r"(?s)^[A-Za-z_][A-Za-z0-9_]*\s*(\(.*\))?$"
 KNOWN_PATTERN = r"(?i)^\s*(" + "|".join(RULE_NAMES) + r")(?![A-Za-z0-9_])"
 
 RULE_COLUMNS = ("field_name", "expectation", "expectation_action")
@@ -177,11 +183,6 @@ class CompiledRule:
                 out.append([comp])
         return out
 
-    def success(self, per_component: dict[int, Column]) -> Column:
-        """Rule verdict from component verdicts: OR over AND-groups."""
-        ands = [reduce(lambda a, b: a & b, [per_component[c.no] for c in g]) for g in self.groups()]
-        return reduce(lambda a, b: a | b, ands)
-
     def any_fail(self) -> Column:
         """Row-level: the row is unexpected for at least one component."""
         return reduce(lambda a, b: a | b, [c.check.fail for c in self.components])
@@ -197,6 +198,21 @@ class Suite:
         return [(r, c) for r in self.rules for c in r.components]
 
 
+@lru_cache(1024)
+def _regex_problem(spark: SparkSession, pattern: str) -> str | None:
+    """Why the session can't use the pattern; evaluated by the planner, no job."""
+    try:
+        spark.sql("SELECT '' RLIKE :p", args={"p": pattern}).collect()
+    except Exception as error:  # noqa: BLE001 - whatever the engine says about the pattern
+        return str(error).splitlines()[0][:200]
+    return None
+
+
+def session_clock(spark: SparkSession) -> _dt.datetime:
+    """Now, as the session's time zone shows it."""
+    return _dt.datetime.fromisoformat(spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0])
+
+
 def compile_rules(
     spark: SparkSession,
     rules: list[dict] | DataFrame,
@@ -204,18 +220,23 @@ def compile_rules(
     as_of: _dt.datetime | None = None,
     expand_required: bool = True,
 ) -> Suite:
-    """Expand the rules with Spark, collect the (small) component rows, and
-    compile each component to predicates over ``schema``.
+    """Expand the rules with Spark, collect the (small) component rows of the
+    distinct rules, and compile each component to predicates over ``schema``.
 
-    Components on a column missing from ``schema`` are left out; a rule with
-    none left is dropped. Raises ``RuleError`` when nothing can be checked.
+    Components that can't be evaluated on ``schema`` are left out and listed
+    in ``Suite.skipped``; a rule with none left is dropped. Column names match
+    as the session matches them. Raises ``RuleError`` for a text that is not a
+    rule, and when nothing can be checked.
     """
     if as_of is None:
-        as_of = _dt.datetime.now()
+        as_of = session_clock(spark)
     if isinstance(rules, DataFrame):
-        frame = rules.select(*RULE_COLUMNS)
-        rows = expand_rules(frame, expand_required).collect()
-        unknown = [(r["field_name"], r["expectation"]) for r in skipped_rules(frame).collect()]
+        # duplicates say nothing new: one row per distinct rule is expanded and collected
+        frame = rules.select(*RULE_COLUMNS).dropDuplicates()
+        known = F.coalesce(F.col("expectation").rlike(KNOWN_PATTERN), F.lit(False))
+        texts = [r.asDict() for r in frame.withColumn("known", known).collect()]
+        unknown = [(r["field_name"], r["expectation"]) for r in texts if not r["known"]]
+        rows = _expanded_list(spark, _rule_key([r for r in texts if r["known"]]), expand_required)
     else:
         rows = _expanded_list(spark, _rule_key(rules), expand_required)
         unknown = [(r.get("field_name"), r.get("expectation")) for r in rules
@@ -227,25 +248,42 @@ def compile_rules(
         key = (row["field_name"], row["expectation"], row["expectation_action"])
         by_rule.setdefault(key, {})[row["component_no"]] = row
 
-    fields = {f.name: f.dataType for f in schema.fields}
+    same_case = spark.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda name: name) if same_case else (lambda name: name.lower())
+    fields = {fold(f.name): f for f in schema.fields}
     compiled: list[CompiledRule] = []
     skipped: list[tuple[str, str, str]] = [
         (f, e, "no expectation" if e is None else "unknown rule name") for f, e in unknown]
     for key in sorted(by_rule, key=lambda k: tuple("" if v is None else str(v) for v in k)):
         column, expectation, action = key
-        if column not in fields:
-            skipped.append((column, expectation, "column not found"))
-            continue
         comps = []
         for no in sorted(by_rule[key]):
             row = by_rule[key][no]
-            name = row["rule_name"]
-            if name not in RULE_NAMES:
-                raise RuleError(f"rule {expectation!r} on {column!r}: unknown rule {row['component']!r}")
+            name, text = row["rule_name"], row["component"]
+            if name not in RULE_NAMES or not re.match(COMPONENT_PATTERN, text):
+                raise RuleError(f"rule {expectation!r} on {column!r}: {text!r} is not a rule")
+            field = fields.get(fold(column)) if column is not None else None
             args = tuple(row["args"] or ())
-            check = build_check(name, args, col(column), fields[column], as_of)
-            comps.append(Component(no, row["operator"], name, args, row["component"], check))
-        compiled.append(CompiledRule(len(compiled), column, expectation, action, tuple(comps)))
+            try:
+                if field is None:
+                    raise UnevaluableError("column not found")
+                if name in ("string_format", "string_validation") and args:
+                    problem = _regex_problem(spark, args[0])
+                    if problem:
+                        raise UnevaluableError(f"{name}: {problem}")
+                check = build_check(name, args, col(field.name), field.dataType, as_of)
+            except UnevaluableError as error:
+                if (reason := (column, expectation, str(error))) not in skipped:
+                    skipped.append(reason)
+                continue
+            comps.append(Component(no, row["operator"], name, args, text, check))
+        if comps:
+            compiled.append(CompiledRule(len(compiled), column, expectation, action, tuple(comps)))
     if not compiled:
         raise RuleError("no rule could be evaluated; check the rules and the columns")
     return Suite(tuple(compiled), tuple(skipped))
+
+
+def skipped_frame(spark: SparkSession, suite: Suite) -> DataFrame:
+    """The rules and components that were left out: column_name, expectation, reason."""
+    return local_frame(spark, list(suite.skipped), "column_name string, expectation string, reason string")

@@ -20,7 +20,7 @@ def quality_batch_writer(
     as_of: _dt.datetime | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``df.writeStream.foreachBatch(...)``: checks each
-    micro-batch (batch id = epoch id, rows numbered 1..n in the batch) and
+    micro-batch (batch id = epoch id) and
     writes its report to parquet at ``report_path``, partitioned by
     ``batch_id``.
 
@@ -31,7 +31,7 @@ def quality_batch_writer(
     def write(batch: DataFrame, epoch_id: int) -> None:
         _, report = check_data_quality(
             system_id, system_name, table_name, str(epoch_id), rules=rules, df=batch,
-            rules_table=rules_table, as_of=as_of,
+            rules_table=rules_table, as_of=as_of, number_rows=False,
         )
         (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(report_path))
