@@ -22,7 +22,9 @@ whole count table by shuffle, where no key is hot, as no such word is frequent.
 
 Counts cover all learning texts. Words are counted per task and summed by a
 shuffle. An n-gram that is frequent overall is frequent in some task, so the
-tasks' frequent ones are counted exactly in a second pass.
+tasks' frequent ones are counted exactly in a second pass, less those that
+can't be frequent overall even if every task that left them out has as many as
+it may leave out.
 
 Null and empty texts are one end token. Repeated rows are each scored and each
 counted. Rows whose ``may_learn`` is null are not learnt from. Without learning
@@ -44,7 +46,7 @@ from .common import cut, map_arrow
 
 ORDER = 3
 WORD_ARCS = 1 << 22
-ARCS = 1 << 17
+ARCS = 1 << 14
 DISCOUNT = 0.75
 #: Distinct keys that a task holds before it hands its counts on.
 HELD = 1 << 21
@@ -116,15 +118,18 @@ _COUNTED = "kind int, key long, c long, state long"
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: token counts. Kind m: n-grams of m + 1 tokens that are frequent
-    among this task's."""
+    among this task's, less the most that one left out may have. Kind -1: that
+    number itself."""
     counts, total = [_Counts() for _ in range(ORDER)], 0
 
     def flush():
         yield _rows(0, *counts[0].merge())
+        out = max(0, int(np.ceil(total / ARCS)) - 1)
         for m in range(1, ORDER):
             keys, sums = counts[m].merge()
-            often = sums >= total / ARCS
-            yield _rows(m, keys[often], sums[often])
+            often = sums > out
+            yield _rows(m, keys[often], sums[often] - out)
+        yield _rows(-1, np.zeros(1, np.uint64), np.array([out]))
 
     for batch in batches:
         for _, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
@@ -224,7 +229,9 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     counts = first.where("kind = 0").select("key", "c")
     n, v, singles = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)).first()
     grams = [_sorted(counts.where(F.col("c") >= max(1, n / WORD_ARCS)), "key", "c")]
-    wanted = [None, *(_sorted(first.where(F.col("kind") == m), "key")[0] for m in range(1, ORDER))]
+    left_out = first.where("kind = -1").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    likely = first.where(F.col("c") + left_out >= max(2, n / ARCS))
+    wanted = [None, *(_sorted(likely.where(F.col("kind") == m), "key")[0] for m in range(1, ORDER))]
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def again(batches):
