@@ -51,7 +51,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): the token ids, and
     what decoding them gives back."""
     ranks = bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    found = bpe.decode(bpe.encode(docs, ranks), ranks)
+    found = bpe.encode(docs, ranks, with_decoded=True)
     return found.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

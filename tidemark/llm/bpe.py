@@ -15,7 +15,7 @@ from a heap.
 
 The literal is a packed map: the rank of the pair (x, y) is in cell
 ``base[x] + y`` if that cell is marked with x. A pre-token is an array of
-``rank << 40 | place << 17 | id``, rank being that of the piece with the next
+``rank << 40 | index << 17 | id``, rank being that of the piece with the next
 one, so the least element is the merge that comes next, leftmost among equals.
 
 Null texts are empty and have no tokens. Bytes that aren't UTF-8 count as
@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from . import words as W
 from .common import map_arrow, text_frame
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 LONG_BYTES = 256
 #: No rank; also the mask of an id.
 NONE = (1 << 17) - 1
@@ -192,9 +192,9 @@ def clean_utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of the texts, with what isn't UTF-8 replaced."""
     data, offsets = W.text_buffer(texts)
     try:
-        data.tobytes().decode("utf-8")
+        texts.validate(full=True)
         return data, offsets
-    except UnicodeDecodeError:
+    except pa.ArrowInvalid:
         fixed = [data[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         return np.frombuffer(b"".join(fixed), np.uint8), np.append(0, np.cumsum([len(x) for x in fixed]))
 
@@ -238,7 +238,11 @@ class _Chunk:
         pair = np.full(len(ids), NONE, np.int64)
         pair[:-1] = ranks.pair_ranks(ids[:-1], ids[1:]) if len(ids) else pair[:-1]
         pair[first[1:] - 1] = NONE
-        pieces = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(pair << 40 | place << 17 | ids))
+        pair <<= 40
+        pair |= place << 17
+        pair |= ids
+        del place, ids
+        pieces = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(pair))
         numbers = np.concatenate(self.numbers)
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         return pa.RecordBatch.from_arrays(
@@ -269,36 +273,48 @@ def fold_merges(pieces: Column, ranks: Ranks) -> Column:
     bases = F.from_json(F.lit(json.dumps(ranks.base.tolist(), separators=(",", ":"))), "array<int>")
 
     def rank(left: Column, right: Column) -> Column:
+        """In the place of a piece's rank; NONE also if either is null."""
         cell = F.get(cells, F.get(bases, left) + right)
-        return F.when(F.shiftright(cell, 17) == left + 1, cell.bitwiseAND(NONE)).otherwise(F.lit(NONE).cast("long"))
+        found = F.when(F.shiftright(cell, 17) == left + 1, cell.bitwiseAND(NONE)).otherwise(F.lit(NONE).cast("long"))
+        return F.shiftleft(found, 40)
 
     def ident(piece: Column) -> Column:
         return piece.bitwiseAND(NONE).cast("int")
 
-    def let(value: Column, then) -> Column:
-        return F.get(F.transform(F.array(value), then), F.lit(0))
+    def let(value: Column, state: Column, then) -> Column:
+        """``then(state, value)``, with the value evaluated once."""
+        return F.aggregate(F.array(value), state, then)
 
     def merge(state: Column, least: Column, at: Column) -> Column:
-        """``at``: number of pieces up to the one that merges with its next."""
-        new, before, after = F.shiftright(least, 40), F.get(state, at - 2), F.get(state, at + 1)
-        joined = F.shiftleft(F.when(after.isNull(), F.lit(NONE).cast("long")).otherwise(rank(new.cast("int"), ident(after))), 40) + least.bitwiseAND(_LOW - NONE) + new
-        left = F.shiftleft(rank(ident(before), new.cast("int")), 40) + before.bitwiseAND(_LOW)
-        rest = F.slice(state, at + 2, F.size(state))
-        return F.when(at == 1, F.flatten(F.array(F.array(joined), rest))).otherwise(
-            F.flatten(F.array(F.slice(state, 1, at - 2), F.array(left, joined), rest)))
+        """Pieces ``at`` and ``at + 1`` become one; those after it move up."""
+        new = F.shiftright(least, 40)
+
+        def piece(old: Column, i: Column) -> Column:
+            joined = rank(new.cast("int"), ident(F.get(state, at + 2))) + least.bitwiseAND(_LOW - NONE) + new
+            before = rank(ident(old), new.cast("int")) + old.bitwiseAND(_LOW)
+            return F.when(i > at, F.get(state, i + 1) - (1 << 17)).when(i == at, joined).when(i == at - 1, before).otherwise(old)
+
+        return F.transform(F.slice(state, 1, F.size(state) - 1), piece)
 
     def step(state: Column, _) -> Column:
-        def chosen(least: Column) -> Column:
-            place = least.bitwiseAND(_LOW - NONE)
-            at = F.size(F.filter(state, lambda p: p.bitwiseAND(_LOW - NONE) <= place))
-            return F.when(F.shiftright(least, 40) >= NONE, state).otherwise(let(at, lambda a: merge(state, least, a)))
-        return let(F.array_min(state), chosen)
+        index = lambda least: F.shiftright(least, 17).bitwiseAND((1 << 23) - 1).cast("int")
+        return let(F.array_min(state), state, lambda s, least: F.when(F.shiftright(least, 40) >= NONE, s).otherwise(
+            let(index(least), s, lambda t, at: merge(t, least, at))))
 
     return F.transform(F.aggregate(F.slice(pieces, 2, F.size(pieces)), pieces, step), ident)
 
 
-def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The tokens of each text of a chunk, from those of its pre-tokens."""
+def _bytes_of(ids: np.ndarray, cuts: np.ndarray, ranks: Ranks) -> pa.Array:
+    """The byte strings of ``ids[cuts[i]:cuts[i+1]]``, concatenated."""
+    many = np.diff(ranks.piece_start)[ids]
+    ends = np.append(0, np.cumsum(many))
+    at = np.arange(ends[-1]) + np.repeat(ranks.piece_start[ids] - ends[:-1], many)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends[cuts].astype(np.int32)), pa.py_buffer(ranks.piece_bytes[at])])
+
+
+def _lay_out(batches: Iterator[pa.RecordBatch], ranks: Ranks | None) -> Iterator[pa.RecordBatch]:
+    """The tokens of each text of a chunk, from those of its pre-tokens; with
+    ``ranks`` also what they decode to."""
     for batch in batches:
         for i in range(batch.num_rows):
             of = {x: batch.column(x).slice(i, 1).flatten() for x in ("ids", "sizes", "numbers", "ready", "folded")}
@@ -310,7 +326,7 @@ def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.append(0, np.cumsum(sizes))
             begin = 0
             while begin < len(sizes):
-                stop = int(np.searchsorted(first, first[begin] + (1 << 20), side="right")) - 1
+                stop = int(np.searchsorted(first, first[begin] + (1 << 18), side="right")) - 1
                 stop = min(len(sizes), max(begin + 1, stop))
                 mine = numbers[first[begin]:first[stop]]
                 many = length[mine]
@@ -318,15 +334,18 @@ def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[mine] - (ends - many), many)
                 cuts = np.append(0, ends)[first[begin:stop + 1] - first[begin]]
                 out = tokens[at]
-                yield pa.RecordBatch.from_arrays(
-                    [of["ids"].slice(begin, stop - begin), pa.array(np.diff(cuts)),
-                     pa.Array.from_buffers(pa.binary(), stop - begin, [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(out)])],
-                    names=["_id", "n_tokens", "ids"])
+                columns = [of["ids"].slice(begin, stop - begin), pa.array(np.diff(cuts)),
+                           pa.Array.from_buffers(pa.binary(), stop - begin, [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(out)])]
+                if ranks is not None:
+                    columns.append(_bytes_of(out, cuts, ranks))
+                yield pa.RecordBatch.from_arrays(columns, names=["_id", "n_tokens", "ids", "decoded"][:len(columns)])
                 begin = stop
 
 
-def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(id, n_tokens, ids) per row; ids are little-endian unsigned 32-bit."""
+def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
+           with_decoded: bool = False) -> DataFrame:
+    """(id, n_tokens, ids) per row; ids are little-endian unsigned 32-bit.
+    ``with_decoded`` adds ``decoded``, as ``decode`` does, in the same pass."""
     source = text_frame(docs, id_col, text_col)
     kind = source.schema["_id"].dataType.simpleString()
     shared = source.sparkSession.sparkContext.broadcast(ranks)
@@ -336,7 +355,12 @@ def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str
 
     rows = map_arrow(source, chunks, f"ids array<{kind}>, sizes array<int>, numbers array<int>, ready array<array<int>>, pieces array<array<long>>")
     folded = rows.select("ids", "sizes", "numbers", "ready", F.transform("pieces", lambda p: fold_merges(p, ranks)).alias("folded"))
-    return map_arrow(folded, _lay_out, f"_id {kind}, n_tokens long, ids binary").withColumnRenamed("_id", id_col)
+
+    def laid_out(batches):
+        yield from _lay_out(batches, shared.value if with_decoded else None)
+
+    out = f"_id {kind}, n_tokens long, ids binary" + ", decoded binary" * with_decoded
+    return map_arrow(folded, laid_out, out).withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, ranks: Ranks, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -345,24 +369,17 @@ def decode(encoded: DataFrame, ranks: Ranks, ids_col: str = "ids", out_col: str
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def decoded(batches):
-        ranks = shared.value
-        sizes = np.diff(ranks.piece_start)
         for batch in batches:
             data, offsets = W.text_buffer(batch.column(ids_col))
             begin, n = 0, len(offsets) - 1
             while begin < n:
-                stop = int(np.searchsorted(offsets, offsets[begin] + (4 << 20), side="right")) - 1
+                stop = int(np.searchsorted(offsets, offsets[begin] + (1 << 20), side="right")) - 1
                 stop = min(n, max(begin + 1, stop))
-                ids = np.frombuffer(data[offsets[begin]:offsets[stop]].tobytes(), "<u4").astype(np.int64)
-                many = sizes[ids]
-                ends = np.cumsum(many)
-                at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(ranks.piece_start[ids] - (ends - many), many)
-                cuts = np.append(0, ends)[(offsets[begin:stop + 1] - offsets[begin]) // 4]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(begin, stop - begin) for i in range(batch.num_columns)),
-                     pa.Array.from_buffers(pa.binary(), stop - begin, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ranks.piece_bytes[at])])],
-                    names=[*batch.schema.names, out_col])
+                ids = np.frombuffer(data[offsets[begin]:offsets[stop]].tobytes(), "<u4")
+                found = _bytes_of(ids, (offsets[begin:stop + 1] - offsets[begin]) // 4, shared.value)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(begin, stop - begin) for i in range(batch.num_columns)), found],
+                                                 names=[*batch.schema.names, out_col])
                 begin = stop
 
     schema = T.StructType([*(f for f in encoded.schema.fields), T.StructField(out_col, T.BinaryType())])
-    return encoded.mapInArrow(decoded, schema)
+    return map_arrow(encoded, decoded, schema)

@@ -26,7 +26,7 @@ def _hex(column) -> Column:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    found = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), ranks), ranks)
+    found = bpe.encode(read(spark, sf_dir, "documents"), ranks, with_decoded=True)
     return found.select("doc_id", "n_tokens", _hex("ids").alias("ids_sha256"), _hex("decoded").alias("decoded_sha256"))
 
 

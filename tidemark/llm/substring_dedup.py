@@ -277,7 +277,7 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, kept: list[str], optio
     joined = keyed.join(small_side(spans, (size[0] or 0) + (size[1] or 0), 48), ["k", "h"], "left").select(*kept, "_text", "ranges")
     schema = T.StructType([*(f for f in joined.schema.fields if f.name != "ranges"), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return joined.mapInArrow(_keep_words, schema)
+    return map_arrow(joined, _keep_words, schema)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
