@@ -1,12 +1,14 @@
 """Byte-level BPE encoding and decoding.
 
 Encoding splits each text into pre-tokens and encodes each distinct one of a
-chunk of texts once: a chunk is one row, its distinct pre-tokens an array of
-byte arrays, and a Spark higher-order function folds the ranked merges over
-each of them, with the ranks of all pairs in a literal. The results are then
-laid out along the texts again. Chunks are runs of whole texts of one task, so
-nothing is shuffled and nothing grows with the corpus. Decoding concatenates
-the byte strings of the ids.
+task once: a chunk of texts is one row, the pre-tokens that are new in it an
+array of byte arrays, and a Spark higher-order function folds the ranked merges
+over each of them, with the ranks of all pairs in a literal. The results are
+then laid out along the texts again, by a worker that keeps those of the task's
+earlier rows, as rows of a task stay in order. Chunks are runs of whole texts
+of one task, so nothing is shuffled, nothing grows with the corpus, and a task
+that is run again does all its work again. Decoding concatenates the byte
+strings of the ids.
 
 A pre-token that is itself in the vocabulary is that one token, as in the
 tiktoken library. Pre-tokens of more than ``LONG_BYTES`` bytes, for which the
@@ -41,7 +43,9 @@ from pyspark.sql import types as T
 from . import words as W
 from .common import map_arrow, text_frame
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
+#: Distinct pre-tokens that a task remembers.
+KNOWN_WORDS = 1 << 20
 LONG_BYTES = 256
 #: No rank; also the mask of an id.
 NONE = (1 << 17) - 1
@@ -199,37 +203,49 @@ def clean_utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(b"".join(fixed), np.uint8), np.append(0, np.cumsum([len(x) for x in fixed]))
 
 
-class _Chunk:
-    """Texts of a chunk, as numbers of distinct pre-tokens."""
+class _Chunks:
+    """Texts of one task as numbers of pre-tokens. A chunk's row brings the
+    pre-tokens that the task's earlier rows haven't brought; after
+    ``KNOWN_WORDS`` of them the numbers start again."""
 
-    def __init__(self):
-        self.ids, self.sizes, self.numbers, self.bytes = [], [], [], 0
-        self.found: dict[bytes, int] = {}
+    def __init__(self, ranks: Ranks):
+        self.ranks, self.known = ranks, {}
+        self._next()
+        self.restart = True
+
+    def _next(self) -> None:
+        self.ids, self.sizes, self.numbers, self.fresh, self.bytes, self.restart = [], [], [], [], 0, False
 
     def add(self, ids: pa.Array, data: np.ndarray, offsets: np.ndarray) -> None:
         start, end, first = split_texts(data, offsets)
         _, which, inverse = np.unique(W.byte_span_hashes(data, start, end), return_index=True, return_inverse=True)
-        raw, found = data.tobytes(), self.found
-        numbers = np.array([found.setdefault(raw[a:b], len(found)) for a, b in zip(start[which].tolist(), end[which].tolist(), strict=True)], np.int32)
+        raw, known, fresh = data.tobytes(), self.known, self.fresh
+        numbers = np.empty(len(which), np.int32)
+        for k, (a, b) in enumerate(zip(start[which].tolist(), end[which].tolist(), strict=True)):
+            word = raw[a:b]
+            number = known.get(word)
+            if number is None:
+                number = known[word] = len(known)
+                fresh.append(word)
+            numbers[k] = number
         self.ids.append(ids)
         self.sizes.append(np.diff(first).astype(np.int32))
         self.numbers.append(numbers[inverse] if len(inverse) else numbers)
         self.bytes += len(data)
 
-    def row(self, ranks: Ranks) -> pa.RecordBatch:
-        words = list(self.found)
+    def row(self) -> pa.RecordBatch:
+        ranks = self.ranks
         ready: list[list[int]] = []
         folded: list[bytes] = []
-        order = np.empty(len(words), np.int32)
-        for i, word in enumerate(words):
+        is_ready = np.zeros(len(self.fresh), bool)
+        for i, word in enumerate(self.fresh):
             whole = ranks.rank.get(word)
             if whole is not None or len(word) > LONG_BYTES:
-                order[i] = len(ready)
+                is_ready[i] = True
                 ready.append([whole] if whole is not None else ranks.merge_long(word))
             else:
-                order[i] = -1 - len(folded)
                 folded.append(word)
-        order = np.where(order < 0, len(ready) - 1 - order, order).astype(np.int32)
+        order = np.flatnonzero(is_ready).astype(np.int32)
         # byte arrays with the rank of each neighbouring pair
         ids = ranks.byte_rank[np.frombuffer(b"".join(folded), np.uint8)]
         sizes = np.array([len(w) for w in folded], np.int64)
@@ -238,20 +254,20 @@ class _Chunk:
         pair = np.full(len(ids), NONE, np.int64)
         pair[:-1] = ranks.pair_ranks(ids[:-1], ids[1:]) if len(ids) else pair[:-1]
         pair[first[1:] - 1] = NONE
-        pair <<= 40
-        pair |= place << 17
-        pair |= ids
-        del place, ids
-        pieces = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(pair))
-        numbers = np.concatenate(self.numbers)
+        pieces = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(pair << 40 | place << 17 | ids))
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        return pa.RecordBatch.from_arrays(
-            [one(pa.concat_arrays(self.ids)), one(pa.array(np.concatenate(self.sizes))), one(pa.array(order[numbers] if len(words) else numbers)),
-             one(pa.array(ready, pa.list_(pa.int32()))), one(pieces)], names=["ids", "sizes", "numbers", "ready", "pieces"])
+        out = pa.RecordBatch.from_arrays(
+            [pa.array([self.restart]), one(pa.concat_arrays(self.ids)), one(pa.array(np.concatenate(self.sizes))), one(pa.array(np.concatenate(self.numbers))),
+             one(pa.array(order)), one(pa.array(ready, pa.list_(pa.int32()))), one(pieces)],
+            names=["restart", "ids", "sizes", "numbers", "places", "ready", "pieces"])
+        self._next()
+        if len(self.known) >= KNOWN_WORDS:
+            self.known, self.restart = {}, True
+        return out
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], ranks: Ranks, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    chunk = _Chunk()
+    chunk = _Chunks(ranks)
     for batch in batches:
         data, offsets = clean_utf8(batch.column("_text"))
         begin, n = 0, len(offsets) - 1
@@ -261,10 +277,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], ranks: Ranks, chunk_bytes: int) -
             chunk.add(batch.column("_id").slice(begin, stop - begin), data[offsets[begin]:offsets[stop]], offsets[begin:stop + 1] - offsets[begin])
             begin = stop
             if chunk.bytes >= chunk_bytes:
-                yield chunk.row(ranks)
-                chunk = _Chunk()
+                yield chunk.row()
     if chunk.ids:
-        yield chunk.row(ranks)
+        yield chunk.row()
 
 
 def fold_merges(pieces: Column, ranks: Ranks) -> Column:
@@ -315,13 +330,22 @@ def _bytes_of(ids: np.ndarray, cuts: np.ndarray, ranks: Ranks) -> pa.Array:
 def _lay_out(batches: Iterator[pa.RecordBatch], ranks: Ranks | None) -> Iterator[pa.RecordBatch]:
     """The tokens of each text of a chunk, from those of its pre-tokens; with
     ``ranks`` also what they decode to."""
+    start, tokens = np.zeros(1, np.int64), np.zeros(0, "<u4")  # of the pre-tokens so far
     for batch in batches:
         for i in range(batch.num_rows):
-            of = {x: batch.column(x).slice(i, 1).flatten() for x in ("ids", "sizes", "numbers", "ready", "folded")}
-            lists = [of["ready"], of["folded"]]
-            length = np.concatenate([x.value_lengths().to_numpy() for x in lists]).astype(np.int64)
-            tokens = np.concatenate([x.flatten().to_numpy() for x in lists]).astype("<u4")
-            start = np.append(0, np.cumsum(length))
+            of = {x: batch.column(x).slice(i, 1).flatten() for x in ("ids", "sizes", "numbers", "places", "ready", "folded")}
+            if batch.column("restart")[i].as_py():
+                start, tokens = np.zeros(1, np.int64), np.zeros(0, "<u4")
+            # the fresh pre-tokens in their order: ready ones at ``places``, folded ones between them
+            count = len(of["ready"]) + len(of["folded"])
+            is_ready = np.zeros(count, bool)
+            is_ready[of["places"].to_numpy()] = True
+            take = np.empty(count, np.int64)
+            take[is_ready], take[~is_ready] = np.arange(len(of["ready"])), len(of["ready"]) + np.arange(len(of["folded"]))
+            lists = pa.concat_arrays([of["ready"], of["folded"].cast(of["ready"].type)]).take(pa.array(take))
+            start = np.append(start, start[-1] + np.cumsum(lists.value_lengths().to_numpy()))
+            tokens = np.append(tokens, lists.flatten().to_numpy().astype("<u4"))
+            length = np.diff(start)
             sizes, numbers = of["sizes"].to_numpy(), of["numbers"].to_numpy()
             first = np.append(0, np.cumsum(sizes))
             begin = 0
@@ -353,8 +377,8 @@ def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str
     def chunks(batches):
         yield from _chunks(batches, shared.value, chunk_bytes)
 
-    rows = map_arrow(source, chunks, f"ids array<{kind}>, sizes array<int>, numbers array<int>, ready array<array<int>>, pieces array<array<long>>")
-    folded = rows.select("ids", "sizes", "numbers", "ready", F.transform("pieces", lambda p: fold_merges(p, ranks)).alias("folded"))
+    rows = map_arrow(source, chunks, f"restart boolean, ids array<{kind}>, sizes array<int>, numbers array<int>, places array<int>, ready array<array<int>>, pieces array<array<long>>")
+    folded = rows.select("restart", "ids", "sizes", "numbers", "places", "ready", F.transform("pieces", lambda p: fold_merges(p, ranks)).alias("folded"))
 
     def laid_out(batches):
         yield from _lay_out(batches, shared.value if with_decoded else None)
