@@ -1,0 +1,82 @@
+"""Suffix arrays against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tidemark.llm import decontaminate
+
+from .conftest import LOW
+
+
+def tokens(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOW))
+
+
+def brute(docs, items, window):
+    out = []
+    for i, t in docs:
+        w, hit, found = tokens(t), set(), set()
+        for item, text in items:
+            v = tokens(text)
+            size = min(window, len(v))
+            mine = {tuple(v[s:s + size]) for s in range(len(v) - size + 1)} if size else set()
+            for s in range(len(w) - size + 1):
+                if tuple(w[s:s + size]) in mine:
+                    hit.update(range(s, s + size))
+                    found.add(str(item))
+        out.append((i, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def case():
+    rnd = random.Random(6)
+    pool = [rnd.choice("abcdé") * rnd.randint(1, 2) for _ in range(9)]
+    items = [(i, " ".join(rnd.choice(pool) for _ in range(rnd.randint(1, 30)))) for i in range(25)] + [(30, None), (31, "?!"), (7, "b7 only")]
+    docs = []
+    for i in range(60):
+        parts = [" ".join(rnd.choice(pool) for _ in range(rnd.randint(0, 30)))]
+        if rnd.random() < 0.5:
+            parts.append(rnd.choice(items[:25])[1].upper().replace(" ", " - "))
+        docs.append((i, "\n".join(parts)))
+    return docs + [(60, None), (61, ""), (0, docs[0][1]), (None, items[0][1])], items
+
+
+@pytest.mark.parametrize("window,shard,block", [(13, 1 << 20, 1 << 23), (4, 50, 200), (1, 200, 1 << 23)])
+def test_hits_match_brute_force(spark, frame, case, window, shard, block):
+    docs, items = case
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contamination(frame(docs), bench, window=window, shard_words=shard, block_bytes=block)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, items, window)
+
+
+def test_suffix_array_is_sorted():
+    rnd = random.Random(2)
+    for n in (0, 1, 5, 300):
+        ids = np.array([rnd.randint(1, 3) for _ in range(n)], np.int64)
+        first = np.array(sorted({0, n, *(rnd.randrange(n + 1) for _ in range(3))}))
+        array = decontaminate.SuffixArray(ids, first)
+        got = [tuple(ids[p:array.stop[p]]) for p in array.order]
+        assert got == sorted(got) and sorted(array.order.tolist()) == list(range(n))
+
+
+def test_longest_matches(spark, frame):
+    bench = spark.createDataFrame([(5, "a b c d e f g"), (6, "x y")], "item_id long, text string")
+    rows = decontaminate.longest_matches(frame([(1, "q b c d e r"), (2, "x a b c d e f g y"), (3, "c d")]), bench, window=3).collect()
+    got = {(r["doc_id"], r["item_id"], r["item_word"], r["doc_word"], r["n_words"]) for r in rows}
+    assert (2, "5", 0, 1, 7) in got and all(r[4] >= 3 for r in got)
+
+
+def test_removal_and_empty_tables(spark, frame, case):
+    docs, items = case
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = frame(docs)
+    left = decontaminate.remove_contaminated(df, bench)
+    bad = {r[0] for r in brute(docs, items, 13) if r[4]}
+    assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == {i for i, _ in docs if i is None or i not in bad}
+    assert decontaminate.find_contamination(df.limit(0), bench).collect() == []
+    none = decontaminate.find_contamination(df, bench.limit(0)).collect()
+    assert len(none) == len(docs) and not any(r["contaminated"] for r in none)

@@ -68,9 +68,10 @@ class SuffixArray:
             begins = np.flatnonzero(fresh)
             run = np.cumsum(fresh) - 1
             rank[order[slots]] = slots[begins[run]] + 1
-            # go on with runs of equal suffixes that don't end within the depth
-            shared = np.diff(np.append(begins, len(slots)))[run] > 1
-            slots = slots[shared & (order[slots] + depth < self.stop[order[slots]])]
+            # go on with runs of equal suffixes of which any goes on beyond the depth
+            longer = order[slots] + depth < self.stop[order[slots]]
+            shared = np.diff(np.append(begins, len(slots))) > 1
+            slots = slots[(shared & np.logical_or.reduceat(longer, begins))[run]]
             at = order[slots]
             group = rank[at]
             wide = keys(at, range(depth, (fold + 1) * depth, depth))

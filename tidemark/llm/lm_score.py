@@ -253,7 +253,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
             log, count = model.traverse(tokens)
             owner, token = tokens.owner, tokens.key[0]
             known = count > 0
-            base = np.bincount(owner[known], weights=np.log10(count[known] + 0.5) - z, minlength=n)
+            base = np.bincount(owner[known], weights=np.log10(count[known] + 0.5) - z, minlength=n).astype(float)
             rest = np.flatnonzero(~known)
             order = rest[np.lexsort((token[rest], owner[rest]))]
             fresh = np.append(True, (owner[order][1:] != owner[order][:-1]) | (token[order][1:] != token[order][:-1]))[:len(order)]
@@ -263,7 +263,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
             rare = pa.StructArray.from_arrays([pa.array(W.signed(token[order[begins]])), pa.array(times.astype(np.int32))], names=["key", "times"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id").slice(begin, n), pa.array(block.counts() + 1), pa.array(np.bincount(owner[known], minlength=n)),
-                 pa.array(base), pa.array(np.bincount(owner, weights=log, minlength=n)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)],
+                 pa.array(base), pa.array(np.bincount(owner, weights=log, minlength=n).astype(float)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)],
                 names=["_id", "n_tokens", "n_known", "base", "score", "rare"])
 
 
