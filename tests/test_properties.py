@@ -13,7 +13,7 @@ from tidemark.operators.split_window import (
     SplitPolicy, SplitWindow,
 )
 
-SPLIT = SplitPolicy(hot_rows=3, chunk_rows=2, max_chunks=16)
+SPLIT = SplitPolicy(hot_rows=3, chunk_rows=2)
 
 
 # ---------------------------------------------------------------- windows

@@ -11,7 +11,7 @@ from tidemark.operators.split_window import (
 
 from .test_fixtures import profiles
 
-TINY = SplitPolicy(hot_rows=1, chunk_rows=1, max_chunks=64)
+TINY = SplitPolicy(hot_rows=1, chunk_rows=1)
 
 
 def _frame(spark):
@@ -101,20 +101,40 @@ def test_composite_keys(spark):
     assert res["plain"] == res["split"]
 
 
-def test_chunk_search_counts_bounds_at_or_below(spark):
+def test_binary_search_over_order_tuples(spark):
     import random
 
-    from tidemark.operators.split_window import _count_at_or_below
+    from tidemark.operators.split_window import _bounds_not_after
 
     rnd = random.Random(3)
-    rows = []
-    for _ in range(500):
-        b = sorted({rnd.randint(0, 60) for _ in range(rnd.randint(0, 30))})
-        rows.append((b, None if rnd.random() < 0.05 else rnd.randint(-3, 63)))
-    df = spark.createDataFrame(rows, "b array<int>, v int")
-    for r in df.select("b", "v", _count_at_or_below(F.col("b"), F.col("v"), 30).alias("c")).collect():
-        assert r["c"] == (0 if r["v"] is None else sum(x <= r["v"] for x in r["b"]))
+    pick = lambda: (rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1, 2, 3]))
+
+    def key(t):  # first column ascending, NULLs first; second descending, NULLs last
+        return (t[0] is not None, t[0] or ""), (t[1] is None, -(t[1] or 0))
 
+    rows = []
+    for _ in range(200):
+        bounds = sorted({pick() for _ in range(rnd.randint(0, 9))}, key=key)
+        v = pick()
+        rows.append(([(k, *b) for k, b in enumerate(bounds)], *v, sum(key(b) <= key(v) for b in bounds)))
+    df = spark.createDataFrame(rows, "b array<struct<r: int, o0: string, o1: int>>, x string, y int, want int")
+    got = df.select("want", _bounds_not_after(F.col("b"), [F.col("x"), F.col("y")], [True, False], 9).alias("c"))
+    assert got.where("want <> c").count() == 0
+
+
+@pytest.mark.parametrize("first", ["day", "text"])
+def test_tied_and_text_orders_are_split_evenly(spark, first):
+    """One key, 20,000 rows, nine in ten on one day: chunks follow the whole order."""
+    df = spark.range(20000).select(F.lit("k").alias("g"), "id", F.when(F.col("id") % 10 > 0, F.lit("2024-05-01")).otherwise(
+        F.concat(F.lit("2024-06-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"))).alias("text"))
+    df = df.withColumn("day", F.to_date("text"))
+    sw = SplitWindow(df, ["g"], [first, "id"], SplitPolicy(hot_rows=1000, chunk_rows=500))
+    chunks = sw.prepare(df).groupBy("__tm_chunk").count().agg(F.count("*"), F.max("count")).first()
+    assert sw.split and chunks[0] >= 30 and chunks[1] <= 1000
+    got = sw.finish(sw.add(sw.prepare(df), rn=RowNumber(), prev=Lag(F.col("id"))))
+    plain = SplitWindow(df, ["g"], [first, "id"], None)
+    want = plain.finish(plain.add(plain.prepare(df), rn=RowNumber(), prev=Lag(F.col("id"))))
+    assert got.exceptAll(want).count() == 0 and got.count() == 20000
 
 def test_keys_are_required(spark):
     import pytest

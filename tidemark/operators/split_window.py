@@ -3,7 +3,7 @@
 A window partitioned by the record key puts every row of a key into one
 task; a key holding a third of the table would run in a single task. Here a
 key with more than ``hot_rows`` rows is cut into ordered *chunks* (ranges of
-the first order column at approximate quantiles), the window is evaluated
+the whole order tuple, at quantiles of a sample), the window is evaluated
 per (key, chunk), and each window function is completed with a *carry* from
 the neighbouring chunks:
 
@@ -19,7 +19,7 @@ later non-null        latest non-null value           last of later chunks
 ====================  ==============================  =========================
 
 Summaries and carries have one row per (hot key, chunk), so they are small
-(at most ``max_chunks`` per hot key, and hot keys are at most
+(about rows / ``chunk_rows`` per hot key, and hot keys are at most
 rows / ``hot_rows``); they are broadcast when the counted size allows,
 otherwise joined by shuffle. Each round's carry table is checkpointed to the
 shared ``spark.checkpoint.dir``: later rounds and the final plan read it as a
@@ -46,14 +46,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.names import col
 from ..session import checkpoint_dir
 
 CHUNK = "__tm_chunk"
-_SPLITTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-               T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 SPLITS = "__tm_splits"
 UNB_P = Window.unboundedPreceding
 UNB_F = Window.unboundedFollowing
@@ -65,8 +62,6 @@ class SplitPolicy:
 
     hot_rows:   a key with more rows than this is split;
     chunk_rows: target rows per chunk of a split key;
-    max_chunks: upper bound on chunks per key;
-    accuracy:   ``percentile_approx`` accuracy for the chunk bounds;
     broadcast_limit: most (hot key, chunk) rows that are broadcast;
     sample_per_chunk: expected sampled rows per chunk when detecting
                 hot keys (the sample fraction is sample_per_chunk/chunk_rows).
@@ -74,8 +69,6 @@ class SplitPolicy:
 
     hot_rows: int = 2_000_000
     chunk_rows: int = 500_000
-    max_chunks: int = 4096
-    accuracy: int = 10_000
     broadcast_limit: int = 1_000_000
     sample_per_chunk: int = 200
     seed: int = 17
@@ -239,17 +232,31 @@ def _final(name: str, op: Op, split: bool) -> Column:
 # ------------------------------------------------------------------ driver
 
 
-def _count_at_or_below(bounds: Column, value: Column, max_bounds: int) -> Column:
-    """Number of sorted ``bounds`` that are <= ``value``, by binary search:
-    a fixed number of halving steps (log2 of the longest array) instead of a
-    comparison per bound. A NULL value counts 0."""
+def _not_after(bound: Column, values: list[Column], ascending: list[bool]) -> Column:
+    """Whether the order tuple ``bound`` (fields o0, o1, ...) comes before
+    ``values`` in the window's order, or is equal to them. NULLs as Spark puts
+    them: first when ascending, last when descending."""
+    out = F.lit(True)
+    for i in reversed(range(len(values))):
+        b, v = bound[f"o{i}"], values[i]
+        same = b.eqNullSafe(v)
+        less = F.coalesce(b < v, F.lit(False)) | (b.isNull() & v.isNotNull()) if ascending[i] \
+            else F.coalesce(b > v, F.lit(False)) | (b.isNotNull() & v.isNull())
+        out = less | (same & out)
+    return out
+
+
+def _bounds_not_after(bounds: Column, values: list[Column], ascending: list[bool], max_bounds: int) -> Column:
+    """Number of ``bounds`` (in the window's order) that do not come after the
+    row, by binary search: a fixed number of halving steps (log2 of the longest
+    array) instead of a comparison per bound."""
     steps = max(1, math.ceil(math.log2(max_bounds + 1)))
     start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
 
     def halve(acc, _):
         lo, hi = acc["lo"], acc["hi"]
         mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = F.coalesce(F.element_at(bounds, mid + 1) <= value, F.lit(False))
+        go_right = _not_after(F.get(bounds, mid), values, ascending)
         narrowed = F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
             .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
         return F.when(lo < hi, narrowed).otherwise(acc)
@@ -304,73 +311,50 @@ class SplitWindow:
     def split(self) -> bool:
         return self.splits is not None
 
+    def _order_columns(self) -> list[Column]:
+        return [col(c).asc() if asc else col(c).desc() for c, asc in self._order]
+
     def _detect(self, df: DataFrame, p: SplitPolicy) -> None:
-        if not isinstance(df.schema[self.order[0]].dataType, _SPLITTABLE):
-            return  # chunk bounds need a numeric or date/time first order column
-        first = self.order[0]
         # A seeded Bernoulli sample with ~sample_per_chunk rows expected per
         # chunk finds keys over the threshold and places chunk bounds; bounds
-        # only steer balance, never results.
+        # only steer balance, never results. It is written once: the caller's
+        # whole upstream runs one time for the detection.
         fraction = min(1.0, p.sample_per_chunk / p.chunk_rows)
-        probe = df.select(*[col(k) for k in self.keys], col(first))
+        probe = df.select(*[col(k) for k in self.keys], *[col(c) for c in self.order if c not in self.keys])
         if fraction < 1.0:
             probe = probe.sample(withReplacement=False, fraction=fraction, seed=p.seed)
-        counts = probe.groupBy(*[col(k) for k in self.keys]).agg(
-            (F.count(F.lit(1)) / F.lit(fraction)).alias("__tm_n"))
-        hot = counts.where(F.col("__tm_n") > p.hot_rows)
-        row = hot.agg(
-            F.count(F.lit(1)).alias("keys"),
-            F.max("__tm_n").alias("largest"),
-        ).collect()[0]
-        if not row["keys"]:
+        checkpoint_dir(df.sparkSession)
+        probe = probe.checkpoint(eager=True)
+        keys = [col(k) for k in self.keys]
+        hot = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tm_n")).where(F.col("__tm_n") > p.hot_rows * fraction)
+        count = hot.count()
+        if not count:
             return
-        chunks = max(2, min(p.max_chunks, math.ceil(row["largest"] / p.chunk_rows)))
-        fractions = [i / chunks for i in range(1, chunks)]
-        # distinct bounds need a quantile sketch finer than the chunk count
-        accuracy = max(p.accuracy, 2 * chunks)
-        hot_keys = hot.select(*[col(k) for k in self.keys])
-        bounds = (
-            # hot keys were counted just above
-            _join_on_keys(probe, hot_keys, self.keys, "left_semi",
-                          broadcast=row["keys"] <= p.broadcast_limit)
-            .groupBy(*[col(k) for k in self.keys])
-            .agg(
-                F.array_distinct(
-                    F.percentile_approx(col(first), fractions, accuracy)).alias(SPLITS),
-                (F.count(F.lit(1)) / F.lit(fraction)).alias("__tm_n"),
-            )
-        )
-        # Thin each key's bounds to its own size (~rows / chunk_rows chunks):
-        # a key just over the threshold is not cut as finely as the largest.
-        want = F.greatest(F.ceil(F.col("__tm_n") / F.lit(p.chunk_rows)), F.lit(2))
-        step = F.greatest(F.floor(F.lit(chunks) / want), F.lit(1))
-        splits = bounds.select(
-            *[col(k) for k in self.keys],
-            F.filter(F.col(SPLITS), lambda x, i: ((i + 1) % step) == 0).alias(SPLITS),
-        )
+        # a key's sampled rows in the window's order; every step-th is a bound, so
+        # chunks follow the whole order tuple (texts and tied first columns too)
+        # and a key has as many as its size asks for
+        sampled = _join_on_keys(probe, hot.select(*keys), self.keys, "left_semi", broadcast=count <= p.broadcast_limit)
+        step = max(1, round(p.chunk_rows * fraction))
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*self._order_columns()))
+        tuple_ = F.struct(F.col("__tm_rank"), *[col(c).alias(f"o{i}") for i, c in enumerate(self.order)])
+        bounds = (sampled.withColumn("__tm_rank", rank).where(F.col("__tm_rank") % step == 0)
+                  .groupBy(*keys).agg(F.sort_array(F.collect_list(tuple_)).alias(SPLITS)))
         # written once: every round and the final plan read the bounds back
-        checkpoint_dir(df.sparkSession)
-        self.splits = splits.checkpoint(eager=True)
+        self.splits = bounds.checkpoint(eager=True)
         stats = self.splits.agg(F.sum(F.size(SPLITS) + 1), F.max(F.size(SPLITS))).collect()[0]
         self.broadcast_splits = (stats[0] or 0) <= p.broadcast_limit  # (key, chunk) rows, counted
         self.max_bounds = stats[1] or 0
 
     def spec(self) -> WindowSpec:
         parts = self.keys + ([CHUNK] if self.split else [])
-        return Window.partitionBy(*[col(c) for c in parts]).orderBy(
-            *[col(c).asc() if asc else col(c).desc() for c, asc in self._order])
+        return Window.partitionBy(*[col(c) for c in parts]).orderBy(*self._order_columns())
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Attach the chunk number (-1 for keys that are not split)."""
         if not self.split:
             return df
-        first = col(self.order[0])
         bounds = F.col(SPLITS)
-        at_or_below = _count_at_or_below(bounds, first, self.max_bounds)
-        if self._order[0][1]:  # ascending, NULLs first: chunk = bounds at or below
-            place = at_or_below
-        else:  # descending, NULLs last: chunk = bounds above
-            place = F.when(first.isNull(), F.size(bounds)).otherwise(F.size(bounds) - at_or_below)
+        place = _bounds_not_after(bounds, [col(c) for c in self.order], [asc for _, asc in self._order], self.max_bounds)
         chunk = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
         joined = _join_on_keys(df, self.splits, self.keys, "left", self.broadcast_splits)
         return joined.withColumn(CHUNK, chunk).drop(SPLITS)
