@@ -21,13 +21,11 @@ later non-null        latest non-null value           last of later chunks
 Summaries and carries have one row per (hot key, chunk), so they are small
 (about rows / ``chunk_rows`` per hot key, and hot keys are at most
 rows / ``hot_rows``); they are broadcast when the counted size allows,
-otherwise joined by shuffle. Each round's carry table is checkpointed to the
-shared ``spark.checkpoint.dir``: later rounds and the final plan read it as a
-small table, so a chain of rounds does not nest summary branches. The
-summary of a round reads only hot rows (the chunk filter reaches the join
-below the exchange), narrowed to the columns it needs. Keys below the
-threshold keep the plain plan: one hash exchange on the keys, one sort, the
-window chain.
+otherwise joined by shuffle. Hot rows are written once, chunked, to the shared
+``spark.checkpoint.dir``, and again after each round's window, so a round costs
+one pass over the hot rows whatever came before, and the source is not read
+again. Keys below the threshold keep the plain plan: one hash exchange on the
+keys, one sort, the window chain.
 
 Carries are computed with frames linear in the number of chunks (growing
 frames, or lag/lead over chunk rows: a non-empty chunk has at least one row,
@@ -345,10 +343,6 @@ class SplitWindow:
         self.broadcast_splits = (stats[0] or 0) <= p.broadcast_limit  # (key, chunk) rows, counted
         self.max_bounds = stats[1] or 0
 
-    def spec(self) -> WindowSpec:
-        parts = self.keys + ([CHUNK] if self.split else [])
-        return Window.partitionBy(*[col(c) for c in parts]).orderBy(*self._order_columns())
-
     def prepare(self, df: DataFrame) -> DataFrame:
         """Attach the chunk number (-1 for keys that are not split)."""
         if not self.split:
@@ -357,40 +351,48 @@ class SplitWindow:
         place = _bounds_not_after(bounds, [col(c) for c in self.order], [asc for _, asc in self._order], self.max_bounds)
         chunk = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
         joined = _join_on_keys(df, self.splits, self.keys, "left", self.broadcast_splits)
-        return joined.withColumn(CHUNK, chunk).drop(SPLITS)
+        placed = joined.withColumn(CHUNK, chunk).drop(SPLITS)
+        # hot rows are written once, chunked; all rounds read them from there
+        hot = placed.where(F.col(CHUNK) >= 0).checkpoint(eager=True)
+        return joined.where(F.col(SPLITS).isNull()).drop(SPLITS).withColumn(CHUNK, F.lit(-1)).unionByName(hot)
 
     def add(self, df: DataFrame, **ops: Op) -> DataFrame:
         """Add one column per op (all evaluated on the same window)."""
-        base_cols = df.columns
-        w = self.spec()
-        local_cols: dict[str, Column] = {}
+        if not self.split:
+            return self._plain(df, ops)
+        # each side of the union keeps to itself: the filters reach the branches
+        cold = self._plain(df.where(F.col(CHUNK) < 0), ops)
+        return cold.unionByName(self._chunked(df.where(F.col(CHUNK) >= 0), ops))
+
+    def _window(self, *more: str) -> WindowSpec:
+        return Window.partitionBy(*[col(c) for c in [*self.keys, *more]]).orderBy(*self._order_columns())
+
+    def _plain(self, df: DataFrame, ops: dict[str, Op]) -> DataFrame:
+        w, local = self._window(), {}
+        for name, op in ops.items():
+            local.update(_local(name, op, w))
+        out = df.select("*", *[c.alias(k) for k, c in local.items()])
+        return out.select(*[col(c) for c in df.columns], *[_final(n, op, False).alias(n) for n, op in ops.items()])
+
+    def _chunked(self, df: DataFrame, ops: dict[str, Op]) -> DataFrame:
+        """One round over the hot rows: the window per chunk, written once; the
+        chunks' summaries and carries; the carries joined back. Later rounds
+        start from what this one wrote, so a chain costs as much as its rounds."""
+        w = self._window(CHUNK)
+        local_cols: dict[str, Column] = {"__tm_pos": F.row_number().over(w)}
+        aggs, carry_cols = [], {}
+        cw = Window.partitionBy(*[col(k) for k in self.keys]).orderBy(CHUNK)
+        cw_desc = Window.partitionBy(*[col(k) for k in self.keys]).orderBy(F.col(CHUNK).desc())
         for name, op in ops.items():
             local_cols.update(_local(name, op, w))
-        if self.split:
-            local_cols["__tm_pos"] = F.row_number().over(w)
-        local = df.select("*", *[c.alias(k) for k, c in local_cols.items()])
-        if self.split:
-            aggs: list[Column] = []
-            for name, op in ops.items():
-                aggs.extend(_summary(name, op, F.col("__tm_pos")))
-            keys = [col(k) for k in self.keys]
-            summ = local.where(F.col(CHUNK) >= 0).groupBy(*keys, CHUNK).agg(*aggs)
-            cw = Window.partitionBy(*keys).orderBy(CHUNK)
-            cw_desc = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
-            carry_cols: dict[str, Column] = {}
-            for name, op in ops.items():
-                carry_cols.update(_carry(name, op, cw, cw_desc))
-            carry = summ.select(*keys, CHUNK, *[c.alias(k) for k, c in carry_cols.items()])
-            # Cut the lineage here: the carry table (one row per hot key and
-            # chunk) is written once to the shared checkpoint folder, so the
-            # next round plans against a small scan instead of re-deriving
-            # every earlier round inside its own summary branch.
-            checkpoint_dir(df.sparkSession)
-            carry = carry.checkpoint(eager=True)
-            # rows <= hot keys x chunks, checked in _detect
-            local = _join_on_keys(local, carry, self.keys + [CHUNK], "left", self.broadcast_splits)
-        finals = [_final(name, op, self.split).alias(name) for name, op in ops.items()]
-        return local.select(*[col(c) for c in base_cols], *finals)
+            aggs.extend(_summary(name, op, F.col("__tm_pos")))
+            carry_cols.update(_carry(name, op, cw, cw_desc))
+        local = df.select("*", *[c.alias(k) for k, c in local_cols.items()]).checkpoint(eager=True)
+        keys = [col(k) for k in self.keys]
+        carry = local.groupBy(*keys, CHUNK).agg(*aggs).select(*keys, CHUNK, *[c.alias(k) for k, c in carry_cols.items()])
+        # rows <= hot keys x chunks, counted in _detect
+        joined = _join_on_keys(local, carry.checkpoint(eager=True), self.keys + [CHUNK], "left", self.broadcast_splits)
+        return joined.select(*[col(c) for c in df.columns], *[_final(n, op, True).alias(n) for n, op in ops.items()])
 
     def finish(self, df: DataFrame) -> DataFrame:
         return df.drop(CHUNK) if self.split else df
