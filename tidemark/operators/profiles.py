@@ -15,11 +15,12 @@ Two look-back modes that give different winners:
 
 Plan: every window is on the same (record keys, effective date, profile id)
 spec, so the chain is one hash exchange on the record keys and one sort; the
-final pick is a ``max_by`` aggregate on that same partitioning (no second
-sort, no second exchange). Order ties are broken by ``{P}ID``. A record with
+final pick is ``row_number() = 1`` on that same partitioning (no second
+exchange); a partial group limit keeps one row per key before any shuffle of
+split keys. ``pick="max_by"`` is the same as an aggregate. Order ties are broken by ``{P}ID``. A record with
 more than ``policy.hot_rows`` candidates is cut into ordered chunks that run
 in parallel, each window completed by a carry from the other chunks
-(``split_window``); the pick then pre-aggregates per chunk.
+(``split_window``).
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def profile_round2(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) ->
 
 
 def pick_profile(df: DataFrame, keys: list[str], n: _Names, state_profile: str,
-                 method: str = "max_by") -> DataFrame:
+                 method: str = "window") -> DataFrame:
     """F8: one row per record - flag DESC (NULLs last), date DESC, id DESC."""
     drop = {"RN", "eDateToUse", n.r1, n.pid, CHUNK}
     cols = [c for c in df.columns if c not in drop]
@@ -155,7 +156,7 @@ def set_state_profile(
     set_escheat_date: Callable[[DataFrame], DataFrame] | None = None,
     get_escheat_due_date: Callable[[DataFrame], DataFrame] | None = None,
     lookback: str = "running",
-    pick: str = "max_by",
+    pick: str = "window",
     policy: SplitPolicy | None = DEFAULT_POLICY,
 ) -> DataFrame:
     """Pick the applicable state profile per record.
