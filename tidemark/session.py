@@ -4,6 +4,7 @@ resolves the shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 import pandas as pd
@@ -53,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        # plain local mode only: its one process sees its own temporary folder
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder: a machine-local "
                 "folder is not visible to the executors")
