@@ -3,7 +3,9 @@
 Encoding splits each text into pre-tokens and encodes each distinct one of a
 task once: a chunk of texts is one row, the pre-tokens that are new in it an
 array of byte arrays, and a Spark higher-order function folds the ranked merges
-over each of them, with the ranks of all pairs in a literal. The results are
+over each of them, with the ranks of all pairs in a literal map. The map is a
+constant array of each row: as a literal of the plan, its text and its boxed
+numbers would take more memory on the driver than all else. The results are
 then laid out along the texts again, by a worker that keeps those of the task's
 earlier rows, as rows of a task stay in order. Chunks are runs of whole texts
 of one task, so nothing is shuffled, nothing grows with the corpus, and a task
@@ -15,7 +17,7 @@ tiktoken library. Pre-tokens of more than ``LONG_BYTES`` bytes, for which the
 fold's steps would grow with the square of their length, take the same merges
 from a heap.
 
-The literal is a packed map: the rank of the pair (x, y) is in cell
+The map is packed: the rank of the pair (x, y) is in cell
 ``base[x] + y`` if that cell is marked with x. A pre-token is an array of
 ``rank << 40 | index << 17 | id``, rank being that of the piece with the next
 one, so the least element is the merge that comes next, leftmost among equals.
@@ -29,7 +31,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -258,8 +259,8 @@ class _Chunks:
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         out = pa.RecordBatch.from_arrays(
             [pa.array([self.restart]), one(pa.concat_arrays(self.ids)), one(pa.array(np.concatenate(self.sizes))), one(pa.array(np.concatenate(self.numbers))),
-             one(pa.array(order)), one(pa.array(ready, pa.list_(pa.int32()))), one(pieces)],
-            names=["restart", "ids", "sizes", "numbers", "places", "ready", "pieces"])
+             one(pa.array(order)), one(pa.array(ready, pa.list_(pa.int32()))), one(pieces), one(pa.array(ranks.cells)), one(pa.array(ranks.base.astype(np.int32)))],
+            names=["restart", "ids", "sizes", "numbers", "places", "ready", "pieces", "cells", "bases"])
         self._next()
         if len(self.known) >= KNOWN_WORDS:
             self.known, self.restart = {}, True
@@ -282,10 +283,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], ranks: Ranks, chunk_bytes: int) -
         yield chunk.row()
 
 
-def fold_merges(pieces: Column, ranks: Ranks) -> Column:
-    """One pre-token: its byte array after all merges, as ids."""
-    cells = F.from_json(F.lit(json.dumps(ranks.cells.tolist(), separators=(",", ":"))), "array<bigint>")
-    bases = F.from_json(F.lit(json.dumps(ranks.base.tolist(), separators=(",", ":"))), "array<int>")
+def fold_merges(pieces: Column, cells: Column, bases: Column) -> Column:
+    """One pre-token: its byte array after all merges, as ids. ``cells`` and
+    ``bases``: the packed rank map, a constant of the query."""
 
     def rank(left: Column, right: Column) -> Column:
         """In the place of a piece's rank; NONE also if either is null."""
@@ -377,8 +377,9 @@ def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str
     def chunks(batches):
         yield from _chunks(batches, shared.value, chunk_bytes)
 
-    rows = map_arrow(source, chunks, f"restart boolean, ids array<{kind}>, sizes array<int>, numbers array<int>, places array<int>, ready array<array<int>>, pieces array<array<long>>")
-    folded = rows.select("restart", "ids", "sizes", "numbers", "places", "ready", F.transform("pieces", lambda p: fold_merges(p, ranks)).alias("folded"))
+    rows = map_arrow(source, chunks, f"restart boolean, ids array<{kind}>, sizes array<int>, numbers array<int>, places array<int>, ready array<array<int>>, pieces array<array<long>>, "
+                     "cells array<long>, bases array<int>")
+    folded = rows.select("restart", "ids", "sizes", "numbers", "places", "ready", F.transform("pieces", lambda p: fold_merges(p, F.col("cells"), F.col("bases"))).alias("folded"))
 
     def laid_out(batches):
         yield from _lay_out(batches, shared.value if with_decoded else None)
