@@ -14,7 +14,6 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,7 +90,9 @@ def to_regex(fmt: str) -> tuple[str, dict[str, int]] | None:
 
 
 def _strptime_ok(fmt: str):
-    def check(values: pd.Series) -> pd.Series:
+    import pandas as pd  # here, as executors' workers load this module too
+
+    def check(values):
         def one(v):
             if v is None:
                 return None
@@ -101,6 +102,7 @@ def _strptime_ok(fmt: str):
             except ValueError:
                 return False
         return values.map(one).astype("boolean")
+    check.__annotations__ = {"values": pd.Series, "return": pd.Series}
     return check
 
 

@@ -7,7 +7,6 @@ import os
 import re
 import tempfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -80,6 +79,8 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | s
     Built from pandas, so with Arrow enabled it becomes a local relation that
     the plan reads on the driver, without a job of its own.
     """
+    import pandas as pd  # here, as executors' workers load this module too
+
     width = len(schema.fields) if isinstance(schema, T.StructType) else _ddl_width(schema)
     pdf = pd.DataFrame.from_records(rows, columns=[f"_{i}" for i in range(width)])
     pdf = pdf.astype(object).where(pdf.notna(), None)
