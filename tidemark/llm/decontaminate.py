@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -142,6 +141,8 @@ class Shard:
     def __init__(self, ids: list, counts: list, hashes: list):
         self.ids = pa.concat_arrays(ids)
         self.first = np.append(0, np.cumsum(np.concatenate(counts)))
+        import pandas as pd  # here, so that only this operator's workers load it
+
         codes, found = pd.factorize(np.concatenate(hashes))
         self.array, self.found = SuffixArray(codes + 1, self.first), pd.Index(found)
 
