@@ -77,6 +77,51 @@ def test_model_edges(frame, words):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] == 0 for r in nothing)
 
 
+def backoff_score(texts, learnt):
+    """Scores by the definition, with all n-grams of at least two occurrences."""
+    pad = [[None, None, *tokens(t)] for t in texts]
+    seen = [Counter(tuple(w[k - m:k + 1]) for w, ok in zip(pad, learnt, strict=True) if ok for k in range(2, len(w))) for m in range(3)]
+    starts = sum(learnt)
+    n, v, ones = sum(seen[0].values()), len(seen[0]), sum(c == 1 for c in seen[0].values())
+    d = min(0.95, max(0.05, ones / v))
+
+    def total(h):
+        return starts if h in ((None,), (None, None)) else seen[len(h) - 1][h]
+
+    arcs = [{}, Counter(), Counter()]
+    for m in (1, 2):
+        for g, c in seen[m].items():
+            if c >= 2:
+                arcs[m][g[:-1]] += (c - 0.75) / total(g[:-1])
+
+    def p(w, k):
+        c = seen[0][(w[k],)]
+        out = max(c - d, 0.05) / n if c else d * v / n
+        for m in (1, 2):
+            g = tuple(w[k - m:k + 1])
+            out *= max(1 - arcs[m][g[:-1]], 1e-9)
+            out += (seen[m][g] - 0.75) / total(g[:-1]) if seen[m][g] >= 2 else 0
+        return out
+
+    return [sum(math.log10(p(w, k)) for k in range(2, len(w))) for w in pad]
+
+
+@pytest.mark.parametrize("chunk", [1 << 23, 3000])
+def test_scores_match_the_definition(frame, words, chunk):
+    got = lm_score.score_texts(frame(words), crc_mod(F.col("doc_id"), 5) != 1, chunk_bytes=chunk).collect()
+    want = backoff_score([t for _, t in words], [learns(i) for i, _ in words])
+    assert sorted((str(r["doc_id"]), round(r["score"], 6)) for r in got) == sorted((str(i), round(x, 6)) for (i, _), x in zip(words, want, strict=True))
+
+
+def test_rare_ngrams_have_arcs_in_large_corpora(frame):
+    """An n-gram seen twice counts, however many tokens there are."""
+    rows = [(k, f"u{k}a u{k}b u{k}c " * 300) for k in range(80)] + [(100, "red fox runs"), (101, "red fox runs"), (102, "runs red fox")]
+    got = {r["doc_id"]: r["score"] for r in lm_score.score_texts(frame(rows), F.lit(True)).collect()}
+    want = backoff_score([t for _, t in rows], [True] * len(rows))
+    assert sum(len(tokens(t)) for _, t in rows) > 4 * 16384
+    assert [got[i] for i, _ in rows] == pytest.approx(want, abs=1e-6)
+
+
 # ---------------------------------------------------------------- toxicity
 
 

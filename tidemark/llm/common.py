@@ -38,14 +38,19 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
         try:
             yield from fn(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Memory that this worker no longer uses goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def crc_mod(id_col: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (null id: null)."""
     return F.crc32(id_col.cast("string").cast("binary")) % F.lit(mod)

@@ -14,17 +14,24 @@ Smoothing is interpolated absolute discounting; the root's discount is chosen
 so that the unknown word gets the Good-Turing mass, singletons / tokens. The
 probabilities of all known words and the unknown one sum to one in each state.
 
-Longer n-grams get arcs by relative frequency, at least ``1 / ARCS`` of the
-tokens, so there are at most ``ARCS`` of each order, at every size of the
-corpus. Root arcs of words of at least ``1 / WORD_ARCS`` of the tokens are in
-a bounded table that goes to the tasks; all other words are joined with the
-whole count table by shuffle, where no key is hot, as no such word is frequent.
-
-Counts cover all learning texts. Words are counted per task and summed by a
-shuffle. An n-gram that is frequent overall is frequent in some task, so the
-tasks' frequent ones are counted exactly in a second pass, less those that
-can't be frequent overall even if every task that left them out has as many as
-it may leave out.
+Every n-gram of two or three tokens that occurs at least ``LEAST`` times in the
+learning texts has an arc, at every size of the corpus; nothing is ranked or
+cut by a share of the tokens.
+
+Texts are dealt to chunks of about ``CHUNK_BYTES`` by a hash of the row. Counts
+are made where they are asked for, in three shuffles of packed arrays, with no
+table that must fit in one place:
+
+* A chunk sends its distinct tokens, two-word and three-word keys with their
+  learnt counts, cut into parts by hash. Three-word keys go with their history,
+  so a part has all that follows any history.
+* A part sums the counts of all chunks and sends each chunk the counts of its
+  own keys, and the sums of each history's arcs; for the histories of one token
+  these sums go on to the parts of the tokens.
+* With these answers a chunk has every arc and failure weight that its texts
+  use, and traverses them.
+
+Frequent keys are not hot: a chunk sends each of its keys once.
 
 Null and empty texts are one end token. Repeated rows are each scored and each
 counted. Rows whose ``may_learn`` is null are not learnt from. Without learning
@@ -34,7 +41,7 @@ An empty table gives an empty result. Further columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +49,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import cut, map_arrow
+from .common import cut, give_back
 
 ORDER = 3
-WORD_ARCS = 1 << 22
-ARCS = 1 << 14
+#: Least count of an n-gram of two or three tokens that has an arc.
+LEAST = 2
 DISCOUNT = 0.75
-#: Distinct keys that a task holds before it hands its counts on.
-HELD = 1 << 21
+#: Text of a chunk, and about as much of all texts in a part.
+CHUNK_BYTES = 8 << 20
 
 #: The end token's hash, also the history of a text's first words.
 END = np.uint64(0x5E3D0F1A2B4C6D7F)
@@ -84,79 +91,9 @@ for _m in range(2, ORDER):
     START.append(_join(np.array([START[-1]]), np.array([END]))[0])
 
 
-class _Counts:
-    """Counts of 64-bit keys, merged now and then."""
-
-    def __init__(self):
-        self.keys, self.sums, self.size = [], [], 0
-
-    def add(self, keys: np.ndarray, sums: np.ndarray | None = None) -> None:
-        found, inverse = np.unique(keys, return_inverse=True)
-        self.keys.append(found)
-        self.sums.append(np.bincount(inverse, weights=sums, minlength=len(found)).astype(np.int64))
-        self.size += len(found)
-        if len(self.keys) > 32:
-            self.merge()
-
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        found, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate(self.sums), minlength=len(found)).astype(np.int64)
-        self.keys, self.sums, self.size = [found], [sums], len(found)
-        return found, sums
-
-
-def _rows(kind: int, keys: np.ndarray, sums: np.ndarray, states: np.ndarray | None = None) -> pa.RecordBatch:
-    of = W.signed(states) if states is not None else np.zeros(len(keys), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(W.signed(keys)), pa.array(sums), pa.array(of)],
-                                      names=["kind", "key", "c", "state"])
-
-
-_COUNTED = "kind int, key long, c long, state long"
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: token counts. Kind m: n-grams of m + 1 tokens that are frequent
-    among this task's, less the most that one left out may have. Kind -1: that
-    number itself."""
-    counts, total = [_Counts() for _ in range(ORDER)], 0
-
-    def flush():
-        yield _rows(0, *counts[0].merge())
-        out = max(0, int(np.ceil(total / ARCS)) - 1)
-        for m in range(1, ORDER):
-            keys, sums = counts[m].merge()
-            often = sums > out
-            yield _rows(m, keys[often], sums[often] - out)
-        yield _rows(-1, np.zeros(1, np.uint64), np.array([out]))
-
-    for batch in batches:
-        for _, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
-            tokens = Tokens(block)
-            for m in range(ORDER):
-                counts[m].add(tokens.key[m])
-            total += len(tokens.owner)
-        if counts[-1].size > HELD:
-            yield from flush()
-            counts, total = [_Counts() for _ in range(ORDER)], 0
-    yield from flush()
-
-
-def _count_wanted(batches: Iterator[pa.RecordBatch], wanted: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Exact counts, and the states, of the wanted n-grams of each order."""
-    counts, states = [_Counts() for _ in wanted], [{} for _ in wanted]
-    for batch in batches:
-        for _, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
-            tokens = Tokens(block)
-            for m in range(1, ORDER):
-                at = np.flatnonzero(_among(wanted[m], tokens.key[m])[1])
-                counts[m].add(tokens.key[m][at])
-                states[m].update(zip(tokens.key[m][at].tolist(), tokens.state[m][at].tolist(), strict=True))
-    for m in range(1, ORDER):
-        keys, sums = counts[m].merge()
-        yield _rows(m, keys, sums, np.array([states[m][k] for k in keys.tolist()], np.uint64))
-
+#: The history of order ORDER - 1 at a text's start; apart from its key, which is
+#: also that of the two tokens of an empty text.
+BEGIN = np.uint64(0x2B7E151628AED2A6)
 
 def _among(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each key in the sorted table, and whether it is there."""
@@ -214,81 +151,236 @@ class Model:
         return np.log10(p), count
 
 
-def _sorted(rows: DataFrame, *columns: str) -> list[np.ndarray]:
-    """A bounded table on the driver, sorted by its first column as unsigned."""
-    table = rows.select(*columns).toArrow()
-    out = [table.column(c).to_numpy() for c in columns]
-    out = [x.astype(np.int64).view(np.uint64) if c != "c" else x for c, x in zip(columns, out, strict=True)]
-    by = np.argsort(out[0])
-    return [x[by] for x in out]
-
-
-def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of ``texts`` (_text), and the counts of all its tokens (key, c)."""
-    first = cut(map_arrow(texts, _count_words, _COUNTED).groupBy("kind", "key").agg(F.sum("c").alias("c")))
-    counts = first.where("kind = 0").select("key", "c")
-    n, v, singles = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)).first()
-    grams = [_sorted(counts.where(F.col("c") >= max(1, n / WORD_ARCS)), "key", "c")]
-    left_out = first.where("kind = -1").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    likely = first.where(F.col("c") + left_out >= max(2, n / ARCS))
-    wanted = [None, *(_sorted(likely.where(F.col("kind") == m), "key")[0] for m in range(1, ORDER))]
-    shared = texts.sparkSession.sparkContext.broadcast(wanted)
-
-    def again(batches):
-        yield from _count_wanted(batches, shared.value)
-
-    exact = cut(map_arrow(texts, again, _COUNTED).groupBy("kind", "key").agg(F.sum("c").alias("c"), F.max("state").alias("state")))
-    often = exact.where(F.col("c") >= max(2, n / ARCS))
-    grams += [_sorted(often.where(F.col("kind") == m), "key", "c", "state") for m in range(1, ORDER)]
-    return Model(n, v, singles, grams), counts
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Per text: tokens, those in the table and their base sum, the score so
-    far, and the hashes and counts of the other tokens."""
-    z = np.log10(model.n + 0.5 * (model.v + 1))
-    for batch in batches:
-        for begin, block in W.blocks(batch.column("_text"), W.SPACES, fold=True):
-            n, tokens = len(block), Tokens(block)
-            log, count = model.traverse(tokens)
-            owner, token = tokens.owner, tokens.key[0]
-            known = count > 0
-            base = np.bincount(owner[known], weights=np.log10(count[known] + 0.5) - z, minlength=n).astype(float)
-            rest = np.flatnonzero(~known)
-            order = rest[np.lexsort((token[rest], owner[rest]))]
-            fresh = np.append(True, (owner[order][1:] != owner[order][:-1]) | (token[order][1:] != token[order][:-1]))[:len(order)]
-            begins = np.flatnonzero(fresh)
-            times = np.diff(np.append(begins, len(order)))
-            cuts = np.searchsorted(owner[order[begins]], np.arange(n + 1))
-            rare = pa.StructArray.from_arrays([pa.array(W.signed(token[order[begins]])), pa.array(times.astype(np.int32))], names=["key", "times"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id").slice(begin, n), pa.array(block.counts() + 1), pa.array(np.bincount(owner[known], minlength=n)),
-                 pa.array(base), pa.array(np.bincount(owner, weights=log, minlength=n).astype(float)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)],
-                names=["_id", "n_tokens", "n_known", "base", "score", "rare"])
-
-
-def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+class Chunk:
+    """Texts of one chunk with their distinct keys, sorted: ``words``, ``pairs``
+    (with BEGIN) and ``triples``, by pair and key. ``word_n``, ``pair_n`` and
+    ``triple_n`` are the counts in learning texts, ``before`` the word before
+    each pair's last, ``last`` the last word of each triple, ``kids`` the number
+    of triples that go on from a pair."""
+
+    def __init__(self, texts: pa.ChunkedArray, learn: np.ndarray):
+        self.n, self.blocks = len(learn), []
+        for begin, block in W.blocks(texts.cast(pa.large_string()), W.SPACES, fold=True):
+            self.blocks.append((begin, Tokens(block)))
+        of = lambda f: np.concatenate([np.zeros(0, np.uint64), *(f(t) for _, t in self.blocks)])
+        learnt = np.concatenate([np.zeros(0, bool), *(learn[begin + t.owner] for begin, t in self.blocks)])
+        word = of(lambda t: t.key[0])
+        self.words, at = np.unique(word, return_inverse=True)
+        self.word_n = np.bincount(at[learnt], minlength=len(self.words))
+        fresh = np.append(True, self._owners()[1:] != self._owners()[:-1])[:len(learnt)]
+        pair, state = of(lambda t: t.key[1]), of(lambda t: t.state[1])
+        self.pairs, first, at = np.unique(np.append(pair, BEGIN), return_index=True, return_inverse=True)
+        self.pair_n = np.bincount(at[:-1][learnt], minlength=len(self.pairs))
+        self.pair_n[self.pairs == BEGIN] = (fresh & learnt).sum()
+        self.before = np.append(state, BEGIN)[first]
+        del pair, state, at
+        triple = of(lambda t: t.key[2])
+        keys, first, at = np.unique(triple, return_index=True, return_inverse=True)
+        count = np.bincount(at[learnt], minlength=len(keys))
+        self.state = of(lambda t: t.state[2])[first]
+        history = np.searchsorted(self.pairs, np.where(fresh[first], BEGIN, self.state))
+        by = np.argsort(history, kind="stable")
+        self.triples, self.triple_n, self.state, self.last = keys[by], count[by], self.state[by], word[first][by]
+        self.kids = np.bincount(history, minlength=len(self.pairs))
+
+    def _owners(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(begin + t.owner for begin, t in self.blocks)])
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Eight-byte numbers, byte by byte of all, compressed."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(values).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    if not n:
+        return np.zeros(0, np.uint64)
+    raw = pa.decompress(blob[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(np.uint64).ravel()
+
+
+def _pack_words(words: np.ndarray) -> bytes:
+    """Words of which many are the same: the distinct ones and where they are."""
+    found, at = np.unique(words, return_inverse=True)
+    own = _pack(found)
+    return len(own).to_bytes(8, "little") + own + _pack(at)
+
+
+def _unpack_words(blob: bytes) -> np.ndarray:
+    size = 8 + int.from_bytes(blob[:8], "little")
+    return _unpack(blob[8:size])[_unpack(blob[size:]).astype(np.int64)]
+
+
+def _joined(blobs: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *map(_unpack, blobs)])
+
+
+#: Kinds of rows. From a chunk: WORDS (words, counts) and PAIRS (pairs, words
+#: before, counts, kids, triples' last words, counts). From a part: ARCS_OF (words, sum and
+#: number of their arcs) to the parts of words; to a chunk, for its keys in
+#: order, WORDS (counts, arcs' sum, arcs' number) and PAIRS (the same, and the
+#: counts of triples).
+WORDS, PAIRS, ARCS_OF = 0, 1, 2
+_PACKED = "kind int, part long, chunk long, a binary, b binary, c binary, d binary, e binary, f binary, n long, v long, singles long"
+_ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("chunk", pa.int64()), *((x, pa.binary()) for x in "abcdef"),
+                    *((x, pa.int64()) for x in ("n", "v", "singles"))])
+
+
+def _row(kind: int, part: int, chunk: int, *arrays: np.ndarray | bytes) -> dict:
+    return {"kind": kind, "part": part, "chunk": chunk, **{x: y if isinstance(y, bytes) else _pack(y) for x, y in zip("abcdef", arrays, strict=False)}, "n": 0, "v": 0, "singles": 0}
+
+
+def _table(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, _ARROW)
+
+
+def _parts(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """Parts of sorted keys by their first bits, in order."""
+    part = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+    begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
+    for begin, end in zip(begins, np.append(begins, len(part))[1:], strict=True):
+        yield int(part[begin]), slice(begin, end)
+
+
+def _asked(table: pa.Table, bits: int) -> pa.Table:
+    """What a chunk asks for."""
+    number, chunk, rows = table.column("chunk")[0].as_py(), _chunk(table), []
+    for part, at in _parts(chunk.words, bits):
+        rows.append(_row(WORDS, part, number, chunk.words[at], chunk.word_n[at]))
+    ends = np.append(0, np.cumsum(chunk.kids))
+    for part, at in _parts(chunk.pairs, bits):
+        under = slice(ends[at.start], ends[at.stop])
+        rows.append(_row(PAIRS, part, number, chunk.pairs[at], _pack_words(chunk.before[at]), chunk.pair_n[at],
+                         chunk.kids[at], _pack_words(chunk.last[under]), chunk.triple_n[under]))
+    return _table(rows)
+
+
+def _chunk(table: pa.Table) -> Chunk:
+    return Chunk(table.column("_text"), table.column("_learn").to_numpy().astype(bool))
+
+
+def _sums(at: np.ndarray, n: int, weights: np.ndarray) -> np.ndarray:
+    """Whole numbers added up by place."""
+    return np.bincount(at, weights=weights.astype(np.int64), minlength=n).astype(np.int64)
+
+
+def _count_pairs(table: pa.Table, bits: int) -> pa.Table:
+    """Answers of a part of pairs and triples; rows of words go on as they are."""
+    if table.column("kind")[0].as_py() != PAIRS:
+        return table
+    part, chunks = table.column("part")[0].as_py(), table.column("chunk").to_pylist()
+    blobs = {x: [(_unpack_words if x in "be" else _unpack)(y) for y in table.column(x).to_pylist()] for x in "abcdef"}
+    sizes, below = ([len(y) for y in blobs[x]] for x in "ae")
+    keys, first, at = np.unique(np.concatenate(blobs["a"]), return_index=True, return_inverse=True)
+    count = _sums(at, len(keys), np.concatenate(blobs["c"]))
+    history = np.repeat(at, np.concatenate(blobs["d"]).astype(np.int64))
+    triples, one, under = np.unique(_join(keys[history], np.concatenate(blobs["e"])), return_index=True, return_inverse=True)
+    often = _sums(under, len(triples), np.concatenate(blobs["f"]))
+    often[often < LEAST] = 0
+    history, arc = history[one], often > 0
+    total, arcs = _sums(history, len(keys), often), np.bincount(history[arc], minlength=len(keys))
+    # the arcs of one-token histories
+    arc = np.flatnonzero((count >= LEAST) & (keys != BEGIN))
+    words, of = np.unique(np.concatenate(blobs["b"])[first[arc]], return_inverse=True)
+    sums, number = _sums(of, len(words), count[arc]), np.bincount(of, minlength=len(words))
+    rows = [_row(ARCS_OF, to, -1, words[x], sums[x], number[x]) for to, x in _parts(words, bits)]
+    count[count < LEAST] = 0
+    for k, (a, e) in enumerate(zip(np.cumsum(sizes), np.cumsum(below), strict=True)):
+        mine, kids = at[a - sizes[k]:a], under[e - below[k]:e]
+        rows.append(_row(PAIRS, part, chunks[k], count[mine], total[mine], arcs[mine], often[kids]))
+    return _table(rows)
+
+
+def _count_words(table: pa.Table) -> pa.Table:
+    """Answers of a part of words, with tokens, words and words seen once."""
+    rows = table.to_pylist()
+    asked, arcs = [r for r in rows if r["kind"] == WORDS], [r for r in rows if r["kind"] == ARCS_OF]
+    mine = [_unpack(r["a"]) for r in asked]
+    words, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *mine]), return_inverse=True)
+    count = _sums(at, len(words), _joined([r["b"] for r in asked]))
+    of = np.searchsorted(words, _joined([r["a"] for r in arcs]))
+    total, number = (_sums(of, len(words), _joined([r[x] for r in arcs])) for x in "bc")
+    out, end = [], 0
+    for r, own in zip(asked, mine, strict=True):
+        x = at[end:end + len(own)]
+        end += len(own)
+        out.append(_row(WORDS, r["part"], r["chunk"], count[x], total[x], number[x]))
+    out[0] |= {"n": int(count.sum()), "v": int((count > 0).sum()), "singles": int((count == 1).sum())}
+    return _table(out)
+
+
+def _back(count: np.ndarray, total: np.ndarray, arcs: np.ndarray) -> np.ndarray:
+    """Weight of the failure arc of states seen ``count`` times."""
+    return np.maximum(1 - np.where(arcs > 0, (total - DISCOUNT * arcs) / np.maximum(count, 1), 0.0), 1e-9)
+
+
+def _score(table: pa.Table, answers: pa.Table, n: int, v: int, singles: int) -> pa.Table:
+    """Scores of a chunk's texts by the arcs that its answers name."""
+    chunk = _chunk(table)
+    rows = sorted(answers.to_pylist(), key=lambda r: r["part"])
+    take = lambda kind, x: _joined([r[x] for r in rows if r["kind"] == kind]).astype(np.int64)
+    word_n, pair_n, triple_n = take(WORDS, "a"), take(PAIRS, "a"), take(PAIRS, "d")
+    if (len(word_n), len(pair_n), len(triple_n)) != (len(chunk.words), len(chunk.pairs), len(chunk.triples)):
+        raise RuntimeError("the documents changed between two reads of one query")
+    word, pair, triple = word_n > 0, (pair_n > 0) & (chunk.pairs != BEGIN), triple_n > 0
+    model = Model(n, v, singles, [[chunk.words[word], word_n[word]], [chunk.pairs[pair], pair_n[pair], chunk.before[pair]],
+                                  _in_order(chunk.triples[triple], triple_n[triple], chunk.state[triple])])
+    # the chunk's own arcs are not all arcs of a state
+    model.states[1], model.back[1] = chunk.words, _back(word_n, take(WORDS, "b"), take(WORDS, "c"))
+    total = pair_n.copy()
+    total[chunk.pairs == BEGIN] = word_n[chunk.words == END].sum()
+    real = chunk.pairs != START[2]  # the pair of an empty text is no state
+    state = np.where(chunk.pairs == BEGIN, START[2], chunk.pairs)
+    model.states[2], model.back[2] = _in_order(state[real], _back(total, take(PAIRS, "b"), take(PAIRS, "c"))[real])
+    z, sums = np.log10(n + 0.5 * (v + 1)), np.zeros((4, chunk.n))
+    for begin, tokens in chunk.blocks:
+        log, count = model.traverse(tokens)
+        log = np.where(count > 0, log, log + np.log10(model.unknown))
+        for k, x in enumerate((np.ones(len(log)), count > 0, np.log10(count + 0.5) - z, log)):
+            sums[k] += np.bincount(begin + tokens.owner, weights=x, minlength=chunk.n)
+    return pa.table([table.column("_id"), *(pa.array(x.astype(np.int64)) for x in sums[:2]), pa.array(sums[2]), pa.array(sums[3])],
+                    names=["_id", "n_tokens", "n_known", "base_score", "score"])
+
+
+def _in_order(keys: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    by = np.argsort(keys)
+    return [keys[by], *(x[by] for x in others)]
+
+
+def _tidy(fn: Callable, *args) -> Callable[..., pa.Table]:
+    """``fn`` of a group's tables, with the worker's memory given back."""
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return fn(table, *args)
+        finally:
+            give_back()
+
+    def two(table: pa.Table, other: pa.Table) -> pa.Table:
+        try:
+            return fn(table, other, *args)
+        finally:
+            give_back()
+
+    return two if fn is _score else one
+
+
+def score_texts(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text",
+                chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) per row. The
-    model learns from the rows where ``may_learn`` is true."""
+    model learns from the rows where ``may_learn`` is true. ``docs`` must give
+    the same rows whenever it is read."""
     source = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"), F.coalesce(may_learn, F.lit(False)).alias("_learn"))
-    model, counts = train(source.where("_learn").select("_text"))
+    chunks = int((source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // chunk_bytes) + 1
+    bits = (chunks - 1).bit_length()
+    dealt = source.withColumn("chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)).cast("long"))
+    asked = dealt.groupBy("chunk").applyInArrow(_tidy(_asked, bits), _PACKED)
+    found = cut(asked.groupBy("kind", "part").applyInArrow(_tidy(_count_pairs, bits), _PACKED))
+    words = cut(found.where(F.col("kind") != PAIRS).groupBy("part").applyInArrow(_tidy(_count_words), _PACKED))
+    n, v, singles = words.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("n", "v", "singles"))).first()
+    answers = found.where(F.col("kind") == PAIRS).unionAll(words)
     kind = source.schema["_id"].dataType.simpleString()
-    shared = source.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches):
-        yield from _score(batches, shared.value)
-
-    fields = "n_tokens long, n_known long, base double, score double, rare array<struct<key: long, times: int>>"
-    # row numbers are safe to join by, as the rows are read from the written table from here on
-    rows = cut(map_arrow(source.select("_id", "_text"), scored, f"_id {kind}, {fields}").withColumn("row", F.monotonically_increasing_id()))
-    z = float(np.log10(model.n + 0.5 * (model.v + 1)))
-    c, times = F.col("c"), F.col("times")
-    root = F.when(c > 0, F.log10(F.greatest(c - model.discount, F.lit(0.05)) / max(model.n, 1))).otherwise(float(np.log10(model.unknown)))
-    rare = (rows.select("row", F.inline("rare")).join(counts, "key", "left").withColumn("c", F.coalesce(c, F.lit(0)))
-            .groupBy("row").agg(F.sum(times * (F.log10(c + 0.5) - z)).alias("more"), F.sum(times * root).alias("logs"),
-                                F.sum(F.when(c > 0, times).otherwise(0)).alias("seen")))
-    zero = F.lit(0.0)
-    return (rows.drop("rare").join(rare, "row", "left")
-            .select(F.col("_id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-                    F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
-                    (F.col("score") + F.coalesce("logs", zero)).alias("score")))
+    scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _tidy(_score, n, v, singles), f"_id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("_id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
