@@ -33,7 +33,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, which a five-word Jaccard
+    of 0.85 or more links (``near_dup.PERCENT``)."""
     return near_dup.drop_near_duplicates(docs)
 
 
