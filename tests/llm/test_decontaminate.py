@@ -80,3 +80,11 @@ def test_removal_and_empty_tables(spark, frame, case):
     assert decontaminate.find_contamination(df.limit(0), bench).collect() == []
     none = decontaminate.find_contamination(df, bench.limit(0)).collect()
     assert len(none) == len(docs) and not any(r["contaminated"] for r in none)
+
+
+def test_items_without_an_id_count_as_hits(spark, frame):
+    bench = spark.createDataFrame([(None, "a b c d"), (4, "x y"), (None, "b c")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["contaminated"])
+           for r in decontaminate.find_contamination(frame([(1, "q a b c d"), (2, "x y b c z"), (3, "q")]), bench).collect()}
+    assert got == {1: (4, [], True), 2: (4, ["4"], True), 3: (0, [], False)}
+    assert [r["doc_id"] for r in decontaminate.remove_contaminated(frame([(1, "q a b c d"), (3, "q")]), bench).collect()] == [3]

@@ -14,7 +14,8 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 Null and empty texts have no words, are never hit and hit nothing. An item
 shorter than the window, but not empty, is one window. Repeated documents are
 each judged; repeated items with one id count as one item; a document without
-an id is judged like any other. Further columns are not read.
+an id is judged like any other, and the windows of an item without an id count
+as hits, only its id is not listed. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -118,7 +119,7 @@ class TestSet:
 
     __test__ = False
 
-    def __init__(self, ids: list[str], texts: list[str | None], window: int):
+    def __init__(self, ids: list[str | None], texts: list[str | None], window: int):
         self.ids, self.window = ids, window
         data, offsets = W.text_buffer(pa.array(texts, pa.large_string()))
         block = W.find_words(W.fold_ascii(data), offsets, W.NON_ALNUM)
@@ -198,7 +199,9 @@ def _hits(batches: Iterator[pa.RecordBatch], sets: list[Broadcast], shard_words:
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + tests.size[source], -1)
             pairs = np.unique(np.stack([shard.owners(starts), tests.item[source]]), axis=1)
-            found.append((pairs[0], np.asarray(tests.ids, object)[pairs[1]]))
+            names = np.asarray(tests.ids, object)[pairs[1]]
+            named = np.array([x is not None for x in names], bool)
+            found.append((pairs[0][named], names[named]))
         owner = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
         names = np.concatenate([x[1] for x in found]) if found else np.zeros(0, object)
         by = np.argsort(owner, kind="stable")
@@ -277,7 +280,6 @@ def test_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int,
     n = int(total // block_bytes) + 1
     for k in range(n):
         rows = (items if n == 1 else items.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(n)) == k)).collect()
-        rows = [r for r in rows if r[0] is not None]
         yield TestSet([r[0] for r in rows], [r[1] for r in rows], window)
 
 
