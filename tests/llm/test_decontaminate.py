@@ -88,3 +88,34 @@ def test_items_without_an_id_count_as_hits(spark, frame):
            for r in decontaminate.find_contamination(frame([(1, "q a b c d"), (2, "x y b c z"), (3, "q")]), bench).collect()}
     assert got == {1: (4, [], True), 2: (4, ["4"], True), 3: (0, [], False)}
     assert [r["doc_id"] for r in decontaminate.remove_contaminated(frame([(1, "q a b c d"), (3, "q")]), bench).collect()] == [3]
+
+
+def longest(docs, items, window):
+    """All places of the longest match of each test suffix in one shard."""
+    out = set()
+    for item, text in items:
+        v = tokens(text)
+        for s in range(len(v)):
+            found = []
+            for i, t in docs:
+                w = tokens(t)
+                for p in range(len(w)):
+                    k = 0
+                    while s + k < len(v) and p + k < len(w) and v[s + k] == w[p + k]:
+                        k += 1
+                    found.append((k, i, p, s > 0 and p > 0 and v[s - 1] == w[p - 1]))
+            most = max(f[0] for f in found)
+            if most >= min(window, len(v)):
+                out |= {(i, str(item), s, p, k) for k, i, p, inner in found if k == most and not inner}
+    return out
+
+
+@pytest.mark.parametrize("window", [13, 3])
+def test_longest_matches_at_every_place(spark, frame, case, window):
+    docs, items = case
+    docs = [(i, t) for i, t in docs if i] + [(90, "x a1 b2 c3"), (91, "a1 b2 c3 y a1 b2 c3")]
+    items = [*items, (40, "a1 b2 c3")]
+    rows = decontaminate.longest_matches(frame(docs).coalesce(1), spark.createDataFrame(items, "item_id long, text string"), window=window).collect()
+    got = {(r["doc_id"], r["item_id"], r["item_word"], r["doc_word"], r["n_words"]) for r in rows}
+    assert got == longest(docs, items, window)
+    assert {(90, "40", 0, 1, 3), (91, "40", 0, 0, 3), (91, "40", 0, 4, 3)} <= got

@@ -2,9 +2,11 @@
 
 The documents of a partition form shards of about ``SHARD_WORDS`` words. Each
 shard is a suffix array over word numbers, cut at document ends; every suffix
-of every benchmark item is binary-searched in it. The search gives the longest
-verbatim match of that suffix and where it lies, and the run of suffixes that
-hold the item's whole window. Documents never leave their partition: no
+of every benchmark item is binary-searched in it. ``find_contamination`` takes
+the run of suffixes that hold the item's whole window: the longest match alone
+would miss documents with fewer words of the item than another one of the shard.
+``longest_matches`` gives the longest verbatim match of each suffix and all the
+places where it lies. Documents never leave their partition: no
 shuffle, no key that could be hot, and a lost task is simply run again.
 
 The benchmark is sent to the tasks in blocks of bounded size
@@ -133,6 +135,8 @@ class TestSet:
         left = self.end - self.start
         size = np.minimum(counts, window)[self.item] if len(self.item) else self.item
         self.size = np.where(left >= size, size, 0)
+        #: fewest words of a match that is reported
+        self.least = size
 
 
 class Shard:
@@ -213,29 +217,32 @@ def _hits(batches: Iterator[pa.RecordBatch], sets: list[Broadcast], shard_words:
             names=["_id", "n_words", "n_hit", "items"])
 
 
-def _longest(batches: Iterator[pa.RecordBatch], tests: TestSet, shard_words: int, least: int) -> Iterator[pa.RecordBatch]:
+def _longest(batches: Iterator[pa.RecordBatch], tests: TestSet, shard_words: int) -> Iterator[pa.RecordBatch]:
     for shard in _shards(batches, shard_words):
         array = shard.array
         if not array.n or not len(tests.hash):
             continue
         numbers, left = shard.numbers(tests.hash), tests.end - tests.start
-        best, where = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
+        best = np.zeros(len(left), np.int64)
         # the longest match is next to the place where the test suffix belongs
-        place = _place(array, numbers, tests)
+        place = _place(array, numbers, tests.start, left)
         for near in (place - 1, place):
             ok = np.flatnonzero((near >= 0) & (near < array.n))
-            at = array.order[near[ok]]
-            same = _common(array, at, numbers, tests.start[ok], left[ok])
-            better = same > best[ok]
-            best[ok[better]], where[ok[better]] = same[better], at[better]
+            best[ok] = np.maximum(best[ok], _common(array, array.order[near[ok]], numbers, tests.start[ok], left[ok]))
+        # and lies wherever a suffix begins with as many words
+        long = np.flatnonzero(best >= tests.least)
+        low = _place(array, numbers, tests.start[long], best[long])
+        lengths = _place(array, numbers, tests.start[long], best[long], right=True) - low
+        test = np.repeat(long, lengths)
+        where = array.order[np.repeat(low, lengths) + np.arange(len(test)) - np.repeat(np.cumsum(lengths) - lengths, lengths)]
+        owner = shard.owners(where)
         # a suffix inside a longer match of the same item at the same place adds nothing
-        inner = np.zeros(len(best), bool)
-        inner[1:] = (tests.item[1:] == tests.item[:-1]) & (where[1:] == where[:-1] + 1) & (best[1:] == best[:-1] - 1)
-        keep = np.flatnonzero((best >= least) & ~inner)
-        owner = shard.owners(where[keep])
+        inner = (tests.start[test] > tests.first[tests.item[test]]) & (where > shard.first[owner])
+        inner &= array.ids[where - 1] == numbers[tests.start[test] - 1]
+        test, where, owner = test[~inner], where[~inner], owner[~inner]
         yield pa.RecordBatch.from_arrays(
-            [shard.ids.take(pa.array(owner)), pa.array([tests.ids[i] for i in tests.item[keep]], pa.string()),
-             pa.array(tests.start[keep] - tests.first[tests.item[keep]]), pa.array(where[keep] - shard.first[owner]), pa.array(best[keep])],
+            [shard.ids.take(pa.array(owner)), pa.array([tests.ids[i] for i in tests.item[test]], pa.string()),
+             pa.array(tests.start[test] - tests.first[tests.item[test]]), pa.array(where - shard.first[owner]), pa.array(best[test])],
             names=["_id", "item_id", "item_word", "doc_word", "n_words"])
 
 
@@ -252,21 +259,22 @@ def _common(array: SuffixArray, at: np.ndarray, numbers: np.ndarray, start: np.n
     return same
 
 
-def _place(array: SuffixArray, numbers: np.ndarray, tests: TestSet) -> np.ndarray:
-    """Where each whole test suffix belongs in the array."""
-    left = tests.end - tests.start
-    low, high = np.zeros(len(left), np.int64), np.full(len(left), array.n)
+def _place(array: SuffixArray, numbers: np.ndarray, start: np.ndarray, width: np.ndarray, right: bool = False) -> np.ndarray:
+    """Where the first ``width`` words of each test suffix belong in the array
+    (``right``: after all suffixes that begin with them)."""
+    low, high = np.zeros(len(start), np.int64), np.full(len(start), array.n)
     while True:
         live = np.flatnonzero(low < high)
         if not len(live):
             return low
         mid = (low[live] + high[live]) // 2
         at = array.order[mid]
-        same = _common(array, at, numbers, tests.start[live], left[live])
+        same = _common(array, at, numbers, start[live], width[live])
+        whole = same >= width[live]
         over = at + same >= array.stop[at]
         mine = np.where(over, 0, array.ids[np.minimum(at + same, array.n)])
-        other = np.where(same >= left[live], 0, numbers[np.minimum(tests.start[live] + same, len(numbers) - 1)])
-        below = mine < other
+        other = np.where(whole, 0, numbers[np.minimum(start[live] + same, len(numbers) - 1)])
+        below = (mine < other) & ~whole | whole & right
         low[live[below]] = mid[below] + 1
         high[live[~below]] = mid[~below]
 
@@ -308,15 +316,16 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                     shard_words: int = SHARD_WORDS) -> DataFrame:
     """(id, item_id, item_word, doc_word, n_words): in each shard, the longest
-    verbatim match of every test suffix of at least ``window`` words and where
-    it lies, less the suffixes that only end a longer match."""
+    verbatim match of every test suffix of at least ``window`` words, or all of
+    a shorter item, at each place where it lies, less those that only end a
+    longer match there."""
     source = text_frame(docs, id_col, text_col)
     kind = source.schema["_id"].dataType.simpleString()
     sets = [source.sparkSession.sparkContext.broadcast(t) for t in test_blocks(benchmark, item_col, item_text_col, window)]
 
     def one(block):
         def matches(batches):
-            yield from _longest(batches, block.value, shard_words, window)
+            yield from _longest(batches, block.value, shard_words)
         return map_arrow(source, matches, f"_id {kind}, item_id string, item_word long, doc_word long, n_words long")
 
     out = one(sets[0])
