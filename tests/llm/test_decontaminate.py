@@ -119,3 +119,26 @@ def test_longest_matches_at_every_place(spark, frame, case, window):
     got = {(r["doc_id"], r["item_id"], r["item_word"], r["doc_word"], r["n_words"]) for r in rows}
     assert got == longest(docs, items, window)
     assert {(90, "40", 0, 1, 3), (91, "40", 0, 0, 3), (91, "40", 0, 4, 3)} <= got
+
+
+def test_one_block_at_a_time_is_with_the_tasks(spark, frame, case, monkeypatch):
+    docs, items = case
+    alive, most = set(), []
+    make, destroy = type(spark.sparkContext).broadcast, decontaminate.Broadcast.destroy
+
+    def broadcast(self, value):
+        out = make(self, value)
+        alive.add(id(out))
+        most.append(len(alive))
+        return out
+
+    def destroyed(self, *a, **b):
+        alive.discard(id(self))
+        return destroy(self, *a, **b)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(decontaminate.Broadcast, "destroy", destroyed)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contamination(frame(docs), bench, window=4, block_bytes=300)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, items, 4)
+    assert len(most) > 2 and max(most) == 1

@@ -10,7 +10,10 @@ places where it lies. Documents never leave their partition: no
 shuffle, no key that could be hot, and a lost task is simply run again.
 
 The benchmark is sent to the tasks in blocks of bounded size
-(``BLOCK_TEXT_BYTES`` of text); a larger benchmark takes several passes.
+(``BLOCK_TEXT_BYTES`` of text). A larger benchmark takes a pass for each block:
+the documents are then numbered and written to the checkpoint folder, a pass
+writes what it hits and its block is destroyed before the next one is read, and
+hits are merged by document. ``longest_matches`` is one plan over all blocks.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
 Null and empty texts have no words, are never hit and hit nothing. An item
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import map_arrow, text_frame, without_ids
+from .common import cut, map_arrow, text_frame, without_ids
 
 WINDOW = 13
 #: 20 * n_hit >= n_words marks a document as contaminated.
@@ -188,35 +191,54 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Shard]:
         yield Shard(ids, counts, hashes)
 
 
-def _hits(batches: Iterator[pa.RecordBatch], sets: list[Broadcast], shard_words: int) -> Iterator[pa.RecordBatch]:
+def _hit(shard: Shard, tests: TestSet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which words of the shard are in a window, and the documents and ids of
+    the items they hold, by document."""
+    edge = np.zeros(shard.array.n + 1, np.int64)
+    if not shard.array.n or not len(tests.hash):
+        return edge[:-1] > 0, np.zeros(0, np.int64), np.zeros(0, object)
+    low, high = shard.windows(tests)
+    lengths = high - low
+    source = np.repeat(np.arange(len(lengths)), lengths)
+    within = np.arange(len(source)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    starts = shard.array.order[low[source] + within]
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + tests.size[source], -1)
+    pairs = np.unique(np.stack([shard.owners(starts), tests.item[source]]), axis=1)
+    names = np.asarray(tests.ids, object)[pairs[1]]
+    named = np.array([x is not None for x in names], bool)
+    return np.cumsum(edge[:-1]) > 0, pairs[0][named], names[named]
+
+
+def _lists(owner: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), values)
+
+
+def _hits(batches: Iterator[pa.RecordBatch], tests: Broadcast, shard_words: int) -> Iterator[pa.RecordBatch]:
     for shard in _shards(batches, shard_words):
-        n = len(shard.ids)
-        edge, found = np.zeros(shard.array.n + 1, np.int64), []
-        for tests in (s.value for s in sets):
-            if not shard.array.n or not len(tests.hash):
-                continue
-            low, high = shard.windows(tests)
-            lengths = high - low
-            source = np.repeat(np.arange(len(lengths)), lengths)
-            within = np.arange(len(source)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            starts = shard.array.order[low[source] + within]
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + tests.size[source], -1)
-            pairs = np.unique(np.stack([shard.owners(starts), tests.item[source]]), axis=1)
-            names = np.asarray(tests.ids, object)[pairs[1]]
-            named = np.array([x is not None for x in names], bool)
-            found.append((pairs[0][named], names[named]))
-        owner = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
-        names = np.concatenate([x[1] for x in found]) if found else np.zeros(0, object)
-        by = np.argsort(owner, kind="stable")
-        cuts = np.searchsorted(owner[by], np.arange(n + 1))
-        hit, first = np.append(0, np.cumsum(np.cumsum(edge[:-1]) > 0)), shard.first
+        within, owner, names = _hit(shard, tests.value)
+        hit, first = np.append(0, np.cumsum(within)), shard.first
         yield pa.RecordBatch.from_arrays(
-            [shard.ids, pa.array(np.diff(first)), pa.array(hit[first[1:]] - hit[first[:-1]]),
-             pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(names[by], pa.string()))],
+            [shard.ids, pa.array(np.diff(first)), pa.array(hit[first[1:]] - hit[first[:-1]]), _lists(owner, pa.array(names, pa.string()), len(shard.ids))],
             names=["_id", "n_words", "n_hit", "items"])
 
 
+def _ranges(batches: Iterator[pa.RecordBatch], tests: Broadcast, shard_words: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """Words hit by one block as ranges of each document; ``every``: also of
+    documents without a hit."""
+    for shard in _shards(batches, shard_words):
+        within, owner, names = _hit(shard, tests.value)
+        fresh = np.zeros(len(within) + 1, bool)
+        fresh[shard.first] = True
+        begin = np.flatnonzero(within & (fresh[:-1] | ~np.append(False, within[:-1])))
+        end = np.flatnonzero(within & (fresh[1:] | ~np.append(within[1:], False))) + 1
+        of, n = shard.owners(begin), len(shard.ids)
+        spans = pa.StructArray.from_arrays([pa.array(x - shard.first[of]) for x in (begin, end)], names=["begin", "end"])
+        rows = pa.RecordBatch.from_arrays([shard.ids, pa.array(np.diff(shard.first)), _lists(of, spans, n), _lists(owner, pa.array(names, pa.string()), n)],
+                                          names=["_id", "n_words", "spans", "items"])
+        yield rows if every else rows.take(pa.array(np.unique(of)))
+
+
 def _longest(batches: Iterator[pa.RecordBatch], tests: TestSet, shard_words: int) -> Iterator[pa.RecordBatch]:
     for shard in _shards(batches, shard_words):
         array = shard.array
@@ -279,13 +301,17 @@ def _place(array: SuffixArray, numbers: np.ndarray, start: np.ndarray, width: np
         high[live[~below]] = mid[~below]
 
 
+def count_blocks(benchmark: DataFrame, text_col: str, block_bytes: int) -> int:
+    total = benchmark.agg(F.sum(F.octet_length(benchmark[text_col].cast("string")))).first()[0] or 0
+    return int(total // block_bytes) + 1
+
+
 def test_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int,
                 block_bytes: int = BLOCK_TEXT_BYTES) -> Iterator[TestSet]:
     """The benchmark in blocks of about ``block_bytes`` of text, one at a time
     on the driver; always at least one."""
     items = text_frame(benchmark, id_col, text_col).select(F.col("_id").cast("string").alias("_id"), "_text")
-    total = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    n = int(total // block_bytes) + 1
+    n = count_blocks(benchmark, text_col, block_bytes)
     for k in range(n):
         rows = (items if n == 1 else items.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(n)) == k)).collect()
         yield TestSet([r[0] for r in rows], [r[1] for r in rows], window)
@@ -297,21 +323,52 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """(id, n_words, n_hit, items, contaminated) per document; ``items`` are the
     ids of the items with an occurring window, sorted as strings.
 
-    Every shard is searched for each benchmark block in turn, so a word hit by
-    windows of several blocks counts once.
+    A word hit by windows of several blocks counts once.
     """
     source = text_frame(docs, id_col, text_col)
     kind = source.schema["_id"].dataType.simpleString()
-    sets = [source.sparkSession.sparkContext.broadcast(t) for t in test_blocks(benchmark, item_col, item_text_col, window, block_bytes)]
+    blocks = test_blocks(benchmark, item_col, item_text_col, window, block_bytes)
+    if count_blocks(benchmark, item_text_col, block_bytes) == 1:
+        shared = source.sparkSession.sparkContext.broadcast(next(blocks))
 
-    def hits(batches):
-        yield from _hits(batches, sets, shard_words)
+        def hits(batches):
+            yield from _hits(batches, shared, shard_words)
 
-    found = map_arrow(source, hits, f"_id {kind}, n_words long, n_hit long, items array<string>")
+        found = map_arrow(source, hits, f"_id {kind}, n_words long, n_hit long, items array<string>")
+    else:
+        found = _merged(source, kind, blocks, shard_words)
     return found.select(F.col("_id").alias(id_col), "n_words", "n_hit", F.sort_array(F.array_distinct("items")).alias("items"),
                         ((F.col("n_hit") > 0) & (PER_HIT * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def _merged(source: DataFrame, kind: str, blocks: Iterator[TestSet], shard_words: int) -> DataFrame:
+    """(_id, n_words, n_hit, items) after one pass for each block, of which one
+    at a time is with the tasks."""
+    # row numbers hold for all passes, as the rows are read from the written table from here on
+    rows = cut(source.withColumn("row", F.monotonically_increasing_id())).select(F.struct("row", "_id").alias("_id"), "_text")
+
+    def one(tests: TestSet, every: bool) -> DataFrame:
+        shared = source.sparkSession.sparkContext.broadcast(tests)
+
+        def ranges(batches):
+            yield from _ranges(batches, shared, shard_words, every)
+
+        found = cut(map_arrow(rows, ranges, f"_id struct<row: long, _id: {kind}>, n_words long, spans array<struct<begin: long, end: long>>, items array<string>"))
+        shared.destroy()
+        return found
+
+    found = one(next(blocks), True)
+    for tests in blocks:
+        found = found.unionAll(one(tests, False))
+    merged = found.groupBy(F.col("_id.row").alias("row")).agg(
+        F.first("_id._id").alias("_id"), F.max("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    longer = lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["begin"], a["end"]))).alias("n"),
+                                   F.greatest(a["end"], x["end"]).alias("end"))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+    return merged.select("_id", "n_words", F.aggregate("spans", none, longer, lambda a: a["n"]).alias("n_hit"), "items")
+
+
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                     shard_words: int = SHARD_WORDS) -> DataFrame:
