@@ -163,6 +163,16 @@ def test_toxicity_edges(frame, spoken):
     assert len(blind) == 9 and not any(r["predicted"] for r in blind)
 
 
+@pytest.mark.parametrize("support", [1 << 18, 0])
+def test_rare_toxic_words_are_learnt_from_many_labels(spark, monkeypatch, support):
+    """Four toxic texts are enough, be there 5000 others of them."""
+    monkeypatch.setattr(toxicity, "SUPPORT", support)
+    rows = [("bal zorkel dem", 1)] * 5000 + [("bal quibbex dem", 1)] * 4 + [("bal grumpft dem", 1)] * 2 + [("bal dem fin", 0)] * 60000 + [("bal friendly fin", 0)] * 9
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "_text string, y int"))
+    assert {"=zorkel", "=quibbex"} <= set(lexicon.weights) and not {"=grumpft", "=bal", "=friendly"} & set(lexicon.weights)
+    assert lexicon.weights["=quibbex"] == pytest.approx((math.log(4.5 / 5007) - math.log(0.5 / 60010)) * 4 / 7)
+
+
 def test_folding():
     assert toxicity.fold("\u0406DI0T m0r\u043en tr4$h a@b $5") == "idiot moron trash aab $s"
     assert toxicity.fold(None) == ""

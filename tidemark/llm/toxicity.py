@@ -9,9 +9,10 @@ toxic cancel their match. A text's score is a logistic function of the matched
 weight and of the weight per word, so longer texts need more.
 
 Learning takes three passes over the labelled texts, each a Spark aggregate:
-the features of toxic texts (their support bounds the candidates), the
-candidates' frequency in all labelled texts, then phrases and the calibration
-grid. Only lexicon-sized results reach the driver.
+the features of toxic texts, the candidates' frequency in the other labelled
+texts, then phrases and the calibration grid. Entries are chosen by weight in
+Spark, so only lexicon-sized results reach the driver, and candidates if they
+are counted to be few.
 
 Null and empty texts match nothing and have the lowest score. Repeated rows
 are each scored. Several labels of one id count as toxic if any is 1; labels
@@ -34,9 +35,12 @@ from pyspark.sql import functions as F
 from .common import cut, map_arrow, small_side, text_frame
 
 THRESHOLD = 0.7
-#: A candidate must be in this share of the toxic texts, and in MIN_DOCS of them.
-MIN_SHARE = 0.001
+#: A lexicon entry must be in so many toxic texts, however many there are.
 MIN_DOCS = 3
+#: An exception phrase must be in a tenth of this share of the other texts, and in MIN_DOCS of them.
+MIN_SHARE = 0.001
+#: So many candidates go to the tasks; more are joined by shuffle.
+SUPPORT = 1 << 18
 #: Least log-odds of a lexicon entry.
 MIN_WEIGHT = 2.5
 STEMS = (4, 5, 6, 7)
@@ -155,26 +159,27 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     def every(folded):
         return {e for w in set(_WORD.findall(folded)) for e in _entries(w)}
 
-    toxic = texts.where("y = 1")
-    n = toxic.count()
-    least = max(MIN_DOCS, MIN_SHARE * n)
-    # a text has so many features at most, so the share bounds the candidates
-    support = {r[0] for r in _frequencies(toxic, every).where(F.col("pos") >= least).where("key <> ''").select("key").collect()}
-    if not support:
+    toxic, other = texts.where("y = 1"), texts.where("y = 0")
+    n_pos, n_neg = toxic.count(), other.count()
+
+    def weight(neg):
+        odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((neg + 0.5) / (n_neg + 1))
+        # rarely seen entries are drawn to zero
+        return odds * F.col("pos") / (F.col("pos") + 3.0)
+
+    # what isn't enough without any other text never is
+    support = cut(_frequencies(toxic, every).where((F.col("pos") >= MIN_DOCS) & (F.col("key") != "") & (weight(F.lit(0)) >= MIN_WEIGHT)).select("key", "pos"))
+    count = support.count()
+    if not count:
         return Lexicon({})
+    few = {r[0] for r in support.select("key").collect()} if count <= SUPPORT else None
 
     def candidates(folded):
-        return {e for w in set(_WORD.findall(folded)) for e in _entries(w) if e in support}
+        return {e for w in set(_WORD.findall(folded)) for e in _entries(w) if few is None or e in few}
 
-    rows = {r[0]: (r[1], r[2]) for r in _frequencies(texts, candidates).collect()}
-    n_pos, n_neg = rows.pop("")
-    weights = {}
-    for key, (pos, neg) in rows.items():
-        weight = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
-        # rarely seen entries are drawn to zero
-        weight *= pos / (pos + 3.0)
-        if weight >= MIN_WEIGHT:
-            weights[key] = float(weight)
+    found = support.join(_frequencies(other, candidates).select("key", "neg"), "key", "left")
+    entries = found.select("key", weight(F.coalesce("neg", F.lit(0))).alias("weight")).where(F.col("weight") >= MIN_WEIGHT)
+    weights = {r[0]: r[1] for r in entries.collect()}
     lexicon = Lexicon(weights)
 
     def near(folded):
