@@ -142,3 +142,9 @@ def test_one_block_at_a_time_is_with_the_tasks(spark, frame, case, monkeypatch):
     got = decontaminate.find_contamination(frame(docs), bench, window=4, block_bytes=300)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, items, 4)
     assert len(most) > 2 and max(most) == 1
+
+
+def test_clean_texts_of_a_clashing_id_stay(spark, frame):
+    bench = spark.createDataFrame([(4, "x y z")], "item_id long, text string")
+    left = decontaminate.remove_contaminated(frame([(1, "x y z"), (1, "clean text"), (2, "x y z"), (1, None)]), bench)
+    assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(1, ""), (1, "clean text")]

@@ -84,3 +84,9 @@ def test_min_max_estimates_the_similarity():
     sets = np.concatenate([shared, a, shared, b])
     sig = near_dup.min_max(W.mix(sets), np.array([0, 900]), 512)
     assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.05
+
+
+def test_other_texts_of_a_clashing_id_stay(frame):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    left = near_dup.drop_near_duplicates(frame([(1, a), (1, b), (2, a), (2, b + " end"), (3, a), (2, "else"), (2, "else"), (1, None)]))
+    assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(1, ""), (1, a), (1, b), (2, "else")]

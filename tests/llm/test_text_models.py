@@ -217,6 +217,12 @@ def test_classifier_edges(frame, judged):
     assert left.columns == df.columns and left.where("doc_id is null").count() == 1 and 480 <= left.count() <= 520
 
 
+def test_good_texts_of_a_clashing_id_stay(frame, judged):
+    rows, labels = judged
+    left = quality_classifier.drop_low_quality(frame([*rows, (0, rows[1][1])]), labels, F.lit(True)).where("doc_id = 0").collect()
+    assert [r["text"] for r in left] == [rows[1][1]]
+
+
 # ---------------------------------------------------------------- quality rules
 
 

@@ -62,11 +62,19 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` without the rows whose id is in the one column of ``ids``; rows
-    without an id stay. The ids are broadcast if they are few enough."""
-    gone = cut(ids.select(ids[ids.columns[0]].alias("_gone")).where("_gone is not null").distinct())
-    return docs.join(small_side(gone, gone.count(), 64), docs[id_col] == F.col("_gone"), "left_anti")
+def by_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Id and text, with (id, hash of the text) in place of the id, so that
+    different texts of one id are told apart; null without an id."""
+    key = F.struct(docs[id_col].alias("id"), F.xxhash64(docs[text_col].cast("string")).alias("hash"))
+    return docs.select(F.when(docs[id_col].isNotNull(), key).alias(id_col), docs[text_col].alias(text_col))
+
+
+def join_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    """``docs`` semi- or anti-joined with the keys of ``by_text`` in the one
+    column of ``keys``; these are broadcast if they are few enough."""
+    found = cut(keys.select(keys[keys.columns[0]].alias("_key")).where("_key is not null").distinct().select(F.col("_key.id").alias("_of"), "_key.hash"))
+    same = (docs[id_col] == F.col("_of")) & (F.xxhash64(docs[text_col].cast("string")) == found["hash"])
+    return docs.join(small_side(found, found.count(), 64), same, how)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import cut, map_arrow, text_frame, without_ids
+from .common import by_text, cut, join_rows, map_arrow, text_frame
 
 WINDOW = 13
 #: 20 * n_hit >= n_words marks a document as contaminated.
@@ -392,7 +392,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the contaminated documents. The verdict goes by id: of
-    repeated ids one contaminated row removes all; rows without an id stay."""
-    verdicts = find_contamination(docs, benchmark, id_col, text_col, **options)
-    return without_ids(docs, verdicts.where("contaminated").select(id_col), id_col)
+    """``docs`` without the contaminated documents. The verdict goes by id and
+    text: other texts of the same id stay, as do rows without an id."""
+    verdicts = find_contamination(by_text(docs, id_col, text_col), benchmark, id_col, text_col, **options)
+    return join_rows(docs, verdicts.where("contaminated").select(id_col), id_col, text_col, "left_anti")

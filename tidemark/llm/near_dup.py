@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import cut, map_arrow, small_side, text_frame, without_ids
+from .common import by_text, cut, join_rows, map_arrow, small_side, text_frame
 from .graph import connected
 
 SHINGLE = 5
@@ -237,11 +237,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group; rows without an id stay, and
-    of repeated rows of a kept id one stays."""
-    found = cut(near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("_of"), "kept"))
-    left = without_ids(docs, found.where(~F.col("kept")).select("_of"), id_col)
-    again = cut(found.where("kept and _of is not null").groupBy("_of").agg(F.count("*").alias("c")).where("c > 1").select("_of"))
+    of repeated rows of a kept id and text one stays. Different texts of one id
+    are different documents here."""
+    found = cut(near_duplicates(by_text(docs, id_col, text_col), id_col, text_col, **options).select(F.col(id_col).alias("_key"), "kept"))
+    left = join_rows(docs, found.where(~F.col("kept")).select("_key"), id_col, text_col, "left_anti")
+    again = cut(found.where("kept and _key is not null").groupBy("_key").agg(F.count("*").alias("c")).where("c > 1").select("_key"))
     if again.isEmpty():
         return left
-    repeated = left.join(again, left[id_col] == F.col("_of"), "left_semi").dropDuplicates([id_col])
-    return without_ids(left, again, id_col).unionByName(repeated)
+    repeated = join_rows(left, again, id_col, text_col, "left_semi").dropDuplicates([id_col, text_col])
+    return join_rows(left, again, id_col, text_col, "left_anti").unionByName(repeated)

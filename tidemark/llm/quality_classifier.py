@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import cut, map_arrow, small_side, text_frame, without_ids
+from .common import by_text, cut, join_rows, map_arrow, small_side, text_frame
 
 THRESHOLD = 0.3
 #: Share of the positives that a score threshold must keep to speak for the prior.
@@ -224,14 +224,15 @@ def train(table: DataFrame) -> Model:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+                  label_col: str = "quality", threshold: float = THRESHOLD, id_field: str | None = None) -> DataFrame:
     """(id, score, predicted) per document. ``labels``: id and 0/1 label;
-    ``may_learn`` is a condition on its id: only those labels are looked at."""
+    ``may_learn`` is a condition on its id: only those labels are looked at.
+    ``id_field``: the field of the documents' id that labels go by, if it is a struct."""
     good = (labels.where(may_learn).where(labels[id_col].isNotNull() & labels[label_col].isNotNull())
             .groupBy(labels[id_col].alias("_of")).agg(F.min(labels[label_col]).alias("_y")).where("_y = 1").select("_of"))
     good = cut(good)
     marked = small_side(good, good.count(), 24)
-    table = cut(feature_table(docs, id_col, text_col).join(marked, F.col("_id") == F.col("_of"), "left")
+    table = cut(feature_table(docs, id_col, text_col).join(marked, F.col(f"_id.{id_field}" if id_field else "_id") == F.col("_of"), "left")
                 .select("_id", "x", F.col("_of").isNotNull().alias("positive")))
     model = train(table)
 
@@ -246,7 +247,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col:
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects; of repeated
-    ids one rejected row removes all. Rows without an id stay."""
-    found = score_quality(docs, labels, may_learn, id_col, text_col, **options)
-    return without_ids(docs, found.where("predicted = 0").select(id_col), id_col)
+    """``docs`` without the documents that the classifier rejects, by id and
+    text: other texts of the same id stay, as do rows without an id."""
+    found = score_quality(by_text(docs, id_col, text_col), labels, may_learn, id_col, text_col, id_field="id", **options)
+    return join_rows(docs, found.where("predicted = 0").select(id_col), id_col, text_col, "left_anti")
