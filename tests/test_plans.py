@@ -81,7 +81,10 @@ def test_split_profile_chain_reads_the_source_once(spark):
                             get_escheat_due_date=Q.get_escheat_due_date, policy=Q.HOT,
                             **Q.PROFILE_ARGS)
     plan = _plan(out)
-    # only the cold branch reads the source; hot rows come from what the rounds wrote
-    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    # the rounds start from the rows that were written with their partition's number
+    assert "FileScan parquet" not in plan
     assert not re.search(r"Exchange hashpartitioning\(AccountId#\d+L?, __tm_chunk", plan)
     assert "SinglePartition" not in plan
+    # one exchange of the rows for all rounds, one of the picked rows' keys
+    assert len(re.findall(r"Exchange shufflepartitionidpassthrough", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1

@@ -1,12 +1,14 @@
 """Hot-key splitting gives the same answers as the plain window."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.profiles import set_state_profile
 from tidemark.operators.split_window import (
     FirstNonNull, Lag, LastNonNullBefore, LastNonNullUpTo, Lead, LaterNonNull, RowNumber,
-    SplitPolicy, SplitWindow,
+    RunningXor, SplitPolicy, SplitWindow,
 )
 
 from .test_fixtures import profiles
@@ -101,27 +103,6 @@ def test_composite_keys(spark):
     assert res["plain"] == res["split"]
 
 
-def test_binary_search_over_order_tuples(spark):
-    import random
-
-    from tidemark.operators.split_window import _bounds_not_after
-
-    rnd = random.Random(3)
-    pick = lambda: (rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1, 2, 3]))
-
-    def key(t):  # first column ascending, NULLs first; second descending, NULLs last
-        return (t[0] is not None, t[0] or ""), (t[1] is None, -(t[1] or 0))
-
-    rows = []
-    for _ in range(200):
-        bounds = sorted({pick() for _ in range(rnd.randint(0, 9))}, key=key)
-        v = pick()
-        rows.append(([(k, *b) for k, b in enumerate(bounds)], *v, sum(key(b) <= key(v) for b in bounds)))
-    df = spark.createDataFrame(rows, "b array<struct<r: int, o0: string, o1: int>>, x string, y int, want int")
-    got = df.select("want", _bounds_not_after(F.col("b"), [F.col("x"), F.col("y")], [True, False], 9).alias("c"))
-    assert got.where("want <> c").count() == 0
-
-
 @pytest.mark.parametrize("first", ["day", "text"])
 def test_tied_and_text_orders_are_split_evenly(spark, first):
     """One key, 20,000 rows, nine in ten on one day: chunks follow the whole order."""
@@ -141,3 +122,57 @@ def test_keys_are_required(spark):
 
     with pytest.raises(ValueError):
         SplitWindow(_frame(spark), [], ["t"], None)
+
+
+def test_rows_that_all_tie_are_split_and_peers_agree(spark):
+    """20,000 rows of one key, all on one day: no partition holds many of them, and
+    the first non-null of the peers reaches every row, wherever it lies."""
+    df = spark.range(20000).select(F.lit("k").alias("g"), F.lit(1).alias("t"), "id",
+                                   F.when(F.col("id") == 13777, F.lit(5.0)).alias("v"))
+    sw = SplitWindow(df, ["g"], ["t"], SplitPolicy(hot_rows=1000, chunk_rows=2000))
+    x = sw.prepare(df)
+    sizes = [r["count"] for r in x.groupBy("__tm_chunk").count().collect()]
+    assert sw.split and len(sizes) >= 8 and max(sizes) <= 4000
+    out = sw.finish(sw.add(x, rn=RowNumber(), first=FirstNonNull(F.col("v"))))
+    got = out.agg(F.count_distinct("rn"), F.min("rn"), F.max("rn"), F.min("first"), F.count("first")).first()
+    assert tuple(got) == (20000, 1, 20000, 5.0, 20000)
+
+
+def test_peers_over_several_partitions(spark):
+    """Ties of all lengths, with few non-null values, in partitions of one row."""
+    import random
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice("ab"), rnd.choice([None, 1, 1, 2, 3]), i, float(i % 5) if rnd.random() < 0.15 else None) for i in range(90)]
+    # among peers any first value may win, so equal ones a peer group
+    rows = [(g, t, i, None if v is None else float(t or 0)) for g, t, i, v in rows]
+    df = spark.createDataFrame(rows, "g string, t int, i int, v double")
+    res = {}
+    for label, policy in (("plain", None), ("split", TINY), ("some", SplitPolicy(hot_rows=1, chunk_rows=7))):
+        sw = SplitWindow(df, ["g"], ["t"], policy)
+        res[label] = {r["i"]: r["f"] for r in sw.finish(sw.add(sw.prepare(df), f=FirstNonNull(F.col("v")))).collect()}
+    assert res["plain"] == res["split"] == res["some"]
+
+
+def test_running_xor(spark):
+    df = _frame(spark).withColumn("x", F.when(F.col("i") % 5 > 0, F.xxhash64("g", "i")))
+    res = {}
+    for label, policy in (("plain", None), ("split", TINY)):
+        sw = SplitWindow(df, ["g"], ["t", "i"], policy)
+        res[label] = {(r["g"], r["i"]): r["h"] for r in sw.finish(sw.add(sw.prepare(df), h=RunningXor(F.col("x")))).collect()}
+    want, rows = {}, sorted((r["g"], r["i"], r["x"]) for r in df.collect())
+    for g, i, x in rows:
+        want[g, i] = want.get((g, i - 1), 0) ^ (x or 0)
+    assert res["plain"] == res["split"] == want
+
+
+def test_a_chain_of_rounds_has_one_exchange_of_the_rows(spark):
+    df = _frame(spark)
+    sw = SplitWindow(df, ["g"], ["t", "i"], SplitPolicy(hot_rows=5, chunk_rows=4))
+    x = sw.add(sw.prepare(df), a=RowNumber())
+    x = sw.add(x.where(F.col("a") != 3), b=Lag(F.col("a")))
+    out = sw.finish(sw.add(x, c=LastNonNullBefore(F.col("b"))))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"(?<!Broadcast)Exchange \w+", plan)
+    assert exchanges == ["Exchange shufflepartitionidpassthrough"] and plan.count("Sort [") == 1
+    assert out.count() == 66

@@ -17,10 +17,9 @@ Plan: every window is on the same (record keys, effective date, profile id)
 spec, so the chain is one hash exchange on the record keys and one sort; the
 final pick is ``row_number() = 1`` on that same partitioning (no second
 exchange); a partial group limit keeps one row per key before any shuffle of
-split keys. ``pick="max_by"`` is the same as an aggregate. Order ties are broken by ``{P}ID``. A record with
-more than ``policy.hot_rows`` candidates is cut into ordered chunks that run
-in parallel, each window completed by a carry from the other chunks
-(``split_window``).
+split keys. ``pick="max_by"`` is the same as an aggregate. Order ties are broken
+by ``{P}ID``. When a record has more than ``policy.hot_rows`` candidates, the
+windows run as segmented scans over range partitions (``split_window``).
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.names import col
 from .split_window import (
     CHUNK, DEFAULT_POLICY, FirstNonNull, Lag, LastNonNullBefore, LastNonNullUpTo, Lead,
-    LaterNonNull, RowNumber, SplitPolicy, SplitWindow,
+    LaterNonNull, RowNumber, SplitPolicy, SplitWindow, TIE,
 )
 
 # The effective-date type that gets the round-1 check.
@@ -108,7 +107,7 @@ def profile_round2(df: DataFrame, sw: SplitWindow, n: _Names, lookback: str) ->
 def pick_profile(df: DataFrame, keys: list[str], n: _Names, state_profile: str,
                  method: str = "window") -> DataFrame:
     """F8: one row per record - flag DESC (NULLs last), date DESC, id DESC."""
-    drop = {"RN", "eDateToUse", n.r1, n.pid, CHUNK}
+    drop = {"RN", "eDateToUse", n.r1, n.pid, CHUNK, TIE}
     cols = [c for c in df.columns if c not in drop]
     if method == "window":
         w = Window.partitionBy(*[col(k) for k in keys]).orderBy(

@@ -1,44 +1,54 @@
 """Ordered windows that stay parallel when one record key is huge.
 
 A window partitioned by the record key puts every row of a key into one
-task; a key holding a third of the table would run in a single task. Here a
-key with more than ``hot_rows`` rows is cut into ordered *chunks* (ranges of
-the whole order tuple, at quantiles of a sample), the window is evaluated
-per (key, chunk), and each window function is completed with a *carry* from
-the neighbouring chunks:
+task; a key holding a third of the table would run in a single task. When a
+key has more than ``hot_rows`` rows, the whole frame goes through a segmented
+prefix scan instead:
+
+1. rows are range-partitioned by (keys, order, tie id) into partitions of about
+   ``chunk_rows`` rows and written once to the shared checkpoint folder with
+   the partition's number. Neither a huge key nor rows that tie on the whole
+   order keep together, as the tie id is part of the range;
+2. a *segment* is a key's part of one partition. Each window runs per segment;
+3. a key that lies in several partitions has an open segment at either end of
+   them: at most two a partition. These alone are summarised, a scan over the
+   summaries in partition order gives each its *carry*, and the carry completes
+   the segment's rows:
 
 ====================  ==============================  =========================
-function              per-chunk summary               carry into chunk c
+function              summary of an open segment      carry into a segment
 ====================  ==============================  =========================
 row_number            row count                       sum of earlier counts
-first non-null        earliest non-null value         first of earlier chunks
-last non-null (<=,<)  latest non-null value           last of earlier chunks
-lag(x, n)             last n values                   last n of earlier chunks
-lead(x, n)            first n values                  first n of later chunks
-later non-null        latest non-null value           last of later chunks
+running xor           xor of its values               xor of earlier summaries
+first non-null        earliest non-null value         first of earlier segments
+last non-null (<=,<)  latest non-null value           last of earlier segments
+lag(x, n)             last n values                   last n of earlier ones
+lead(x, n)            first n values                  first n of later ones
+later non-null        latest non-null value           last of later segments
 ====================  ==============================  =========================
 
-Summaries and carries have one row per (hot key, chunk), so they are small
-(about rows / ``chunk_rows`` per hot key, and hot keys are at most
-rows / ``hot_rows``); they are broadcast when the counted size allows,
-otherwise joined by shuffle. Hot rows are written once, chunked, to the shared
-``spark.checkpoint.dir``, and again after each round's window, so a round costs
-one pass over the hot rows whatever came before, and the source is not read
-again. Keys below the threshold keep the plain plan: one hash exchange on the
-keys, one sort, the window chain.
-
-Carries are computed with frames linear in the number of chunks (growing
-frames, or lag/lead over chunk rows: a non-empty chunk has at least one row,
-so n chunks back or ahead supply n values).
-
-Hot keys are detected on a seeded Bernoulli sample (fraction
-``sample_per_chunk / chunk_rows``, capped at 1) with one partially aggregated
-count per key - the only eager step returning to the driver, two numbers;
-``policy=None`` skips detection.
+"First non-null" has peers (a RANGE frame): if rows that tie are spread over
+partitions, the last peer group of a segment also takes the first non-null of
+its peers further on.
+
+A chain of rounds keeps the partitions: the plan deals the written rows to
+tasks by their number, in one exchange for all its rounds, and joins the carries
+by broadcast. A round's carries are written when it is added, by a job that
+reads the open segments' rows and columns alone. There is no list of hot keys
+and no array of bounds. The carry table has at most two rows for a partition, so
+its size is known before; beyond ``broadcast_limit`` rows it is joined by
+shuffle.
+
+Whether a key is hot is judged on a seeded Bernoulli sample of the keys
+(fraction ``sample_per_chunk / chunk_rows``, capped at 1) with one partially
+aggregated count per key; two numbers return to the driver. Without a hot key
+the plan is the plain one: one hash exchange on the keys, one sort, the window
+chain. ``policy=None`` skips the detection.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -48,28 +58,31 @@ from pyspark.sql import functions as F
 from ..functions.names import col
 from ..session import checkpoint_dir
 
+#: Number of the range partition a row lies in, and its place among rows that tie.
 CHUNK = "__tm_chunk"
-SPLITS = "__tm_splits"
+TIE = "__tm_tie"
 UNB_P = Window.unboundedPreceding
 UNB_F = Window.unboundedFollowing
 
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When and how finely to split a key.
-
-    hot_rows:   a key with more rows than this is split;
-    chunk_rows: target rows per chunk of a split key;
-    broadcast_limit: most (hot key, chunk) rows that are broadcast;
-    sample_per_chunk: expected sampled rows per chunk when detecting
-                hot keys (the sample fraction is sample_per_chunk/chunk_rows).
+    """When and how finely to split.
+
+    hot_rows:   a key with more rows than this has the frame split;
+    chunk_rows: target rows per partition of a split frame;
+    broadcast_limit: most carry rows (two a partition) that are broadcast;
+    sample_per_chunk: expected sampled rows per partition when detecting
+                hot keys (the sample fraction is sample_per_chunk/chunk_rows);
+    partitions: number of range partitions, in place of rows / chunk_rows.
     """
 
     hot_rows: int = 2_000_000
     chunk_rows: int = 500_000
-    broadcast_limit: int = 1_000_000
+    broadcast_limit: int = 200_000
     sample_per_chunk: int = 200
     seed: int = 17
+    partitions: int | None = None
 
 
 DEFAULT_POLICY = SplitPolicy()
@@ -115,18 +128,26 @@ def LaterNonNull(x: Column) -> Op:  # noqa: N802
     return Op("later", x)
 
 
+def RunningXor(x: Column) -> Op:  # noqa: N802
+    """Bitwise xor of the values up to this row; NULLs count as 0."""
+    return Op("xor", x)
+
+
 def _tmp(name: str, part: str) -> str:
     return f"__tm_{name}_{part}"
 
 
-def _local(name: str, op: Op, w: WindowSpec) -> dict[str, Column]:
-    """Columns evaluated on the (key[, chunk]) window."""
+def _local(name: str, op: Op, w: WindowSpec, peers: WindowSpec) -> dict[str, Column]:
+    """Columns evaluated on the window of a key or segment. ``peers`` is ``w``
+    without the tie id, so that rows that tie are peers."""
     t = lambda p: _tmp(name, p)
     whole = w.rowsBetween(UNB_P, UNB_F)
     if op.kind == "row_number":
         return {t("v"): F.row_number().over(w)}
+    if op.kind == "xor":
+        return {t("v"): F.coalesce(F.bit_xor(op.x).over(w.rowsBetween(UNB_P, 0)), F.lit(0).cast("long"))}
     if op.kind == "first":
-        return {t("v"): F.first(op.x, ignorenulls=True).over(w)}
+        return {t("v"): F.first(op.x, ignorenulls=True).over(peers)}
     if op.kind == "last_upto":
         return {t("v"): F.last(op.x, ignorenulls=True).over(w.rowsBetween(UNB_P, 0))}
     if op.kind == "last_before":
@@ -147,21 +168,26 @@ def _local_x(name: str, op: Op) -> Column:
     return F.col(_tmp(name, "x")) if op.kind in ("lag", "lead", "later") else op.x
 
 
-def _summary(name: str, op: Op, pos: Column) -> list[Column]:
-    """Aggregates per (key, chunk) over the local output; all partial-aggregable
-    and bounded (lag/lead keep at most n values per chunk). ``pos`` is the
-    row's place in its chunk, so "earliest"/"latest" follow the window order
-    whatever its directions."""
+def _summary(name: str, op: Op, pos: Column, head: Column, order: list[Column]) -> list[Column]:
+    """Aggregates per open segment over the local output; all partial-aggregable
+    and bounded (lag/lead keep at most n values). ``pos`` is the row's place in
+    its segment, so "earliest"/"latest" follow the window order whatever its
+    directions; ``head`` is true for the peers of the segment's first row."""
     t = lambda p: _tmp(name, p)
     if op.kind == "row_number":
         return [F.count(F.lit(1)).alias(t("s"))]
     x = _local_x(name, op)
+    if op.kind == "xor":
+        return [F.bit_xor(x).alias(t("s"))]
     if op.kind == "first":
-        return [F.min_by(x, F.when(x.isNotNull(), pos)).alias(t("s"))]
+        tuple_ = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+        first_peers = F.min_by(F.struct(x.alias("x"), tuple_.alias("at")), F.when(x.isNotNull() & head, pos))
+        return [F.min_by(x, F.when(x.isNotNull(), pos)).alias(t("s")), first_peers.alias(t("h")),
+                F.max_by(tuple_, pos).alias(t("end"))]
     if op.kind in ("last_upto", "last_before", "later"):
         return [F.max_by(x, F.when(x.isNotNull(), pos)).alias(t("s"))]
     if op.kind in ("lag", "lead"):
-        # lag: the chunk's last n rows (largest rpos first = oldest first);
+        # lag: the segment's last n rows (largest rpos first = oldest first);
         # lead: its first n rows (smallest pos first)
         rank = F.col(t("rpos")) if op.kind == "lag" else F.col(t("pos"))
         picked = F.collect_list(F.when(rank <= op.n, F.struct(rank.alias("p"), x.alias("x"))))
@@ -171,22 +197,27 @@ def _summary(name: str, op: Op, pos: Column) -> list[Column]:
 
 
 def _carry(name: str, op: Op, cw: WindowSpec, cw_desc: WindowSpec) -> dict[str, Column]:
-    """Window over the chunks of a key. Every frame is linear in the number
-    of chunks: growing frames, or offsets (a non-empty chunk holds at least
-    one row, so n chunks back/ahead always supply n values)."""
+    """Window over the open segments of a key. Every frame is linear in their
+    number: growing frames, or offsets (a segment holds at least one row, so n
+    segments back/ahead always supply n values)."""
     t = lambda p: _tmp(name, p)
     s = F.col(t("s"))
-    before = cw.rowsBetween(UNB_P, -1)
+    before, after = cw.rowsBetween(UNB_P, -1), cw_desc.rowsBetween(UNB_P, -1)
     if op.kind == "row_number":
         return {t("c"): F.coalesce(F.sum(s).over(before), F.lit(0))}
+    if op.kind == "xor":
+        return {t("c"): F.bit_xor(s).over(before)}
     if op.kind == "first":
-        return {t("c"): F.first(s, ignorenulls=True).over(before)}
+        # of the later segments that begin with non-null peers the nearest one; it
+        # counts if these are peers of this segment's end (no further one can be)
+        return {t("c"): F.first(s, ignorenulls=True).over(before),
+                t("d"): F.last(F.col(t("h")), ignorenulls=True).over(after), t("end"): F.col(t("end"))}
     if op.kind in ("last_upto", "last_before"):
         return {t("c"): F.last(s, ignorenulls=True).over(before)}
     if op.kind == "later":
-        # the last non-null of the later chunks is the first one met walking
+        # the last non-null of the later segments is the first one met walking
         # back from the end
-        return {t("c"): F.first(s, ignorenulls=True).over(cw_desc.rowsBetween(UNB_P, -1))}
+        return {t("c"): F.first(s, ignorenulls=True).over(after)}
     if op.kind == "lag":
         prev = [F.lag(s, k).over(cw) for k in range(op.n, 0, -1)]  # oldest first
         vals = F.flatten(F.filter(F.array(*prev), lambda a: a.isNotNull()))
@@ -198,7 +229,7 @@ def _carry(name: str, op: Op, cw: WindowSpec, cw_desc: WindowSpec) -> dict[str,
     raise ValueError(op.kind)
 
 
-def _final(name: str, op: Op, split: bool) -> Column:
+def _final(name: str, op: Op, split: bool, order: list[Column]) -> Column:
     t = lambda p: F.col(_tmp(name, p))
     v = t("v")
     if not split:
@@ -206,12 +237,17 @@ def _final(name: str, op: Op, split: bool) -> Column:
     c = t("c")
     if op.kind == "row_number":
         return v + F.coalesce(c, F.lit(0)).cast("bigint")
+    if op.kind == "xor":
+        return v.bitwiseXOR(F.coalesce(c, F.lit(0).cast("long")))
     if op.kind == "first":
-        return F.coalesce(c, v)
+        same = [v.isNotNull() | t("d").isNotNull()]
+        for i, o in enumerate(order):
+            same += [t("end")[f"o{i}"].eqNullSafe(o), t("d")["at"][f"o{i}"].eqNullSafe(o)]
+        return F.coalesce(c, v, F.when(functools.reduce(Column.__and__, same), t("d")["x"]))
     if op.kind in ("last_upto", "last_before"):
         return F.coalesce(v, c)
     if op.kind == "later":
-        # the last non-null of all later rows lies in the latest chunk that has one
+        # the last non-null of all later rows lies in the latest segment that has one
         return F.coalesce(c, v)
     if op.kind == "lag":
         pos = t("pos")
@@ -230,43 +266,11 @@ def _final(name: str, op: Op, split: bool) -> Column:
 # ------------------------------------------------------------------ driver
 
 
-def _not_after(bound: Column, values: list[Column], ascending: list[bool]) -> Column:
-    """Whether the order tuple ``bound`` (fields o0, o1, ...) comes before
-    ``values`` in the window's order, or is equal to them. NULLs as Spark puts
-    them: first when ascending, last when descending."""
-    out = F.lit(True)
-    for i in reversed(range(len(values))):
-        b, v = bound[f"o{i}"], values[i]
-        same = b.eqNullSafe(v)
-        less = F.coalesce(b < v, F.lit(False)) | (b.isNull() & v.isNotNull()) if ascending[i] \
-            else F.coalesce(b > v, F.lit(False)) | (b.isNotNull() & v.isNull())
-        out = less | (same & out)
-    return out
-
-
-def _bounds_not_after(bounds: Column, values: list[Column], ascending: list[bool], max_bounds: int) -> Column:
-    """Number of ``bounds`` (in the window's order) that do not come after the
-    row, by binary search: a fixed number of halving steps (log2 of the longest
-    array) instead of a comparison per bound."""
-    steps = max(1, math.ceil(math.log2(max_bounds + 1)))
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-
-    def halve(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = _not_after(F.get(bounds, mid), values, ascending)
-        narrowed = F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
-            .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
-        return F.when(lo < hi, narrowed).otherwise(acc)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"])
-
-
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str,
                   broadcast: bool = False) -> DataFrame:
     """Join on ``keys`` with NULL matching NULL (a NULL record key is a key
     like any other - and a likely hot one). ``broadcast`` only for a right
-    side whose size was counted."""
+    side whose size is known."""
     alias = {k: f"__tm_r_{i}" for i, k in enumerate(keys)}
     r = right.select(*[col(c).alias(alias.get(c, c)) for c in right.columns])
     if broadcast:
@@ -281,7 +285,7 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str,
 
 class SplitWindow:
     """Window over ``keys`` ordered by ``order`` (column names, ascending, or
-    ``(name, "desc")``), with hot keys split into ordered chunks.
+    ``(name, "desc")``); a frame with a hot key is split into range partitions.
 
     >>> sw = SplitWindow(df, ["user_id"], ["ts", "event_id"])
     >>> x = sw.prepare(df)
@@ -299,100 +303,90 @@ class SplitWindow:
         self._order = [(o, True) if isinstance(o, str) else (o[0], o[1].lower() != "desc")
                        for o in order]
         self.order = [name for name, _ in self._order]
-        self.splits: DataFrame | None = None
-        self.broadcast_splits = False
-        self.max_bounds = 0
+        self.partitions = 0
+        self.broadcast_carry = False
+        #: (chunk, keys) of the open segments, once a split frame is prepared
+        self.open: DataFrame | None = None
         if policy is not None:
             self._detect(df, policy)
 
     @property
     def split(self) -> bool:
-        return self.splits is not None
+        return self.partitions > 0
 
     def _order_columns(self) -> list[Column]:
         return [col(c).asc() if asc else col(c).desc() for c, asc in self._order]
 
     def _detect(self, df: DataFrame, p: SplitPolicy) -> None:
-        # A seeded Bernoulli sample with ~sample_per_chunk rows expected per
-        # chunk finds keys over the threshold and places chunk bounds; bounds
-        # only steer balance, never results. It is written once: the caller's
-        # whole upstream runs one time for the detection.
+        # the sample only steers the plan, never results
         fraction = min(1.0, p.sample_per_chunk / p.chunk_rows)
-        probe = df.select(*[col(k) for k in self.keys], *[col(c) for c in self.order if c not in self.keys])
+        probe = df.select(*[col(k) for k in self.keys])
         if fraction < 1.0:
             probe = probe.sample(withReplacement=False, fraction=fraction, seed=p.seed)
-        checkpoint_dir(df.sparkSession)
-        probe = probe.checkpoint(eager=True)
-        keys = [col(k) for k in self.keys]
-        hot = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tm_n")).where(F.col("__tm_n") > p.hot_rows * fraction)
-        count = hot.count()
-        if not count:
+        sizes = probe.groupBy(*[col(k) for k in self.keys]).agg(F.count(F.lit(1)).alias("__tm_n"))
+        most, rows = sizes.agg(F.max("__tm_n"), F.sum("__tm_n")).first()
+        if not most or most <= p.hot_rows * fraction:
             return
-        # a key's sampled rows in the window's order; every step-th is a bound, so
-        # chunks follow the whole order tuple (texts and tied first columns too)
-        # and a key has as many as its size asks for
-        sampled = _join_on_keys(probe, hot.select(*keys), self.keys, "left_semi", broadcast=count <= p.broadcast_limit)
-        step = max(1, round(p.chunk_rows * fraction))
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*self._order_columns()))
-        tuple_ = F.struct(F.col("__tm_rank"), *[col(c).alias(f"o{i}") for i, c in enumerate(self.order)])
-        bounds = (sampled.withColumn("__tm_rank", rank).where(F.col("__tm_rank") % step == 0)
-                  .groupBy(*keys).agg(F.sort_array(F.collect_list(tuple_)).alias(SPLITS)))
-        # written once: every round and the final plan read the bounds back
-        self.splits = bounds.checkpoint(eager=True)
-        stats = self.splits.agg(F.sum(F.size(SPLITS) + 1), F.max(F.size(SPLITS))).collect()[0]
-        self.broadcast_splits = (stats[0] or 0) <= p.broadcast_limit  # (key, chunk) rows, counted
-        self.max_bounds = stats[1] or 0
+        self.partitions = p.partitions or max(2, math.ceil(rows / fraction / p.chunk_rows))
+        self.broadcast_carry = 2 * self.partitions <= p.broadcast_limit
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Attach the chunk number (-1 for keys that are not split)."""
+        """A frame that is split is laid out here, with the partition's number
+        and the tie id; another one stays as it is."""
         if not self.split:
             return df
-        bounds = F.col(SPLITS)
-        place = _bounds_not_after(bounds, [col(c) for c in self.order], [asc for _, asc in self._order], self.max_bounds)
-        chunk = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
-        joined = _join_on_keys(df, self.splits, self.keys, "left", self.broadcast_splits)
-        placed = joined.withColumn(CHUNK, chunk).drop(SPLITS)
-        # hot rows are written once, chunked; all rounds read them from there
-        hot = placed.where(F.col(CHUNK) >= 0).checkpoint(eager=True)
-        return joined.where(F.col(SPLITS).isNull()).drop(SPLITS).withColumn(CHUNK, F.lit(-1)).unionByName(hot)
+        checkpoint_dir(df.sparkSession)
+        keys = [col(k) for k in self.keys]
+        placed = (df.withColumn(TIE, F.monotonically_increasing_id())
+                  .repartitionByRange(self.partitions, *keys, *self._order_columns(), F.col(TIE))
+                  .withColumn(CHUNK, F.spark_partition_id()).checkpoint(eager=True))
+        # a key is open where a partition ends with it and the next one begins with it
+        key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+        edges = placed.groupBy(CHUNK).agg(F.min(key).alias("first"), F.max(key).alias("last"))
+        along = Window.orderBy(CHUNK)  # one row a partition
+        edges = edges.select(CHUNK, "first", "last", F.lag("last").over(along).alias("was"), F.lead("first").over(along).alias("next"))
+        open_ = F.array_distinct(F.array_compact(F.array(F.when(F.col("first") == F.col("was"), F.col("first")),
+                                                         F.when(F.col("last") == F.col("next"), F.col("last")))))
+        self.open = (edges.select(CHUNK, F.explode(open_).alias("key"))
+                     .select(CHUNK, *[F.col("key")[f"k{i}"].alias(k) for i, k in enumerate(self.keys)]).checkpoint(eager=True))
+        return placed.repartitionById(self.partitions, F.col(CHUNK))
 
     def add(self, df: DataFrame, **ops: Op) -> DataFrame:
         """Add one column per op (all evaluated on the same window)."""
-        if not self.split:
-            return self._plain(df, ops)
-        # each side of the union keeps to itself: the filters reach the branches
-        cold = self._plain(df.where(F.col(CHUNK) < 0), ops)
-        return cold.unionByName(self._chunked(df.where(F.col(CHUNK) >= 0), ops))
+        return self._segmented(df, ops) if self.split else self._plain(df, ops)
 
-    def _window(self, *more: str) -> WindowSpec:
-        return Window.partitionBy(*[col(c) for c in [*self.keys, *more]]).orderBy(*self._order_columns())
+    def _window(self, parts: list[str], tie: list[str]) -> WindowSpec:
+        return Window.partitionBy(*[col(c) for c in [*parts, *self.keys]]).orderBy(*self._order_columns(), *tie)
 
     def _plain(self, df: DataFrame, ops: dict[str, Op]) -> DataFrame:
-        w, local = self._window(), {}
+        w, local = self._window([], []), {}
         for name, op in ops.items():
-            local.update(_local(name, op, w))
+            local.update(_local(name, op, w, w))
         out = df.select("*", *[c.alias(k) for k, c in local.items()])
-        return out.select(*[col(c) for c in df.columns], *[_final(n, op, False).alias(n) for n, op in ops.items()])
-
-    def _chunked(self, df: DataFrame, ops: dict[str, Op]) -> DataFrame:
-        """One round over the hot rows: the window per chunk, written once; the
-        chunks' summaries and carries; the carries joined back. Later rounds
-        start from what this one wrote, so a chain costs as much as its rounds."""
-        w = self._window(CHUNK)
-        local_cols: dict[str, Column] = {"__tm_pos": F.row_number().over(w)}
+        return out.select(*[col(c) for c in df.columns], *[_final(n, op, False, []).alias(n) for n, op in ops.items()])
+
+    def _segmented(self, df: DataFrame, ops: dict[str, Op]) -> DataFrame:
+        """One round: the window per segment, the summaries and carries of the
+        open segments, the carries joined back."""
+        w, peers = self._window([CHUNK], [TIE]), self._window([CHUNK], [])
+        order = [col(c) for c in self.order]
+        local_cols: dict[str, Column] = {"__tm_pos": F.row_number().over(w), "__tm_head": F.rank().over(peers) == 1}
         aggs, carry_cols = [], {}
         cw = Window.partitionBy(*[col(k) for k in self.keys]).orderBy(CHUNK)
         cw_desc = Window.partitionBy(*[col(k) for k in self.keys]).orderBy(F.col(CHUNK).desc())
         for name, op in ops.items():
-            local_cols.update(_local(name, op, w))
-            aggs.extend(_summary(name, op, F.col("__tm_pos")))
+            local_cols.update(_local(name, op, w, peers))
+            aggs.extend(_summary(name, op, F.col("__tm_pos"), F.col("__tm_head"), order))
             carry_cols.update(_carry(name, op, cw, cw_desc))
-        local = df.select("*", *[c.alias(k) for k, c in local_cols.items()]).checkpoint(eager=True)
-        keys = [col(k) for k in self.keys]
-        carry = local.groupBy(*keys, CHUNK).agg(*aggs).select(*keys, CHUNK, *[c.alias(k) for k, c in carry_cols.items()])
-        # rows <= hot keys x chunks, counted in _detect
-        joined = _join_on_keys(local, carry.checkpoint(eager=True), self.keys + [CHUNK], "left", self.broadcast_splits)
-        return joined.select(*[col(c) for c in df.columns], *[_final(n, op, True).alias(n) for n, op in ops.items()])
+        local = df.select("*", *[c.alias(k) for k, c in local_cols.items()])
+        segment = [CHUNK, *self.keys]
+        summed = _join_on_keys(local, self.open, segment, "left_semi", self.broadcast_carry)
+        keys = [col(k) for k in segment]
+        carry = summed.groupBy(*keys).agg(*aggs).select(*keys, *[c.alias(k) for k, c in carry_cols.items()])
+        # at most two rows a partition, written here: this round's windows over the
+        # open segments' rows alone (the semi-join goes below them), one job
+        joined = _join_on_keys(local, carry.checkpoint(eager=True), segment, "left", self.broadcast_carry)
+        return joined.select(*[col(c) for c in df.columns], *[_final(n, op, True, order).alias(n) for n, op in ops.items()])
 
     def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK) if self.split else df
+        return df.drop(CHUNK, TIE) if self.split else df

@@ -452,9 +452,10 @@ def q_dq_row_report_sample(spark, sf):
 # ---------------------------------------------------------------- windows
 
 
-# Tiny thresholds that force the hot-key split path at test scale (events
-# have ~67 rows per user, orders ~10 per customer): same results, other plan.
-HOT = SplitPolicy(hot_rows=8, chunk_rows=5)
+# A low threshold forces the split plan at test scale (events have ~67 rows per
+# user, orders ~10 per customer): same results, other plan. Each of its
+# partitions but the last ends within or at the end of some key.
+HOT = SplitPolicy(hot_rows=8, chunk_rows=5, partitions=24)
 
 
 def _win(spark, sf, op_fn, policy=DEFAULT_POLICY) -> DataFrame:
