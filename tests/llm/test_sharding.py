@@ -1,0 +1,79 @@
+"""Shards and slots against a plain Python rendezvous hash."""
+
+import math
+import struct
+import zlib
+from collections import Counter
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import sharding
+
+
+def draw(key, shard, weight):
+    seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key) if isinstance(key, int) else key.encode(), seed=42)
+    u = ((xxhash.xxh64_intdigest(struct.pack("<i", shard), seed=seed) >> 11) + 0.5) / (1 << 53)
+    return -weight / math.log(u)
+
+
+def brute(key, weights):
+    return max(range(len(weights)), key=lambda k: (draw(key, k, weights[k]), -k))
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 24, [1.0, 2.5, 0.25], [3.0]])
+def test_shards_match_brute_force(frame, words, weights):
+    got = sharding.assign_shards(frame(words), weights, grown_weight=1.0).collect()
+    assert len(got) == len(words)
+    want = Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()), brute(i, weights), brute(i, [*weights, 1.0])) for i, t in words)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["grown_shard"]) for r in got) == want
+    for shard in {r["shard"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+
+
+def test_shares_follow_the_weights_and_few_rows_move(spark):
+    df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    rows = sharding.assign_shards(df, [1.0, 1.0, 2.0], grown_weight=4.0).collect()
+    share = Counter(r["shard"] for r in rows)
+    assert abs(share[2] / 20000 - 0.5) < 0.02 and abs(share[0] / 20000 - 0.25) < 0.02
+    moved = [r for r in rows if r["shard"] != r["grown_shard"]]
+    assert {r["grown_shard"] for r in moved} == {3} and abs(len(moved) / 20000 - 0.5) < 0.02
+    fewer = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(df, [1.0, 1.0]).collect()}
+    assert all(fewer[r["doc_id"]] == r["shard"] for r in rows if r["shard"] < 2)
+
+
+def test_one_key_for_most_rows_is_numbered_in_many_partitions(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    rows = sharding.assign_shards(df, 5, slot_rows=500)
+    seen = rows.groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in seen) and sum(r["n"] for r in seen) == 6000
+    assert len({r["shard"] for r in rows.where("doc_id is null").select("shard").distinct().collect()}) == 1
+
+
+def test_slots_do_not_depend_on_the_partitions(frame, words):
+    once = sharding.assign_shards(frame(words).repartition(7), 4, slot_rows=9).collect()
+    again = sharding.assign_shards(frame(words).coalesce(1), 4).collect()
+    assert sorted(map(str, once)) == sorted(map(str, again))
+
+
+def test_text_ids_wider_ids_and_empty_tables(spark):
+    rows = [("a", "x"), ("b", None), (None, "")]
+    got = sharding.assign_shards(spark.createDataFrame(rows, "doc_id string, text string"), 6).collect()
+    assert {r["doc_id"]: r["shard"] for r in got} == {i: brute(i, [1.0] * 6) for i, _ in rows}
+    assert {r["grown_shard"] for r in got} == {None}
+    shard = lambda kind: [r["shard"] for r in sharding.assign_shards(spark.range(50).select(F.col("id").cast(kind).alias("doc_id"), F.lit("").alias("text")), 9).orderBy("doc_id").collect()]
+    assert shard("int") == shard("long") == shard("short")
+    assert sharding.assign_shards(spark.createDataFrame(rows, "doc_id string, text string").limit(0), 6).collect() == []
+    with pytest.raises(ValueError):
+        sharding.assign_shards(spark.createDataFrame(rows, "doc_id string, text string"), [1.0, 0.0])
+
+
+def test_written_shards_hold_whole_rows_in_slot_order(spark, frame, words, tmp_path):
+    df = frame(words)
+    path = str(tmp_path / "shards")
+    sharding.write_shards(df, path, 3, files=4)
+    back = spark.read.parquet(path)
+    assert back.drop("shard").exceptAll(df).count() == 0 and back.count() == len(words)
+    want = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(df, 3).collect()}
+    assert all(want[r["doc_id"]] == r["shard"] for r in back.collect())

@@ -99,4 +99,83 @@ SELECT doc_id, len(ws)::bigint AS n_words, coalesce(lost.n, 0)::bigint AS n_remo
 FROM d LEFT JOIN lost USING (rid) LEFT JOIN kept USING (rid)
 """
 
-LLM_ORACLE_SQL = {"op5_substring_dedup": OP5, "op3_decontamination": OP3, "op8_quality_rules": OP8, "op10_url_filter": OP10}
+# ---------------------------------------------------------------- checksums and hashes in SQL
+
+def _crc_cell(n: int) -> int:
+    for _ in range(8):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, unsigned."""
+    table = "[" + ", ".join(f"{_crc_cell(n)}" for n in range(256)) + "]"
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda p: ('0x' || p)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, {table}[1 + (xor(c, b) & 255)])), 4294967295)"
+
+
+# The five primes of the 64-bit xxHash.
+_PRIME = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+_WRAP = "18446744073709551616::UHUGEINT"
+
+
+def _wrapped(x: str) -> str:
+    return f"(({x}) % {_WRAP})::UBIGINT"
+
+
+def _times(x: str, y: int) -> str:
+    return _wrapped(f"({x})::UHUGEINT * {y}::UHUGEINT")
+
+
+def _plus(x: str, y: int) -> str:
+    return _wrapped(f"({x})::UHUGEINT + {y}::UHUGEINT")
+
+
+def _rotated(x: str, bits: int) -> str:
+    return f"({_times(x, 1 << bits)} | ({x} >> {64 - bits}))"
+
+
+def _xxhash_steps(table: str, steps: list[tuple[str, str]]) -> str:
+    """CTEs that add one column each; the last one is named ``{table}_hashed``."""
+    out, was = [], table
+    for k, (name, expression) in enumerate(steps):
+        now = f"{table}_hashed" if k == len(steps) - 1 else f"{table}_{k}"
+        out.append(f"{now} AS (SELECT *, {expression} AS {name} FROM {was})")
+        was = now
+    return ",\n".join(out)
+
+
+def _finish(x: str, to: str) -> list[tuple[str, str]]:
+    """The hash's last mixing of column ``x``, as ``to``."""
+    return [(f"{to}_a", _times(f"xor({x}, {x} >> 33)", _PRIME[1])), (f"{to}_b", _times(f"xor({to}_a, {to}_a >> 29)", _PRIME[2])),
+            (to, f"xor({to}_b, {to}_b >> 32)")]
+
+
+_HASH_LONG = [  # of the long k, with seed 42, as h
+    ("h0", _times("(((k::HUGEINT + 18446744073709551616) % 18446744073709551616)::UBIGINT)", _PRIME[1])),
+    ("h1", f"xor({(42 + _PRIME[4] + 8) % (1 << 64)}::UBIGINT, {_times(_rotated('h0', 31), _PRIME[0])})"),
+    ("h2", _plus(_times(_rotated("h1", 27), _PRIME[0]), _PRIME[3])),
+    *_finish("h2", "h"),
+]
+_HASH_INT = [  # of the int i, with seed h, as g
+    ("g0", f"xor({_plus('h', _PRIME[4] + 4)}, {_times('i', _PRIME[0])})"),
+    ("g1", _plus(_times(_rotated("g0", 23), _PRIME[1]), _PRIME[2])),
+    *_finish("g1", "g"),
+]
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, doc_id AS k, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+                  {_crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
+{_xxhash_steps("d", _HASH_LONG)},
+p AS (SELECT rid, h, s.i FROM d_hashed, range(25) s(i)),
+{_xxhash_steps("p", _HASH_INT)},
+best AS (SELECT rid, arg_max(i, g >> 11) FILTER (WHERE i < 24) AS shard, arg_max(i, g >> 11) AS grown FROM p_hashed GROUP BY rid)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY CASE WHEN h >= 9223372036854775808 THEN h::HUGEINT - 18446744073709551616 ELSE h::HUGEINT END,
+                          doc_id, text_crc32, size) - 1 AS slot,
+       grown::INT AS grown_shard
+FROM d_hashed JOIN best USING (rid)
+"""
+
+LLM_ORACLE_SQL = {"op5_substring_dedup": OP5, "op3_decontamination": OP3, "op8_quality_rules": OP8, "op10_url_filter": OP10,
+                  "op12_sharding": OP12}

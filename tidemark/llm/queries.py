@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm_score, near_dup, quality_classifier, quality_rules, substring_dedup, token_counts, toxicity, url_filter
+from . import bpe, decontaminate, lm_score, near_dup, quality_classifier, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_filter
 from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+#: Shards of the sharding query.
+SHARDS = 24
+
+
 def _hex(column) -> Column:
     return F.sha2(column, 256)
 
@@ -75,6 +79,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign_shards(read(spark, sf_dir, "documents"), SHARDS, grown_weight=1.0)
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 LLM_QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_near_dup": op2_minhash_near_dup,
@@ -86,6 +95,7 @@ LLM_QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filter": op10_url_filter,
+    "op12_sharding": op12_sharding,
 }
 
 __all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
