@@ -14,15 +14,15 @@ from tidemark.llm.queries import LLM_QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert {k.split("_")[0] for k in LLM_QUERIES} == {f"op{n}" for n in range(1, 11)}
+def test_all_operators_and_the_pipeline_are_registered():
+    assert {k.split("_")[0] for k in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in E.queries() and set(LLM_ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = E.queries()[name](spark, SF)
     cur = con.execute(LLM_ORACLE_SQL[name])

@@ -177,5 +177,37 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
 FROM d_hashed JOIN best USING (rid)
 """
 
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+k AS (SELECT c, {_crc32("c::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+rebuilt AS (
+  SELECT k.c, b.r AS o, b.x FROM k JOIN t b ON b.c = k.c - k.c % 20 AND b.r <= k.h
+  UNION ALL SELECT k.c, 3 + t.r, t.x FROM k JOIN t ON t.c = k.c WHERE t.r > k.h
+),
+seq AS (SELECT k.c, coalesce(list(x ORDER BY o) FILTER (WHERE o IS NOT NULL), []) AS s FROM k LEFT JOIN rebuilt USING (c) GROUP BY k.c),
+prefix AS (SELECT c, unnest(range(len(s) + 1)) AS depth, s FROM seq),
+node AS (
+  SELECT s[1:depth] AS p, depth, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(s) = depth), '')) AS ends_sha256
+  FROM prefix GROUP BY p, depth
+),
+kids AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+own AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN node.depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(node.p[node.depth].text, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS saved
+  FROM node LEFT JOIN kids ON node.p = kids.p AND node.depth = kids.depth
+),
+up AS (SELECT p[1:d] AS p, d AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+       FROM (SELECT p, n_children, saved, unnest(range(depth + 1)) AS d FROM own) GROUP BY ALL)
+SELECT own.conv_id, own.depth, parent.conv_id AS parent_conv_id, own.n_convs, own.n_children, up.n_leaves::BIGINT AS n_leaves,
+       up.saved_tokens::BIGINT AS saved_tokens, own.ends_sha256
+FROM own JOIN up ON own.p = up.p AND own.depth = up.depth
+LEFT JOIN own parent ON parent.p = own.p[1:own.depth - 1] AND parent.depth = own.depth - 1
+"""
+
 LLM_ORACLE_SQL = {"op5_substring_dedup": OP5, "op3_decontamination": OP3, "op8_quality_rules": OP8, "op10_url_filter": OP10,
-                  "op12_sharding": OP12}
+                  "op12_sharding": OP12, "op13_prefix_trie": OP13}

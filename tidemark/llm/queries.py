@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm_score, near_dup, quality_classifier, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_filter
+from . import bpe, decontaminate, lm_score, near_dup, prefix_trie, quality_classifier, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_filter
 from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
@@ -84,6 +84,11 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_digests(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns, every=20, most=3))
+
+
 LLM_QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_minhash_near_dup": op2_minhash_near_dup,
@@ -96,6 +101,7 @@ LLM_QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filter": op10_url_filter,
     "op12_sharding": op12_sharding,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 __all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
