@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm_score, near_dup, prefix_trie, quality_classifier, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_filter
+from . import bpe, decontaminate, lm_score, near_dup, prefix_trie, quality_classifier, quality_rules, sharding, substring_dedup, token_align, token_counts, toxicity, url_filter
 from .common import crc_mod, read
 from .oracle import LLM_ORACLE_SQL
 
@@ -79,6 +79,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = (token_align.read_file(spark, public_tokenizers.path(x)) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_align.align_tokens(read(spark, sf_dir, "documents"), first, second)
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.assign_shards(read(spark, sf_dir, "documents"), SHARDS, grown_weight=1.0)
     return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -100,6 +105,7 @@ LLM_QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filter": op10_url_filter,
+    "op11_token_align": op11_token_align,
     "op12_sharding": op12_sharding,
     "op13_prefix_trie": op13_prefix_trie,
 }
