@@ -58,3 +58,24 @@ def test_random_rules_expand_to_their_components(spark):
     for r in expand_rules(df).orderBy("expectation", "component_no").collect():
         got.setdefault(r["expectation"], []).append((r["operator"], r["rule_name"], list(r["args"])))
     assert got == cases
+
+
+def test_parentheses_inside_arguments(spark):
+    """Nested, escaped and unbalanced ones, and those of a character class."""
+    cases = {
+        "string_format(^a and (b)$)": ["string_format(^a and (b)$)"],
+        "string_format(^((a or b) and (c))+$) and required": ["string_format(^((a or b) and (c))+$)", "required"],
+        "required or  string_validation((x) or y)\tand max_length(3)": ["required", "string_validation((x) or y)", "max_length(3)"],
+        r"string_format(^\(a and (b) or c$) and required": [r"string_format(^\(a and (b) or c$)", "required"],
+        "string_format([(] and (x)) or required": ["string_format([(] and (x))", "required"],
+        r"string_format([\]( and (]x) or required": [r"string_format([\]( and (]x)", "required"],
+        "choice('a(b') and required": ["choice('a(b')", "required"],
+        "choice('a)b') or max_length(3)": ["choice('a)b')", "max_length(3)"],
+        "required": ["required"],
+    }
+    df = rules_frame(spark, [{"field_name": "c", "expectation": t, "expectation_action": "warn"} for t in cases])
+    got = {}
+    for r in expand_rules(df, expand_required=False).orderBy("expectation", "component_no").collect():
+        got.setdefault(r["expectation"], []).append((r["operator"], r["component"]))
+    assert {t: [c for _, c in v] for t, v in got.items()} == cases
+    assert [o for o, _ in got["required or  string_validation((x) or y)\tand max_length(3)"]] == [None, "or", "and"]

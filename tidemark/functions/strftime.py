@@ -3,20 +3,22 @@
 A pattern becomes a regular expression (one group per directive, case
 ignored, white space in the pattern matching any run of white space), matched
 without backtracking over the whole text, as ``datetime.strptime`` matches;
-then year, month and day must make a date. Both steps are built-in JVM
-expressions. Only patterns with a directive whose meaning depends on the
-locale or on ISO week rules fall back to ``strptime`` in an Arrow-batched
-pandas UDF.
+then the fields must make a date: year, month and day, or a year with a day's
+number, a week and a weekday, or an ISO year, week and weekday. Both steps are
+built-in JVM expressions; one match of the regular expression gives all fields.
+
+Names and the patterns of ``%c %x %X`` are those of the C locale; ``%Z`` takes
+utc, gmt and the time zone names of the machine that builds the expression.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
+import time
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
 _MONTHS = ("January February March April May June July August September October "
@@ -40,6 +42,11 @@ DIRECTIVES = {
     "S": r"6[0-1]|[0-5]\d|\d",
     "f": r"[0-9]{1,6}",
     "j": r"36[0-6]|3[0-5]\d|[1-2]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9]",
+    "U": r"5[0-3]|[0-4]\d|\d",
+    "W": r"5[0-3]|[0-4]\d|\d",
+    "V": r"5[0-3]|0[1-9]|[1-4]\d|\d",
+    "G": r"\d\d\d\d",
+    "u": r"[1-7]",
     "w": r"[0-6]",
     "z": r"[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|Z",
     "p": r"am|pm",
@@ -50,6 +57,18 @@ DIRECTIVES = {
 }
 
 
+# The patterns that stand for the locale's (C).
+LOCALE_FORMATS = {"c": "%a %b %d %H:%M:%S %Y", "x": "%m/%d/%y", "X": "%H:%M:%S"}
+#: Between the fields of a match; no text of a pattern holds it but for an escape.
+_MARK = "\u0001"
+_LAST_YEAR = 9999
+
+
+def zone_names() -> str:
+    names = {"utc", "gmt", *(n.lower() for n in time.tzname)}
+    return "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True) if n)
+
+
 def bad_format(fmt: str) -> str | None:
     """Why ``strptime`` refuses the pattern itself; None if it takes it."""
     try:
@@ -63,18 +82,19 @@ def bad_format(fmt: str) -> str | None:
 
 
 def to_regex(fmt: str) -> tuple[str, dict[str, int]] | None:
-    """(regex, group number of each directive), or None if not expressible. A
-    directive may occur once, as for ``strptime``."""
+    """(regex, group number of each directive), or None for a pattern that
+    ``strptime`` refuses too. A directive may occur once, as for ``strptime``."""
     out, groups, i = [], {}, 0
+    fmt = re.sub("%(.)", lambda m: LOCALE_FORMATS.get(m[1], m[0]), fmt, flags=re.S)
     while i < len(fmt):
         ch = fmt[i]
         if ch == "%" and i + 1 < len(fmt):
             d = fmt[i + 1]
             if d == "%":
                 out.append("%")
-            elif d in DIRECTIVES and d not in groups:
+            elif (d in DIRECTIVES or d == "Z") and d not in groups:
                 groups[d] = len(groups) + 1
-                out.append(f"({DIRECTIVES[d]})")
+                out.append(f"({zone_names() if d == 'Z' else DIRECTIVES[d]})")
             else:
                 return None
             i += 2
@@ -89,61 +109,109 @@ def to_regex(fmt: str) -> tuple[str, dict[str, int]] | None:
     return f"(?iU)^(?>{''.join(out)})\\z", groups
 
 
-def _strptime_ok(fmt: str):
-    import pandas as pd  # here, as executors' workers load this module too
-
-    def check(values):
-        def one(v):
-            if v is None:
-                return None
-            try:
-                _dt.datetime.strptime(v, fmt)
-                return True
-            except ValueError:
-                return False
-        return values.map(one).astype("boolean")
-    check.__annotations__ = {"values": pd.Series, "return": pd.Series}
-    return check
-
-
-def _month(text: Column, names: list[str], short: bool) -> Column:
+def _place(text: Column, names: list[str], short: bool) -> Column:
     found = F.array(*[F.lit((n[:3] if short else n).lower()) for n in names])
     return F.array_position(found, F.lower(text)).cast("int")
 
 
+class _Fields:
+    """The fields of one match as numbers; of directives with the same meaning
+    the last one in the pattern counts."""
+
+    def __init__(self, groups: dict[str, int], of: Column):
+        self.groups, self.of = groups, of
+
+    def last(self, directives: str) -> str | None:
+        return max((d for d in directives if d in self.groups), key=self.groups.get, default=None)
+
+    def text(self, d: str) -> Column:
+        return F.get(self.of, self.groups[d])
+
+    def number(self, d: str) -> Column:
+        return F.trim(self.text(d)).cast("int")
+
+    def year(self) -> Column:
+        d = self.last("Yy")
+        if d is None:
+            return F.lit(1900)
+        return self.number("Y") if d == "Y" else F.when(self.number("y") < 69, self.number("y") + 2000).otherwise(self.number("y") + 1900)
+
+    def month(self) -> Column:
+        d = self.last("mbB")
+        if d is None:
+            return F.lit(1)
+        return self.number("m") if d == "m" else _place(self.text(d), _MONTHS, d == "b")
+
+    def weekday(self) -> Column | None:
+        """0 for Monday."""
+        d = self.last("aAwu")
+        if d is None:
+            return None
+        if d in "aA":
+            return _place(self.text(d), _DAYS, d == "a") - 1
+        return (self.number(d) + (6 if d == "w" else -1)) % 7
+
+    def real(self) -> Column | None:
+        """Whether the fields make a date; None if any do."""
+        weekday = self.weekday()
+        iso, week = ("G" in self.groups, "V" in self.groups), self.last("UW")
+        if iso[0] and ("j" in self.groups or not iso[1] or weekday is None) or iso[1] and not iso[0]:
+            return F.lit(False)  # the pattern parses, no value does
+        if "j" in self.groups:
+            return self._in_range(self.year(), self.number("j"))
+        if week is not None and weekday is not None:
+            return self._in_range(self.year(), self._day_of_week(week, weekday))
+        if all(iso):
+            return self._iso(self.number("G"), self.number("V"), weekday)
+        if not any(d in self.groups for d in "Yymdb" "B"):
+            return None
+        day = self.number("d") if "d" in self.groups else F.lit(1)
+        first = F.make_date(F.greatest(self.year(), F.lit(1)), self.month(), F.lit(1))
+        return (self.year() >= 1) & ((day <= 28) | (day <= F.dayofmonth(F.last_day(first))))
+
+    @staticmethod
+    def _in_range(year: Column, day: Column) -> Column:
+        """A day counted from the year's first one lies in the years 1 to 9999."""
+        return (year >= 1) & ((year > 1) | (day >= 1)) & ((year < _LAST_YEAR) | (day <= 365))
+
+    def _day_of_week(self, week: str, weekday: Column) -> Column:
+        """Day of the year, 1 for the first, of a weekday in a week that begins
+        with Sunday (U) or Monday (W); days before the first such week are week 0."""
+        late = 0 if week == "W" else 1
+        first = (F.weekday(F.make_date(F.greatest(self.year(), F.lit(1)), F.lit(1), F.lit(1))) + late) % 7
+        day, n = (weekday + late) % 7, self.number(week)
+        return F.when(n == 0, 1 + day - first).otherwise(1 + (7 - first) % 7 + 7 * (n - 1) + day)
+
+    @staticmethod
+    def _iso(year: Column, week: Column, weekday: Column) -> Column:
+        """Weeks 1 to 52, and 53 in years that begin with a Thursday, or with a
+        Wednesday if they are leap years; the last days of 9999's last week are in
+        the year 10000."""
+        safe = F.greatest(year, F.lit(1))
+        first = F.weekday(F.make_date(safe, F.lit(1), F.lit(1)))
+        leap = F.dayofmonth(F.last_day(F.make_date(safe, F.lit(2), F.lit(1)))) == 29
+        long = (first == 3) | ((first == 2) & leap)
+        return (year >= 1) & (week >= 1) & ((week < 53) | long) & ((year < _LAST_YEAR) | (week < 52) | (weekday <= 4))
+
+
 def parses_with(c: Column, fmt: str) -> Column:
     """Boolean column: does the (string-cast) value parse with strftime ``fmt``.
 
-    NULL for NULL input.
+    NULL for NULL input. ``fmt`` must be one that ``bad_format`` lets pass.
     """
     text = c.cast("string")
     parts = to_regex(fmt)
     if parts is None:
-        return F.pandas_udf(_strptime_ok(fmt), T.BooleanType())(text)
+        raise ValueError(f"bad pattern {fmt!r}")
     pattern, groups = parts
     ok = text.rlike(pattern)
-
-    def number(d: str) -> Column:
-        return F.trim(F.regexp_extract(text, pattern, groups[d])).cast("int")
-
-    dated = [d for d in "Yymdjb B".replace(" ", "") if d in groups]
-    if dated:
-        year = F.lit(1900)
-        if "y" in groups:
-            short = number("y")
-            year = F.when(short < 69, short + 2000).otherwise(short + 1900)
-        if "Y" in groups:
-            year = number("Y")
-        month = F.lit(1)
-        if "m" in groups:
-            month = number("m")
-        elif "b" in groups:
-            month = _month(F.regexp_extract(text, pattern, groups["b"]), _MONTHS, True)
-        elif "B" in groups:
-            month = _month(F.regexp_extract(text, pattern, groups["B"]), _MONTHS, False)
-        day = number("d") if "d" in groups else F.lit(1)
-        # only evaluated where the text matches, so every part is a number
-        last = F.dayofmonth(F.last_day(F.make_date(F.greatest(year, F.lit(1)), month, F.lit(1))))
-        real = (year >= 1) & (day <= last)
-        return F.when(text.isNotNull(), F.when(ok, real).otherwise(F.lit(False)))
-    return F.when(text.isNotNull(), ok)
+    if _Fields(groups, text).real() is None:
+        return F.when(text.isNotNull(), ok)
+    if _MARK in fmt:  # fields can't be told from the text by it
+        fields = F.when(ok, F.array(F.lit(""), *[F.regexp_extract(text, pattern, k) for k in groups.values()]))
+    else:
+        marked = F.regexp_replace(text, pattern, _MARK + _MARK.join(f"${k}" for k in groups.values()))
+        fields = F.when(~text.startswith(_MARK), F.split(marked, _MARK))
+    # a text that doesn't match stays whole, or is split by marks of its own
+    judged = F.transform(F.array(fields), lambda of: F.coalesce((F.size(of) == len(groups) + 1) & (F.get(of, F.lit(0)) == "") & _Fields(groups, of).real(), F.lit(False)))
+    return F.when(text.isNotNull(), F.get(judged, F.lit(0)))

@@ -18,6 +18,7 @@ cat AS (
          ELSE 'p_comment' END AS field_name,
     CASE p_partkey % 8
       WHEN 0 THEN 'required'
+      WHEN 4 THEN CASE WHEN p_partkey % 16 = 4 THEN 'string_format(^a and (b)$) or max_length(30)' END
       WHEN 1 THEN 'choice(''A'',''B'') or min_length(3)'
       WHEN 2 THEN 'choice(''salt and pepper'')'
       WHEN 3 THEN 'Required and max_length(20)'
@@ -194,13 +195,15 @@ comp(k, component_no, operator, component, rule_name, args_text) AS (VALUES
   (3, 1, NULL, 'Required', 'required', ''),
   (3, 2, 'and', 'min_length(1)', 'min_length', '1'),
   (3, 3, 'and', 'max_length(20)', 'max_length', '20'),
+  (4, 1, NULL, 'string_format(^a and (b)$)', 'string_format', '^a and (b)$'),
+  (4, 2, 'or', 'max_length(30)', 'max_length', '30'),
   (6, 1, NULL, 'string_format(^[a-z]+ [a-z]+$)', 'string_format', '^[a-z]+ [a-z]+$'),
   (6, 2, 'and', 'max_length(12)', 'max_length', '12'),
   (7, 1, NULL, 'not_future_date', 'not_future_date', ''),
   (7, 2, 'or', 'string_validation(ring)', 'string_validation', 'ring'))
 SELECT cat.rule_key, CAST(comp.component_no AS INTEGER) AS component_no,
   CAST(comp.operator AS VARCHAR) AS operator, comp.component, comp.rule_name, comp.args_text
-FROM cat JOIN comp ON cat.rule_key % 8 = comp.k""",
+FROM cat JOIN comp ON cat.rule_key % 8 = comp.k WHERE cat.expectation IS NOT NULL""",
 
     "batch_rows": """SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS RowIndex
 FROM events WHERE CAST(user_id % 10 AS VARCHAR) = '3'""",
@@ -425,6 +428,8 @@ def _catalogue_report() -> str:
         "choice('salt and pepper')": (["{f} <> 'salt and pepper'"], "c1", 1),
         "Required and max_length(20)": (
             ["{f} IS NULL", "length({f}) < 1", "length({f}) > 20"], "c1 AND c2 AND c3", 2),
+        "string_format(^a and (b)$) or max_length(30)": (
+            ["NOT regexp_matches({f}, '^a and (b)$')", "length({f}) > 30"], "c1 OR c2", 2),
         "string_format(^[a-z]+ [a-z]+$) and max_length(12)": (
             ["NOT regexp_matches({f}, '^[a-z]+ [a-z]+$')", "length({f}) > 12"], "c1 AND c2", 2),
         "not_future_date or string_validation(ring)": (

@@ -73,6 +73,7 @@ def rule_catalogue(spark: SparkSession, sf: str) -> DataFrame:
         .when(k % 8 == 1, F.lit("choice('A','B') or min_length(3)"))
         .when(k % 8 == 2, F.lit("choice('salt and pepper')"))
         .when(k % 8 == 3, F.lit("Required and max_length(20)"))
+        .when(k % 16 == 4, F.lit("string_format(^a and (b)$) or max_length(30)"))
         .when(k % 8 == 5, F.lit("unknown_rule(3)"))
         .when(k % 8 == 6, F.lit("string_format(^[a-z]+ [a-z]+$) and max_length(12)"))
         .when(k % 8 == 7, F.lit("not_future_date or string_validation(ring)"))

@@ -2,15 +2,19 @@
 
 The rule language (``required and max_length(3) or choice('A','B')``) is taken
 apart by Spark itself: ``expand_rules`` turns a rules DataFrame - the whole
-catalogue, all systems and tables - into one row per component with
-``split`` / ``regexp_extract_all`` / ``posexplode``. Only the component rows
+catalogue, all systems and tables - into one row per component with a fold
+over each text's characters, ``split`` and ``posexplode``. Only the component rows
 of the one table being checked are collected (rule metadata, not data) and
 compiled into Column predicates.
 
 Decisions on the text form:
 
 * ``and`` / ``or`` split only outside parentheses, so an argument may hold
-  them (``choice('salt and pepper')``); ``and`` binds tighter than ``or``.
+  them, and further parentheses (``choice('salt and pepper')``,
+  ``string_format(^a and (b)$)``). Depth is counted along the text; escaped
+  parentheses and those of a character class don't count. Where the text's
+  parentheses don't balance (``choice('a(b')``), an operator splits unless a
+  ``)`` follows it before the next ``(``. ``and`` binds tighter than ``or``.
 * a bare ``required`` component expands to ``required and min_length(1)``
   (``expand_required=False`` keeps it alone, as the notebook report does);
 * rule names are case-insensitive; ``and`` / ``or`` are lower case;
@@ -43,6 +47,7 @@ from ..session import local_frame
 
 SPLIT_PATTERN = r"\s+(?:and|or)\s+(?![^(]*\))"
 OPERATOR_PATTERN = r"\s+(and|or)\s+(?![^(]*\))"
+JOINT_PATTERN = r"\s+(?:and|or)\s+"
 COMPONENT_PATTERN = r"(?s)^[A-Za-z_][A-Za-z0-9_]*\s*(\(.*\))?$"
 KNOWN_PATTERN = r"(?i)^\s*(" + "|".join(RULE_NAMES) + r")(?![A-Za-z0-9_])"
 
@@ -89,19 +94,50 @@ def _component_struct(operator: Column, text: Column) -> Column:
     return F.struct(operator.alias("operator"), text.alias("component"))
 
 
+def _outer_text(text: Column) -> Column:
+    """The text with every character inside parentheses made ``_``, as long as
+    the text itself; NULL where the parentheses don't balance. A fold over the
+    characters that carries the depth."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("escaped"), F.lit(False).alias("set"),
+                     F.lit(True).alias("even"), F.lit("").alias("text"))
+
+    def step(s: Column, ch: Column) -> Column:
+        inside, counts = s["depth"] > 0, ~s["escaped"] & ~s["set"]
+        depth = s["depth"] + F.when(counts & (ch == "("), 1).when(counts & (ch == ")"), -1).otherwise(0)
+        return F.struct(
+            depth.alias("depth"),
+            (inside & ~s["escaped"] & (ch == "\\")).alias("escaped"),
+            F.when(s["escaped"], s["set"]).when(s["set"], ch != "]").otherwise(inside & (ch == "[")).alias("set"),
+            (s["even"] & (depth >= 0)).alias("even"),
+            F.concat(s["text"], F.when(inside | (depth > 0), F.lit("_")).otherwise(ch)).alias("text"),
+        )
+
+    letters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    return F.aggregate(letters, start, step, lambda s: F.when(s["even"] & (s["depth"] == 0), s["text"]))
+
+
+def _parts(text: Column) -> Column:
+    """array<struct<operator, component>> of a rule's text."""
+    outer = _outer_text(text)
+    outer_parts = F.split(outer, JOINT_PATTERN)
+    joints = F.regexp_extract_all(outer, F.lit(JOINT_PATTERN), F.lit(0))
+
+    def begin(i: Column) -> Column:
+        before = lambda of: F.aggregate(F.slice(of, F.lit(1), i), F.lit(0), lambda n, x: n + F.char_length(x))
+        return before(outer_parts) + before(joints) + 1
+
+    balanced = F.transform(outer_parts, lambda t, i: _component_struct(
+        F.when(i > 0, F.trim(F.regexp_replace(F.get(joints, i - 1), r"\s+", " "))), F.trim(text.substr(begin(i), F.char_length(t)))))
+    operators = F.regexp_extract_all(text, F.lit(OPERATOR_PATTERN), 1)
+    other = F.transform(F.split(text, SPLIT_PATTERN), lambda t, i: _component_struct(F.when(i > 0, F.get(operators, i - 1)), F.trim(t)))
+    return F.when(outer.isNotNull(), balanced).otherwise(other)
+
+
 def expand_rules(rules: DataFrame, expand_required: bool = True) -> DataFrame:
     """One row per rule component: the rule's columns plus ``component_no``
     (1-based), ``operator`` (NULL for the first), ``component`` (text),
     ``rule_name`` (lower case) and ``args`` (ARRAY<STRING>)."""
-    expectation = F.col("expectation")
-    texts = F.split(expectation, SPLIT_PATTERN)
-    operators = F.regexp_extract_all(expectation, F.lit(OPERATOR_PATTERN), 1)
-    comps = F.transform(
-        texts,
-        lambda t, i: _component_struct(
-            F.when(i > 0, F.element_at(operators, i)), F.trim(t)
-        ),
-    )
+    comps = _parts(F.col("expectation"))
     if expand_required:
         extra = _component_struct(F.lit("and"), F.lit("min_length(1)"))
         comps = F.flatten(
