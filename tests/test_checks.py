@@ -123,25 +123,40 @@ def test_field_names_are_taken_literally(spark):
     assert [(r["column_name"], r["id x"]) for r in rows] == [("a.b", 2)]
 
 
-def test_many_rules_are_chunked_consistently(spark):
+def test_wide_suites_count_like_narrow_ones(spark, monkeypatch):
     import tidemark.operators.validate as V
-    from tidemark.operators.validate import failing_rows, row_report
 
-    df = spark.createDataFrame([(i, f"v{i}") for i in range(30)], "id int, c string")
-    rules = [{"field_name": "c", "expectation": f"max_length({k})", "expectation_action": "warn"}
-             for k in range(1, 8)]
+    df = spark.createDataFrame([(i, f"v{i}" if i % 7 else None, i / 3) for i in range(30)], "id int, c string, d double")
+    texts = [f"max_length({k})" for k in range(1, 8)] + ["required", "data_type(int) and min_length(3)", "data_type(string)",
+             "choice('v1','v2') or max_length(2)", "required and max_length(2) or choice('v9') and min_length(1)", "max_length(2)"]
+    rules = [{"field_name": f, "expectation": t, "expectation_action": a} for t in texts for f, a in (("c", "warn"), ("c", None), ("d", "drop"))]
     suite = compile_rules(spark, rules, df.schema)
-    want = sorted(tuple(r) for r in failing_rows(df, suite, index_col="id").collect())
-    want_rr = sorted(tuple(r) for r in row_report(df, suite, "id").collect())
-    old = V.MAX_COMPONENTS_PER_PASS
-    try:
-        V.MAX_COMPONENTS_PER_PASS = 2
-        assert len(V._chunks(suite, V.MAX_COMPONENTS_PER_PASS)) == 4
-        got = sorted(tuple(r) for r in failing_rows(df, suite, index_col="id").collect())
-        got_rr = sorted(tuple(r) for r in row_report(df, suite, "id").collect())
-    finally:
-        V.MAX_COMPONENTS_PER_PASS = old
-    assert got == want and got_rr == want_rr
+    forms = [lambda d: V.component_summary(d, suite), lambda d: V.rule_summary(d, suite), lambda d: V.failing_rows(d, suite, index_col="id"),
+             lambda d: V.row_report(d, suite, "id"), lambda d: V.quality_report(d, suite).drop("proccesed_datetime")]
+    seen = lambda: [sorted(map(str, form(d).collect())) for form in forms for d in (df, df.limit(0))]
+    want = seen()
+    monkeypatch.setattr(V, "MAX_AGGREGATED", 2)
+    assert seen() == want
+
+
+def test_a_thousand_components_are_one_scan(spark):
+    import tidemark.operators.validate as V
+
+    df = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select("p_partkey", "p_name")
+    rules = [{"field_name": "p_name", "expectation": f"max_length({k}) or min_length({k + 3})", "expectation_action": "warn"} for k in range(500)]
+    suite = compile_rules(spark, rules, df.schema)
+    assert len(suite.components) == 1000
+    for form in (V.component_summary, V.rule_summary):
+        out = form(df, suite)
+        assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    lengths = [len(r["p_name"]) for r in df.collect()]
+    got = {r["expectation"]: (r["success"], r["unexpected_count"]) for r in out.collect()}
+    for k in range(500):
+        over, under = sum(n > k for n in lengths), sum(n < k + 3 for n in lengths)
+        either = sum(n > k or n < k + 3 for n in lengths)
+        assert got[f"max_length({k}) or min_length({k + 3})"] == (not over or not under, 0 if not over or not under else either)
+    listed = V.failing_rows(df.withColumnRenamed("p_partkey", "RowIndex"), suite, verdicts=out)
+    assert listed._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 2  # the rows, and the verdicts
 
 
 def test_schema_verdict_inside_or_rule(spark):
@@ -174,3 +189,33 @@ def test_reports_on_an_empty_frame(spark):
     assert sorted((r["expectation_type"], r["status"]) for r in rr) == [
         ("data_type", False), ("max_length", True), ("min_length", True), ("required", True)]
     assert all(r["id"] is None and r["unexpected_value"] is None for r in rr)
+
+
+def test_large_value_sets_are_a_table(spark):
+    from tidemark.operators.validate import component_summary, failing_rows, row_report
+
+    df = spark.createDataFrame([(1, "v3", 3), (2, "x", 70001), (3, None, None), (4, "v99999", 99999), (5, "v3", 3)], "id int, c string, n int")
+    values = ",".join(f"'v{k}'" for k in range(100_000))
+    rules = [{"field_name": "c", "expectation": f"required and choice({values})", "expectation_action": "warn"},
+             {"field_name": "n", "expectation": "choice(" + ",".join(str(k) for k in range(70_000)) + ",3,99999,zz)", "expectation_action": "warn"}]
+    suite = compile_rules(spark, rules, df.schema)
+    out = failing_rows(df, suite, index_col="id")
+    assert sorted((r["column_name"], r["id"]) for r in out.collect()) == [("c", 2), ("c", 3), ("n", 2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 200_000 and "INSET" not in plan and plan.count("Join LeftOuter") == 2
+    counts = {(r["column_name"], r["rule_name"]): (r["missing_count"], r["unexpected_count"]) for r in component_summary(df, suite).collect()}
+    assert counts == {("c", "required"): (0, 1), ("c", "choice"): (1, 1), ("n", "choice"): (1, 1)} | ({("c", "min_length"): (1, 0)} if ("c", "min_length") in counts else {})
+    assert row_report(df, suite, "id").where("status = false").count() == 3
+
+
+def test_a_value_set_of_one_more_than_the_literals(spark, monkeypatch):
+    import tidemark.functions.checks as C
+    from tidemark.operators.validate import failing_rows
+
+    df = spark.createDataFrame([(k, float(k) / 2, f"{k}") for k in range(20)] + [(99, None, None)], "id int, d double, s string")
+    rules = [{"field_name": f, "expectation": f"choice({v})", "expectation_action": "warn"} for f, v in (("d", "1,1.0,2.5,3"), ("s", "'1','2','1','7'"))]
+    seen = []
+    for literal in (1000, 2):
+        monkeypatch.setattr(C, "LITERAL_VALUES", literal)
+        seen.append(sorted(map(str, failing_rows(df, compile_rules(spark, rules, df.schema), index_col="id").collect())))
+    assert seen[0] == seen[1] and len(seen[0]) == 34

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -71,3 +73,37 @@ def test_plans_that_need_no_copy(spark, tmp_path):
     assert not has_stable_partitions(scan.groupBy("id").count())
     assert not has_stable_partitions(scan.where(F.rand() > 0.5))
     assert not has_stable_partitions(scan.limit(3))
+
+
+def test_numbers_follow_file_positions_whatever_the_splits(spark, tmp_path):
+    """Several files of several row groups, with and without a filter."""
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 30000, 1, 3).select(F.col("id").alias("x"), (F.col("id") % 3).alias("batch_id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    rows.write.option("parquet.block.size", str(64 << 10)).option("parquet.page.size", "8192").parquet(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    try:
+        for size in ("100k", "300k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            scan = spark.read.parquet(path)
+            whole = with_row_index(scan.select("x"))
+            batch = with_row_index(scan.where("batch_id = 1").select("x", "pad"))
+            assert "Exchange" not in re.sub(r"BroadcastExchange.*", "", _rows_side(whole))
+            _is_numbered(whole, 30000)
+            _is_numbered(batch, 10000)
+            seen.append((scan.rdd.getNumPartitions(), sorted(map(tuple, whole.collect())), sorted(map(tuple, batch.select("x", "RowIndex").collect()))))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len({n for n, _, _ in seen}) > 1
+    assert all(x[1:] == seen[0][1:] for x in seen)
+
+
+def _rows_side(df):
+    """The plan above the broadcast of the offsets: what the rows go through."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan[:plan.index("BroadcastExchange")] if "BroadcastExchange" in plan else plan.splitlines()[0]
+
+
+def test_a_column_named_like_the_metadata(spark, tmp_path):
+    spark.range(50).select("id", F.lit("m").alias("_metadata"), F.lit(1).alias("a.b")).write.parquet(str(tmp_path / "m"))
+    _is_numbered(with_row_index(spark.read.parquet(str(tmp_path / "m"))), 50)

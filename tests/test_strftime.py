@@ -28,7 +28,7 @@ CASES = {
     "%Y-%m-%d": ["2024-01-05", "2024-1-5", "2024-13-01", "2023-02-29", "2024-02-29", "24-01-05",
                  "2024-01-05 ", " 2024-01-05", "2024/01/05"],
     "%d/%m/%Y": ["05/01/2024", "5/1/2024", "32/01/2024"],
-    "%H:%M:%S": ["23:59:59", "24:00:00", "7:5:3", "12:60:00", "12:30", "12:30:01.5"],
+    "%H:%M:%S": ["23:59:59", "24:00:00", "7:5:3", "12:60:00", "12:30", "12:30:01.5", "12:30:60", "12:30:61", "12:06:1", "10:60:60"],
     "%H:%M:%S.%f": ["12:30:01.5", "12:30:01.123456", "12:30:01.1234567", "12:30:01"],
     "%Y%m%d": ["20240105", "202401055", "2024015", "2024111", "20241131"],
     "%Y": ["0000", "0001", "9999", "12345", "\u00012024", "\u00012024\u0001"],
@@ -54,7 +54,7 @@ CASES = {
     "%x": ["02/29/24", "02/29/23", "2/9/23", "13/01/23"], "%X": ["23:59:60", "24:00:00"], "%x %X": ["01/02/24 10:00:00"],
     "%H:%M %Z": ["10:00 UTC", "10:00 gmt", "10:00 CEST", "10:00 "],
     "%Y\u0001%m": ["2024\u000112", "2024\u000113", "202412"], "%m %b": ["13 Feb", "3 Feb"],
-    "%Y-%m-%dT%H:%M:%S": ["2024-01-05T10:00:00", "2024-01-05 10:00:00"],
+    "%Y-%m-%dT%H:%M:%S": ["2024-01-05T10:00:60", "2024-01-05T10:00:00", "2024-01-05 10:00:00"],
 }
 
 

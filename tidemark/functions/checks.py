@@ -17,13 +17,15 @@ from __future__ import annotations
 
 import datetime as _dt
 import decimal
+import hashlib
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_frame
 from .strftime import bad_format, parses_with
 
 # The rule names of the rule language, in their documented order.
@@ -63,12 +65,39 @@ _INTEGRAL = {T.ByteType: (-(1 << 7), (1 << 7) - 1), T.ShortType: (-(1 << 15), (1
 _DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+#: Values of a ``choice`` up to which they are literals of the plan.
+LITERAL_VALUES = 1000
+#: Bytes of a value set that are broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 64 << 20
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A large set of allowed values as a table. ``join`` adds the column
+    ``mark``, true where ``value`` is in the set; each row is kept once. Beyond
+    the broadcast bound Spark may filter the rows' side by a Bloom filter of the
+    values (``spark.sql.optimizer.runtime.bloomFilter``)."""
+
+    mark: str
+    value: Column
+    kind: T.DataType
+    values: tuple
+
+    def join(self, df: DataFrame) -> DataFrame:
+        schema = T.StructType([T.StructField(f"{self.mark}_v", self.kind), T.StructField(self.mark, T.BooleanType())])
+        table = local_frame(df.sparkSession, [(v, True) for v in self.values], schema)
+        if sum(len(str(v)) + 32 for v in self.values) <= BROADCAST_BYTES:
+            table = F.broadcast(table)
+        return df.join(table, self.value == F.col(f"{self.mark}_v"), "left").drop(f"{self.mark}_v")
+
+
 @dataclass(frozen=True)
 class Check:
     fail: Column
     missing: Column
     static_success: bool | None = None
     conforming: Column | None = None
+    lookup: Lookup | None = None
 
 
 class RuleError(ValueError):
@@ -96,23 +125,22 @@ def _arity(name: str, args: tuple[str, ...], n: int) -> None:
 _META = re.compile(r"[\\^$.|?*+()\[\]{}]")
 
 
-def _number_like(value: str, dtype: T.DataType) -> Column | None:
-    """A choice value in the column's own type; None if that type has no such
-    value (it then matches no row)."""
+def _number_like(value: str, dtype: T.DataType) -> int | float | decimal.Decimal | None:
+    """A choice value as one of the column's own type; None if that type has no
+    such value (it then matches no row)."""
     try:
         number = decimal.Decimal(value)
     except decimal.InvalidOperation:
         return None
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.lit(float(number)).cast(dtype)
+        return float(number)
     if not number.is_finite():
         return None
     if isinstance(dtype, T.DecimalType):
         exact = number.quantize(decimal.Decimal(1).scaleb(-dtype.scale), context=decimal.Context(prec=60))
-        fits = exact == number and len(exact.as_tuple().digits) <= dtype.precision
-        return F.lit(exact).cast(dtype) if fits else None
+        return exact if exact == number and len(exact.as_tuple().digits) <= dtype.precision else None
     low, high = _INTEGRAL[type(dtype)]
-    return F.lit(int(number)).cast(dtype) if number == int(number) and low <= number <= high else None
+    return int(number) if number == int(number) and low <= number <= high else None
 
 
 def _can_cast(dtype: T.DataType, to: T.DataType) -> bool:
@@ -157,12 +185,16 @@ def build_check(name: str, args: tuple[str, ...], c: Column, dtype: T.DataType,
     if name == "choice":
         if not args:
             raise RuleError("choice needs at least one value")
-        if isinstance(dtype, _NUMERIC):
-            values = [v for v in (_number_like(a, dtype) for a in args) if v is not None]
-            ok = c.isin(values) if values else F.lit(False)
-        else:
+        numeric = isinstance(dtype, _NUMERIC)
+        if not numeric:
             _castable(dtype, T.StringType(), name)
-            ok = _text(c).isin(list(args))
+        values = list(dict.fromkeys(v for v in (_number_like(a, dtype) for a in args) if v is not None) if numeric else dict.fromkeys(args))
+        value, kind = (c, dtype) if numeric else (_text(c), T.StringType())
+        if len(values) > LITERAL_VALUES:
+            digest = hashlib.sha256(repr((str(c), kind, values)).encode()).hexdigest()
+            lookup = Lookup(f"__tm_in_{digest[:16]}", value, kind, tuple(values))
+            return Check(fail=present & F.col(lookup.mark).isNull(), missing=missing, lookup=lookup)
+        ok = value.isin([F.lit(v).cast(kind) for v in values]) if values else F.lit(False)
         return Check(fail=present & ~ok, missing=missing)
 
     if name in ("date_format", "time_format"):

@@ -152,7 +152,11 @@ class _Fields:
         return (self.number(d) + (6 if d == "w" else -1)) % 7
 
     def real(self) -> Column | None:
-        """Whether the fields make a date; None if any do."""
+        """Whether the fields make a date and time; None if any make a date."""
+        date = self._date()
+        return date & (self.number("S") < 60) if date is not None and "S" in self.groups else date
+
+    def _date(self) -> Column | None:
         weekday = self.weekday()
         iso, week = ("G" in self.groups, "V" in self.groups), self.last("UW")
         if iso[0] and ("j" in self.groups or not iso[1] or weekday is None) or iso[1] and not iso[0]:
@@ -206,6 +210,9 @@ def parses_with(c: Column, fmt: str) -> Column:
     pattern, groups = parts
     ok = text.rlike(pattern)
     if _Fields(groups, text).real() is None:
+        if "S" in groups:  # 60 and 61 match, but are no seconds of a time
+            leap = F.regexp_extract(text, pattern, groups["S"]).isin("60", "61")
+            ok = ok & ~((text.contains("60") | text.contains("61")) & leap)
         return F.when(text.isNotNull(), ok)
     if _MARK in fmt:  # fields can't be told from the text by it
         fields = F.when(ok, F.array(F.lit(""), *[F.regexp_extract(text, pattern, k) for k in groups.values()]))

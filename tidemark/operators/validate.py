@@ -3,10 +3,12 @@
 Physical shape, whatever the number of rules:
 
 * every count (unexpected, missing, conforming per component; distinct
-  failing rows per rule) comes from **one** ``agg`` over the table - partial
-  aggregates per task, a single tiny merge; rules are chunked (about 200
-  components per pass) only to stay within codegen method limits;
-* failing rows come from **one** narrow projection (per chunk of rules): every row emits one
+  failing rows per rule) comes from **one** scan of the table - partial
+  aggregates per task, a single tiny merge. Up to ``MAX_AGGREGATED`` components
+  are columns of one ``agg``. With more, whose columns generated code could not
+  hold, a row emits the numbers of the marks that it sets (a component fails, a
+  column is missing, ...), and one aggregate counts by number: rules as data;
+* failing rows come from **one** narrow projection: every row emits one
   ``(rule, value)`` struct per failing rule via ``explode(filter(array(...)))``
   - no shuffle, no per-rule job. Only rules with ``or`` need their verdicts
   (they can pass with failing rows): those are dropped by an anti join
@@ -30,25 +32,22 @@ from ..plans.rules import CompiledRule, Suite, compile_rules, lookup_rules, skip
 from ..session import local_frame
 from .row_index import with_row_index
 
-MAX_COMPONENTS_PER_PASS = 200
+#: Components up to which the counts are columns of one aggregate.
+MAX_AGGREGATED = 200
 
 
 def _lit_str(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
-def _chunks(suite: Suite, limit: int | None = None) -> list[list[CompiledRule]]:
-    limit = limit or MAX_COMPONENTS_PER_PASS
-    out: list[list[CompiledRule]] = [[]]
-    size = 0
-    for rule in suite.rules:
-        n = len(rule.components)
-        if out[-1] and size + n > limit:
-            out.append([])
-            size = 0
-        out[-1].append(rule)
-        size += n
-    return out
+def _is_wide(suite: Suite) -> bool:
+    """More components than one aggregate has columns for."""
+    return len(suite.components) > MAX_AGGREGATED
+
+
+def _set_marks(marks: list[Column]) -> Column:
+    """One row for each mark (NULL where it isn't set) that the input row sets."""
+    return F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull()))
 
 
 def _u(r, c):
@@ -67,7 +66,7 @@ def _a(r):
     return f"a_{r.rule_id}"
 
 
-def _aggregate(df: DataFrame, rules: list[CompiledRule]) -> DataFrame:
+def _aggregate(df: DataFrame, rules: tuple[CompiledRule, ...]) -> DataFrame:
     """One-row frame with every count of the given rules (one scan)."""
     aggs: list[Column] = []
     for r in rules:
@@ -97,7 +96,7 @@ def _rule_success_sql(r: CompiledRule) -> str:
 # local frame): a handful of JVM calls instead of hundreds.
 
 
-def _rule_rows(rules: list[CompiledRule]) -> Column:
+def _rule_rows(rules: tuple[CompiledRule, ...]) -> Column:
     rows = []
     for r in rules:
         success = _rule_success_sql(r)
@@ -111,7 +110,7 @@ def _rule_rows(rules: list[CompiledRule]) -> Column:
     return F.expr(f"inline(array({', '.join(rows)}))")
 
 
-def _component_rows(rules: list[CompiledRule]) -> Column:
+def _component_rows(rules: tuple[CompiledRule, ...]) -> Column:
     rows = []
     for r in rules:
         for c in r.components:
@@ -140,15 +139,64 @@ def _component_meta(df: DataFrame, suite: Suite) -> DataFrame:
                        "action string, operator string, rule_name string")
 
 
-def _per_chunk(df: DataFrame, suite: Suite, rows_fn) -> DataFrame:
-    frames = [_aggregate(df, chunk).select(rows_fn(chunk)) for chunk in _chunks(suite)]
-    return reduce(DataFrame.unionByName, frames)
+_MARKS = "mark int, kind string, rule_id int, component_no int, group_no int, static boolean"
+
+
+def _marked_counts(df: DataFrame, suite: Suite) -> DataFrame:
+    """(rule_id, component_no, group_no, static, u, m, k, a) of a wide suite:
+    failing, missing and conforming rows of each component, rows that fail any
+    component of its rule (with the rule's first one). One scan, one shuffle of
+    at most a row per mark and task."""
+    marks: dict[tuple, int] = {}
+    tests: list[Column] = []
+    rows = []
+
+    def mark(key: tuple, test: Column, kind: str, r, c, group: int) -> None:
+        if key not in marks:
+            marks[key] = len(tests)
+            tests.append(F.when(test, F.lit(len(tests))))
+        rows.append((marks[key], kind, r.rule_id, c.no, group, c.check.static_success))
+
+    for r in suite.rules:
+        for group, comps in enumerate(r.groups()):
+            for c in comps:
+                key = (r.column, c.name, c.args)
+                mark(("u", *key), c.check.fail, "u", r, c, group)
+                if c.name not in ("required", "data_type"):  # which call no row missing
+                    mark(("m", r.column), c.check.missing, "m", r, c, group)
+                if c.check.conforming is not None:
+                    mark(("k", *key), c.check.conforming, "k", r, c, group)
+        if len(r.components) > 1:
+            mark(("a", r.rule_id), r.any_fail(), "a", r, r.components[0], 0)
+    counts = df.select(_set_marks(tests).alias("set")).groupBy("set").agg(F.count(F.lit(1)).alias("n"))
+    of = F.broadcast(local_frame(df.sparkSession, rows, _MARKS))  # as many rows as the suite has
+    joined = counts.join(of, F.col("set") == F.col("mark"), "right").withColumn("n", F.coalesce("n", F.lit(0)))
+    total = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")))
+    zero = F.lit(0).cast("bigint")
+    return joined.groupBy("rule_id", "component_no", "group_no", "static").agg(
+        F.coalesce(total("u"), zero).alias("u"), F.coalesce(total("m"), zero).alias("m"), total("k").alias("k"), total("a").alias("a"))
+
+
+def _wide_component_rows(df: DataFrame, suite: Suite) -> DataFrame:
+    return _marked_counts(df, suite).select(
+        "rule_id", "component_no", F.coalesce("static", F.col("u") == 0).alias("success"), F.col("m").alias("missing_count"),
+        F.col("u").alias("unexpected_count"), F.col("k").alias("conforming_count"))
+
+
+def _wide_rule_rows(df: DataFrame, suite: Suite) -> DataFrame:
+    groups = _marked_counts(df, suite).groupBy("rule_id", "group_no").agg(
+        F.every(F.coalesce("static", F.col("u") == 0)).alias("all"), F.sum("m").alias("m"), F.max("a").alias("a"), F.max("u").alias("u"))
+    rules = groups.groupBy("rule_id").agg(F.some("all").alias("success"), F.sum("m").alias("m"), F.max(F.coalesce("a", F.lit(-1))).alias("a"), F.max("u").alias("u"))
+    failing = F.when(F.col("a") >= 0, F.col("a")).otherwise(F.col("u"))
+    return rules.select("rule_id", "success", F.col("m").cast("bigint").alias("missing_count"),
+                        F.when(F.col("success"), F.lit(0)).otherwise(failing).cast("bigint").alias("unexpected_count"))
 
 
 def component_summary(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per component: success, missing_count, unexpected_count
     (plus conforming_count for ``data_type``)."""
-    counts = _per_chunk(df, suite, _component_rows)
+    df = suite.looked_up(df)
+    counts = _wide_component_rows(df, suite) if _is_wide(suite) else _aggregate(df, suite.rules).select(_component_rows(suite.rules))
     return F.broadcast(_component_meta(df, suite)).join(counts, ["rule_id", "component_no"]).select(
         "rule_id", "component_no", "column_name", "expectation", "action", "operator",
         "rule_name", "success", "missing_count", "unexpected_count", "conforming_count")
@@ -156,7 +204,8 @@ def component_summary(df: DataFrame, suite: Suite) -> DataFrame:
 
 def rule_summary(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per rule, AND/OR combined (``rule_id`` kept for joins)."""
-    counts = _per_chunk(df, suite, _rule_rows)
+    df = suite.looked_up(df)
+    counts = _wide_rule_rows(df, suite) if _is_wide(suite) else _aggregate(df, suite.rules).select(_rule_rows(suite.rules))
     return F.broadcast(_rule_meta(df, suite)).join(counts, "rule_id").select(
         "rule_id", "column_name", "expectation", "action", "success", "missing_count",
         "unexpected_count")
@@ -202,21 +251,14 @@ def failing_rows(
     without ``or`` is therefore a single narrow pass.
     """
 
-    def project(rules: list[CompiledRule]) -> DataFrame:
-        structs = [
-            F.when(r.any_fail(), F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                col(r.column).cast("string").alias("value"),
-            ))
-            for r in rules
-        ]
-        return df.select(
-            col(index_col),
-            F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v"),
-        ).select("v.rule_id", col(index_col), "v.value")
-
-    # same rule chunks as the aggregate: one narrow pass per chunk
-    long = reduce(DataFrame.unionByName, [project(chunk) for chunk in _chunks(suite)])
+    structs = [
+        F.when(r.any_fail(), F.struct(
+            F.lit(r.rule_id).alias("rule_id"),
+            col(r.column).cast("string").alias("value"),
+        ))
+        for r in suite.rules
+    ]
+    long = suite.looked_up(df).select(col(index_col), _set_marks(structs).alias("v")).select("v.rule_id", col(index_col), "v.value")
     with_or = [r for r in suite.rules if any(c.operator == "or" for c in r.components)]
     if with_or:
         if verdicts is None:
@@ -262,15 +304,19 @@ def row_report(
     ``sample_limit`` keeps the first n failing rows per check by id.
     """
     keys = ["rule_id", "component_no"]
-    # One count per data check (one aggregate pass, one row back to the
-    # driver); schema-only checks need no data. The verdicts then feed both
-    # halves of the report, keeping the data to two scans.
+    # One count per data check (one scan, metadata back to the driver);
+    # schema-only checks need no data. The verdicts then feed both halves of
+    # the report, keeping the data to two scans.
+    tested = [(r, c) for r, c in suite.components if c.check.static_success is None]
+    id_type = df.schema[id_col].dataType
+    df = suite.looked_up(df)
     counts = {}
-    for chunk in _chunks(suite):
-        aggs = [F.count_if(c.check.fail).alias(_u(r, c))
-                for r in chunk for c in r.components if c.check.static_success is None]
-        if aggs:
-            counts.update(df.agg(*aggs).collect()[0].asDict())
+    if tested and _is_wide(suite):
+        numbers = [F.when(c.check.fail, F.lit(i)) for i, (_, c) in enumerate(tested)]
+        found = df.select(_set_marks(numbers).alias("set")).groupBy("set").count().collect()  # at most a row per component
+        counts = {_u(*tested[x["set"]]): x["count"] for x in found}
+    elif tested:
+        counts = df.agg(*[F.count_if(c.check.fail).alias(_u(r, c)) for r, c in tested]).collect()[0].asDict()
     head_rows = []
     for r, c in suite.components:
         static = c.check.static_success
@@ -280,7 +326,6 @@ def row_report(
     head = local_frame(df.sparkSession, head_rows,
                        "rule_id int, component_no int, expectation_type string, column string, "
                        "status boolean, unexpected_count bigint, schema_only boolean")
-    id_type = df.schema[id_col].dataType
     quiet = head.where(F.col("status") | F.col("schema_only")).select(
         "expectation_type", "column", "status",
         F.when(F.col("status"), F.lit(0)).otherwise(F.col("unexpected_count")).cast("bigint")
@@ -288,26 +333,18 @@ def row_report(
         F.lit(None).cast("string").alias("unexpected_value"),
         F.lit(None).cast(id_type).alias(id_col),
     )
-    def project(rules: list[CompiledRule]) -> DataFrame | None:
-        structs = [
-            F.when(c.check.fail, F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                F.lit(c.no).alias("component_no"),
-                col(r.column).cast("string").alias("unexpected_value"),
-            ))
-            for r in rules for c in r.components
-            if c.check.static_success is None
-        ]
-        if not structs:
-            return None
-        return df.select(
-            col(id_col), F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("v")
-        ).select("v.rule_id", "v.component_no", "v.unexpected_value", col(id_col))
-
-    parts = [p for p in (project(chunk) for chunk in _chunks(suite)) if p is not None]
-    if not parts:
+    if not tested:
         return quiet
-    details = reduce(DataFrame.unionByName, parts)
+    structs = [
+        F.when(c.check.fail, F.struct(
+            F.lit(r.rule_id).alias("rule_id"),
+            F.lit(c.no).alias("component_no"),
+            col(r.column).cast("string").alias("unexpected_value"),
+        ))
+        for r, c in tested
+    ]
+    details = df.select(col(id_col), _set_marks(structs).alias("v")).select(
+        "v.rule_id", "v.component_no", "v.unexpected_value", col(id_col))
     if sample_limit is not None:
         w = Window.partitionBy(*keys).orderBy(col(id_col))
         details = details.withColumn("__rn", F.row_number().over(w)).where(

@@ -219,6 +219,41 @@ FROM orders""",
         "oq", "o_orderpriority", "choice('1-URGENT','2-HIGH')", "o_orderkey",
         "o_orderpriority IS NOT NULL AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH')"),
 
+    "dq_choice_large": """
+SELECT 'text' AS action, o_orderkey, 'C' || o_custkey AS value FROM orders WHERE o_custkey % 2 <> 0 OR o_custkey >= 200000
+UNION ALL
+SELECT 'number', o_orderkey, CAST(o_custkey AS VARCHAR) FROM orders WHERE o_custkey % 3 <> 1 OR o_custkey >= 300000""",
+
+    "dq_wide_rules": """
+WITH v AS (
+  SELECT k, 'number_range(' || k || ', 400)' AS expectation, 'warn' AS action,
+    count(*) FILTER (WHERE page_id NOT BETWEEN k AND 400) AS a, 0 AS b, count(*) FILTER (WHERE page_id NOT BETWEEN k AND 400) AS c,
+    count(*) FILTER (WHERE page_id IS NULL) AS missing, FALSE AS is_or
+  FROM pages, range(125) r(k) GROUP BY k
+  UNION ALL
+  SELECT k, 'number_range(2, ' || k || ')', 'drop', count(*) FILTER (WHERE page_id NOT BETWEEN 2 AND k), 0,
+    count(*) FILTER (WHERE page_id NOT BETWEEN 2 AND k), count(*) FILTER (WHERE page_id IS NULL), FALSE
+  FROM pages, range(125) r(k) GROUP BY k
+  UNION ALL
+  SELECT k, 'min_length(' || k || ') or max_length(' || k // 2 || ')', 'warn', count(*) FILTER (WHERE length(url) < k),
+    count(*) FILTER (WHERE length(url) > k // 2), count(*) FILTER (WHERE length(url) < k OR length(url) > k // 2),
+    2 * count(*) FILTER (WHERE url IS NULL), TRUE
+  FROM pages, range(125) r(k) GROUP BY k)
+SELECT expectation, action, CASE WHEN is_or THEN a = 0 OR b = 0 ELSE a = 0 END AS success, CAST(missing AS BIGINT) AS missing_count,
+  CAST(CASE WHEN a = 0 OR is_or AND b = 0 THEN 0 ELSE c END AS BIGINT) AS unexpected_count
+FROM v""",
+
+    "csv_rows": """
+SELECT o_orderkey,
+  CASE WHEN good THEN o_orderkey END AS key, CASE WHEN good AND o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+  CASE WHEN good THEN CAST(o_totalprice AS DOUBLE) END AS price,
+  CASE WHEN good THEN CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) END AS day,
+  CASE WHEN good THEN o_orderkey % 2 = 0 END AS flag, CASE WHEN good THEN 'say "' || o_orderpriority || '", or not' END AS note,
+  CASE WHEN good THEN 'int,string,double,date,boolean,string' END AS kinds,
+  CASE WHEN o_orderkey % 97 = 0 THEN o_orderkey || ',' || CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus ELSE '' END
+       WHEN o_orderkey % 89 = 0 THEN o_orderkey || ',F' END AS rejected
+FROM (SELECT *, NOT (o_orderkey % 97 = 0 OR o_orderkey % 89 = 0) AS good FROM orders)""",
+
     "dq_date_format": """WITH t AS (
   SELECT o_orderkey,
     CASE WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')

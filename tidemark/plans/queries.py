@@ -27,7 +27,7 @@ from ..operators.validate import (
     check_data_quality, component_summary, failing_rows, quality_report, row_report,
     rule_summary, with_index_rows,
 )
-from ..sources.tables import batch_of, read_batch, read_table
+from ..sources.tables import batch_of, infer_types, parse_csv_lines, read_batch, read_table, typed
 from .rules import compile_rules, expand_rules, lookup_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,52 @@ def q_dq_choice(spark, sf):
     return _failing(orders_q(spark, sf), rules, "o_orderkey", spark)
 
 
+def q_dq_choice_large(spark, sf):
+    """A set of 100,000 allowed texts, and one of as many numbers."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("customer"), "o_custkey")
+    rules = [_rule("customer", "choice(" + ",".join(f"'C{k}'" for k in range(0, 200_000, 2)) + ")", "text"),
+             _rule("o_custkey", "required and choice(" + ",".join(str(k) for k in range(1, 300_000, 3)) + ")", "number")]
+    suite = compile_rules(spark, rules, o.schema, as_of=AS_OF)
+    return failing_rows(o, suite, index_col="o_orderkey").select("action", "o_orderkey", "value")
+
+
+def q_dq_wide_rules(spark, sf):
+    """500 components, counted in one scan."""
+    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    rules = [_rule("page_id", f"number_range({k}, 400)") for k in range(125)]
+    rules += [_rule("page_id", f"number_range(2, {k})", "drop") for k in range(125)]
+    rules += [_rule("url", f"min_length({k}) or max_length({k // 2})") for k in range(125)]
+    suite = compile_rules(spark, rules, pages.schema, as_of=AS_OF)
+    return rule_summary(pages, suite).select("expectation", "action", "success", "missing_count", "unexpected_count")
+
+
+_CSV_NAMES = ["key", "status", "price", "day", "flag", "note"]
+
+
+def _order_lines(spark, sf) -> DataFrame:
+    """orders as CSV lines; of every 97th key one with a field too many, of every 89th one too few."""
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    fields = F.struct(k.alias("key"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"), F.col("o_totalprice").alias("price"),
+                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), (k % 2 == 0).alias("flag"),
+                      F.concat(F.lit('say "'), "o_orderpriority", F.lit('", or not')).alias("note"))
+    line = F.to_csv(fields)
+    line = F.when(k % 97 == 0, F.concat(line, F.lit(",x"))).when(k % 89 == 0, F.concat(k.cast("string"), F.lit(",F"))).otherwise(line)
+    return o.select(k.alias("o_orderkey"), line.alias("value"))
+
+
+def q_csv_rows(spark, sf):
+    """orders written as CSV lines, types inferred over all accepted lines, parsed."""
+    rows = parse_csv_lines(_order_lines(spark, sf), _CSV_NAMES)
+    accepted = rows.where(F.col("_rejected").isNull()).drop("_rejected")
+    schema = infer_types(accepted.select(*_CSV_NAMES))
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    good = typed(accepted, schema).select("o_orderkey", F.col("key").cast("bigint").alias("key"), "status", "price", _days("day").alias("day"), "flag", "note",
+                                          F.lit(",".join(kinds[n] for n in _CSV_NAMES)).alias("kinds"), F.lit(None).cast("string").alias("rejected"))
+    bad = rows.where(F.col("_rejected").isNotNull())
+    return good.unionByName(bad.select("o_orderkey", F.substring_index("_rejected", ",", 2).alias("rejected")), allowMissingColumns=True)
+
+
 def _orders_date_text(spark, sf) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k = F.col("o_orderkey")
@@ -556,6 +602,9 @@ QUERIES: dict[str, Query] = {
     "batch_of_view": q_batch_of_view,
     "dq_required": q_dq_required,
     "dq_choice": q_dq_choice,
+    "dq_choice_large": q_dq_choice_large,
+    "dq_wide_rules": q_dq_wide_rules,
+    "csv_rows": q_csv_rows,
     "dq_date_format": q_dq_date_format,
     "dq_time_format": q_dq_time_format,
     "dq_string_format": q_dq_string_format,

@@ -3,7 +3,7 @@
 The rule language (``required and max_length(3) or choice('A','B')``) is taken
 apart by Spark itself: ``expand_rules`` turns a rules DataFrame - the whole
 catalogue, all systems and tables - into one row per component with a fold
-over each text's characters, ``split`` and ``posexplode``. Only the component rows
+over each text's tokens, ``split`` and ``posexplode``. Only the component rows
 of the one table being checked are collected (rule metadata, not data) and
 compiled into Column predicates.
 
@@ -13,8 +13,9 @@ Decisions on the text form:
   them, and further parentheses (``choice('salt and pepper')``,
   ``string_format(^a and (b)$)``). Depth is counted along the text; escaped
   parentheses and those of a character class don't count. Where the text's
-  parentheses don't balance (``choice('a(b')``), an operator splits unless a
-  ``)`` follows it before the next ``(``. ``and`` binds tighter than ``or``.
+  parentheses don't balance (``choice('a(b')``), or it has more than
+  ``MAX_FOLDED`` characters, an operator splits unless a ``)`` follows it before
+  the next ``(``. ``and`` binds tighter than ``or``.
 * a bare ``required`` component expands to ``required and min_length(1)``
   (``expand_required=False`` keeps it alone, as the notebook report does);
 * rule names are case-insensitive; ``and`` / ``or`` are lower case;
@@ -48,6 +49,11 @@ from ..session import local_frame
 SPLIT_PATTERN = r"\s+(?:and|or)\s+(?![^(]*\))"
 OPERATOR_PATTERN = r"\s+(and|or)\s+(?![^(]*\))"
 JOINT_PATTERN = r"\s+(?:and|or)\s+"
+TOKEN_PATTERN = r"(?s)\\.|[()\[\]]|\s+(?:and|or)\s+|[^\\()\[\]\s]+|\s+|\\"
+#: Between the parts of a folded text, and between an operator and its component.
+_PART, _OPERATOR = "\u0001", "\u0002"
+#: Characters of a rule's text up to which parentheses are counted.
+MAX_FOLDED = 20_000
 COMPONENT_PATTERN = r"(?s)^[A-Za-z_][A-Za-z0-9_]*\s*(\(.*\))?$"
 KNOWN_PATTERN = r"(?i)^\s*(" + "|".join(RULE_NAMES) + r")(?![A-Za-z0-9_])"
 
@@ -94,43 +100,38 @@ def _component_struct(operator: Column, text: Column) -> Column:
     return F.struct(operator.alias("operator"), text.alias("component"))
 
 
-def _outer_text(text: Column) -> Column:
-    """The text with every character inside parentheses made ``_``, as long as
-    the text itself; NULL where the parentheses don't balance. A fold over the
-    characters that carries the depth."""
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("escaped"), F.lit(False).alias("set"),
-                     F.lit(True).alias("even"), F.lit("").alias("text"))
+def _balanced_parts(text: Column) -> Column:
+    """array<string> of a rule's parts, each with its operator before a mark (the
+    first has none); NULL where the parentheses don't balance. A fold over the
+    text's tokens - parentheses, brackets, escapes, operators, other text - that
+    carries the depth and gives the text back with marks at the outer operators."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("set"), F.lit(True).alias("even"), F.lit("").alias("text"))
 
-    def step(s: Column, ch: Column) -> Column:
-        inside, counts = s["depth"] > 0, ~s["escaped"] & ~s["set"]
-        depth = s["depth"] + F.when(counts & (ch == "("), 1).when(counts & (ch == ")"), -1).otherwise(0)
+    def step(s: Column, token: Column) -> Column:
+        inside, counts = s["depth"] > 0, ~s["set"]
+        depth = s["depth"] + F.when(counts & (token == "("), 1).when(counts & (token == ")"), -1).otherwise(0)
+        outer = ~inside & token.rlike(f"^{JOINT_PATTERN}$")
         return F.struct(
             depth.alias("depth"),
-            (inside & ~s["escaped"] & (ch == "\\")).alias("escaped"),
-            F.when(s["escaped"], s["set"]).when(s["set"], ch != "]").otherwise(inside & (ch == "[")).alias("set"),
+            F.when(s["set"], token != "]").otherwise(inside & (token == "[")).alias("set"),
             (s["even"] & (depth >= 0)).alias("even"),
-            F.concat(s["text"], F.when(inside | (depth > 0), F.lit("_")).otherwise(ch)).alias("text"),
+            F.concat(s["text"], F.when(outer, F.concat(F.lit(_PART), F.trim(F.regexp_replace(token, r"\s+", " ")), F.lit(_OPERATOR))).otherwise(token)).alias("text"),
         )
 
-    letters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    return F.aggregate(letters, start, step, lambda s: F.when(s["even"] & (s["depth"] == 0), s["text"]))
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.aggregate(tokens, start, step, lambda s: F.when(s["even"] & (s["depth"] == 0), F.split(s["text"], _PART)))
 
 
 def _parts(text: Column) -> Column:
     """array<struct<operator, component>> of a rule's text."""
-    outer = _outer_text(text)
-    outer_parts = F.split(outer, JOINT_PATTERN)
-    joints = F.regexp_extract_all(outer, F.lit(JOINT_PATTERN), F.lit(0))
-
-    def begin(i: Column) -> Column:
-        before = lambda of: F.aggregate(F.slice(of, F.lit(1), i), F.lit(0), lambda n, x: n + F.char_length(x))
-        return before(outer_parts) + before(joints) + 1
-
-    balanced = F.transform(outer_parts, lambda t, i: _component_struct(
-        F.when(i > 0, F.trim(F.regexp_replace(F.get(joints, i - 1), r"\s+", " "))), F.trim(text.substr(begin(i), F.char_length(t)))))
+    plain = ~text.contains(_PART) & ~text.contains(_OPERATOR)
+    joined = text.rlike(JOINT_PATTERN)
+    balanced = F.transform(_balanced_parts(text), lambda t, i: _component_struct(
+        F.when(i > 0, F.substring_index(t, _OPERATOR, 1)), F.trim(F.substring_index(t, _OPERATOR, -1))))
     operators = F.regexp_extract_all(text, F.lit(OPERATOR_PATTERN), 1)
     other = F.transform(F.split(text, SPLIT_PATTERN), lambda t, i: _component_struct(F.when(i > 0, F.get(operators, i - 1)), F.trim(t)))
-    return F.when(outer.isNotNull(), balanced).otherwise(other)
+    # the fold copies the text for each token, so very long texts are split
+    return F.when(plain & joined & (F.char_length(text) <= MAX_FOLDED), F.coalesce(balanced, other)).otherwise(other)
 
 
 def expand_rules(rules: DataFrame, expand_required: bool = True) -> DataFrame:
@@ -233,6 +234,16 @@ class Suite:
     def components(self) -> list[tuple[CompiledRule, Component]]:
         return [(r, c) for r in self.rules for c in r.components]
 
+    def looked_up(self, df: DataFrame) -> DataFrame:
+        """``df`` with the marks that checks on large value sets read: one join
+        with each set, whose distinct values are a table of their own."""
+        done = set()
+        for rule, c in self.components:
+            if c.check.lookup is not None and c.check.lookup.mark not in done:
+                done.add(c.check.lookup.mark)
+                df = c.check.lookup.join(df)
+        return df
+
 
 @lru_cache(1024)
 def _regex_problem(spark: SparkSession, pattern: str) -> str | None:

@@ -1,3 +1,6 @@
-from .tables import batch_of, read_batch, read_csv, read_rules_table, read_table
+from .tables import (
+    batch_of, infer_types, parse_csv_lines, read_batch, read_csv, read_csv_checked, read_rules_table, read_table, typed,
+)
 
-__all__ = ["batch_of", "read_batch", "read_csv", "read_rules_table", "read_table"]
+__all__ = ["batch_of", "infer_types", "parse_csv_lines", "read_batch", "read_csv", "read_csv_checked", "read_rules_table",
+           "read_table", "typed"]
