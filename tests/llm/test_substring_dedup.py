@@ -63,3 +63,70 @@ def test_applied_to_documents(frame):
 
 def test_empty_table(frame):
     assert substring_dedup.remove_repeats(frame([(1, "a")]).limit(0)).collect() == []
+
+
+def brute_paths(rows, window):
+    """Maximal runs of repeated windows of which each has one next and one last
+    window wherever it occurs: (document, first word, end) and the windows."""
+    docs = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    wins = {i: [tuple(w[s:s + window]) for s in range(len(w) - window + 1)] for i, w in docs.items()}
+    count = Counter(x for w in wins.values() for x in w)
+    after, before = {}, {}
+    for w in wins.values():
+        for s, x in enumerate(w):
+            after.setdefault(x, set()).add(w[s + 1] if s + 1 < len(w) else None)
+            before.setdefault(x, set()).add(w[s - 1] if s else None)
+    out = set()
+    for i, w in wins.items():
+        begin = None
+        for s in range(len(w) + 1):
+            held = s < len(w) and count[w[s]] > 1
+            joins = held and s and count[w[s - 1]] > 1 and after[w[s - 1]] == {w[s]} and before[w[s]] == {w[s - 1]}
+            if begin is not None and not joins:
+                out.add((i, begin, s - 1 + window, w[begin]))
+                begin = None
+            if held and begin is None:
+                begin = s
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_paths_are_the_graphs_nonbranching_ones(frame, seed):
+    """Spans and names against the graph of all windows, on spliced passages."""
+    import random
+
+    rnd = random.Random(seed)
+    pool = [f"p{k}" for k in range(120)]
+    rows = []
+    for i in range(25):
+        parts = []
+        for _ in range(rnd.randint(1, 3)):
+            a = rnd.randrange(90)
+            parts += pool[a:a + rnd.randint(14, 60)] + [f"u{rnd.randrange(10 ** 6)}" for _ in range(rnd.randint(0, 4))]
+        rows.append((i, " ".join(parts)))
+    want = brute_paths(rows, 12)
+    got = substring_dedup.repeated_spans(frame(rows), window=12, anchor=4).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in got} == {x[:3] for x in want}
+    names = {(r["doc_id"], r["start"]): r["path"] for r in got}
+    by_path = {}
+    for i, start, _, first in want:
+        by_path.setdefault(first, set()).add(names[i, start])
+    assert all(len(x) == 1 for x in by_path.values()) and len({x for v in by_path.values() for x in v}) == len(by_path)
+
+
+def test_rows_whose_short_text_hashes_clash_keep_their_words(spark, frame):
+    """Two texts with one 32-bit hash, without an id; one of them also under an id."""
+    from pyspark.sql import functions as F
+
+    texts = spark.range(400_000).select(F.concat_ws(" ", *[F.concat(F.lit(c), F.col("id") * 7 + k) for k, c in enumerate("abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrs")]).alias("t"))
+    clash = texts.withColumn("h", F.hash("t")).groupBy("h").agg(F.collect_list("t").alias("ts")).where("size(ts) > 1").first()
+    one, two = clash["ts"][:2]
+    got = substring_dedup.remove_repeats(frame([(None, one), (None, two), (7, one)])).collect()
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in got) == [("7", 45), ("None", 0), ("None", 45)]
+
+
+def test_many_rows_without_an_id_or_of_one_id(frame):
+    passage = " ".join(f"q{k}" for k in range(40))
+    rows = [(None, f"n{k} {passage}") for k in range(30)] + [(5, f"m{k} " + " ".join(f"v{k}x{j}" for j in range(50))) for k in range(30)] + [(5, "m3 " + " ".join(f"v3x{j}" for j in range(50)))]
+    got = substring_dedup.remove_repeats(frame(rows))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 35)

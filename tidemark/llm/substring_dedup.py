@@ -3,18 +3,24 @@ Bruijn graph.
 
 Windows of ``WINDOW`` words are grouped into *k-mers* of varying length: the
 consecutive windows that share one minimiser (the least hash among the words'
-``ANCHOR``-grams inside the window). Where a k-mer starts and ends depends on
-the words around it alone, so a repeated passage has the same k-mers in every
-document, about one for 14 words. They are the edges of the graph:
+``ANCHOR``-grams inside the window). A window's minimiser depends on its own
+words alone, so a repeated passage has the same k-mers in every document but for
+the first and the last one, about one for 14 words:
 
 1. Minimisers that occur once are dropped; no repeated window has one.
-2. Of the rest, each k-mer is an edge with its count and its neighbours. A join
-   brings the neighbours' degrees to each occurrence; edges that follow each
-   other without a branch compact into one path.
-3. K-mers that occur once can still share windows with others of the same
-   minimiser, at the ends of a repeated passage. The windows of one occurrence
-   of each such k-mer, found by its source coordinates, are compared.
-4. The coordinates of paths and shared windows give the spans of each document.
+2. Of the rest, each distinct k-mer is counted and keeps one source coordinate.
+   Where a minimiser has one k-mer only, all its windows are in that k-mer.
+   Where it has several, the windows of one source of each are compared, and
+   each k-mer is cut into *pieces*: repeated windows in a row, of which each has
+   one next and one last window wherever it occurs. A piece is the same in all
+   documents; its first window names it.
+3. Pieces are the edges of the graph. Those that are followed by one piece
+   wherever they occur, which always follows them, compact into one path: a join
+   brings each piece what its predecessor's occurrences say. A path lies whole in
+   every document that holds any of it, so its name, its first piece, is the same
+   in all of them.
+4. The paths, at the coordinates of their pieces, are the spans of a document;
+   their words go.
 
 Only step 1 moves a row for every k-mer; hot k-mers are counted with partial
 aggregation, and joined from written tables, so that adaptive execution can
@@ -23,8 +29,9 @@ split them.
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null and empty texts and texts
 shorter than a window have no windows and lose nothing. Rows that repeat, or
 share an id, are documents of their own: an exact copy of a long text removes
-both. Rows are known by id and text, ids may be null. Further columns are not
-read; an empty table gives an empty result. Windows are judged on the input.
+both. Rows are known by 128 bits of hashes of id and text; ids may be null.
+Further columns are not read; an empty table gives an empty result. Windows are
+judged on the input.
 """
 
 from __future__ import annotations
@@ -50,14 +57,11 @@ _PACK = 64
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _text) with the key that rows are joined by, id and text hash; the
-    caller's other columns, whatever their names, are inside ``_row``."""
-    kind = docs.schema[id_col].dataType
-    plain = isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    """(_id, _text) with the key that rows are joined by, two hashes of id and
+    text; the caller's other columns, whatever their names, are inside ``_row``."""
     source = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"),
                          F.struct(F.lit(0).alias(id_col), *[docs[c] for c in docs.columns if c not in (id_col, text_col)]).alias("_row"))
-    k = F.coalesce(F.col("_id").cast("long"), F.lit(-(1 << 63))) if plain else F.xxhash64("_id")
-    return source.withColumn("k", k).withColumn("h", F.hash("_text"))
+    return source.withColumn("k", F.xxhash64("_id", "_text")).withColumn("h", F.xxhash64(F.lit(1), "_text", "_id"))
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -101,11 +105,12 @@ def _occurrences(batches: Iterator[pa.RecordBatch], window: int, anchor: int) ->
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Each window of the wanted k-mers of a text: (kmer, place in it, hash)."""
+    """Each window of the wanted k-mers of a text: (kmer, n, place in it, hash,
+    hashes of the windows before and after it in the k-mer)."""
     for batch in batches:
         wanted = batch.column("wanted")
         cuts, flat = _flat(wanted)
-        pos, kmer = flat.field("pos").to_numpy(), flat.field("kmer").to_numpy()
+        pos, kmer, n = (flat.field(x).to_numpy() for x in ("pos", "kmer", "n"))
         for begin, block in W.blocks(batch.column("_text"), W.SPACES, fold=False):
             lo, hi = cuts[begin], cuts[begin + len(block)]
             owner = np.repeat(np.arange(len(block)), np.diff(cuts[begin:begin + len(block) + 1]))
@@ -113,9 +118,28 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             start = block.first[owner] + pos[lo:hi] // _PACK
             at = np.repeat(np.arange(len(size)), size)
             place = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
-            hashes = W.window_hashes(block.hash, window)
-            yield pa.RecordBatch.from_arrays([pa.array(kmer[lo:hi][at]), pa.array(place), pa.array(W.signed(hashes[start[at] + place] if len(at) else hashes[:0]))],
-                                             names=["kmer", "place", "win"])
+            hashes = W.signed(W.window_hashes(block.hash, window))
+            where = start[at] + place
+            last = place + 1 == size[at]
+            win, before, after = (hashes[np.clip(x, 0, max(len(hashes) - 1, 0))] if len(at) else hashes[:0] for x in (where, where - 1, where + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(kmer[lo:hi][at]), pa.array(n[lo:hi][at]), pa.array(place), pa.array(win),
+                                              pa.array(before, mask=place == 0), pa.array(after, mask=last)],
+                                             names=["kmer", "n", "place", "win", "before", "after"])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The repeated windows of a k-mer, in order, as pieces that don't branch."""
+    for batch in batches:
+        cuts, flat = _flat(batch.column("wins"))
+        owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        place, win, opens, closes = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("place", "win", "opens", "closes"))
+        fresh = np.ones(len(owner), bool)
+        fresh[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1) | ~opens[:-1] | ~closes[1:]
+        at = np.flatnonzero(fresh)
+        size = np.diff(np.append(at, len(owner)))
+        pieces = pa.StructArray.from_arrays([pa.array(place[at]), pa.array(size), pa.array(win[at])], names=["off", "size", "node"])
+        edges = pa.array(np.searchsorted(owner[at], np.arange(len(cuts))), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("kmer"), pa.ListArray.from_arrays(edges, pieces)], names=["kmer", "pieces"])
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -124,53 +148,46 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.append(0, np.cumsum(sizes)).astype(np.int64), lists.flatten()
 
 
-def merge_spans(owner: np.ndarray, start: np.ndarray, size: np.ndarray, repeated: np.ndarray, shared: np.ndarray,
-                joins: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(owner, first window, last window, path) of the repeated stretches.
-
-    Rows are k-mers in the order of their documents and places. A repeated
-    k-mer counts whole, another one with the windows of the bit mask
-    ``shared``. ``joins``: the k-mer continues the path of the one before.
-    """
-    bits = np.arange(_PACK - 1)
-    rows = np.flatnonzero(~repeated & (shared != 0))
-    on = ((shared[rows, None] >> bits) & 1).astype(bool) & (bits < size[rows, None])
-    row, bit = np.nonzero(on)
-    part = np.append(True, (row[1:] != row[:-1]) | (bit[1:] != bit[:-1] + 1))[:len(row)]
-    begins = np.flatnonzero(part)
-    ends = np.append(begins[1:], len(row)) - 1 if len(begins) else begins
-    partial = rows[row[begins]] if len(begins) else rows[:0]
-    full = np.flatnonzero(repeated)
-    fresh = np.append(True, ~joins[full[1:]] | (full[1:] != full[:-1] + 1))[:len(full)]
-    heads = np.flatnonzero(fresh)
-    tails = np.append(heads[1:], len(full)) - 1 if len(heads) else heads
-    first, last = full[heads], full[tails]
-    out = [np.concatenate(x) for x in (
-        (owner[first], owner[partial]),
-        (start[first], start[partial] + (bit[begins] if len(begins) else 0)),
-        (start[last] + size[last] - 1, start[partial] + (bit[ends] if len(begins) else 0)),
-        (path[first], path[partial]))]
-    by = np.lexsort((out[1], out[0]))
-    return tuple(x[by] for x in out)
+def _in_place(batch: pa.RecordBatch) -> tuple[int, np.ndarray, dict[str, np.ndarray], np.ndarray]:
+    """A batch of documents with ``parts``: their number, each part's document,
+    the parts' fields in order, and whether a part follows the one before at once."""
+    cuts, flat = _flat(batch.column("parts"))
+    owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    of = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+    by = np.lexsort((of["start"], owner))
+    of = {x: v[by] for x, v in of.items()}
+    follows = np.zeros(len(owner), bool)
+    follows[1:] = (owner[1:] == owner[:-1]) & (of["start"][1:] == of["start"][:-1] + of["size"][:-1])
+    return len(cuts) - 1, owner, of, follows
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, before, after) of the pieces of each document, null where no piece is next to it; distinct in a batch."""
+    for batch in batches:
+        _, _, of, follows = _in_place(batch)
+        node = of["node"]
+        rows = np.zeros((len(node), 5), np.int64)
+        rows[:, 0] = node
+        rows[1:, 1] = np.where(follows[1:], node[:-1], 0)
+        rows[1:, 2] = follows[1:]
+        rows[:-1, 3] = np.where(follows[1:], node[1:], 0)
+        rows[:-1, 4] = follows[1:]
+        rows = np.unique(rows, axis=0) if len(rows) else rows
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1], mask=rows[:, 2] == 0), pa.array(rows[:, 3], mask=rows[:, 4] == 0)],
+                                         names=["node", "before", "after"])
 
 
 def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Per document: the spans (words ``start`` to ``end``) and their paths."""
+    """Per document: its paths as spans (words ``start`` to ``end``), and the words under them."""
     for batch in batches:
-        cuts, flat = _flat(batch.column("kmers"))
-        owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-        of = {x: flat.field(x).to_numpy(zero_copy_only=False) for x in ("pos", "kmer", "repeated", "shared", "opens", "closes")}
-        by = np.lexsort((of["pos"], owner))
-        of = {x: v[by] for x, v in of.items()}
-        start, size = of["pos"] // _PACK, of["pos"] % _PACK
-        joins = np.zeros(len(owner), bool)
-        if len(owner):
-            joins[1:] = (owner[1:] == owner[:-1]) & (start[1:] == start[:-1] + size[:-1]) & of["opens"][:-1] & of["closes"][1:]
-        who, first, last, path = merge_spans(owner, start, size, of["repeated"], of["shared"], joins, of["kmer"])
-        at = pa.array(np.searchsorted(who, np.arange(len(cuts))), pa.int32())
-        spans = pa.StructArray.from_arrays([pa.array(first), pa.array(last + window), pa.array(path)], names=["start", "end", "path"])
+        n, owner, of, follows = _in_place(batch)
+        begins = np.flatnonzero(~(follows & of["goes_on"]))
+        ends = np.append(begins, len(owner))[1:] - 1
+        who, first, last = owner[begins], of["start"][begins], of["start"][ends] + of["size"][ends] - 1
+        at = pa.array(np.searchsorted(who, np.arange(n + 1)), pa.int32())
+        spans = pa.StructArray.from_arrays([pa.array(first), pa.array(last + window), pa.array(of["node"][begins])], names=["start", "end", "path"])
         who, start, end = cover(who, first, last + window)
-        range_at = pa.array(np.searchsorted(who, np.arange(len(cuts))), pa.int32())
+        range_at = pa.array(np.searchsorted(who, np.arange(n + 1)), pa.int32())
         ranges = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["start", "end"])
         yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("h"), pa.ListArray.from_arrays(at, spans), pa.ListArray.from_arrays(range_at, ranges)],
                                          names=["k", "h", "spans", "ranges"])
@@ -236,37 +253,41 @@ def find_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     def spans(batches):
         yield from _spans(batches, window)
 
-    every = map_arrow(keyed.select("k", "h", "_text"), occurrences, "k long, h int, pos long, anchor long, kmer long")
+    every = map_arrow(keyed.select("k", "h", "_text"), occurrences, "k long, h long, pos long, anchor long, kmer long")
     twice = cut(every.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
     some = cut(every.join(twice, "anchor"))
 
-    # edges: each k-mer with its count, one source and whether it has a single neighbour on either side
-    line = "partition by k, h order by pos"
-    adjacent = some.selectExpr("*", f"lead(pos) over ({line}) as next_pos", f"lead(kmer) over ({line}) as next_kmer",
-                               f"lag(pos) over ({line}) as last_pos", f"lag(kmer) over ({line}) as last_kmer")
-    adjacent = adjacent.selectExpr("k", "h", "pos", "anchor", "kmer",
-                                   f"if(next_pos div {_PACK} = pos div {_PACK} + pos % {_PACK}, next_kmer, null) as next",
-                                   f"if(pos div {_PACK} = last_pos div {_PACK} + last_pos % {_PACK}, last_kmer, null) as last")
-    edges = cut(adjacent.groupBy("kmer").agg(
-        F.count("*").alias("n"), F.min("anchor").alias("anchor"), F.min(F.struct("k", "h", "pos")).alias("at"),
-        ((F.count("next") == F.count("*")) & (F.min("next") == F.max("next"))).alias("opens"),
-        ((F.count("last") == F.count("*")) & (F.min("last") == F.max("last"))).alias("closes")))
-
-    # minimisers with several k-mers: compare the windows of one source of each
-    mixed = edges.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
-    sources = cut(edges.join(mixed, "anchor").select("kmer", "at.*").groupBy("k", "h").agg(F.collect_list(F.struct("pos", "kmer")).alias("wanted")))
+    # distinct k-mers, with one source each
+    kmers = cut(some.groupBy("kmer").agg(F.count("*").alias("n"), F.min("anchor").alias("anchor"), F.min(F.struct("k", "h", "pos")).alias("at")))
+    mixed = kmers.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    only = kmers.where("n > 1").join(mixed, "anchor", "left_anti").selectExpr(
+        "kmer", f"array(named_struct('off', 0L, 'size', at.pos % {_PACK}, 'node', kmer)) as pieces")
+
+    # minimisers with several k-mers: the windows of one source of each
+    sources = cut(kmers.join(mixed, "anchor").select("kmer", "n", "at.*").groupBy("k", "h").agg(F.collect_list(F.struct("pos", "kmer", "n")).alias("wanted")))
     size = sources.agg(F.count("*"), F.sum(F.size("wanted"))).first()
     # (a repeated row gives its windows twice, but then its k-mers are repeated anyway)
-    found = keyed.select("k", "h", "_text").join(small_side(sources, (size[0] or 0) + (size[1] or 0), 40), ["k", "h"])
-    compared = cut(map_arrow(found.select("_text", "wanted"), windows, "kmer long, place long, win long"))
-    shared = compared.groupBy("win").agg(F.count("*").alias("c")).where("c > 1").select("win")
-    masks = compared.join(cut(shared), "win").groupBy("kmer").agg(F.bit_or(F.expr("shiftleft(1L, cast(place as int))")).alias("shared"))
-    judged = cut(edges.join(masks, "kmer", "left").where("n > 1 or shared is not null")
-                 .select("kmer", (F.col("n") > 1).alias("repeated"), F.coalesce("shared", F.lit(0).cast("long")).alias("shared"),
-                         F.coalesce("opens", F.lit(False)).alias("opens"), F.coalesce("closes", F.lit(False)).alias("closes")))
-    listed = (some.select("k", "h", "pos", "kmer").join(judged, "kmer").groupBy("k", "h")
-              .agg(F.collect_set(F.struct("pos", "kmer", "repeated", "shared", "opens", "closes")).alias("kmers")))
-    return map_arrow(listed, spans, "k long, h int, spans array<struct<start: long, end: long, path: long>>, ranges array<struct<start: int, end: int>>")
+    found = keyed.select("k", "h", "_text").join(small_side(sources, (size[0] or 0) + (size[1] or 0), 48), ["k", "h"])
+    compared = cut(map_arrow(found.select("_text", "wanted"), windows, "kmer long, n long, place long, win long, before long, after long"))
+    one = lambda x: (F.count(x) == F.count("*")) & (F.min(x) == F.max(x))
+    repeated = cut(compared.groupBy("win").agg(F.sum("n").alias("c"), F.coalesce(one("after"), F.lit(False)).alias("opens"),
+                                               F.coalesce(one("before"), F.lit(False)).alias("closes")).where("c > 1").drop("c"))
+    wins = (compared.select("kmer", "place", "win").join(repeated, "win").groupBy("kmer")
+            .agg(F.array_sort(F.collect_set(F.struct("place", "win", "opens", "closes"))).alias("wins")))
+    cut_up = map_arrow(wins, _pieces, "kmer long, pieces array<struct<off: long, size: long, node: long>>")
+    pieces = cut(only.unionByName(cut_up))
+
+    # documents as rows of pieces, and paths of pieces that always follow each other
+    parts = some.select("k", "h", "pos", "kmer").join(pieces, "kmer").select("k", "h", "pos", F.inline("pieces")).selectExpr(
+        "k", "h", f"pos div {_PACK} + off as start", "size", "node")
+    listed = cut(parts.groupBy("k", "h").agg(F.collect_set(F.struct("start", "size", "node")).alias("parts")))
+    nodes = cut(map_arrow(listed.select("parts"), _neighbours, "node long, before long, after long").groupBy("node").agg(
+        F.coalesce(one("after"), F.lit(False)).alias("opens"), F.coalesce(one("before"), F.lit(False)).alias("closes"), F.min("before").alias("before")))
+    inner = nodes.where("closes").select("node", "before").join(nodes.where("opens").select(F.col("node").alias("before")), "before").select("node")
+    inner = cut(inner).withColumn("goes_on", F.lit(True))
+    linked = (listed.select("k", "h", F.inline("parts")).join(inner, "node", "left").groupBy("k", "h")
+              .agg(F.collect_list(F.struct("start", "size", "node", F.coalesce("goes_on", F.lit(False)).alias("goes_on"))).alias("parts")))
+    return map_arrow(linked, spans, "k long, h long, spans array<struct<start: long, end: long, path: long>>, ranges array<struct<start: int, end: int>>")
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, kept: list[str], options: dict) -> DataFrame:
@@ -296,9 +317,9 @@ def apply_removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(id, start, end, path): the words ``start`` to ``end`` of each repeated
-    stretch. ``path`` names the compacted path (its first k-mer), the same in
-    every document that holds it."""
+    """(id, start, end, path): the words ``start`` to ``end`` of each compacted
+    path in each document. ``path`` names it, the same in every document that
+    holds it; the spans of neighbouring paths share words."""
     keyed = _keyed(docs, id_col, text_col)
     spans = cut(find_spans(keyed, window, anchor).select("k", "h", "spans"))
     return keyed.select("_id", "k", "h").join(spans, ["k", "h"]).select(F.col("_id").alias(id_col), F.inline("spans"))
