@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import decontaminate
@@ -148,3 +149,32 @@ def test_clean_texts_of_a_clashing_id_stay(spark, frame):
     bench = spark.createDataFrame([(4, "x y z")], "item_id long, text string")
     left = decontaminate.remove_contaminated(frame([(1, "x y z"), (1, "clean text"), (2, "x y z"), (1, None)]), bench)
     assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(1, ""), (1, "clean text")]
+
+
+def test_runs_of_one_word_are_quick(frame, spark):
+    """40,000 equal words against an item of 500: one run of suffixes, not 488."""
+    import time
+
+    bench = spark.createDataFrame([("a", "z " * 500), ("b", "z " * 20), (None, "z " * 13), ("c", "y")], "item_id string, text string")
+    tests = next(decontaminate.test_blocks(bench, "item_id", "text", 13))
+    hashes = lambda text: decontaminate.W.find_words(*decontaminate.W.text_buffer(pa.array([text], pa.large_string())), decontaminate.W.NON_ALNUM)
+    block = hashes("z " * 40_000)
+    shard = decontaminate.Shard([pa.array([1])], [block.counts()], [block.hash])
+    begin = time.process_time()
+    within, owner, names = decontaminate._hit(shard, tests)
+    assert within.all() and owner.tolist() == [0, 0] and sorted(names) == ["a", "b"]
+    assert time.process_time() - begin < 10
+    got = decontaminate.find_contamination(frame([(1, "z " * 3000), (2, "z " * 12 + "y"), (3, None)]), bench).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in got} == {1: (3000, 3000, ["a", "b"]), 2: (13, 1, ["c"]), 3: (0, 0, [])}
+
+
+def test_pairs_of_common_windows_come_in_steps(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(decontaminate, "_PAIRS", 7)
+    rnd = np.random.default_rng(2)
+    docs, items = (decontaminate._distinct(rnd.integers(0, 9, 60), rnd.integers(0, 12, 60)) for _ in range(2))
+    got = set(zip(*(x.tolist() for x in decontaminate._item_pairs(docs, items, 9)), strict=True))
+    assert got == {(d, i) for r, d in zip(*docs, strict=True) for q, i in zip(*items, strict=True) if r == q}
+    none = (np.zeros(0, int), np.zeros(0, int))
+    assert [len(x) for x in decontaminate._item_pairs(none, none, 0)] == [0, 0]

@@ -193,21 +193,52 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Shard]:
 
 def _hit(shard: Shard, tests: TestSet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which words of the shard are in a window, and the documents and ids of
-    the items they hold, by document."""
+    the items they hold, by document, each pair once."""
     edge = np.zeros(shard.array.n + 1, np.int64)
     if not shard.array.n or not len(tests.hash):
         return edge[:-1] > 0, np.zeros(0, np.int64), np.zeros(0, object)
     low, high = shard.windows(tests)
+    # equal windows of the benchmark have one run of suffixes: each run counts once,
+    # so its places are no more than the shard's words for each window size
+    held = np.flatnonzero(high > low)
+    wide = tests.window + 1
+    key, first, run = np.unique(low[held] * wide + tests.size[held], return_index=True, return_inverse=True)
+    low, high, size = low[held][first], high[held][first], key % wide
     lengths = high - low
     source = np.repeat(np.arange(len(lengths)), lengths)
-    within = np.arange(len(source)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    starts = shard.array.order[low[source] + within]
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + tests.size[source], -1)
-    pairs = np.unique(np.stack([shard.owners(starts), tests.item[source]]), axis=1)
-    names = np.asarray(tests.ids, object)[pairs[1]]
-    named = np.array([x is not None for x in names], bool)
-    return np.cumsum(edge[:-1]) > 0, pairs[0][named], names[named]
+    starts = shard.array.order[low[source] + np.arange(len(source)) - np.repeat(np.cumsum(lengths) - lengths, lengths)]
+    edge += np.bincount(starts, minlength=len(edge)) - np.bincount(starts + size[source], minlength=len(edge))
+    named = np.array([x is not None for x in tests.ids], bool)[tests.item[held]]
+    owner, item = _item_pairs(_distinct(source, shard.owners(starts)), _distinct(run[named], tests.item[held][named]), len(key))
+    return np.cumsum(edge[:-1]) > 0, owner, np.asarray(tests.ids, object)[item]
+
+
+#: Pairs of one step, when documents and items of the same windows are paired.
+_PAIRS = 1 << 22
+
+
+def _distinct(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, in order."""
+    wide = int(right.max()) + 1 if len(right) else 1
+    return tuple(np.divmod(np.unique(left * wide + right), wide))
+
+
+def _item_pairs(docs: tuple[np.ndarray, np.ndarray], items: tuple[np.ndarray, np.ndarray], runs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document, item) that share a run, from the documents and the
+    items of each run; in steps, so that long common passages of many items and
+    documents take no more memory than their distinct pairs."""
+    n_docs, n_items = (np.bincount(x[0], minlength=runs) for x in (docs, items))
+    at_doc, at_item = (np.append(0, np.cumsum(n)) for n in (n_docs, n_items))
+    done = np.zeros((2, 0), np.int64)
+    step = np.cumsum(n_docs * n_items) // _PAIRS
+    for k in np.unique(step[(n_docs * n_items) > 0]):
+        some = np.flatnonzero((step == k) & (n_docs * n_items > 0))
+        count = (n_docs * n_items)[some]
+        of = np.repeat(some, count)
+        place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        pair = np.stack([docs[1][at_doc[of] + place // n_items[of]], items[1][at_item[of] + place % n_items[of]]])
+        done = np.stack(_distinct(*np.concatenate([done, pair], axis=1)))
+    return done[0], done[1]
 
 
 def _lists(owner: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
