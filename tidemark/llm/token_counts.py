@@ -7,8 +7,9 @@ and matching goes on at the node of what is left of it. So each byte of a word
 is looked at once, no position is tried again, and no piece is built.
 
 Every byte is a token, so every word has a count. The distinct pre-tokens of a
-block of texts step through the automaton together; counts are then summed by
-text. Documents stay in their task: no shuffle, no group.
+block of texts step through the automaton together, those of more than
+``LONG_BYTES`` bytes one after the other; counts are then summed by text.
+Documents stay in their task: no shuffle, no group.
 
 Null and empty texts have no words and no tokens. Bytes that aren't UTF-8
 count as U+FFFD. Repeated rows are each counted; ids may be null; an empty
@@ -28,6 +29,10 @@ from .bpe import clean_utf8, split_texts
 from .common import map_arrow, text_frame
 
 
+#: Bytes of a pre-token from which on it is stepped through alone.
+LONG_BYTES = 1024
+
+
 class Automaton:
     """Trie with failure links. Node 0 is the root. ``edges`` are sorted keys
     ``node << 8 | byte`` and ``to`` their nodes; ``fail`` and ``pops`` say where
@@ -64,11 +69,33 @@ class Automaton:
         edges = sorted((node << 8 | byte, to) for node, of in enumerate(children) for byte, to in of.items())
         self.edges, self.to = (np.array(x, np.int64) for x in zip(*edges, strict=True))
         self.fail, self.pops = np.array(fail), np.array(pops)
+        self._plain = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_plain": None}
+
+    def count_long(self, span: bytes) -> int:
+        """Greedy token count of one span, byte by byte."""
+        if self._plain is None:  # as Python's own numbers, once a worker
+            self._plain = dict(zip(self.edges.tolist(), self.to.tolist(), strict=True)), self.fail.tolist(), self.pops.tolist()
+        to, fail, pops = self._plain
+        node = total = 0
+        for byte in span:
+            while (go := to.get(node << 8 | byte)) is None:
+                total += pops[node]
+                node = fail[node]
+            node = go
+        while node:
+            total += pops[node]
+            node = fail[node]
+        return total
 
     def counts(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Greedy token counts of the byte spans ``data[start:end]``."""
         total, node = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
-        live, step = np.flatnonzero(end > start), 0
+        for k in np.flatnonzero(end - start > LONG_BYTES):
+            total[k] = self.count_long(data[start[k]:end[k]].tobytes())
+        live, step = np.flatnonzero((end > start) & (end - start <= LONG_BYTES)), 0
         while len(live):
             byte = data[start[live] + step].astype(np.int64)
             todo = np.arange(len(live))

@@ -1,7 +1,9 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
-Texts are folded first: lower case, letters of other scripts that look like
-Latin ones, digits and signs that stand for letters, invisible characters.
+Texts are folded first: letters in their plain form without accents, lower
+case, letters of other scripts that look like Latin ones, digits and signs that
+stand for letters (``@ $`` before a letter, ``!`` between letters), invisible
+characters.
 The lexicon has whole words and word stems, each weighted by the log-odds of
 its document frequency in toxic and other labelled texts. Exception phrases
 (a lexicon word with the word before or after it) that are as good as never
@@ -23,8 +25,11 @@ Empty tables give an empty result. Further columns are not read.
 from __future__ import annotations
 
 import re
+import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -35,10 +40,9 @@ from pyspark.sql import functions as F
 from .common import cut, map_arrow, small_side, text_frame
 
 THRESHOLD = 0.7
-#: A lexicon entry must be in so many toxic texts, however many there are.
+#: A lexicon entry must be in so many toxic texts, and an exception phrase in so
+#: many others, however many there are.
 MIN_DOCS = 3
-#: An exception phrase must be in a tenth of this share of the other texts, and in MIN_DOCS of them.
-MIN_SHARE = 0.001
 #: So many candidates go to the tasks; more are joined by shuffle.
 SUPPORT = 1 << 18
 #: Least log-odds of a lexicon entry.
@@ -52,11 +56,12 @@ _LOOKALIKES = {
     "α": "a", "ο": "o", "ρ": "p", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ł": "l", "ɑ": "a", "ɡ": "g",
 }
 #: Digits that stand for letters.
-_DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
+_DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 _FOLD = str.maketrans({**_LOOKALIKES, **_DIGITS, **{chr(0xFF41 + k): chr(97 + k) for k in range(26)},
                        **dict.fromkeys("­​‌‍⁠﻿")})
 _DIGITS_ONLY = str.maketrans(_DIGITS)
-_SIGN = re.compile(r"(?<=[^\W_])[@$](?=[^\W_])")
+_SIGN = re.compile(r"(?<=[^\W_])[@$!](?=[^\W_])|[@$](?=[^\W\d_])")
+_SIGNS = {"@": "a", "$": "s", "!": "i"}
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -64,11 +69,20 @@ def fold(text: str | None) -> str:
     """Lower case with look-alikes and digit spellings undone."""
     if not text:
         return ""
+    if not text.isascii():
+        # plain forms first, as some capitals appear only then
+        text = unicodedata.normalize("NFKD", text)
     text = text.lower()
-    text = text.translate(_DIGITS_ONLY if text.isascii() else _FOLD)
-    if "@" in text or "$" in text:
-        text = _SIGN.sub(lambda m: "a" if m[0] == "@" else "s", text)
-    return text
+    if "@" in text or "$" in text or "!" in text:
+        text = _SIGN.sub(lambda m: _SIGNS[m[0]], text)
+    return text.translate(_DIGITS_ONLY if text.isascii() else _all_folds())
+
+
+@lru_cache(1)
+def _all_folds() -> dict[int, str | None]:
+    """``_FOLD``, and accents and other combining marks dropped."""
+    marks = {k: None for k in range(0x300, 0x20000) if unicodedata.combining(chr(k))}
+    return {**marks, **_FOLD}
 
 
 def _entries(word: str) -> list[str]:
@@ -114,19 +128,27 @@ class Lexicon:
                     if weight > found.get(start, 0.0):
                         found[start] = weight
         out = []
+        words = _Around(folded) if self.exceptions and found else None
         for start, weight in found.items():
             word = _WORD.match(folded, start)[0]
-            if self.exceptions and any(p in self.exceptions for p in phrases(folded, start, word)):
+            if words is not None and any(p in self.exceptions for p in words.phrases(start)):
                 continue
             out.append((start, word, weight))
         return out
 
 
-def phrases(folded: str, start: int, word: str) -> list[str]:
-    """The word with the one before and with the one after it."""
-    before = _WORD.findall(folded[max(0, start - 40):start])
-    after = _WORD.search(folded, start + len(word), start + len(word) + 40)
-    return [*([f"{before[-1]} {word}"] if before else []), *([f"{word} {after[0]}"] if after else [])]
+class _Around:
+    """The words of a folded text, to find a word's neighbours, whole."""
+
+    def __init__(self, folded: str):
+        self.words = [(m.start(), m[0]) for m in _WORD.finditer(folded)]
+        self.starts = [start for start, _ in self.words]
+
+    def phrases(self, start: int) -> list[str]:
+        """The word at ``start`` with the one before and with the one after it."""
+        at = bisect_left(self.starts, start)
+        some = [word for _, word in self.words[max(0, at - 1):at + 2]]
+        return [f"{x} {y}" for x, y in zip(some, some[1:], strict=False)]
 
 
 def measures(folded: str, lexicon: Lexicon) -> tuple[float, float]:
@@ -183,9 +205,11 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     lexicon = Lexicon(weights)
 
     def near(folded):
-        return {p for start, word, _ in lexicon.matches(folded) for p in phrases(folded, start, word)}
+        found = lexicon.matches(folded)
+        around = _Around(folded) if found else None
+        return {p for start, _, _ in found for p in around.phrases(start)}
 
-    common = _frequencies(texts, near).where("key <> ''").where((F.col("neg") >= MIN_DOCS) & (F.col("neg") >= MIN_SHARE * n_neg / 10) & (F.col("neg") >= 10 * F.col("pos")))
+    common = _frequencies(texts, near).where("key <> ''").where((F.col("neg") >= MIN_DOCS) & (F.col("neg") >= 10 * F.col("pos")))
     return Lexicon(weights, frozenset(r[0] for r in common.collect()))
 
 
