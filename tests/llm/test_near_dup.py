@@ -90,3 +90,12 @@ def test_other_texts_of_a_clashing_id_stay(frame):
     a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
     left = near_dup.drop_near_duplicates(frame([(1, a), (1, b), (2, a), (2, b + " end"), (3, a), (2, "else"), (2, "else"), (1, None)]))
     assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(1, ""), (1, a), (1, b), (2, "else")]
+
+
+def test_a_large_group_is_measured_in_copies_of_its_centre(frame, monkeypatch):
+    """All rows of one star, with a copy of the centre's set for each three pairs."""
+    monkeypatch.setattr(near_dup, "STAR_ROWS", 3)
+    base = [f"w{k}" for k in range(80)]
+    rows = [(i, " ".join([*base, f"own{i}"])) for i in range(30)] + [(100 + i, " ".join(f"v{i}x{k}" for k in range(20))) for i in range(3)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame(rows)).collect()}
+    assert got == {i: 0 if i < 30 else i for i, _ in rows}

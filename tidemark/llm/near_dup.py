@@ -131,10 +131,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield found.filter(pa.array(nodes == wanted[begin:begin + len(block)]))
 
 
+#: Pairs of one node that are joined with one copy of its set.
+STAR_ROWS = 512
+
+
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, both): the sizes and the intersection of the full sets."""
+    """(a, b, n_a, n_b, both): the sizes and the intersection of the full sets.
+    A node that is ``b`` of many pairs, the centre of a large group, has its set
+    copied, one copy for ``STAR_ROWS`` of them, so that its pairs spread."""
     of = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}"))
-    return (pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+    pairs = cut(pairs.select("a", "b"))
+    copies = cut(pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("copies")).where("copies > 1"))
+    hot = small_side(copies.withColumnRenamed("b", "_hot"), copies.count(), 24)
+    salted = pairs.join(hot, F.col("b") == F.col("_hot"), "left").select(
+        "a", "b", F.coalesce(F.pmod(F.xxhash64("a"), F.col("copies")), F.lit(0)).cast("int").alias("copy"))
+    centres = (of("b").join(hot, F.col("b") == F.col("_hot"), "left")
+               .withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("_hot", "copies"))
+    return (salted.join(of("a"), "a").join(centres, ["b", "copy"])
             .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("both")))
 
 
