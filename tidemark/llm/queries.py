@@ -28,6 +28,11 @@ def _hex(column) -> Column:
     return F.sha2(column, 256)
 
 
+def _held_out(mod: int, rest: int) -> Column:
+    """Whether a row is held out; a row without an id is not."""
+    return F.coalesce(crc_mod(F.col("doc_id"), mod) == rest, F.lit(False)).alias("held_out")
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     found = bpe.encode(read(spark, sf_dir, "documents"), ranks, with_decoded=True)
@@ -55,14 +60,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))
     found = lm_score.score_texts(read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) != 1)
-    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", _held_out(5, 1), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op7_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 3) != 1)
-    return found.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", _held_out(3, 1), "score", "predicted")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +75,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_classifier.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
-    return found.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", _held_out(5, 0), "score", "predicted")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
