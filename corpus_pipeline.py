@@ -26,6 +26,9 @@ from tidemark.session import checkpoint_dir
 #: No stage but the first could be checked in SQL, and that is a learnt model.
 ORACLE_SQL = None
 
+#: Least similarity of near-duplicates, in percent.
+NEAR_PERCENT = 80
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -34,8 +37,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, which a five-word Jaccard
-    of 0.85 or more links (``near_dup.PERCENT``)."""
-    return near_dup.drop_near_duplicates(docs)
+    of 0.8 or more links."""
+    return near_dup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
