@@ -272,28 +272,6 @@ def test_long_words_are_counted_in_linear_time():
     assert automaton.counts(data, np.array([0]), np.array([len(data)]))[0] > 0 and time.process_time() - begin < 10
 
 
-@pytest.mark.parametrize("text,folded", [
-    ("@ss", "ass"), ("$hit", "shit"), ("sh!t!", "shit!"), ("8ad", "bad"), ("𝐁𝐚𝐝", "bad"), ("bád", "bad"), ("bád", "bad"),
-    ("Ｂａｄ", "bad"), ("b‍ad", "bad"), ("$5 @ ! wow!", "$s @ ! wow!"), ("K", "k")])
-def test_folding_of_listed_forms(text, folded):
-    assert toxicity.fold(text) == folded
-
-
-def test_phrases_hold_whole_words():
-    far = "x" * 90
-    around = toxicity._Around(f"{far} bad, {far}y end")
-    assert around.phrases(91) == [f"{far} bad", f"bad {far}y"]
-    lexicon = toxicity.Lexicon({"=bad": 3.0}, frozenset({f"bad {far}y"}))
-    assert lexicon.matches(f"{far} bad, {far}y end") == [] and len(lexicon.matches(f"bad {far}z")) == 1
-
-
-def test_exceptions_need_no_share_of_the_labels(spark):
-    """Three clean texts of one phrase are enough, among however many others."""
-    rows = [(f"such an awful{k} zorgle here", 1) for k in range(40)] + [("the mild zorgle tea", 0)] * 4 + [(f"plain words {k}", 0) for k in range(60_000)]
-    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "_text string, y int"))
-    assert "=zorgle" in lexicon.weights and "mild zorgle" in lexicon.exceptions
-
-
 def _greedy(span, vocabulary):
     n, at = 0, 0
     while at < len(span):
