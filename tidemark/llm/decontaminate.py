@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -149,16 +150,14 @@ class Shard:
     def __init__(self, ids: list, counts: list, hashes: list):
         self.ids = pa.concat_arrays(ids)
         self.first = np.append(0, np.cumsum(np.concatenate(counts)))
-        import pandas as pd  # here, so that only this operator's workers load it
-
-        codes, found = pd.factorize(np.concatenate(hashes))
-        self.array, self.found = SuffixArray(codes + 1, self.first), pd.Index(found)
+        coded = pa.array(np.concatenate(hashes)).dictionary_encode()
+        self.array, self.found = SuffixArray(coded.indices.to_numpy().astype(np.int64) + 1, self.first), coded.dictionary
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Word numbers; -1 for words that this shard lacks."""
         if not len(self.found):
             return np.full(len(hashes), -1)
-        at = self.found.get_indexer(hashes)
+        at = pc.index_in(pa.array(hashes), value_set=self.found).fill_null(-1).to_numpy().astype(np.int64)
         return np.where(at < 0, -1, at + 1)
 
     def windows(self, tests: TestSet) -> tuple[np.ndarray, np.ndarray]:

@@ -162,18 +162,12 @@ def _in_place(batch: pa.RecordBatch) -> tuple[int, np.ndarray, dict[str, np.ndar
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, before, after) of the pieces of each document, null where no piece is next to it; distinct in a batch."""
+    """(node, before, after) of the pieces of each document, null where no piece is next to it."""
     for batch in batches:
         _, _, of, follows = _in_place(batch)
         node = of["node"]
-        rows = np.zeros((len(node), 5), np.int64)
-        rows[:, 0] = node
-        rows[1:, 1] = np.where(follows[1:], node[:-1], 0)
-        rows[1:, 2] = follows[1:]
-        rows[:-1, 3] = np.where(follows[1:], node[1:], 0)
-        rows[:-1, 4] = follows[1:]
-        rows = np.unique(rows, axis=0) if len(rows) else rows
-        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1], mask=rows[:, 2] == 0), pa.array(rows[:, 3], mask=rows[:, 4] == 0)],
+        first, last = ~follows, np.append(~follows[1:], True)[:len(node)]
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.roll(node, 1), mask=first), pa.array(np.roll(node, -1), mask=last)],
                                          names=["node", "before", "after"])
 
 
