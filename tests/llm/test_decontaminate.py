@@ -2,12 +2,16 @@
 
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate
+from tidemark.llm.common import BATCH_BYTES, map_arrow
 
 from .conftest import LOW
 
@@ -178,3 +182,34 @@ def test_pairs_of_common_windows_come_in_steps(monkeypatch):
     assert got == {(d, i) for r, d in zip(*docs, strict=True) for q, i in zip(*items, strict=True) if r == q}
     none = (np.zeros(0, int), np.zeros(0, int))
     assert [len(x) for x in decontaminate._item_pairs(none, none, 0)] == [0, 0]
+
+
+def test_a_shard_of_a_long_partition_takes_little_memory():
+    """A worker's arrays don't grow with its partition beyond a shard's."""
+    rnd = np.random.default_rng(3)
+    batch = pa.record_batch([pa.array(range(900)), pa.array([" ".join(map(str, rnd.integers(0, 200000, 1000))) for _ in range(900)])], names=["_id", "_text"])
+    tests = decontaminate.TestSet(["a"], [" ".join(map(str, range(30)))], 13)
+    tracemalloc.start()
+    try:
+        rows = sum(x.num_rows for x in decontaminate._hits(iter([batch]), SimpleNamespace(value=tests), decontaminate.SHARD_WORDS))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 900 and peak < 80 << 20
+
+
+def test_workers_get_small_batches(spark):
+    """Long texts reach a worker a few at a time; a session's own bound holds."""
+    rows = spark.range(0, 30, 1, 1).select("id", F.repeat(F.lit("x"), 1 << 20).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    most = lambda: map_arrow(rows, sizes, "n long").agg(F.max("n")).first()[0]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    assert most() <= 2 * BATCH_BYTES
+    spark.conf.set(key, str(32 << 20))
+    assert most() > 20 << 20
+    spark.conf.unset(key)

@@ -17,6 +17,10 @@ from ..sources import read_table
 
 #: Bytes that one broadcast may hold; larger sides are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
+#: Bytes of rows that Spark sends a worker at once, unless the session has its
+#: own setting; the task holds them twice, beside the heap and in the worker.
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def text_frame(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -33,7 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow``; a worker waits for its next task with its memory given back."""
+    """``mapInArrow`` in batches of about ``BATCH_BYTES``; a worker waits for its
+    next task with its memory given back."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(BATCH_BYTES))
+
     def run(batches):
         try:
             yield from fn(batches)

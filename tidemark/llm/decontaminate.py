@@ -40,7 +40,8 @@ from .common import by_text, cut, join_rows, map_arrow, text_frame
 WINDOW = 13
 #: 20 * n_hit >= n_words marks a document as contaminated.
 PER_HIT = 20
-SHARD_WORDS = 1 << 20
+#: A shard's suffix array takes about 350 bytes a word while it is built.
+SHARD_WORDS = 1 << 18
 BLOCK_TEXT_BYTES = 8 << 20
 
 
