@@ -1,6 +1,7 @@
 """Encoding against tiktoken, the splitter against the pattern itself."""
 
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -104,3 +105,18 @@ def test_token_counts_of_texts(frame, ranks, words):
 
 def test_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_a_task_of_many_words_takes_little_memory(ranks):
+    """Chunk rows and remembered pre-tokens have a bound; decoding needs no ranks."""
+    rnd = np.random.default_rng(5)
+    batch = pa.record_batch([pa.array(range(900)), pa.array([" ".join(f"{x:x}" for x in rnd.integers(0, 1 << 40, 1000)) for _ in range(900)])], names=["_id", "_text"])
+    rows, known, held = 0, 0, []
+    for row in bpe._chunks(iter([batch]), ranks, bpe.CHUNK_BYTES):
+        rows += len(row.column("ids")[0])
+        known = 0 if row.column("restart")[0].as_py() else known
+        known += len(row.column("pieces")[0]) + len(row.column("ready")[0])
+        held.append(known)
+        assert row.column("pieces").nbytes < 64 << 20
+    assert rows == 900 and max(held) < 1 << 19 and len(held) > 3
+    assert len(pickle.dumps(ranks.pieces)) < len(pickle.dumps(ranks)) / 4

@@ -44,9 +44,11 @@ from pyspark.sql import types as T
 from . import words as W
 from .common import map_arrow, text_frame
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Text that is split at once, as its work arrays take about 60 bytes a byte.
+SPLIT_BYTES = 1 << 18
 #: Distinct pre-tokens that a task remembers.
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 18
 LONG_BYTES = 256
 #: No rank; also the mask of an id.
 NONE = (1 << 17) - 1
@@ -55,6 +57,14 @@ _LOW = (1 << 40) - 1
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
 
 
+class Pieces:
+    """Token bytes by rank, which is all that decoding needs."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.piece_start = np.append(0, np.cumsum([len(p) for p in pieces]))
+
+
 class Ranks:
     """A rank file: token bytes by rank, and the ranks of pairs of tokens."""
 
@@ -70,8 +80,7 @@ class Ranks:
         pieces = [b""] * self.size
         for token, rank in self.rank.items():
             pieces[rank] = token
-        self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
-        self.piece_start = np.append(0, np.cumsum([len(p) for p in pieces]))
+        self.pieces = Pieces(pieces)
         self.byte_rank = np.array([self.rank[bytes([b])] for b in range(256)])
         self.base, self.cells = self._packed()
 
@@ -142,7 +151,8 @@ def _classes() -> np.ndarray:
     table = np.full(0x110000, _OTHER, np.uint8)
     every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
-        table[[ord(c) for c in regex.findall(pattern, every)]] = kind
+        found = "".join(regex.findall(pattern + "+", every))
+        table[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
     return table
 
 
@@ -273,7 +283,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], ranks: Ranks, chunk_bytes: int) -
         data, offsets = clean_utf8(batch.column("_text"))
         begin, n = 0, len(offsets) - 1
         while begin < n:
-            stop = int(np.searchsorted(offsets, offsets[begin] + W.BLOCK_BYTES, side="right")) - 1
+            stop = int(np.searchsorted(offsets, offsets[begin] + SPLIT_BYTES, side="right")) - 1
             stop = min(n, max(begin + 1, stop))
             chunk.add(batch.column("_id").slice(begin, stop - begin), data[offsets[begin]:offsets[stop]], offsets[begin:stop + 1] - offsets[begin])
             begin = stop
@@ -319,17 +329,17 @@ def fold_merges(pieces: Column, cells: Column, bases: Column) -> Column:
     return F.transform(F.aggregate(F.slice(pieces, 2, F.size(pieces)), pieces, step), ident)
 
 
-def _bytes_of(ids: np.ndarray, cuts: np.ndarray, ranks: Ranks) -> pa.Array:
+def _bytes_of(ids: np.ndarray, cuts: np.ndarray, pieces: Pieces) -> pa.Array:
     """The byte strings of ``ids[cuts[i]:cuts[i+1]]``, concatenated."""
-    many = np.diff(ranks.piece_start)[ids]
+    many = np.diff(pieces.piece_start)[ids]
     ends = np.append(0, np.cumsum(many))
-    at = np.arange(ends[-1]) + np.repeat(ranks.piece_start[ids] - ends[:-1], many)
-    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends[cuts].astype(np.int32)), pa.py_buffer(ranks.piece_bytes[at])])
+    at = np.arange(ends[-1]) + np.repeat(pieces.piece_start[ids] - ends[:-1], many)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(ends[cuts].astype(np.int32)), pa.py_buffer(pieces.piece_bytes[at])])
 
 
-def _lay_out(batches: Iterator[pa.RecordBatch], ranks: Ranks | None) -> Iterator[pa.RecordBatch]:
+def _lay_out(batches: Iterator[pa.RecordBatch], pieces: Pieces | None) -> Iterator[pa.RecordBatch]:
     """The tokens of each text of a chunk, from those of its pre-tokens; with
-    ``ranks`` also what they decode to."""
+    ``pieces`` also what they decode to."""
     start, tokens = np.zeros(1, np.int64), np.zeros(0, "<u4")  # of the pre-tokens so far
     for batch in batches:
         for i in range(batch.num_rows):
@@ -360,8 +370,8 @@ def _lay_out(batches: Iterator[pa.RecordBatch], ranks: Ranks | None) -> Iterator
                 out = tokens[at]
                 columns = [of["ids"].slice(begin, stop - begin), pa.array(np.diff(cuts)),
                            pa.Array.from_buffers(pa.binary(), stop - begin, [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(out)])]
-                if ranks is not None:
-                    columns.append(_bytes_of(out, cuts, ranks))
+                if pieces is not None:
+                    columns.append(_bytes_of(out, cuts, pieces))
                 yield pa.RecordBatch.from_arrays(columns, names=["_id", "n_tokens", "ids", "decoded"][:len(columns)])
                 begin = stop
 
@@ -372,7 +382,7 @@ def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str
     ``with_decoded`` adds ``decoded``, as ``decode`` does, in the same pass."""
     source = text_frame(docs, id_col, text_col)
     kind = source.schema["_id"].dataType.simpleString()
-    shared = source.sparkSession.sparkContext.broadcast(ranks)
+    shared, pieces = (source.sparkSession.sparkContext.broadcast(x) for x in (ranks, ranks.pieces))
 
     def chunks(batches):
         yield from _chunks(batches, shared.value, chunk_bytes)
@@ -382,7 +392,7 @@ def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str
     folded = rows.select("restart", "ids", "sizes", "numbers", "places", "ready", F.transform("pieces", lambda p: fold_merges(p, F.col("cells"), F.col("bases"))).alias("folded"))
 
     def laid_out(batches):
-        yield from _lay_out(batches, shared.value if with_decoded else None)
+        yield from _lay_out(batches, pieces.value if with_decoded else None)
 
     out = f"_id {kind}, n_tokens long, ids binary" + ", decoded binary" * with_decoded
     return map_arrow(folded, laid_out, out).withColumnRenamed("_id", id_col)
@@ -391,7 +401,7 @@ def encode(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str
 def decode(encoded: DataFrame, ranks: Ranks, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with a binary column of the ids' byte strings, concatenated.
     Null ids give an empty string; ids beyond the vocabulary an error."""
-    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+    shared = encoded.sparkSession.sparkContext.broadcast(ranks.pieces)
 
     def decoded(batches):
         for batch in batches:
