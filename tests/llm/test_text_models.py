@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +124,27 @@ def test_rare_ngrams_have_arcs_in_large_corpora(frame):
     assert [got[i] for i, _ in rows] == pytest.approx(want, abs=1e-6)
 
 
+def test_scoring_writes_little_beside_the_texts(spark, frame):
+    """Texts are not shuffled, and the files of earlier rounds go."""
+    rnd = np.random.default_rng(3)
+    names = np.array(["".join(x) for x in rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), (30_000, 6))])
+    rows = [(k, " ".join(names[np.minimum(rnd.zipf(1.3, 400) - 1, len(names) - 1)])) for k in range(1000)]
+    size = sum(len(t) for _, t in rows)
+    docs = frame(rows).select("doc_id", "text")
+    local = [str(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    kept = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def used():
+        time.sleep(2)  # files go in the background
+        return {f: f.stat().st_size for top in [*local, kept] for f in Path(top).rglob("*") if f.is_file()}
+
+    before = used()
+    got = lm_score.score_texts(docs, F.lit(True), chunk_bytes=size // 4)
+    assert len(got.collect()) == len(rows)
+    written = sum(n for f, n in used().items() if f not in before)
+    assert written < 1.2 * size
+
+
 # ---------------------------------------------------------------- toxicity
 
 

@@ -21,6 +21,7 @@ BROADCAST_BYTES = 64 << 20
 #: own setting; the task holds them twice, beside the heap and in the worker.
 BATCH_BYTES = 2 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def text_frame(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -36,6 +37,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextlib.contextmanager
+def without_old_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Frames made and ``cut`` inside leave no shuffle files behind. They must be
+    cut in full, and only once; what is returned to a caller is made outside."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` in batches of about ``BATCH_BYTES``; a worker waits for its
     next task with its memory given back."""
