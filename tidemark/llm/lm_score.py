@@ -25,7 +25,8 @@ arrays, with no table that must fit in one place:
 
 * A chunk asks for its distinct words and pairs, with their learnt counts, by
   parts of their hashes. A part sums the counts of all chunks and answers in the
-  order of the questions; one of the chunks that hold a pair is marked to own it.
+  order of the questions, and numbers the keys that may have arcs, by which they
+  are known from then on; one of the chunks that hold a pair is marked to own it.
 * A triple occurs twice only if both its pairs do, so only such triples are asked
   for: under their first pair, whose part has all that follows it, and answers
   with the sums of its arcs too. The sums of a word's arcs are added up from
@@ -217,17 +218,18 @@ def _unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(_unpack(blob), dtype=np.uint64)
 
 
-def _joined(blobs: list[bytes]) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint64), *map(_unpack, blobs)])
+def _joined(blobs: list[bytes], unpack: Callable[[bytes], np.ndarray] = _unpack) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *map(unpack, blobs)])
 
 
 #: Kinds of rows. TEXTS: a chunk (words, their counts, tokens as ranks by count,
 #: tokens of each text, whether it is learnt from, ids). Asked of a part and
 #: answered to a chunk, for its keys in order:
-#: WORDS (words, counts): counts
-#: PAIRS (pairs, counts): twice the count, and one more where the chunk owns the pair
-#: WORD_ARCS (words, sum and number of the arcs that the chunk owns): sum, number
-#: PAIR_ARCS (pairs, number of triples, triples' last words, counts): sum and
+#: WORDS (words, counts): counts; numbers, for those of LEAST and more
+#: PAIRS (pairs, counts): twice the count, and one more where the chunk owns the
+#: pair, zero below LEAST; numbers of the others
+#: WORD_ARCS (numbers, sum and number of the arcs that the chunk owns): sum, number
+#: PAIR_ARCS (numbers, number of triples, triples' last words, counts): sum and
 #: number of arcs, counts of triples
 TEXTS, WORDS, PAIRS, WORD_ARCS, PAIR_ARCS = range(5)
 _PACKED = "kind int, part long, chunk long, a binary, b binary, c binary, d binary, e binary, f binary, n long, v long, singles long"
@@ -312,13 +314,16 @@ def _count(table: pa.Table) -> pa.Table:
     if kind == PAIR_ARCS:
         return _count_triples(part, chunks, blobs, keys, at, mine)
     count = _sums(at, len(keys), _joined(blobs["b"]))
+    often = count >= LEAST
+    number = np.cumsum(often).astype(np.uint64)
+    numbers = [_pack_sorted(number[x[often[x]]]) for x in mine]
     if kind == WORDS:
-        rows = [_row(kind, part, c, count[x]) for c, x in zip(chunks, mine, strict=True)]
+        rows = [_row(kind, part, c, count[x], y) for c, x, y in zip(chunks, mine, numbers, strict=True)]
         rows[0] |= {"n": int(count.sum()), "v": int((count > 0).sum()), "singles": int((count == 1).sum())}
         return _table(rows)
-    found = np.where(count < LEAST, 0, 2 * count)[at]
+    found = np.where(often, 2 * count, 0)[at]
     found[first] += found[first] > 0
-    return _table([_row(kind, part, c, found[a:b]) for c, a, b in zip(chunks, ends[:-1], ends[1:], strict=True)])
+    return _table([_row(kind, part, c, found[a:b], y) for c, a, b, y in zip(chunks, ends[:-1], ends[1:], numbers, strict=True)])
 
 
 def _count_triples(part: int, chunks: list[int], blobs: dict, keys: np.ndarray, at: np.ndarray, mine: list[np.ndarray]) -> pa.Table:
@@ -334,7 +339,7 @@ def _count_triples(part: int, chunks: list[int], blobs: dict, keys: np.ndarray,
                    for c, x, a, b in zip(chunks, mine, ends[:-1], ends[1:], strict=True)])
 
 
-def _answered(table: pa.Table) -> tuple[Chunk, Callable[[int, str], np.ndarray], dict]:
+def _answered(table: pa.Table) -> tuple[Chunk, Callable[..., np.ndarray], dict]:
     """A chunk, what is answered to it, and its row of texts."""
     rows = sorted(table.to_pylist(), key=lambda r: r["part"])
     texts = next(r for r in rows if r["kind"] == TEXTS)
@@ -342,13 +347,13 @@ def _answered(table: pa.Table) -> tuple[Chunk, Callable[[int, str], np.ndarray],
     by_rank = np.argsort(-often.astype(np.int64), kind="stable")
     chunk = Chunk(words, by_rank[rank.astype(np.int64)], counts.astype(np.int64), learn.astype(bool))
 
-    def take(kind: int, column: str) -> np.ndarray:
-        return _joined([r[column] for r in rows if r["kind"] == kind]).astype(np.int64)
+    def take(kind: int, column: str, unpack: Callable[[bytes], np.ndarray] = _unpack) -> np.ndarray:
+        return _joined([r[column] for r in rows if r["kind"] == kind], unpack).astype(np.int64)
 
     return chunk, take, texts
 
 
-def _counts(chunk: Chunk, take: Callable[[int, str], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counts(chunk: Chunk, take: Callable[..., np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of the words and of the pairs with an arc, and the pairs owned."""
     word_n, found = take(WORDS, "a"), take(PAIRS, "a")
     if (len(word_n), len(found)) != (len(chunk.words), len(chunk.hashes)):
@@ -368,19 +373,22 @@ def _ask_arcs(table: pa.Table, bits: int) -> pa.Table:
     chunk, take, texts = _answered(table)
     word_n, pair_n, owned = _counts(chunk, take)
     words, pairs = _states(chunk, word_n, pair_n)
-    total, number = (_sums(chunk.history[owned], len(word_n), x[owned])[words] for x in (pair_n, np.ones_like(pair_n)))
-    rows = [_row(WORD_ARCS, part, texts["chunk"], _pack_sorted(chunk.words[words[at]]), total[at], number[at]) for part, at in _parts(chunk.words[words], bits)]
+    total, arcs = (_sums(chunk.history[owned], len(word_n), x[owned])[words] for x in (pair_n, np.ones_like(pair_n)))
+    number = take(WORDS, "b", _unpack_sorted).astype(np.uint64)
+    rows = [_row(WORD_ARCS, part, texts["chunk"], _pack_sorted(number[at]), total[at], arcs[at]) for part, at in _parts(chunk.words[words], bits)]
     history, last, at, which = chunk.triples(pair_n)
     count = np.bincount(which[chunk.learnt[at]], minlength=len(history))
     place = np.empty(len(pair_n), np.int64)
     place[pairs] = np.arange(len(pairs))
     place = place[history]
     by = np.argsort(place, kind="stable")
-    keys, kids = chunk.hashes[pairs], np.bincount(place, minlength=len(pairs))
+    number = np.empty(len(pair_n), np.uint64)
+    number[chunk.asked[pair_n[chunk.asked] > 0]] = take(PAIRS, "b", _unpack_sorted)
+    number, kids = number[pairs], np.bincount(place, minlength=len(pairs))
     last, count, ends = _short(chunk.words[last[by]]), count[by], np.append(0, np.cumsum(kids))
-    for part, at in _parts(keys, bits):
+    for part, at in _parts(chunk.hashes[pairs], bits):
         under = slice(ends[at.start], ends[at.stop])
-        rows.append(_row(PAIR_ARCS, part, texts["chunk"], _pack_sorted(keys[at]), kids[at], last[under], count[under]))
+        rows.append(_row(PAIR_ARCS, part, texts["chunk"], _pack_sorted(number[at]), kids[at], last[under], count[under]))
     return _table(rows)
 
 
