@@ -130,3 +130,16 @@ def test_many_rows_without_an_id_or_of_one_id(frame):
     rows = [(None, f"n{k} {passage}") for k in range(30)] + [(5, f"m{k} " + " ".join(f"v{k}x{j}" for j in range(50))) for k in range(30)] + [(5, "m3 " + " ".join(f"v3x{j}" for j in range(50)))]
     got = substring_dedup.remove_repeats(frame(rows))
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 35)
+
+
+def test_runs_of_one_word_are_one_row(frame):
+    """Exact as the brute force, while a run of any length is one k-mer's row."""
+    import pyarrow as pa
+
+    rows = [(k, f"a{k} b{k} " + "osa " * (30 + 9 * k) + f"c{k} " + "x y " * (5 * k) + "z") for k in range(12)] + [(99, "lone " * 90), (100, "q " * 35)]
+    got = substring_dedup.remove_repeats(frame(rows))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 35)
+    names = {(r["doc_id"], r["start"], r["end"]) for r in substring_dedup.repeated_spans(frame(rows), window=12, anchor=4).collect()}
+    assert names == {x[:3] for x in brute_paths(rows, 12)}
+    batch = pa.RecordBatch.from_pydict({"k": [1], "h": [2], "_text": ["run " * 5000]})
+    assert sum(b.num_rows for b in substring_dedup._occurrences(iter([batch]), 35, 8)) <= 2

@@ -22,7 +22,7 @@ the first and the last one, about one for 14 words:
 4. The paths, at the coordinates of their pieces, are the spans of a document;
    their words go.
 
-Only step 1 moves a row for every k-mer; hot k-mers are counted with partial
+Only step 1 moves a row for every k-mer, or run of one k-mer; hot k-mers are counted with partial
 aggregation, and joined from written tables, so that adaptive execution can
 split them.
 
@@ -98,10 +98,13 @@ def _occurrences(batches: Iterator[pa.RecordBatch], window: int, anchor: int) ->
     for batch in batches:
         for begin, block in W.blocks(batch.column("_text"), W.SPACES, fold=False):
             owner, start, size, minimiser, kmer = kmers(block, window, anchor)
-            at = pa.array(owner + begin)
+            # a k-mer that follows itself, as in a run of one word, is one row
+            run = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (kmer[1:] != kmer[:-1]))[:len(owner)])
+            times = np.diff(np.append(run, len(owner)))
+            at = pa.array(owner[run] + begin)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k").take(at), batch.column("h").take(at), pa.array(start * _PACK + size),
-                 pa.array(W.signed(minimiser)), pa.array(W.signed(kmer))], names=["k", "h", "pos", "anchor", "kmer"])
+                [batch.column("k").take(at), batch.column("h").take(at), pa.array((start * _PACK + size)[run]), pa.array(times),
+                 pa.array(W.signed(minimiser[run])), pa.array(W.signed(kmer[run]))], names=["k", "h", "pos", "times", "anchor", "kmer"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -150,10 +153,15 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 def _in_place(batch: pa.RecordBatch) -> tuple[int, np.ndarray, dict[str, np.ndarray], np.ndarray]:
     """A batch of documents with ``parts``: their number, each part's document,
-    the parts' fields in order, and whether a part follows the one before at once."""
+    the parts' fields in order, and whether a part follows the one before at once.
+    A part that comes ``times`` times, ``step`` words apart, is as many parts."""
     cuts, flat = _flat(batch.column("parts"))
-    owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
     of = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+    times = of.pop("times")
+    each = np.repeat(np.arange(len(times)), times)
+    owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))[each]
+    of = {x: v[each] for x, v in of.items()}
+    of["start"] = of["start"] + (np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)) * of.pop("step")
     by = np.lexsort((of["start"], owner))
     of = {x: v[by] for x, v in of.items()}
     follows = np.zeros(len(owner), bool)
@@ -247,12 +255,12 @@ def find_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     def spans(batches):
         yield from _spans(batches, window)
 
-    every = map_arrow(keyed.select("k", "h", "_text"), occurrences, "k long, h long, pos long, anchor long, kmer long")
-    twice = cut(every.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
+    every = map_arrow(keyed.select("k", "h", "_text"), occurrences, "k long, h long, pos long, times long, anchor long, kmer long")
+    twice = cut(every.groupBy("anchor").agg(F.sum("times").alias("c")).where("c > 1").select("anchor"))
     some = cut(every.join(twice, "anchor"))
 
     # distinct k-mers, with one source each
-    kmers = cut(some.groupBy("kmer").agg(F.count("*").alias("n"), F.min("anchor").alias("anchor"), F.min(F.struct("k", "h", "pos")).alias("at")))
+    kmers = cut(some.groupBy("kmer").agg(F.sum("times").alias("n"), F.min("anchor").alias("anchor"), F.min(F.struct("k", "h", "pos")).alias("at")))
     mixed = kmers.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     only = kmers.where("n > 1").join(mixed, "anchor", "left_anti").selectExpr(
         "kmer", f"array(named_struct('off', 0L, 'size', at.pos % {_PACK}, 'node', kmer)) as pieces")
@@ -272,15 +280,15 @@ def find_spans(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     pieces = cut(only.unionByName(cut_up))
 
     # documents as rows of pieces, and paths of pieces that always follow each other
-    parts = some.select("k", "h", "pos", "kmer").join(pieces, "kmer").select("k", "h", "pos", F.inline("pieces")).selectExpr(
-        "k", "h", f"pos div {_PACK} + off as start", "size", "node")
-    listed = cut(parts.groupBy("k", "h").agg(F.collect_set(F.struct("start", "size", "node")).alias("parts")))
+    parts = some.select("k", "h", "pos", "times", "kmer").join(pieces, "kmer").select("k", "h", "pos", "times", F.inline("pieces")).selectExpr(
+        "k", "h", f"pos div {_PACK} + off as start", "size", "node", "times", f"pos % {_PACK} as step")
+    listed = cut(parts.groupBy("k", "h").agg(F.collect_set(F.struct("start", "size", "node", "times", "step")).alias("parts")))
     nodes = cut(map_arrow(listed.select("parts"), _neighbours, "node long, before long, after long").groupBy("node").agg(
         F.coalesce(one("after"), F.lit(False)).alias("opens"), F.coalesce(one("before"), F.lit(False)).alias("closes"), F.min("before").alias("before")))
     inner = nodes.where("closes").select("node", "before").join(nodes.where("opens").select(F.col("node").alias("before")), "before").select("node")
     inner = cut(inner).withColumn("goes_on", F.lit(True))
     linked = (listed.select("k", "h", F.inline("parts")).join(inner, "node", "left").groupBy("k", "h")
-              .agg(F.collect_list(F.struct("start", "size", "node", F.coalesce("goes_on", F.lit(False)).alias("goes_on"))).alias("parts")))
+              .agg(F.collect_list(F.struct("start", "size", "node", "times", "step", F.coalesce("goes_on", F.lit(False)).alias("goes_on"))).alias("parts")))
     return map_arrow(linked, spans, "k long, h long, spans array<struct<start: long, end: long, path: long>>, ranges array<struct<start: int, end: int>>")
 
 
